@@ -53,13 +53,13 @@ def split_words(texts: pa.Array) -> Words:
 def ngrams(words: pa.Array, bits: int, sizes: tuple[int, ...] = SIZES) -> tuple[np.ndarray, np.ndarray]:
     """(word, bucket) of every byte n-gram of "<word>" and of the whole; empty words have no n-gram."""
     if not len(words):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int32), np.zeros(0, np.int32)
     marked = pc.binary_join_element_wise("<", words, ">", "")
     off = np.frombuffer(marked.buffers()[1], np.int32, len(marked) + 1, marked.offset * 4).astype(np.int64)
     data = np.frombuffer(marked.buffers()[2], np.uint8)[off[0] : off[-1]].astype(np.uint32)
     off = off - off[0]
     lengths = np.diff(off)
-    of = np.repeat(np.arange(len(lengths), dtype=np.int64), lengths)
+    of = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
     full = lengths > 2
     mask = np.uint32((1 << bits) - 1)
     found_words, found = [], []
@@ -68,7 +68,7 @@ def ngrams(words: pa.Array, bits: int, sizes: tuple[int, ...] = SIZES) -> tuple[
         h = (h + np.uint32(salt * 0x9E3779B1 & 0xFFFFFFFF)) * np.uint32(0x85EBCA6B)
         h ^= h >> np.uint32(13)
         h *= np.uint32(0xC2B2AE35)
-        return ((h ^ (h >> np.uint32(16))) & mask).astype(np.int64)
+        return ((h ^ (h >> np.uint32(16))) & mask).astype(np.int32)
 
     for n in sizes:
         if len(data) < n:
@@ -82,7 +82,7 @@ def ngrams(words: pa.Array, bits: int, sizes: tuple[int, ...] = SIZES) -> tuple[
         found.append(mixed(h[inside], n))
     power = np.uint32(0x01000193) ** (np.arange(len(data), dtype=np.uint32) - off[of].astype(np.uint32))
     whole = np.add.reduceat(data * power, off[:-1], dtype=np.uint32)
-    found_words.append(np.flatnonzero(full))
+    found_words.append(np.flatnonzero(full).astype(np.int32))
     found.append(mixed(whole[full], 77))
     return np.concatenate(found_words), np.concatenate(found)
 

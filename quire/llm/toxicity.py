@@ -50,6 +50,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int) -> list[
     return [(r["text"] or "", r["toxic"]) for r in rows.orderBy("doc_id").collect()]
 
 
+def gathered(to: np.ndarray, size: int, values: np.ndarray, at: np.ndarray, step: int = 1 << 20) -> np.ndarray:
+    """Sum of values[at] by to, a slice at a time, so that no copy as long as to is made."""
+    out = np.zeros(size)
+    for i in range(0, len(to), step):
+        out += np.bincount(to[i : i + step], weights=values[at[i : i + step]], minlength=size)
+    return out
+
+
 def fit_toxicity(rows: list[tuple[str, int]], *, bits: int = 18, dim: int = 8, epochs: int = 60, seed: int = 11) -> ToxicityModel:
     """Fit on (text, 0 or 1) rows; a quarter of them calibrates. With one class only, every score is that of no evidence."""
     rng = np.random.default_rng(seed)
@@ -75,8 +83,8 @@ def fit_toxicity(rows: list[tuple[str, int]], *, bits: int = 18, dim: int = 8, e
     error = np.sqrt(1 / (c1 + 0.5) + 1 / (c0 + 0.5))
     odds = np.clip(odds - 2 * np.minimum(error, 2), -4, 4)
     evidence = c1 + c0
-    seen = np.bincount(bucket, weights=evidence[of], minlength=1 << bits)
-    start = np.bincount(bucket, weights=(evidence * odds)[of], minlength=1 << bits) / (seen + 3)
+    seen = gathered(bucket, 1 << bits, evidence, of)
+    start = gathered(bucket, 1 << bits, evidence * odds, of) / (seen + 3)
     direction = rng.normal(0, 1, dim)
     direction /= np.linalg.norm(direction)
     embedding = rng.normal(0, 0.01, (1 << bits, dim)) + start[:, None] * direction[None]
@@ -89,7 +97,7 @@ def fit_toxicity(rows: list[tuple[str, int]], *, bits: int = 18, dim: int = 8, e
     for epoch in range(epochs):
         u = softmax[:, 1] - softmax[:, 0]
         value = embedding @ u
-        logit = np.bincount(of, weights=value[bucket], minlength=size) / grams
+        logit = gathered(of, size, value, bucket) / grams
         z = logit[word_in]
         top = np.maximum.reduceat(z, starts)
         near = np.exp(3 * (z - np.repeat(top, np.diff(np.append(starts, len(z))))))
@@ -110,7 +118,7 @@ def fit_toxicity(rows: list[tuple[str, int]], *, bits: int = 18, dim: int = 8, e
         softmax[:, 0] += 0.5 * into
         bias -= 0.5 * wrong.sum()
     table = (embedding @ (softmax[:, 1] - softmax[:, 0])).astype(np.float32)[:, None]
-    logit = np.bincount(of, weights=table[bucket, 0], minlength=size) / grams
+    logit = gathered(of, size, table[:, 0], bucket) / grams
     starts = np.flatnonzero(np.diff(row, prepend=-1))
     top = np.full(len(y), EMPTY)
     top[row[starts]] = np.maximum.reduceat(logit[word], starts)
@@ -147,6 +155,6 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     return kept.mapInArrow(score, schema)
 
 
-def toxicity(docs: DataFrame, labelled: DataFrame, labels: DataFrame, *, per_class: int = 2000) -> DataFrame:
+def toxicity(docs: DataFrame, labelled: DataFrame, labels: DataFrame, *, per_class: int = 1000) -> DataFrame:
     """Learn from labelled documents (labels: doc_id, toxic), at most 4 x per_class of them, and score docs."""
     return score_toxicity(docs, fit_toxicity(labelled_sample(labelled, labels, per_class)))
