@@ -24,7 +24,7 @@ from .storage import cut, fresh_path
 RECORDS_PER_ARCHIVE = 5000
 SPLITTER_SAMPLE = 20_000
 RANGE_ROWS = 50_000
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS = 20_000
 NEWLINE = "\r\n"
 
 
