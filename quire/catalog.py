@@ -2,25 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from .plans import groupings, issues, links, markup, registry, reporting, streams, texts
 
-from pyspark.sql import DataFrame, SparkSession
+PLANS = (texts, issues, links, groupings, reporting, markup, streams)
+FLAGSHIP: registry.Query = texts.similarity_report
 
-Query = Callable[[SparkSession, str], DataFrame]
 
-
-def source_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"))
-
-
-FLAGSHIP: Query = source_sizes
-
-
-def queries() -> dict[str, Query]:
-    return {"source_sizes": source_sizes}
+def queries() -> dict[str, registry.Query]:
+    return dict(registry.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"source_sizes": "SELECT source, count(*) AS n_docs FROM documents GROUP BY source"}
+    return dict(registry.SQL)
