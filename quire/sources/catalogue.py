@@ -8,14 +8,19 @@ from pyspark.sql import functions as F
 ARTICLE_COLUMNS = ["pid", "aop_pid", "file_path", "date_collection", "date_created", "date_updated", "acron", "volnum", "lang"]
 
 
-def read_iso2709(spark: SparkSession, path: str, encoding: str = "windows-1252") -> DataFrame:
+#: What Windows-1252 has at 0x80 to 0x9F, where Latin-1 has control characters; the rest of both is the same.
+LATIN_1_CONTROLS = "".join(map(chr, range(0x80, 0xA0)))
+WINDOWS_1252 = bytes(range(0x80, 0xA0)).decode("cp1252", "replace")
+
+
+def read_iso2709(spark: SparkSession, path: str) -> DataFrame:
     """(label, fields) of every record: fields is an array of (tag, value), tags without leading zeros.
 
     Records are split at their terminator by Spark's text reader, so large files are read in parts. Line ends inside
-    a record are layout and go first. A record whose label or directory can't be read has null fields.
+    a record are layout and go first. Text is Windows-1252. A record whose label or directory can't be read has null fields.
     """
     lines = spark.read.option("lineSep", "\x1d").text(path)
-    record = F.regexp_replace(F.decode(F.col("value").cast("binary"), encoding), r"[\r\n]", "")
+    record = F.regexp_replace(F.translate(F.decode(F.col("value").cast("binary"), "ISO-8859-1"), LATIN_1_CONTROLS, WINDOWS_1252), r"[\r\n]", "")
     return lines.select(record.alias("record")).where("record <> ''").select(F.substring("record", 1, 24).alias("label"), iso_fields(F.col("record")).alias("fields"))
 
 
