@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from .storage import cut, fresh_path
 
 RECORDS_PER_ARCHIVE = 5000
-SPLITTER_SAMPLE = 20_000
+#: Sampled captures per key range, and at most in all.
+PER_RANGE, SPLITTER_SAMPLE = 50, 200_000
 RANGE_ROWS = 50_000
 BROADCAST_ROWS = 20_000
 NEWLINE = "\r\n"
@@ -194,11 +195,11 @@ class LoserTree:
 
 
 def splitters(pages: DataFrame, ranges: int) -> list[tuple]:
-    """ranges - 1 (url_key, time, page_id) that cut the captures about evenly, from at most SPLITTER_SAMPLE rows."""
+    """ranges - 1 (url_key, time, page_id) that cut the captures about evenly, from PER_RANGE sampled rows for each."""
     if ranges < 2:
         return []
     keys = pages.select(F.regexp_replace(url_key(F.col("url")), r"[\x00-\x1f\x7f]", "").alias("k"), F.coalesce(F.date_format("captured", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit("")).alias("t"), "page_id")
-    got = sorted(order((r["k"], r["t"], r["page_id"])) for r in keys.orderBy(F.xxhash64("k", "t", "page_id")).limit(SPLITTER_SAMPLE).collect())
+    got = sorted(order((r["k"], r["t"], r["page_id"])) for r in keys.orderBy(F.xxhash64("k", "t", "page_id")).limit(min(SPLITTER_SAMPLE, PER_RANGE * ranges)).collect())
     return sorted({got[len(got) * i // ranges] for i in range(1, ranges)}) if got else []
 
 
