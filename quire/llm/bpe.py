@@ -1,10 +1,11 @@
 """Byte-level BPE: Spark higher-order functions fold ranked merges over the bytes of distinct words.
 
 The rank map is a literal of the query, in hash buckets (a Spark map is searched from its start, so one map of all
-ranks would not do). A partition's rows go by in three narrow steps without a shuffle:
+ranks would not do). The most frequent words of a bounded sample of documents are encoded once and broadcast. Then a partition's rows go by
+in three narrow steps without a shuffle:
 
-1. each slice of texts is cut into words; words that the partition hasn't met yet are sent on as rows, before the
-   slice's documents, which carry the numbers of their words;
+1. each slice of texts is cut into words; words that are neither frequent nor met before by the partition are sent on
+   as rows, before the slice's documents, which carry the numbers of their words;
 2. Spark folds the merges over every word row and decodes the outcome by concatenating the tokens' bytes;
 3. documents are put together from their words' ids and bytes.
 """
@@ -16,8 +17,9 @@ import hashlib
 import heapq
 import json
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,8 @@ BUCKETS = 16384
 NONE = 2**31 - 1
 #: Words kept by a partition at once; beyond that it starts anew.
 HELD = 300_000
+#: Documents in the sample of frequent words (about so many), and words broadcast (at most): some 15 MB.
+HEAD_DOCUMENTS, HEAD_WORDS = 20_000, 250_000
 #: The fold copies a word's pieces at each merge; a word of more bytes is merged by a heap instead (same result).
 LONG_WORD = 2048
 # The white space of the pattern's \s: every character with that Unicode property.
@@ -175,6 +179,58 @@ def ragged(flat: np.ndarray, bounds: np.ndarray, of: np.ndarray) -> tuple[np.nda
     return flat[np.repeat(starts - ends[:-1], lengths) + np.arange(ends[-1])], ends
 
 
+def spark_pattern(pattern: str) -> str:
+    """The pattern with its white space spelled out, so that every regex library takes the same characters for it."""
+    return pattern.replace("[^\\s", f"[^{SPACE}").replace("\\s", f"[{SPACE}]").replace("\\S", f"[^{SPACE}]")
+
+
+def bound(literal: Column, use: Callable[[Column], Column]) -> Column:
+    """use(literal) with the literal in the plan once, however often use refers to it."""
+    return F.get(F.transform(F.array(literal), use), F.lit(0))
+
+
+def encoded(rows: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+    """rows with ids and bytes of the column word (bytes as characters); null where word is null."""
+    rank_map, tokens = rank_literal(ranks), token_literal(ranks)
+    rows = rows.withColumn("ids", F.when(F.col("word").isNotNull(), bound(rank_map, lambda m: encode_word(F.col("word"), m))))
+    return rows.withColumn("bytes", F.when(F.col("ids").isNotNull(), bound(tokens, lambda t: decode_word(F.col("ids"), t))))
+
+
+def frequent_words(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> list[tuple[str, list[int], bytes]]:
+    """(word, ids, bytes) of the most frequent words of about HEAD_DOCUMENTS documents, HEAD_WORDS at most."""
+    share = min(1.0, HEAD_DOCUMENTS / max(docs.count(), 1))
+    sample = docs.where(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1_000_000)) < int(share * 1_000_000)).select("text")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import regex
+
+        find = regex.compile(pattern).findall
+        for whole in batches:
+            column = pc.fill_null(whole.column(0), "")
+            for a, b in byte_slices(column, 2 << 20):
+                _, index, listed = chunks_of(column.slice(a, b - a))
+                many: dict[str, int] = {}
+                for chunk, n in zip(listed, np.bincount(index, minlength=len(listed)).tolist(), strict=True):
+                    for word in find(chunk):
+                        many[word] = many.get(word, 0) + n
+                short = {w.decode("latin-1"): n for w, n in ((w.encode(), n) for w, n in many.items()) if len(w) <= 64}
+                yield pa.RecordBatch.from_arrays([pa.array(list(short), pa.string()), pa.array(list(short.values()), pa.int64())], ["word", "n"])
+
+    counted = sample.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    top = counted.orderBy(F.desc("n"), "word").limit(HEAD_WORDS)
+    rows = encoded(top.repartition(docs.sparkSession.sparkContext.defaultParallelism), ranks).select("word", "ids", "bytes").toArrow()
+    words = [w.encode("latin-1").decode() for w in rows.column(0).to_pylist()]
+    return list(zip(words, rows.column(1).to_pylist(), rows.column(2).to_pylist(), strict=True))
+
+
+def chunks_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """split_chunks, or whole texts where one holds the character by which it marks its cuts."""
+    if pc.any(pc.match_substring(texts, "\x00")).as_py():
+        listed = texts.to_pylist()
+        return np.arange(len(listed) + 1), np.arange(len(listed)), listed
+    return split_chunks(texts)
+
+
 def encode_documents(docs: DataFrame, *, path: str | None = None, pattern: str | None = None, with_ids: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256[, ids, decoded]) for every row of docs (doc_id, text).
 
@@ -182,30 +238,29 @@ def encode_documents(docs: DataFrame, *, path: str | None = None, pattern: str |
     ids_sha256 is over the ids as little-endian unsigned 32-bit integers.
     """
     path = path or vocabulary_path()
-    pattern = (pattern or word_pattern()).replace("[^\\s", f"[^{SPACE}").replace("\\s", f"[{SPACE}]").replace("\\S", f"[^{SPACE}]")
+    pattern = spark_pattern(pattern or word_pattern())
     ranks = read_ranks(path)
     kind = docs.schema["doc_id"].dataType.simpleString()
+    docs = docs.select("doc_id", "text")
+    frequent = frequent_words(docs, ranks, pattern)
+    head = docs.sparkSession.sparkContext.broadcast({w: i for i, (w, _, _) in enumerate(frequent)})
+    head_store = docs.sparkSession.sparkContext.broadcast(Held.of([x for _, x, _ in frequent], [x for _, _, x in frequent]))
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
         find = regex.compile(pattern).findall
-        known: dict[str, int] = {}  # number of each word of the pattern
-        chunks: dict[str, np.ndarray] = {}  # chunk: its words' numbers
+        common = head.value
+        known: dict[str, int] = {}  # number of each further word, after those of the common ones
+        chunks: dict[str, list[int]] = {}  # chunk: its words' numbers
         names = ["kind", "doc_id", "numbers", "word", "ready"]
-        sent = 0
         for whole in batches:
             ids, column = whole.column(0), pc.fill_null(whole.column(1), "")
             for a, b in byte_slices(column, 2 << 20):
-                if len(known) > HELD or len(chunks) > HELD:
-                    known, chunks, sent = {}, {}, 0
+                if len(known) > HELD or len(chunks) > 2 * HELD:
+                    known, chunks = {}, {}
                     yield pa.RecordBatch.from_arrays([pa.array([2], pa.int32()), pa.nulls(1, ids.type), pa.nulls(1, pa.binary()), pa.nulls(1, pa.string()), pa.nulls(1, pa.binary())], names)
-                texts = column.slice(a, b - a)
-                if pc.any(pc.match_substring(texts, "\x00")).as_py():  # the cut's own mark
-                    listed = texts.to_pylist()
-                    offsets, index = np.arange(len(listed) + 1), np.arange(len(listed))
-                else:
-                    offsets, index, listed = split_chunks(texts)
+                offsets, index, listed = chunks_of(column.slice(a, b - a))
                 fresh: list[str] = []
                 mapped = []
                 for chunk in listed:
@@ -213,15 +268,18 @@ def encode_documents(docs: DataFrame, *, path: str | None = None, pattern: str |
                     if numbers is None:
                         numbers = []
                         for word in find(chunk):
-                            if word not in known:
-                                known[word] = len(known)
-                                fresh.append(word)
-                            numbers.append(known[word])
+                            number = common.get(word)
+                            if number is None:
+                                number = known.get(word)
+                                if number is None:
+                                    number = known[word] = len(common) + len(known)
+                                    fresh.append(word)
+                            numbers.append(number)
                         if len(chunk) <= LONG_WORD:
                             chunks[chunk] = numbers
                     mapped.append(numbers)
                 lengths = np.fromiter(map(len, mapped), np.int64, len(mapped))
-                flat = np.fromiter((x for own in mapped for x in own), np.int32, int(lengths.sum()))
+                flat = np.fromiter(chain.from_iterable(mapped), np.int32, int(lengths.sum()))
                 if fresh:
                     coded = [w.encode() for w in fresh]
                     short = [len(w) <= LONG_WORD for w in coded]
@@ -229,21 +287,18 @@ def encode_documents(docs: DataFrame, *, path: str | None = None, pattern: str |
                     as_text = pa.array([w.decode("latin-1") if s else None for w, s in zip(coded, short, strict=True)], pa.string())
                     ready = pa.array([None if s else np.array(merge_by_heap(w, ranks), "<i4").tobytes() for w, s in zip(coded, short, strict=True)], pa.binary())
                     yield pa.RecordBatch.from_arrays([pa.array(np.ones(n, np.int32)), pa.nulls(n, ids.type), pa.nulls(n, pa.binary()), as_text, ready], names)
-                    sent += n
                 all_numbers, ends = ragged(flat, np.concatenate([[0], np.cumsum(lengths)]), index)
                 bounds = ends[offsets]
                 rows = [all_numbers[s:e].tobytes() for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
                 n = b - a
                 yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), ids.slice(a, n), pa.array(rows, pa.binary()), pa.nulls(n, pa.string()), pa.nulls(n, pa.binary())], names)
 
-    rank_map, token_list = rank_literal(ranks), token_literal(ranks)
-    told = docs.select("doc_id", "text").mapInArrow(words, f"kind int, doc_id {kind}, numbers binary, word string, ready binary")
-    told = told.withColumn("ids", F.when(F.col("word").isNotNull(), encode_word(F.col("word"), rank_map)))
-    told = told.select("kind", "doc_id", "numbers", "ids", "ready", F.when(F.col("ids").isNotNull(), decode_word(F.col("ids"), token_list)).alias("bytes"))
+    told = encoded(docs.mapInArrow(words, f"kind int, doc_id {kind}, numbers binary, word string, ready binary"), ranks)
+    told = told.select("kind", "doc_id", "numbers", "ids", "ready", "bytes")
     tokens = [t for t, _ in sorted(ranks.items(), key=lambda x: x[1])] if ranks else []
 
     def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store = Held()
+        store = head_store.value.copy()
         for whole in batches:
             kinds = np.asarray(whole.column(0))
             for part in np.split(np.arange(len(kinds)), np.flatnonzero(kinds == 2)):
@@ -252,7 +307,7 @@ def encode_documents(docs: DataFrame, *, path: str | None = None, pattern: str |
                 batch = whole.slice(part[0], len(part))
                 own = np.asarray(batch.column(0))
                 if own[0] == 2:
-                    store = Held()
+                    store = head_store.value.copy()
                 store.learn(batch.filter(pa.array(own == 1)), tokens)
                 rows = batch.filter(pa.array(own == 0))
                 n_tokens, ids_hash, text_hash, ids_out, text_out = [], [], [], [], []
@@ -274,12 +329,29 @@ def encode_documents(docs: DataFrame, *, path: str | None = None, pattern: str |
 
 
 class Held:
-    """Ids and bytes of a partition's words by number."""
+    """Ids and bytes of words by number."""
 
     def __init__(self) -> None:
         self.ids, self.id_bounds = np.zeros(0, np.int32), np.zeros(1, np.int64)
         self.bytes, self.byte_bounds = np.zeros(0, np.uint8), np.zeros(1, np.int64)
 
+    @classmethod
+    def of(cls, ids: list[list[int]], text: list[bytes]) -> Held:
+        out = cls()
+        out.add(pa.array(ids, pa.list_(pa.int32())), pa.array(text, pa.binary()))
+        return out
+
+    def copy(self) -> Held:
+        out = Held()
+        out.__dict__.update(self.__dict__)  # arrays are replaced, never written to
+        return out
+
+    def add(self, ids: pa.Array, text: pa.Array) -> None:
+        self.ids = np.concatenate([self.ids, np.asarray(ids.flatten())])
+        self.id_bounds = np.concatenate([self.id_bounds, self.id_bounds[-1] + np.cumsum(np.asarray(ids.value_lengths()), dtype=np.int64)])
+        self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(text.to_pylist()), np.uint8)])
+        self.byte_bounds = np.concatenate([self.byte_bounds, self.byte_bounds[-1] + np.cumsum(np.asarray(pc.binary_length(text)), dtype=np.int64)])
+
     def learn(self, rows: pa.RecordBatch, tokens: list[bytes]) -> None:
         if not rows.num_rows:
             return
@@ -289,7 +361,4 @@ class Held:
             listed = [x if r is None else np.frombuffer(r, "<i4") for x, r in zip(listed, ready, strict=True)]
             ids = pa.array(listed, pa.list_(pa.int32()))
             text = pa.array([x if r is None else b"".join(tokens[i] for i in np.frombuffer(r, "<i4")) for x, r in zip(text.to_pylist(), ready, strict=True)], pa.binary())
-        self.ids = np.concatenate([self.ids, np.asarray(ids.flatten())])
-        self.id_bounds = np.concatenate([self.id_bounds, self.id_bounds[-1] + np.cumsum(np.asarray(ids.value_lengths()))])
-        self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(text.to_pylist()), np.uint8)])
-        self.byte_bounds = np.concatenate([self.byte_bounds, self.byte_bounds[-1] + np.cumsum(np.asarray(pc.binary_length(text)))])
+        self.add(ids, text)
