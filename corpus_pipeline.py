@@ -17,8 +17,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """docs that score under TOXIC; the model learns from the labels of all of `documents` that it may see."""
-    model = toxicity.fit_toxicity(toxicity.labelled_sample(docs, table(spark, sf_dir, "labels"), 1000))
-    return toxicity.score_toxicity(docs, model).where(F.col("tox_score") < TOXIC).drop("tox_score")
+    return toxicity.toxicity(docs, docs, table(spark, sf_dir, "labels")).where(F.col("tox_score") < TOXIC).drop("tox_score")
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -76,7 +76,7 @@ def fit_language(rows: list[tuple[str, str]], *, bits: int = 16, dim: int = 16,
         counts = np.bincount(words.index, minlength=len(words.distinct)).astype(float)
         found, inverse = np.unique(bucket, return_inverse=True)
         weight = np.bincount(inverse, weights=counts[of], minlength=len(found))
-        inputs.append((found, (weight / max(weight.sum(), 1)).astype(np.float32)))
+        inputs.append((found.astype(np.int32), (weight / max(weight.sum(), 1)).astype(np.float32)))
         classes.append(names.index(rows[i][1]))
     held = len(rows) // 5
     embedding = rng.normal(0, 0.1, (1 << bits, dim)).astype(np.float32)
@@ -140,4 +140,6 @@ def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
 
 def identify_languages(docs: DataFrame, labelled: DataFrame, *, per_language: int = 500) -> DataFrame:
     """Learn from labelled (doc_id, text, lang), at most per_language rows of each language, and identify docs."""
-    return identify(docs, fit_language(labelled_sample(labelled, per_language)))
+    model = fit_language(labelled_sample(labelled, per_language))
+    sw.give_back()
+    return identify(docs, model)

@@ -6,6 +6,7 @@ word indices: the cost in Python is per batch, never per row or word.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -18,6 +19,15 @@ SLICE_BYTES = 8 << 20
 EDGE_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?[\\]^_`{|}~«»“”‘’…¡¿"
 
 
+def give_back() -> None:
+    """Return freed memory to the system after a fit; the driver keeps running for long."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not a glibc system
+        pass
+
+
 class Words(NamedTuple):
     """offsets[i]:offsets[i + 1] are the positions of row i in index; index points into distinct."""
 
@@ -62,7 +72,8 @@ def ngrams(words: pa.Array, bits: int, sizes: tuple[int, ...] = SIZES) -> tuple[
     of = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
     full = lengths > 2
     mask = np.uint32((1 << bits) - 1)
-    found_words, found = [], []
+    room = sum(int(np.maximum(lengths[full] - n + 1, 0).sum()) for n in sizes) + int(full.sum())
+    found_words, found, at = np.empty(room, np.int32), np.empty(room, np.int32), 0
 
     def mixed(h: np.ndarray, salt: int) -> np.ndarray:
         h = (h + np.uint32(salt * 0x9E3779B1 & 0xFFFFFFFF)) * np.uint32(0x85EBCA6B)
@@ -78,13 +89,12 @@ def ngrams(words: pa.Array, bits: int, sizes: tuple[int, ...] = SIZES) -> tuple[
             h *= np.uint32(0x01000193)
             h += data[k : len(data) - n + 1 + k]
         inside = (of[: len(h)] == of[n - 1 :]) & full[of[: len(h)]]
-        found_words.append(of[: len(h)][inside])
-        found.append(mixed(h[inside], n))
+        here = slice(at, at + int(inside.sum()))
+        found_words[here], found[here], at = of[: len(h)][inside], mixed(h[inside], n), here.stop
     power = np.uint32(0x01000193) ** (np.arange(len(data), dtype=np.uint32) - off[of].astype(np.uint32))
     whole = np.add.reduceat(data * power, off[:-1], dtype=np.uint32)
-    found_words.append(np.flatnonzero(full).astype(np.int32))
-    found.append(mixed(whole[full], 77))
-    return np.concatenate(found_words), np.concatenate(found)
+    found_words[at:], found[at:] = np.flatnonzero(full), mixed(whole[full], 77)
+    return found_words, found
 
 
 def word_sums(words: pa.Array, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

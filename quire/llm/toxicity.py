@@ -155,6 +155,8 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     return kept.mapInArrow(score, schema)
 
 
-def toxicity(docs: DataFrame, labelled: DataFrame, labels: DataFrame, *, per_class: int = 1000) -> DataFrame:
+def toxicity(docs: DataFrame, labelled: DataFrame, labels: DataFrame, *, per_class: int = 800) -> DataFrame:
     """Learn from labelled documents (labels: doc_id, toxic), at most 4 x per_class of them, and score docs."""
-    return score_toxicity(docs, fit_toxicity(labelled_sample(labelled, labels, per_class)))
+    model = fit_toxicity(labelled_sample(labelled, labels, per_class))
+    sw.give_back()
+    return score_toxicity(docs, model)
