@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from .subwords import byte_slices
 
 BUCKETS = 16384
-#: No rank; higher than any.
-NONE = 2**31 - 1
+#: Over any place in a word of LONG_WORD bytes; a rank times it, and a place, are one int.
+PLACES = 1 << 15
 #: Words kept by a partition at once; beyond that it starts anew.
 HELD = 300_000
 #: Documents in the sample of frequent words (about so many), and words broadcast (at most): some 15 MB.
@@ -81,44 +81,44 @@ def token_literal(ranks: dict[bytes, int]) -> Column:
 
 
 def rank_of(literal: Column, token: Column) -> Column:
-    found = F.element_at(F.get(literal, F.pmod(F.crc32(token.cast("binary")), F.lit(BUCKETS)).cast("int")), token)
-    return F.coalesce(found, F.lit(NONE))
+    """The token's rank; null if it has none."""
+    return F.element_at(F.get(literal, F.crc32(token.cast("binary")).bitwiseAND(BUCKETS - 1).cast("int")), token)
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with value worked out once, and in the plan once, however often use refers to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def encode_word(word: Column, literal: Column) -> Column:
     """Ids of a word given as a string of bytes: its own rank, or the fold of its bytes' ranked merges.
 
     The state holds the pieces and the rank of every adjacent pair; each step merges the leftmost pair of the least
-    rank and looks up its two new neighbours only.
+    rank and looks up its two new neighbours only. Rank and place are compared as one number, PLACES being more than
+    a word folded here has bytes.
     """
     size = F.length(word)
-    letters = F.transform(F.sequence(F.lit(1), size), lambda i: F.substring(word, i, 1))
-    pairs = F.when(size < 2, F.array().cast("array<int>")).otherwise(F.transform(F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1))), lambda i: rank_of(literal, F.substring(word, i, 2))))
-    start = F.struct(letters.alias("p"), pairs.alias("r"))
 
     def step(state: Column, _: Column) -> Column:
         p, r = state["p"], state["r"]
-        least = F.array_min(r)
-
-        def merged(at: Column) -> Column:
-            i = at.cast("int")
-            one = F.concat(F.get(p, i - 1), F.get(p, i))
 
+        def merged(k: Column) -> Column:
             def put(new: Column) -> Column:
-                n = F.size(p)
-                left = F.when(i > 1, F.array(rank_of(literal, F.concat(F.get(p, i - 2), new)))).otherwise(F.array().cast("array<int>"))
-                right = F.when(i + 1 < n, F.array(rank_of(literal, F.concat(new, F.get(p, i + 1))))).otherwise(F.array().cast("array<int>"))
-                pieces = F.concat(F.slice(p, 1, i - 1), F.array(new), F.slice(p, i + 2, n))
-                ranks = F.concat(F.slice(r, 1, F.greatest(i - 2, F.lit(0))), left, right, F.slice(r, i + 2, n))
+                pieces = F.transform(F.filter(p, lambda _, i: i != k + 1), lambda x, i: F.when(i == k, new).otherwise(x))
+                left, right = rank_of(literal, F.concat(F.get(p, k - 1), new)), rank_of(literal, F.concat(new, F.get(p, k + 2)))
+                ranks = F.transform(F.filter(r, lambda _, i: i != k), lambda x, i: F.when(i == k - 1, left).when(i == k, right).otherwise(x))
                 return F.struct(pieces.alias("p"), ranks.alias("r"))
 
-            return F.get(F.transform(F.array(one), put), F.lit(0))
+            return bound(F.concat(F.get(p, k), F.get(p, k + 1)), put)
 
-        return F.when(F.coalesce(least, F.lit(NONE)) == NONE, state).otherwise(F.get(F.transform(F.array(F.array_position(r, least)), merged), F.lit(0)))
+        least = F.array_min(F.transform(r, lambda x, i: x * PLACES + i))
+        return bound(least, lambda x: F.when(x.isNull(), state).otherwise(bound(x.bitwiseAND(PLACES - 1), merged)))
 
-    folded = F.aggregate(F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1))), start, step, lambda s: F.transform(s["p"], lambda x: rank_of(literal, x)))
+    pairs = F.transform(F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1))), lambda i: rank_of(literal, F.substring(word, i, 2)))
+    start = F.struct(F.split(word, "").alias("p"), pairs.alias("r"))
+    folded = F.aggregate(F.sequence(F.lit(2), F.greatest(size, F.lit(2))), start, step, lambda s: F.transform(s["p"], lambda x: rank_of(literal, x)))
     own = rank_of(literal, word)
-    return F.when(size == 0, F.array().cast("array<int>")).when(own != NONE, F.array(own)).otherwise(folded)
+    return F.when(size == 0, F.array().cast("array<int>")).when(own.isNotNull(), F.array(own)).otherwise(folded)
 
 
 def decode_word(ids: Column, tokens: Column) -> Column:
@@ -184,11 +184,6 @@ def spark_pattern(pattern: str) -> str:
     return pattern.replace("[^\\s", f"[^{SPACE}").replace("\\s", f"[{SPACE}]").replace("\\S", f"[^{SPACE}]")
 
 
-def bound(literal: Column, use: Callable[[Column], Column]) -> Column:
-    """use(literal) with the literal in the plan once, however often use refers to it."""
-    return F.get(F.transform(F.array(literal), use), F.lit(0))
-
-
 def encoded(rows: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """rows with ids and bytes of the column word (bytes as characters); null where word is null."""
     rank_map, tokens = rank_literal(ranks), token_literal(ranks)
