@@ -48,20 +48,21 @@ def shingle_hashes(text: str, words: int) -> np.ndarray:
     return np.fromiter((xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts, ends[words - 1 :], strict=True)), np.uint64, len(starts))
 
 
-def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """(doc_id, fp): the 64 bits as a signed long. Null, empty and blank texts have fingerprint zero."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+def fingerprints(docs: DataFrame, words: int = 3, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns to keep and fp, the 64 bits as a signed long. Null, empty and blank texts have fingerprint zero."""
+    kept = docs.select(*keep, "text")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = np.zeros(batch.num_rows, np.uint64)
-            for i, text in enumerate(batch.column(1)):
+            for i, text in enumerate(batch.column(len(keep))):
                 hashes = shingle_hashes(text.as_py() or "", words)
                 if len(hashes):
                     out[i] = fingerprint_of(hashes)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(out.view(np.int64))], [*keep, "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(compute, f"doc_id {kind}, fp long")
+    return kept.mapInArrow(compute, f"{schema}, fp long")
 
 
 def bit_matrix(fps: np.ndarray) -> np.ndarray:
@@ -75,7 +76,8 @@ def group_bits(bits: np.ndarray, parts: int) -> list[list[int]]:
     """
     x = bits.astype(float)
     spread = x.std(axis=0)
-    c = np.abs(np.nan_to_num(np.corrcoef(x.T))) if len(x) > 1 else np.zeros((BITS, BITS))
+    with np.errstate(invalid="ignore", divide="ignore"):  # a bit that is the same everywhere correlates with none
+        c = np.abs(np.nan_to_num(np.corrcoef(x.T))) if len(x) > 1 else np.zeros((BITS, BITS))
     left = set(range(BITS))
     out = []
     for g in range(parts):
@@ -194,19 +196,23 @@ def close_pairs(fps: DataFrame, reach: int = 2) -> DataFrame:
     return held.groupBy("deal").applyInPandas(verify, "a long, b long")
 
 
+def grouped(docs: DataFrame, words: int, reach: int, keep: tuple[str, ...]) -> DataFrame:
+    """The columns to keep (doc_id among them), fp, and per group component (a fingerprint) and component_id."""
+    marked = cut(fingerprints(docs, words, keep))
+    first = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    linked = components(close_pairs(first.select("fp"), reach))
+    of = first.join(linked.withColumnRenamed("id", "fp"), "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
+    least = of.groupBy("component").agg(F.min("first").alias("component_id"))
+    return marked.join(of.drop("first").join(least, "component"), "fp")
+
+
 def near_duplicates(docs: DataFrame, *, words: int = 3, reach: int = 2) -> DataFrame:
     """(doc_id, fp, component_id) for every row: documents are linked where fingerprints differ in at most reach bits.
 
     component_id is the smallest doc_id reachable. Texts without a word share fingerprint zero. Repeated rows come
     out as often as they came in. A null doc_id gets the component's smallest id, null where it has none.
     """
-    marked = cut(fingerprints(docs, words))
-    first = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    linked = components(close_pairs(first.select("fp"), reach))
-    of = first.join(linked.withColumnRenamed("id", "fp"), "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
-    least = of.groupBy("component").agg(F.min("first").alias("component_id"))
-    of = of.join(least, "component").select("fp", "component_id")
-    return marked.join(of, "fp").select("doc_id", "fp", "component_id")
+    return grouped(docs, words, reach, ("doc_id",)).select("doc_id", "fp", "component_id")
 
 
 def as_hex(fp):
@@ -217,9 +223,11 @@ def as_hex(fp):
 def one_of_each(docs: DataFrame, *, words: int = 3, reach: int = 2) -> DataFrame:
     """docs less all but one document of each group: that with the smallest doc_id stays, with all its columns.
 
-    Of repeated rows of that doc_id one stays; documents without doc_id go only if their group has one with an id.
+    Of repeated rows of that doc_id one stays. A group without any doc_id keeps one of its texts. Whole rows are
+    shuffled once, by the key that both the choice and the repeated rows go by.
     """
-    found = near_duplicates(docs, words=words, reach=reach)
-    groups = found.groupBy("doc_id").agg(F.min("component_id").alias("__component"))
-    joined = docs.alias("d").join(groups.alias("g"), F.col("d.doc_id").eqNullSafe(F.col("g.doc_id"))).where(F.col("d.doc_id").eqNullSafe(F.col("__component")))
-    return joined.select("d.*").dropDuplicates(["doc_id"])
+    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("~"), F.md5(F.coalesce("text", F.lit("")))))
+    rows = docs.withColumn("__key", key)
+    found = grouped(rows, words, reach, ("doc_id", "__key"))
+    kept = found.groupBy("component").agg(F.min_by("__key", F.struct(F.col("doc_id").isNull(), "doc_id", "__key")).alias("__key"))
+    return rows.join(kept.select("__key"), "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")

@@ -130,7 +130,11 @@ def test_simhash_groups(spark):
     assert (3, 3) in got and got.count((5, 3)) == 2 and (1, 1) in got and (7, 6) in got and (8, 6) in got and (0, 3) in got and len(got) == len(rows)
     kept = simhash.one_of_each(spark.createDataFrame(rows, docs))
     assert {r["doc_id"] for r in kept.collect()} >= {3, 1, 6} and kept.count() == len({c for _, c in got})
+    unnamed = [(None, "one two three four five six"), (None, "one two three four five six"), (None, "other words all along this line"), (None, text), (3, text)]
+    left = simhash.one_of_each(spark.createDataFrame(unnamed, docs).withColumn("component", F.lit("clash")))
+    assert sorted((r["doc_id"] or 0, r["text"][:5]) for r in left.collect()) == [(0, "one t"), (0, "other"), (3, "alpha")]
     assert simhash.near_duplicates(spark.createDataFrame([], docs)).count() == 0
+    assert simhash.one_of_each(spark.createDataFrame([], docs)).count() == 0
 
 
 PAGE = "page_id long, url string, html string, captured timestamp"
