@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
+
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 # English month names, by which dates are written in the catalogue.
 MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December"]
@@ -54,18 +56,19 @@ def parse_date(text: Column) -> Column:
     Months are numbers or English names; a month range counts as its last month; from the first part that can't be
     (month 30, day 40) the rest is left out.
     """
-    parts = F.split(ends_of_range(text), "-")
-    year = F.when(F.get(parts, F.lit(0)).rlike(r"^\d{4}$"), F.get(parts, F.lit(0)).try_cast("int"))
-    said = F.get(parts, F.lit(1))
-    month = F.coalesce(said.try_cast("int"), month_number(said))
-    month = F.when(month.between(1, 12), month)
-    day = F.get(parts, F.lit(2)).try_cast("int")
-    day = F.when(month.isNotNull() & day.between(1, 31), day)
-    found = F.to_timestamp(F.format_string("%04d-%02d-01", year, F.coalesce(month, F.lit(1))))
-    last = F.day(F.last_day(found))
-    # a day that the month lacks is left out like one above 31
-    whole = F.date_add(found.cast("date"), F.when(day <= last, day - 1).otherwise(0))
-    return F.when(year.isNotNull(), F.date_format(whole.cast("timestamp"), ISO))
+    def of_parts(x: Column) -> Column:
+        said, place = F.get(x["parts"], F.lit(1)), F.get(x["parts"], F.lit(2)).try_cast("int")
+        month = F.coalesce(said.try_cast("int"), month_number(said))
+        year = F.when(F.get(x["parts"], F.lit(0)).rlike(r"^\d{4}$"), F.get(x["parts"], F.lit(0)).try_cast("int"))
+        return let(of_numbers, year=year, month=F.when(month.between(1, 12), month), day=F.when(place.between(1, 31), place))
+
+    def of_numbers(x: Column) -> Column:
+        first = F.make_date(F.when(x["year"] > 0, x["year"]), F.coalesce(x["month"], F.lit(1)), F.lit(1))
+        # a day that the month lacks is left out like one above 31
+        whole = F.date_add(first, F.when(x["month"].isNotNull() & (x["day"] <= F.day(F.last_day(first))), x["day"] - 1).otherwise(0))
+        return F.date_format(whole.cast("timestamp"), ISO)
+
+    return let(of_parts, parts=F.split(ends_of_range(text), "-"))
 
 
 def document_dates(publication: Column, creation: Column, update: Column, issue: Column) -> Column:

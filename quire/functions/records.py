@@ -1,4 +1,7 @@
-"""Catalogue records: JSON of numbered fields, each a list of subfield maps."""
+"""Catalogue records: JSON of numbered fields, each a list of subfield maps.
+
+Functions that take a `record` want it parsed: select parsed(text) first, so that each text is parsed once.
+"""
 
 from __future__ import annotations
 
@@ -11,9 +14,13 @@ def path(text: Column, where: str, default: str | None = None) -> Column:
     return F.coalesce(F.try_variant_get(F.try_parse_json(text), where, "string"), F.lit(default))
 
 
-def field(text: Column, tag: str, subfield: str = "_") -> Column:
+def parsed(text: Column) -> Column:
+    """The record as a VARIANT; null for text that isn't JSON."""
+    return F.try_parse_json(text)
+
+
+def field(record: Column, tag: str, subfield: str = "_") -> Column:
     """A field's first subfield, as one text or, in ragged records, as a list of which the first counts."""
-    record = F.try_parse_json(text)
     one = f"$.{tag}[0]['{subfield}']"
     return F.coalesce(F.try_variant_get(record, f"{one}[0]", "string"), F.try_variant_get(record, one, "string"))
 
@@ -35,17 +42,16 @@ def issue_folder(volume: Column, volume_supplement: Column, number: Column, numb
     return F.concat(part("v", volume), part("s", volume_supplement), part("n", number), part("s", number_supplement))
 
 
-def issns_of_issue(text: Column) -> Column:
+def issns_of_issue(record: Column) -> Column:
     """Distinct ISSNs of an issue record: the journal's and every further one."""
-    record = F.try_parse_json(text)
     more = F.transform(F.try_variant_get(record, "$.v435", "array<map<string,string>>"), lambda m: F.try_element_at(m, F.lit("_")))
     both = F.concat(F.array(F.try_variant_get(record, "$.v35[0]['_']", "string")), F.coalesce(more, F.array().cast("array<string>")))
     return F.array_distinct(F.filter(both, lambda x: F.coalesce(x, F.lit("")) != ""))
 
 
-def manifest_of_journal(text: Column) -> Column:
+def manifest_of_journal(record: Column) -> Column:
     """The journal manifest of a title record; null without the id ISSN."""
-    one = lambda tag, sub="_": field(text, tag, sub)
+    one = lambda tag, sub="_": field(record, tag, sub)
     day = F.to_timestamp(one("v940"), "yyyyMMdd")
     stamp = F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     return F.when(

@@ -75,7 +75,7 @@ def issue_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("event_id")
     field = lambda c: F.array(F.create_map(F.lit("_"), c.cast("string")))
     record = F.to_json(F.struct(F.when(k % 2 == 0, field(k % 90)).alias("v31"), F.when(k % 5 == 0, field(F.lit(1))).alias("v131"), field(k % 12).alias("v32"), F.when(k % 7 == 0, field(F.lit(0))).alias("v132")))
-    rows = table(spark, sf_dir, "events").select("event_id", record.alias("r"))
+    rows = table(spark, sf_dir, "events").select("event_id", R.parsed(record).alias("r"))
     return rows.select("event_id", R.issue_folder(*[R.field(F.col("r"), t) for t in ("v31", "v131", "v32", "v132")]).alias("folder"))
 
 

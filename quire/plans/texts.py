@@ -73,12 +73,15 @@ def mixed_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return citations.with_citations(references, paragraphs)
 
 
-@query("SELECT doc_id, regexp_extract(text, '^\\s*(\\d+)', 1) AS first_number, regexp_matches(substr(text, 1, 1), '^[0-9]|^[^\\p{L}\\p{N}]|^\\p{Ll}$') AS is_label FROM documents")
+@query("SELECT doc_id, regexp_extract(text, '^\\s*(\\d+)', 1) AS first_number, regexp_matches(regexp_extract(text, '^\\S+', 0), '^[0-9]|^[^\\p{L}\\p{N}]|^\\p{Ll}$') AS is_label FROM documents")
 def reference_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents")
-    return rows.select("doc_id", F.regexp_extract("text", r"^\s*(\d+)", 1).alias("first_number"), T.is_footnote_label(F.substring("text", 1, 1)).alias("is_label"))
+    return rows.select("doc_id", F.regexp_extract("text", r"^\s*(\d+)", 1).alias("first_number"), T.is_footnote_label(F.regexp_extract("text", r"^\S+", 0)).alias("is_label"))
 
 
-@query("SELECT doc_id, list_filter(list_transform(regexp_split_to_array(text, '\\s+'), lambda w: regexp_replace(w, '[^\\p{L}\\p{N}]', '', 'g')), lambda w: w <> '')[1:5] AS first_words FROM documents")
+@query("""
+WITH w AS (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(text, '\\s+'), lambda w: regexp_replace(w, '[^\\p{L}\\p{N}]', '', 'g')), lambda w: w <> '') AS w FROM documents)
+SELECT doc_id, len(w) AS n_words, sha1(array_to_string(w, ' ')) AS words_sha1 FROM w""")
 def alnum_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.slice(T.alnum_words(F.col("text")), 1, 5).alias("first_words"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", T.alnum_words(F.col("text")).alias("w"))
+    return rows.select("doc_id", F.size("w").cast("long").alias("n_words"), F.sha1(F.array_join("w", " ").cast("binary")).alias("words_sha1"))

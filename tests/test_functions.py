@@ -126,15 +126,15 @@ def test_predicates(value):
 
 def test_records(value):
     record = F.lit('{"v31":[{"_":"31"}],"v43":[{"n":["n. 3"]}],"v35":[{"_":"0001-3714"}],"v435":[{"_":"1234-5678","t":"x"},{"_":"0001-3714"}],"mfn":1}')
-    assert value(R.field(record, "v31")) == "31"
-    assert value(R.field(record, "v43", "n")) == "n. 3"
+    assert value(R.field(R.parsed(record), "v31")) == "31"
+    assert value(R.field(R.parsed(record), "v43", "n")) == "n. 3"
     assert value(R.path(record, "$.nothing", "default")) == "default"
     assert value(R.path(F.lit("{not json"), "$.x", "default")) == "default"
-    assert value(R.issns_of_issue(record)) == ["0001-3714", "1234-5678"]
+    assert value(R.issns_of_issue(R.parsed(record))) == ["0001-3714", "1234-5678"]
     assert [tuple(x) for x in value(R.subfields(F.lit("zero^One^2two^^")))] == [("_", "zero"), ("o", "ne"), ("2", "two^")]
     assert value(R.issue_folder(*lits("31", None, "2", "1"))) == "v31n2s1"
     title = F.lit('{"v100":[{"_":"sample"}],"v940":[{"_":"20190128"}],"v50":[{"_":"C"}],"v400":[{"_":"0001-3714"}]}')
-    manifest = value(R.manifest_of_journal(title))
+    manifest = value(R.manifest_of_journal(R.parsed(title)))
     assert (manifest["id"], manifest["created"], manifest["title"]) == ("0001-3714", "2019-01-28T00:00:00.000000Z", "sample")
 
 
@@ -168,3 +168,24 @@ def test_metadata(value):
     found = value(X.metadata(F.lit(xml)))
     assert (found["issn"], found["doi"], found["volume"], found["assets"], found["languages"]) == ("1111-1111", "10.1/x", None, ["a.jpg"], ["en"])
     assert tuple(found["document_date"]) == ("2019", "03", "")
+
+
+def test_manifests(value):
+    from quire.functions import fuzzy
+    from quire.functions import manifests as M
+
+    record = R.parsed(F.lit('{"v35":[{"_":"0001-3714"}],"v65":[{"_":"19980900"}],"v31":[{"_":"29"}],"v32":[{"_":"3"}]}'))
+    found = value(M.issue(record))
+    assert (found["id"], found["publication_year"], found["publication_months"]["month"], found["publication_months"]["range"]) == ("0001-3714-1998-v29-n3", "1998", 9, None)
+    assert value(M.issue(R.parsed(F.lit("{}")))) is None
+    assert value(M.issue_kind(R.parsed(F.lit('{"v41":[{"_":"pr"}]}')))) == "pressrelease"
+    assert value(M.media_type(F.lit("a.PDF"))) == "application/pdf"
+    assert value(M.media_type(F.lit("a"))) == "application/octet-stream"
+    assert value(fuzzy.section_type(F.lit("Materials and Methods"))) == "materials|methods"
+
+
+def test_ratio(spark):
+    from quire.functions import fuzzy
+
+    rows = spark.createDataFrame([("abcd", "bcde"), ("", ""), (None, "a"), ("a", "b")], "a string, b string").select(fuzzy.ratio("a", "b").alias("r")).collect()
+    assert [r["r"] for r in rows] == [0.75, 1.0, None, 0.0]
