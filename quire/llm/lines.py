@@ -9,8 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .storage import cut
+
 RATIO = 0.05
 LEAST_PAGES = 5
+#: Boilerplate lines of all hosts that are broadcast at most (16 bytes each, and their host).
+BROADCAST_LINES = 50_000
 
 
 def lines(text: Column) -> Column:
@@ -37,10 +41,15 @@ def drop_boilerplate(docs: DataFrame, *, host: str = "source", ratio: float = RA
     totals = pages.groupBy("__host").agg(F.count(F.lit(1)).alias("__all"))
     same_host = lambda a, b: F.col(f"{a}.__host").eqNullSafe(F.col(f"{b}.__host"))
     common = counts.alias("c").join(totals.alias("t"), same_host("c", "t")).where(F.col("__pages") > F.col("__all") * ratio).select("c.__host", "__line")
-    hits = held.alias("h").join(common.alias("b"), same_host("h", "b") & (F.col("h.__line") == F.col("b.__line"))).select("h.__id", "h.__host", "h.__line")
-    hits = hits.groupBy("__id", "__host").agg(F.collect_set("__line").alias("__drop"))
+    common = cut(common)
     names = [c for c in docs.columns if c != "lines_dropped"]
-    found = docs.alias("d").join(hits.alias("x"), F.col("d.doc_id").eqNullSafe(F.col("x.__id")) & F.col(f"d.`{host}`").eqNullSafe(F.col("x.__host")), "left")
+    if common.count() <= BROADCAST_LINES:  # counted, so safe to broadcast: documents aren't shuffled
+        drops = common.groupBy("__host").agg(F.collect_set("__line").alias("__drop"))
+        found = docs.alias("d").join(F.broadcast(drops).alias("x"), F.col(f"d.`{host}`").eqNullSafe(F.col("x.__host")), "left")
+    else:  # each document gets those of its own lines
+        hits = held.alias("h").join(common.alias("b"), same_host("h", "b") & (F.col("h.__line") == F.col("b.__line"))).select("h.__id", "h.__host", "h.__line")
+        hits = hits.groupBy("__id", "__host").agg(F.collect_set("__line").alias("__drop"))
+        found = docs.alias("d").join(hits.alias("x"), F.col("d.doc_id").eqNullSafe(F.col("x.__id")) & F.col(f"d.`{host}`").eqNullSafe(F.col("x.__host")), "left")
     kept = F.filter(lines(F.col("d.text")), lambda line: ~F.coalesce(F.array_contains(F.col("x.__drop"), digest(line)), F.lit(False)))
     text = F.when(F.col("x.__drop").isNull(), F.col("d.text")).otherwise(F.array_join(kept, "\n"))
     gone = F.when(F.col("x.__drop").isNull(), 0).otherwise(F.size(lines(F.col("d.text"))) - F.size(kept))

@@ -76,7 +76,9 @@ def brute_lines(rows, ratio, least):
     return sorted(out, key=str)
 
 
-def test_lines_match_brute_force(spark, odd, none):
+@pytest.mark.parametrize("broadcast", [50_000, 0])
+def test_lines_match_brute_force(spark, odd, none, monkeypatch, broadcast):
+    monkeypatch.setattr(lines, "BROADCAST_LINES", broadcast)
     rng = random.Random(1)
     rows = [(i, "\n".join(rng.choice(["a", "b", " b ", "c%d" % rng.randrange(9), ""]) for _ in range(rng.randrange(6))), "en", rng.choice(["h1", "h2", None]), 1) for i in range(60)] + ODD
     got = lines.drop_boilerplate(spark.createDataFrame(rows, DOCS), ratio=0.3, least_pages=2).collect()
