@@ -133,5 +133,5 @@ u AS (SELECT DISTINCT doc_id, part FROM (
 d AS (SELECT DISTINCT doc_id, {digest_sql("part")} AS digest FROM u),
 n AS (SELECT doc_id, list_sort(list_distinct(list(license))) AS notice_licenses, count(*) AS n_notices FROM d JOIN k USING (digest) GROUP BY doc_id),
 w AS (SELECT doc_id, {digest_sql("text")} AS text_digest FROM documents)
-SELECT w.doc_id, w.text_digest, k.license AS text_license, coalesce(n.notice_licenses, []) AS notice_licenses, coalesce(n.n_notices, 0) AS n_notices
+SELECT w.doc_id, w.text_digest, k.license AS text_license, coalesce(array_to_string(n.notice_licenses, ','), '') AS notice_licenses, coalesce(n.n_notices, 0) AS n_notices
 FROM w LEFT JOIN k ON k.digest = w.text_digest LEFT JOIN n USING (doc_id)"""

@@ -15,7 +15,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(table(spark, sf_dir, "documents"))
+    out = licenses.scan(table(spark, sf_dir, "documents"))
+    return out.withColumn("notice_licenses", F.array_join("notice_licenses", ","))
 
 
 def held_out():
