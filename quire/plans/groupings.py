@@ -12,7 +12,7 @@ from .registry import query, table
 
 
 @query("""
-SELECT l_orderkey, [x.p || ':' || x.n for x in list_sort(list({'p': l_partkey, 'n': l_linenumber}))] AS items, arg_max(l_linestatus, l_linenumber || l_linestatus) AS l_linestatus FROM lineitem GROUP BY 1""")
+SELECT l_orderkey, [x.p || ':' || x.n for x in list_sort(list({'p': l_partkey, 'n': l_linenumber}))] AS items, arg_max(l_linestatus, l_linenumber || l_linestatus) AS l_linestatus FROM lineitem GROUP BY 1""", joined=("items",))
 def group_items_per_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = G.items_per_group(table(spark, sf_dir, "lineitem"), "l_orderkey", ["l_partkey", "l_linenumber"], "l_linestatus", F.struct("l_linenumber", "l_linestatus"))
     return out.withColumn("items", F.transform("items", lambda x: F.concat_ws(":", x["l_partkey"].cast("string"), x["l_linenumber"].cast("string"))))
@@ -25,13 +25,13 @@ def first_wins_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT substr(event_type || ' failed for item ' || CAST(event_id % 7 AS VARCHAR) || repeat(' detail', 15), 1, 30) AS message, count(*) AS n, list_sort(list(event_id)) AS lines, list_sort(list_distinct(list(user_id % 5))) AS files FROM events GROUP BY 1""")
+SELECT substr(event_type || ' failed for item ' || CAST(event_id % 7 AS VARCHAR) || repeat(' detail', 15), 1, 30) AS message, count(*) AS n, list_sort(list(event_id)) AS lines, list_sort(list_distinct(list(user_id % 5))) AS files FROM events GROUP BY 1""", joined=("lines", "files",))
 def validation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     message = F.concat("event_type", F.lit(" failed for item "), (F.col("event_id") % 7).cast("string"), F.repeat(F.lit(" detail"), 15))
     return G.summary(table(spark, sf_dir, "events").withColumn("file", F.col("user_id") % 5), message, "event_id", "file", 30)
 
 
-@query("SELECT user_id, CAST(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS errors, list_sort(list(event_id)) AS ids FROM events GROUP BY 1")
+@query("SELECT user_id, CAST(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS errors, list_sort(list(event_id)) AS ids FROM events GROUP BY 1", joined=("ids",))
 def merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select("user_id", F.when(F.col("event_type") == "error", 1).otherwise(0).cast("long").alias("errors"), F.array("event_id").alias("ids"))
     return G.merge(rows, "user_id", ["errors"], ["ids"])
@@ -39,7 +39,7 @@ def merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH p AS (SELECT l_orderkey, l_partkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) - 1 AS k FROM lineitem)
-SELECT l_orderkey, k // 3 AS run, list(l_partkey ORDER BY k) AS items FROM p GROUP BY 1, 2 HAVING count(*) = 3""")
+SELECT l_orderkey, k // 3 AS run, list(l_partkey ORDER BY k) AS items FROM p GROUP BY 1, 2 HAVING count(*) = 3""", joined=("items",))
 def consecutive_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.consecutive(table(spark, sf_dir, "lineitem"), ["l_orderkey"], ["l_linenumber", "l_partkey"], 3, "l_partkey")
 
@@ -115,7 +115,7 @@ def resume_remaining(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH b AS (SELECT o_custkey AS bundle_id, o_orderkey AS k FROM orders)
-SELECT bundle_id, coalesce(list_sort(list(k) FILTER (WHERE k % 10 <> 0)), []) AS items FROM b GROUP BY 1""")
+SELECT bundle_id, coalesce(list_sort(list(k) FILTER (WHERE k % 10 <> 0)), []) AS items FROM b GROUP BY 1""", joined=("items",))
 def rollback_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bundles after documents were rolled back."""
     orders = table(spark, sf_dir, "orders")

@@ -21,7 +21,7 @@ def html_text_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT page_id, list_distinct(regexp_extract_all(html, '(?i)<a\\s[^>]*?href\\s*=\\s*"([^"]*)"', 1)).list_sort() AS links FROM pages""")
+SELECT page_id, list_distinct(regexp_extract_all(html, '(?i)<a\\s[^>]*?href\\s*=\\s*"([^"]*)"', 1)).list_sort() AS links FROM pages""", joined=("links",))
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", F.array_sort(F.array_distinct(M.hrefs(F.col("html")))).alias("links"))
 

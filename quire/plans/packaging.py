@@ -65,7 +65,7 @@ def document_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT l_orderkey, count(*) AS n_assets, list_sort(coalesce(list_distinct(list('f' || l_partkey) FILTER (WHERE l_partkey % 9 = 0)), [])) AS missing, count(*) FILTER (WHERE l_partkey % 9 = 0) = 0 AS complete FROM lineitem GROUP BY 1""")
+SELECT l_orderkey, count(*) AS n_assets, list_sort(coalesce(list_distinct(list('f' || l_partkey) FILTER (WHERE l_partkey % 9 = 0)), [])) AS missing, count(*) FILTER (WHERE l_partkey % 9 = 0) = 0 AS complete FROM lineitem GROUP BY 1""", joined=("missing",))
 def package_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = F.concat(F.lit("f"), text_of(F.col("l_partkey")))
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", wanted.alias("wanted"), F.when(F.col("l_partkey") % 9 != 0, wanted).alias("found"))
@@ -75,7 +75,7 @@ def package_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 WITH j AS (SELECT c_custkey AS journal_id, unnest(list_distinct(['p' || c_custkey, 'e' || c_custkey])) AS code FROM customer), i AS (SELECT o_orderkey, o_orderkey % 50 AS ord, unnest(list_distinct(['p' || o_custkey, 'e' || o_custkey])) AS code FROM orders WHERE o_orderkey % 5 = 0),
 p AS (SELECT DISTINCT journal_id, o_orderkey, ord FROM j JOIN i USING (code))
-SELECT journal_id, list_transform(list_sort(list({'o': ord, 'k': o_orderkey})), lambda x: x.k) AS issues FROM p GROUP BY 1""")
+SELECT journal_id, list_transform(list_sort(list({'o': ord, 'k': o_orderkey})), lambda x: x.k) AS issues FROM p GROUP BY 1""", joined=("issues",))
 def journal_issue_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes = lambda c: F.array(F.concat(F.lit("p"), text_of(F.col(c))), F.concat(F.lit("e"), text_of(F.col(c))))
     journals = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), codes("c_custkey").alias("issns"))
@@ -89,7 +89,7 @@ DOCS_SQL = "(SELECT o_orderkey AS pid, CASE WHEN o_custkey % 4 <> 0 THEN 'J' ||
 
 @query(f"""
 WITH d AS (SELECT *, journal || CASE WHEN is_issue THEN '-' || year || '-v' || v ELSE '-aop' END AS bundle_id FROM {DOCS_SQL})
-SELECT bundle_id, NOT bool_or(is_issue) AND NOT bool_or(pid % 9 = 0 AND is_issue) AS is_new, list_sort(list(pid)) AS items FROM d WHERE journal IS NOT NULL AND (NOT is_issue OR year >= 1994) GROUP BY 1""")
+SELECT bundle_id, NOT bool_or(is_issue) AND NOT bool_or(pid % 9 = 0 AND is_issue) AS is_new, list_sort(list(pid)) AS items FROM d WHERE journal IS NOT NULL AND (NOT is_issue OR year >= 1994) GROUP BY 1""", joined=("items",))
 def documents_in_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bundles of documents: those of issues from 1994 on are stored, ahead bundles are not."""
     return P.documents_in_bundles(*bundle_inputs(spark, sf_dir))[0]
@@ -142,7 +142,7 @@ def reference_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH t AS (SELECT page_id, unnest(regexp_extract_all(html, '<([a-z][a-z0-9]*)[\\s/>]', 1)) AS tag FROM pages)
-SELECT page_id, count(*) AS n, list_sort(list_distinct(list(tag))) AS tags FROM t GROUP BY 1""")
+SELECT page_id, count(*) AS n, list_sort(list_distinct(list(tag))) AS tags FROM t GROUP BY 1""", joined=("tags",))
 def tag_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The elements of each page: how many, and their names."""
     tags = F.regexp_extract_all("html", F.lit(r"<([a-z][a-z0-9]*)[\s/>]"), F.lit(1))

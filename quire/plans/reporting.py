@@ -38,7 +38,7 @@ def log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.parse_lines(log_lines(spark, sf_dir))
 
 
-@query(f"SELECT pid, error, list_sort(coalesce(list_distinct(list(uri) FILTER (WHERE uri IS NOT NULL)), [])) AS uris, count(*) AS n, max(stamp) AS last FROM {PARSED} WHERE error IS NOT NULL AND pid IS NOT NULL GROUP BY 1, 2")
+@query(f"SELECT pid, error, list_sort(coalesce(list_distinct(list(uri) FILTER (WHERE uri IS NOT NULL)), [])) AS uris, count(*) AS n, max(stamp) AS last FROM {PARSED} WHERE error IS NOT NULL AND pid IS NOT NULL GROUP BY 1, 2", joined=("uris",))
 def log_errors_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.errors_by_pid(P.parse_lines(log_lines(spark, sf_dir)))
 

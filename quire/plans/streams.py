@@ -35,7 +35,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/table")
 
 
-@query("SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+@query("SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def stream_error_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events by day and type, counted as a stream without duplicates."""
     folder = shared_folder(spark)
@@ -47,4 +47,4 @@ def stream_error_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     run = counted.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{folder}/counts").trigger(availableNow=True).start()
     run.awaitTermination()
-    return spark.read.parquet(f"{folder}/{name}").groupBy("start", "event_type").agg(F.max_by("n", "batch").alias("n"))
+    return spark.read.parquet(f"{folder}/{name}").groupBy(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type").agg(F.max_by("n", "batch").alias("n"))
