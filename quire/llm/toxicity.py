@@ -69,9 +69,11 @@ def fit_toxicity(rows: list[tuple[str, int]], *, bits: int = 18, dim: int = 8, e
     of, bucket = sw.ngrams(words.distinct, bits)
     size = len(words.distinct)
     grams = np.maximum(np.bincount(of, minlength=size), 1)
-    row = np.repeat(np.arange(len(y)), np.diff(words.offsets))
-    pairs = np.unique(row * np.int64(size) + words.index)
-    row, word = pairs // size, pairs % size
+    pairs = np.repeat(np.arange(len(y), dtype=np.int64) * size, np.diff(words.offsets))
+    pairs += words.index
+    pairs = np.unique(pairs)
+    row, word = (pairs // size).astype(np.int32), (pairs % size).astype(np.int32)
+    del pairs, words
     fit = np.arange(len(y)) >= len(y) // 4
     inside = fit[row]
     row_in, word_in = row[inside], word[inside]
@@ -93,17 +95,20 @@ def fit_toxicity(rows: list[tuple[str, int]], *, bits: int = 18, dim: int = 8, e
     weight = np.where(y == 1, len(y) / (2 * max(n1, 1)), len(y) / (2 * max(n0, 1)))
     starts = np.flatnonzero(np.diff(row_in, prepend=-1))
     docs_in = row_in[starts]
+    of_doc = np.repeat(np.arange(len(starts), dtype=np.int32), np.diff(np.append(starts, len(row_in))))
     second = np.zeros(1 << bits)
     for epoch in range(epochs):
         u = softmax[:, 1] - softmax[:, 0]
         value = embedding @ u
         logit = gathered(of, size, value, bucket) / grams
-        z = logit[word_in]
-        top = np.maximum.reduceat(z, starts)
-        near = np.exp(3 * (z - np.repeat(top, np.diff(np.append(starts, len(z))))))
-        near /= np.repeat(np.add.reduceat(near, starts), np.diff(np.append(starts, len(z))))
+        near = logit.astype(np.float32)[word_in]
+        top = np.maximum.reduceat(near, starts)
+        near -= top[of_doc]
+        near *= 3
+        np.exp(near, out=near)
+        near /= np.add.reduceat(near, starts)[of_doc]
         wrong = (1 / (1 + np.exp(-(top + bias))) - y[docs_in]) * weight[docs_in] / len(docs_in)
-        per_word = np.bincount(word_in, weights=near * np.repeat(wrong, np.diff(np.append(starts, len(z)))), minlength=size)
+        per_word = np.bincount(word_in, weights=near * wrong.astype(np.float32)[of_doc], minlength=size)
         active = np.flatnonzero(per_word)
         chosen = np.zeros(size, bool)
         chosen[active] = True
