@@ -34,6 +34,8 @@ BUCKETS = 16384
 PLACES = 1 << 15
 #: Words kept by a partition at once; beyond that it starts anew.
 HELD = 300_000
+#: Chunks (a word with the white space before and the punctuation after it) whose words' numbers are kept at once.
+HELD_CHUNKS = 200_000
 #: Documents in the sample of frequent words (about so many), and words broadcast (at most): some 15 MB.
 HEAD_DOCUMENTS, HEAD_WORDS = 20_000, 250_000
 #: The fold copies a word's pieces at each merge; a word of more bytes is merged by a heap instead (same result).
@@ -247,12 +249,14 @@ def encode_documents(docs: DataFrame, *, path: str | None = None, pattern: str |
         find = regex.compile(pattern).findall
         common = head.value
         known: dict[str, int] = {}  # number of each further word, after those of the common ones
-        chunks: dict[str, list[int]] = {}  # chunk: its words' numbers
+        chunks: dict[str, tuple[int, ...]] = {}  # chunk: its words' numbers
         names = ["kind", "doc_id", "numbers", "word", "ready"]
         for whole in batches:
             ids, column = whole.column(0), pc.fill_null(whole.column(1), "")
             for a, b in byte_slices(column, 2 << 20):
-                if len(known) > HELD or len(chunks) > 2 * HELD:
+                if len(chunks) > HELD_CHUNKS:
+                    chunks = {}
+                if len(known) > HELD:
                     known, chunks = {}, {}
                     yield pa.RecordBatch.from_arrays([pa.array([2], pa.int32()), pa.nulls(1, ids.type), pa.nulls(1, pa.binary()), pa.nulls(1, pa.string()), pa.nulls(1, pa.binary())], names)
                 offsets, index, listed = chunks_of(column.slice(a, b - a))
@@ -270,6 +274,7 @@ def encode_documents(docs: DataFrame, *, path: str | None = None, pattern: str |
                                     number = known[word] = len(common) + len(known)
                                     fresh.append(word)
                             numbers.append(number)
+                        numbers = tuple(numbers)
                         if len(chunk) <= LONG_WORD:
                             chunks[chunk] = numbers
                     mapped.append(numbers)
