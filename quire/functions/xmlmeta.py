@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
+
 
 def first(xml: Column, *paths: str) -> Column:
     """The text of the first path that has one; null if none has."""
@@ -29,17 +31,20 @@ def issn(xml: Column) -> Column:
 
 
 def pub_date(xml: Column, *tests: str) -> Column:
-    """(year, month, day) of the first pub-date with a year that one of the tests selects; numbers of two places."""
-    def part(name: str) -> Column:
-        out = None
-        for test in tests:
-            have = F.nullif(F.xpath_string(xml, F.lit(f"{META}/pub-date[{test}]/year")), F.lit("")).isNotNull()
-            value = F.xpath_string(xml, F.lit(f"{META}/pub-date[{test}]/{name}"))
-            value = F.when(value.rlike(r"^\d$"), F.lpad(value, 2, "0")).otherwise(value)
-            out = F.when(have, value) if out is None else out.when(have, value)
-        return out
-
-    return F.struct(part("year").alias("year"), part("month").alias("month"), part("day").alias("day"))
+    """(year, month, day) of the first pub-date with a year that one of the tests selects; numbers of two places.
+
+    One XPath call a test gives all three parts, since each call parses the document anew.
+    """
+    def of(test: str) -> Column:
+        node = f"{META}/pub-date[({test}) and year][1]"
+        parts = F.xpath_string(xml, F.lit(f"concat({node}/year, '|', {node}/month, '|', {node}/day)"))
+        return F.when(~parts.startswith("|"), parts)
+
+    def part(said: Column, i: int) -> Column:
+        value = F.get(F.split(said, r"\|"), F.lit(i))
+        return F.when(value.rlike(r"^\d$"), F.lpad(value, 2, "0")).otherwise(value)
+
+    return let(lambda x: F.struct(part(x["said"], 0).alias("year"), part(x["said"], 1).alias("month"), part(x["said"], 2).alias("day")), said=F.coalesce(*[of(t) for t in tests]))
 
 
 def document_date(xml: Column) -> Column:
