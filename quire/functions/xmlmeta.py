@@ -66,13 +66,14 @@ def languages(xml: Column) -> Column:
     return every(xml, "/article/@*[name()='xml:lang'] | //sub-article[@article-type='translation']/@*[name()='xml:lang']")
 
 
-def metadata(xml: Column) -> Column:
+def metadata(xml: Column, collection: str = "pid") -> Column:
+    """All fields of a document; its ids are those of the collection's `specific-use`, such as pid-v2."""
     x = bare(xml)
     doi = F.regexp_replace(first(x, f"{META}/article-id[@pub-id-type='doi']"), r"^https?://(dx\.)?doi\.org/", "")
     pid = lambda use: first(x, f"{META}/article-id[@specific-use='{use}']")
     nonzero = lambda c: F.when(~c.rlike("^0+$"), c)
     fields = {
-        "pid_v1": pid("scielo-v1"), "pid_v2": pid("scielo-v2"), "pid_v3": pid("scielo-v3"), "aop_pid": pid("previous-pid"), "doi": doi,
+        "pid_v1": pid(f"{collection}-v1"), "pid_v2": pid(f"{collection}-v2"), "pid_v3": pid(f"{collection}-v3"), "aop_pid": pid("previous-pid"), "doi": doi,
         "other": first(x, f"{META}/article-id[@pub-id-type='other']"), "issn": issn(x), "acron": first(x, "//journal-id[@journal-id-type='publisher-id']"),
         "volume": nonzero(first(x, f"{META}/volume")), "issue": nonzero(first(x, f"{META}/issue")), "fpage": nonzero(first(x, f"{META}/fpage")), "lpage": nonzero(first(x, f"{META}/lpage")),
         "elocation_id": first(x, f"{META}/elocation-id"), "languages": languages(x), "assets": assets(x), "document_date": document_date(x), "bundle_date": bundle_date(x),

@@ -75,7 +75,7 @@ def documents_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     lit = F.lit
     node = lambda name, value, attrs="": F.concat(lit(f"<{name}{attrs}>"), value, lit(f"</{name}>"))
     meta = F.concat(
-        node("article-id", F.format_string("S0000-0000202000%07d", k), ' pub-id-type="publisher-id" specific-use="scielo-v2"'),
+        node("article-id", F.format_string("S0000-0000202000%07d", k), ' pub-id-type="publisher-id" specific-use="pid-v2"'),
         F.when(k % 2 == 0, node("article-id", F.concat(lit("https://doi.org/10.1/"), k.cast("string")), ' pub-id-type="doi"')).otherwise(""),
         F.when(k % 3 == 0, lit('<pub-date pub-type="epub"><day>5</day><month>3</month><year>2019</year></pub-date>')).otherwise(""),
         lit('<pub-date pub-type="collection"><year>2020</year></pub-date>'),
