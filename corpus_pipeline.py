@@ -9,6 +9,8 @@ from quire.llm import language, lines, packing, simhash, toxicity
 from quire.llm.storage import fresh_path
 
 TOXIC = 0.7
+#: Near duplicates: shingles of so many words, their least Jaccard, and the bits in which fingerprints of such texts may differ.
+WORDS, JACCARD, REACH = 5, 0.8, 16
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,8 +35,8 @@ def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return simhash.one_of_each(docs)
+    """One document of each group of near duplicates: those whose shingles of five words have a Jaccard of 0.8 and more."""
+    return simhash.one_of_each(docs, words=WORDS, reach=REACH, jaccard=JACCARD)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,6 +25,12 @@ BITS = 64
 SEED = 42
 SAMPLE = 8192
 BUCKET = 8192
+#: Sets of shingles in a block of a group.
+SETS = 256
+#: Bits in which second fingerprints of a pair may differ: at a Jaccard of 0.8 eight do on average.
+MARK_REACH = 20
+#: Keys of texts to compare that are broadcast at most.
+BROADCAST_KEYS = 200_000
 
 
 def fingerprint_of(hashes: np.ndarray) -> int:
@@ -106,12 +112,13 @@ def allocate(costs: list[list[float]], total: int) -> tuple[float, list[int]]:
     return best[total]
 
 
-def plan(sample: np.ndarray, n: int, reach: int) -> list[tuple[list[int], int]]:
+def plan(sample: np.ndarray, n: int, reach: int, row: float = 50) -> list[tuple[list[int], int]]:
     """Partitions (bits, threshold) with the least estimated work for n fingerprints.
 
     Of m partitions the thresholds must sum to reach - m + 1: were every partition's distance over its threshold, the
     whole distance would be over reach. Candidates are estimated from the sample's own pairs, smoothed by the number
-    expected of independent bits.
+    expected of independent bits. A row sent costs as much as `row` candidates; rows of large buckets are sent once
+    per block.
     """
     bits = bit_matrix(sample)
     p = bits.mean(axis=0)
@@ -133,20 +140,27 @@ def plan(sample: np.ndarray, n: int, reach: int) -> list[tuple[list[int], int]]:
             for t in range(reach + 1):
                 probes = sum(len(list(combinations(range(len(own)), k))) if k < 3 else len(own) ** k for k in range(t + 1))
                 share = max(float((distance <= t).mean()) if len(distance) else 0.0, float(even[: t + 1].sum()))
-                price.append(n * probes * 50 + n * n / 2 * share)
+                price.append(n * probes * row * max(1.0, n * probes / 2 ** len(own) / BUCKET) + n * n / 2 * share)
             costs.append(price)
         cost, thresholds = allocate(costs, reach - m + 1)
         options.append((cost, [(own, t) for own, t in zip(groups, thresholds, strict=True) if t >= 0]))
     return min(options, key=lambda x: x[0])[1]
 
 
-def close_pairs(fps: DataFrame, reach: int = 2) -> DataFrame:
-    """(a, b): distinct fingerprints (fp) linked at reach or fewer differing bits, as a spanning forest of each bucket."""
+def close_pairs(fps: DataFrame, reach: int = 2, row: float = 50, jaccard: float = 0) -> DataFrame:
+    """(a, b): distinct fingerprints (fp) linked at reach or fewer differing bits, as a spanning forest of each bucket.
+
+    Of sets (set, fp, mark, size) the same for sets, less pairs whose sizes exclude the Jaccard or whose marks, second
+    fingerprints, differ in over MARK_REACH bits: without those, chance links of a wide reach connect most of a table.
+    """
+    sets = "set" in fps.columns
+    names = ["fp", "set", "mark", "size"] if sets else ["fp"]
+    name = "set" if sets else "fp"
     n = fps.count()
     sample = np.array([r["fp"] for r in fps.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()], np.int64)
     if n < 2:
-        return fps.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
-    parts = plan(sample, n, reach)
+        return fps.select(F.col(name).alias("a"), F.col(name).alias("b")).limit(0)
+    parts = plan(sample, n, reach, row)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each fingerprint at its own value of each partition, and as a question at the values within the threshold."""
@@ -158,14 +172,22 @@ def close_pairs(fps: DataFrame, reach: int = 2) -> DataFrame:
                 for j in range(t + 1):
                     for flip in combinations(own, j):
                         asked = (value ^ np.uint64(sum(1 << b for b in flip))).view(np.int64)
-                        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.full(len(fp), k, np.int32)), pa.array(asked), pa.array(np.full(len(fp), j == 0))], ["fp", "part", "value", "own"])
+                        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(fp), k, np.int32)), pa.array(asked), pa.array(np.full(len(fp), j == 0))], [*names, "part", "value", "own"])
 
-    probed = cut(fps.select("fp").mapInArrow(probe, "fp long, part int, value long, own boolean"))
+    probed = fps.select(*names).mapInArrow(probe, ", ".join(f"{c} long" for c in names) + ", part int, value long, own boolean")
+    wide = max((len(own) for own, t in parts), default=0) <= 16
+    if not wide:
+        probed = cut(probed)
     # only buckets that hold a pair; large ones are verified block by block
     sizes = probed.groupBy("part", "value").agg(F.count(F.lit(1)).alias("size"), F.count_if("own").alias("owners")).where("size > 1 and owners > 0")
-    held = probed.join(sizes.withColumn("blocks", F.ceil(F.col("size") / BUCKET).cast("int")), ["part", "value"])
-    held = held.withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    held = held.select("part", "value", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "own", "fp")
+    sizes = sizes.withColumn("blocks", F.ceil(F.col("size") / BUCKET).cast("int"))
+    if wide:  # few values, nearly all of which hold pairs: only those of several blocks (one in BUCKET rows at most) are looked up
+        large = sizes.where("blocks > 1").select("part", "value", "blocks")
+        held = probed.join(F.broadcast(large), ["part", "value"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    else:
+        held = probed.join(sizes, ["part", "value"])
+    held = held.withColumn("block", F.pmod(F.xxhash64(name), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    held = held.select("part", "value", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "own", *names)
     # many small buckets share a group, so that a task's Python work isn't one call per bucket
     held = held.withColumn("deal", F.when(F.col("j") > 0, F.xxhash64("part", "value", "i", "j")).otherwise(F.pmod(F.xxhash64("part", "value"), F.lit(max(1, n // 4096)))))
 
@@ -174,23 +196,28 @@ def close_pairs(fps: DataFrame, reach: int = 2) -> DataFrame:
         keys = rows[["part", "value", "i", "j"]].to_numpy()
         edges = np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1
         bounds = [0, *edges.tolist(), len(rows)]
-        fp, own, block = rows["fp"].to_numpy(), rows["own"].to_numpy(), rows["block"].to_numpy()
+        fp, own, block, ids = (rows[c].to_numpy() for c in ("fp", "own", "block", name))
+        if sets:
+            mark, size = rows["mark"].to_numpy().view(np.uint64), rows["size"].to_numpy()
         out_a, out_b = [], []
         for s, e in zip(bounds, bounds[1:], strict=False):
             if e - s < 2:
                 continue
             i, j = keys[s, 2], keys[s, 3]
             left, right = (np.arange(s, e),) * 2 if i == j else (s + np.flatnonzero(block[s:e] == i), s + np.flatnonzero(block[s:e] == j))
-            for at in range(0, len(left), 512):
-                l = left[at : at + 512]
-                near = np.bitwise_count(fp[l][:, None].view(np.uint64) ^ fp[right][None].view(np.uint64)) <= reach
-                p, q = np.nonzero(near)
-                p, q = l[p], right[q]
-                # of a pair one at least is at its own value; the other may ask there
-                keep = (own[p] | own[q]) & (fp[p] < fp[q] if i == j else fp[p] != fp[q])
-                a, b = forest(fp[p[keep]], fp[q[keep]])
-                out_a += a
-                out_b += b
+            # of a pair one at least is at its own value; the other may ask there
+            for l, r in [(left, right)] if i == j else [(left, right), (right, left)]:
+                l = l[own[l]]
+                for at in range(0, len(l), 512):
+                    near = np.bitwise_count(fp[l[at : at + 512]][:, None].view(np.uint64) ^ fp[r][None].view(np.uint64)) <= reach
+                    p, q = np.nonzero(near)
+                    p, q = l[at + p], r[q]
+                    keep = ids[p] != ids[q]
+                    if sets:
+                        keep &= (np.bitwise_count(mark[p] ^ mark[q]) <= MARK_REACH) & (np.minimum(size[p], size[q]) >= jaccard * np.maximum(size[p], size[q]) - 1e-9)
+                    a, b = forest(ids[p[keep]], ids[q[keep]])
+                    out_a += a
+                    out_b += b
         return pd.DataFrame({"a": np.array(out_a, np.int64), "b": np.array(out_b, np.int64)})
 
     return held.groupBy("deal").applyInPandas(verify, "a long, b long")
@@ -220,14 +247,119 @@ def as_hex(fp):
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def one_of_each(docs: DataFrame, *, words: int = 3, reach: int = 2) -> DataFrame:
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Other hashes of hashes (SplitMix64)."""
+    x = x + np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def set_keys(docs: DataFrame, words: int, keep: tuple[str, ...], whole: bool = False) -> DataFrame:
+    """The columns to keep, and set (a digest of the distinct shingles), with fp, mark (a second fingerprint) and size.
+
+    With whole, the columns to keep, set and the sorted shingles.
+    """
+    kept = docs.select(*keep, "text")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_64_intdigest
+
+        for batch in batches:
+            fp, mark, key, size = np.zeros((4, batch.num_rows), np.uint64)
+            own = []
+            for i, text in enumerate(batch.column(len(keep))):
+                hashes = shingle_hashes(text.as_py() or "", words)
+                distinct = np.unique(hashes)
+                held = distinct.astype("<u8").tobytes()
+                key[i], size[i] = xxh3_64_intdigest(held, SEED), len(distinct)
+                if whole:
+                    own.append(held)
+                elif len(hashes):
+                    fp[i], mark[i] = fingerprint_of(hashes), fingerprint_of(mixed(hashes))
+            found = {"set": pa.array(key.view(np.int64))}
+            found |= {"shingles": pa.array(own, pa.binary())} if whole else {n: pa.array(x.view(np.int64)) for n, x in (("fp", fp), ("mark", mark), ("size", size))}
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *found.values()], [*keep, *found])
+
+    return kept.mapInArrow(compute, f"{schema}{', ' if schema else ''}set long, {'shingles binary' if whole else 'fp long, mark long, size long'}")
+
+
+def similar_sets(left: list[np.ndarray], right: list[np.ndarray], names: np.ndarray, others: np.ndarray, least: float) -> tuple[list[int], list[int]]:
+    """A spanning forest of the pairs (a name, another's) of sets of Jaccard `least` and more, counted exactly."""
+    sizes = np.array([len(x) for x in right])
+    flat, of = np.concatenate(right), np.repeat(np.arange(len(right)), sizes)
+    order = np.argsort(flat, kind="stable")
+    flat, of = flat[order], of[order]
+    label: dict[int, int] = {n: i for i, n in enumerate(dict.fromkeys([*names.tolist(), *others.tolist()]))}
+    group = np.arange(len(label))
+    at, to = np.array([label[n] for n in names.tolist()]), np.array([label[n] for n in others.tolist()])
+    out_a, out_b = [], []
+    for i, own in enumerate(left):
+        mine = group[at[i]]
+        if not len(own) or (group[to] == mine).all():
+            continue
+        low, high = np.searchsorted(flat, own, "left"), np.searchsorted(flat, own, "right")
+        many = high - low
+        spots = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        shared = np.bincount(of[spots], minlength=len(right))
+        for j in np.flatnonzero(shared >= least * (len(own) + sizes - shared) - 1e-9):
+            if shared[j] and group[to[j]] != group[at[i]]:
+                out_a.append(int(names[i]))
+                out_b.append(int(others[j]))
+                group[group == group[to[j]]] = group[at[i]]
+    return out_a, out_b
+
+
+def similar_groups(rows: DataFrame, words: int, reach: int, jaccard: float) -> DataFrame:
+    """(doc_id, __key, component) of rows (doc_id, __key, text): linked where the Jaccard of their shingles is `jaccard` and more.
+
+    Candidates are the groups that fingerprints within reach connect; in them, sets are compared exactly and block by
+    block, so that no task holds more than two blocks of a group. Only the reach, of both fingerprints, can miss a pair.
+    """
+    marked = cut(set_keys(rows, words, ("doc_id", "__key")))
+    sets = cut(marked.groupBy("set").agg(*[F.min(c).alias(c) for c in ("fp", "mark", "size", "__key")]))
+    near = components(cut(close_pairs(sets.drop("__key"), reach, row=400, jaccard=jaccard))).select(F.col("id").alias("set"), F.col("component").alias("near"))
+    placed = sets.select("set", "__key").join(near, "set")
+    sizes = placed.groupBy("near").agg(F.count(F.lit(1)).alias("size"))
+    placed = cut(placed.join(sizes, "near").withColumn("blocks", F.ceil(F.col("size") / SETS).cast("int")))
+    number = placed.count()
+    keys = placed.select("__key").distinct()
+    keys = F.broadcast(keys) if number <= BROADCAST_KEYS else keys  # counted, so safe to broadcast
+    texts = set_keys(rows.join(keys, "__key", "left_semi"), words, (), whole=True).dropDuplicates(["set"])
+    held = texts.join(placed.drop("__key", "size"), "set").withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
+    held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    deals = max(1, number // SETS)
+    deal = F.when(F.col("blocks") > 1, F.xxhash64("near", F.least("block", "other"), F.greatest("block", "other"))).otherwise(F.pmod(F.xxhash64("near"), F.lit(deals)))
+    held = held.select(deal.alias("deal"), "near", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "set", "shingles")
+
+    def verify(part: pd.DataFrame) -> pd.DataFrame:
+        out_a, out_b = [], []
+        for (_, i, j), own in part.groupby(["near", "i", "j"], sort=False):
+            x = [np.frombuffer(b, "<u8") for b in own["shingles"]]
+            block, names = own["block"].to_numpy(), own["set"].to_numpy()
+            l, r = np.flatnonzero(block == i), np.flatnonzero(block == j)
+            if len(l) and len(r):
+                a, b = similar_sets([x[k] for k in l], [x[k] for k in r], names[l], names[r], jaccard)
+                out_a += a
+                out_b += b
+        return pd.DataFrame({"a": np.array(out_a, np.int64), "b": np.array(out_b, np.int64)})
+
+    edges = held.groupBy("deal").applyInPandas(verify, "a long, b long")
+    linked = components(edges).withColumnRenamed("id", "set")
+    return marked.join(linked, "set", "left").select("doc_id", "__key", F.coalesce("component", "set").alias("component"))
+
+
+def one_of_each(docs: DataFrame, *, words: int = 3, reach: int = 2, jaccard: float | None = None) -> DataFrame:
     """docs less all but one document of each group: that with the smallest doc_id stays, with all its columns.
 
+    With jaccard, documents are linked where their shingles have that Jaccard and more and fingerprints within reach
+    lead from one to the other; without, where fingerprints differ in at most reach bits.
     Of repeated rows of that doc_id one stays. A group without any doc_id keeps one of its texts. Whole rows are
     shuffled once, by the key that both the choice and the repeated rows go by.
     """
     key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("~"), F.md5(F.coalesce("text", F.lit("")))))
     rows = docs.withColumn("__key", key)
-    found = grouped(rows, words, reach, ("doc_id", "__key"))
+    found = grouped(rows, words, reach, ("doc_id", "__key")) if jaccard is None else similar_groups(rows, words, reach, jaccard)
     kept = found.groupBy("component").agg(F.min_by("__key", F.struct(F.col("doc_id").isNull(), "doc_id", "__key")).alias("__key"))
     return rows.join(kept.select("__key"), "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
