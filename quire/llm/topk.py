@@ -78,7 +78,7 @@ def top_k(table: DataFrame, *, k: int = 5, query_every: int = 50, chunk: int = C
     chunks = max(1, -(-n // chunk))
     asked = data.where(F.col("vec_id") % query_every == 0)
     blocks = max(1, -(-asked.count() // block))
-    rows = data.withColumn("chunk", F.pmod(F.xxhash64("vec_id"), F.lit(chunks)).cast("int"))
+    rows = data.withColumn("chunk", F.pmod(F.xxhash64("vec_id"), F.lit(chunks)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     queries = asked.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int"))
     sent = queries.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
 
@@ -89,12 +89,12 @@ def top_k(table: DataFrame, *, k: int = 5, query_every: int = 50, chunk: int = C
             if not len(asking):
                 continue
             x, ids = np.stack(own["v"].to_numpy()), own["vec_id"].to_numpy()
-            for _, part in asking.groupby("block"):
-                names = part["vec_id"].to_numpy()
-                q, r, s = chunk_top(np.stack(part["v"].to_numpy()), names, x, ids, k)
-                found.append(pd.DataFrame({"query_id": names[q], "vec_id": ids[r], "score": s.astype(np.int64)}))
+            names = asking["vec_id"].to_numpy()
+            q, r, s = chunk_top(np.stack(asking["v"].to_numpy()), names, x, ids, k)
+            found.append(pd.DataFrame({"query_id": names[q], "vec_id": ids[r], "score": s.astype(np.int64)}))
         return pd.concat(found) if found else pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_id", "vec_id", "score")})
 
-    best = sent.groupBy("chunk").cogroup(rows.groupBy("chunk")).applyInPandas(search, "query_id long, vec_id long, score long")
+    # a task holds one block of queries and one chunk of rows
+    best = sent.groupBy("chunk", "block").cogroup(rows.groupBy("chunk", "block")).applyInPandas(search, "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
