@@ -99,6 +99,12 @@ def range_links(data: DataFrame, cosine: float, block: int = BLOCK) -> tuple[Dat
             flat, lengths = np.asarray(x.flatten(), dtype=float), np.asarray(x.value_lengths())
             at = np.cumsum(lengths) - lengths
             first = 0
+            # a length that the sample lacks has a cell of its own, numbered below zero
+            rest = np.flatnonzero((lengths > 0) & ~np.isin(lengths, [own.shape[1] for own in pivots]))
+            for rows in np.array_split(rest, max(1, len(rest) // 1024)):
+                if len(rows):
+                    part = batch.take(pa.array(rows))
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(-lengths[rows], pa.int32()), pa.array(np.full(len(rows), True))], ["rep", "copies", "x", "cell", "home"])
             for own in pivots:
                 dims = own.shape[1]
                 here = np.flatnonzero(lengths == dims)
@@ -112,7 +118,7 @@ def range_links(data: DataFrame, cosine: float, block: int = BLOCK) -> tuple[Dat
     kinds = {f.name: f.dataType.simpleString() for f in data.schema.fields}
     placed = cut(data.select("rep", "copies", "x").mapInArrow(place, f"rep {kinds['rep']}, copies long, x {kinds['x']}, cell int, home boolean"))
     sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("size"))
-    # a row per pivot, and pivots are MOST_PIVOTS at most for each vector length: safe to broadcast
+    # a row per pivot, and pivots are MOST_PIVOTS at most for each vector length, or per other length: safe to broadcast
     placed = placed.join(F.broadcast(sizes), "cell").withColumn("parts", F.ceil(F.col("size") / block).cast("int")).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
     sent = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     sent = sent.select("cell", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "home", "rep", "copies", "x")
