@@ -33,6 +33,7 @@ BSD2 = """Redistribution and use in source and binary forms, with or without mod
 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
 
 THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+BSD3 = BSD2.replace("\n\nTHIS SOFTWARE", "\n\n3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n\nTHIS SOFTWARE")
 
 #: (SPDX name, text): licence texts, with and without their title, and the notices that stand for one.
 KNOWN = [
@@ -52,6 +53,8 @@ KNOWN = [
     ("BSD-2-Clause", BSD2),
     ("BSD-2-Clause", "BSD 2-Clause License\n\n" + BSD2),
     ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("BSD-3-Clause", BSD3),
+    ("BSD-3-Clause", "BSD 3-Clause License\n\n" + BSD3),
     ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
     ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
@@ -69,7 +72,44 @@ KNOWN = [
 ]
 
 
-OWNERS = r"(?m)^[ \t]*(?:copyright\b|\(c\)|©)[^\n]*[0-9]{4}[^\n]*$|^[ \t]*all rights reserved\.?[ \t]*$"
+# Copyright lines, behind comment marks too: with a year, or with a sign or placeholder that running text doesn't have
+# after the word. "Copyright" and a bare name without a year isn't told from a wrapped line of a licence, and stays;
+# "(c)" without a year is the mark of a clause.
+OWNERS = r"(?m)^[ \t#/*;%!<>-]*(?:(?:copyright\b|\(c\)|©)[^\n]*[0-9]{4}[^\n]*|(?:copyright[ \t]*(?:\([ \t]*c[ \t]*\)|©|:|<|\[|\{)|©)[^\n]*)$|^[ \t#/*;%!<>-]*all rights reserved\.?[ \t]*$"
+
+#: (SPDX name, digest) of long texts in canonical form: whole, and without what follows the terms. By digest() from Debian's
+#: common licences; other editions of a text (the FSF's earlier addresses) have other digests.
+DIGESTS = [
+    ("Apache-2.0", "39ca6953ba8f1cb4ee91779ef11f3c2370e48117855acf5b28e3406e20b3ec3f"),
+    ("Apache-2.0", "b9997b9a5dd4f84f1e63af19b181acfab398ce73dc80d8ee5614a48b3c5b3e50"),
+    ("Apache-2.0", "9b78f51d932cd539684db1f1ba47ca4db4c0ee2fb3b567cb276756f761dd0e65"),
+    ("Artistic-1.0-Perl", "8ab04e21a67c045e56bbc8239ab338a190781c6a4a9a3bd33cb6f8141ee9dc25"),
+    ("BSD-3-Clause", "c259a82f87a240dd406de8df8a423e0d000cb6cc432de53e13db4870e471a949"),
+    ("CC0-1.0", "1b1e1b0668e591dc12cc2c1f858df46627fa560d83b45f65c1b3df60188b525e"),
+    ("CC0-1.0", "212224af9b922d8240be76710634c1947db17cb82ff9269cff6f176206e3f7fb"),
+    ("CC0-1.0", "9728a3afab3c128dc61b39d8022dfb186f6b752b76ce52d0f099d9f3a680d7db"),
+    ("GFDL-1.2", "bb0792f6db66c7d0e687ae158393208746e5e6bac68ba37bde38d30c340e34a6"),
+    ("GFDL-1.3", "64c71d6ab1491ea99791fa19df74bf080c4f9d8005c8b8522f0246e1a30d8532"),
+    ("GPL-1.0", "3836b031291e578c4855d28bdc87c53fc27b20dff7234528076113750d9b22f9"),
+    ("GPL-1.0", "e5c43c4121913a4aa852e7c8a48188b192eee757e155710689f328f143e350d8"),
+    ("GPL-1.0", "02e3515fafd775c1562d21e0f6f3d3325f018f8ba3efbadd83fde4132ed33c27"),
+    ("GPL-2.0", "392c3818a570f9ff37a0265e6ebcd9f34100e381cb9e5e15c72b52ed3335dfb9"),
+    ("GPL-2.0", "4b896a6a4b9d26022cdb4858bc9c10444c5ab63b3d76a435857f990efd8dfe63"),
+    ("GPL-2.0", "8468f4adc1fff5f6ed6bdc3ecd6c251c34926ad3b8057f5d78f71758264bbe28"),
+    ("GPL-3.0", "d90669fb6d1c01baed57dc18dc3b0dd5ad90e3a4e5e79e7d56dcd16699e0d843"),
+    ("GPL-3.0", "ef472b47437a4164eafac24266d8ec60bfe835cab1018f8894a64b219ed4e9f7"),
+    ("GPL-3.0", "217fc90513a5983909dfcc872e8fb0a5e756dea152a0453837400902f4c7de6c"),
+    ("LGPL-2.0", "c240c0c7cd32f69796fadf571ea2ae65798be3e2dcd49d885a6892428943322a"),
+    ("LGPL-2.0", "fbc49af13433930b5687809de62a7e47dc6fd9f35f14d4b284eff07e4a82117a"),
+    ("LGPL-2.0", "a0b5c9a3709b9db2c0dab28467284c312758547ae666e382be1c7c75bab97892"),
+    ("LGPL-2.1", "3c5cab0412f6274fe45e64786bb249da51c994fde68bcb825a626a1495d69a0e"),
+    ("LGPL-2.1", "1c11e2f4f72a52688183139587fac7a1388a7d003e3c5c4ecf96e0421a985b48"),
+    ("LGPL-2.1", "5795b17feb6d5a478854339c6c76f274ada8ea06c2ff245968e2f140a1e6ebf8"),
+    ("LGPL-3.0", "8854f67344795b2c32a6117438109542910956a2779aec3dd280b9f7748b0c9b"),
+    ("MPL-1.1", "c4b201de0f5ef0827eebcb80c31987416c3a1944353cf0b6bd1f5fab4057c137"),
+    ("MPL-2.0", "209ee27067087ce012420bbfe7fd74996a53fedf54cf20682791ba6e707a2f51"),
+    ("MPL-2.0", "c33e2d6b84852b0b20b1e7abd2e7679962d6338eb441d17964797d4cab50f105"),
+]
 
 
 def canonical(text: Column) -> Column:
@@ -86,9 +126,11 @@ def digest(text: Column) -> Column:
 
 
 def known_licenses(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:
-    """(license, digest), one row per digest, of (name, text) pairs."""
-    rows = spark.createDataFrame(known or KNOWN, "license string, text string")
-    return rows.groupBy(digest(F.col("text")).alias("digest")).agg(F.min("license").alias("license"))
+    """(license, digest), one row per digest, of (name, text) pairs; by default of KNOWN and DIGESTS."""
+    rows = spark.createDataFrame(known or KNOWN, "license string, text string").select("license", digest(F.col("text")).alias("digest"))
+    if not known:
+        rows = rows.unionByName(spark.createDataFrame(DIGESTS, "license string, digest string"))
+    return rows.groupBy("digest").agg(F.min("license").alias("license"))
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -124,8 +166,10 @@ def oracle() -> str:
         return f"sha256({x})"
 
     values = ", ".join(f"({quoted(name)}, {quoted(text)})" for name, text in KNOWN)
+    digests = ", ".join(f"({quoted(name)}, {quoted(x)})" for name, x in DIGESTS)
     return f"""
-WITH k AS (SELECT {digest_sql("text")} AS digest, min(license) AS license FROM (VALUES {values}) AS v(license, text) GROUP BY 1),
+WITH k AS (SELECT digest, min(license) AS license FROM (SELECT {digest_sql("text")} AS digest, license FROM (VALUES {values}) AS v(license, text)
+        UNION ALL SELECT digest, license FROM (VALUES {digests}) AS x(license, digest)) GROUP BY 1),
 u AS (SELECT DISTINCT doc_id, part FROM (
         SELECT doc_id, unnest(string_split(text, chr(10))) AS part FROM documents
         UNION ALL SELECT doc_id, unnest(regexp_split_to_array(text, '\\n[ \\t\\r]*\\n')) FROM documents)
