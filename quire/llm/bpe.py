@@ -6,8 +6,11 @@ in three narrow steps without a shuffle:
 
 1. each slice of texts is cut into words; words that are neither frequent nor met before by the partition are sent on
    as rows, before the slice's documents, which carry the numbers of their words;
-2. Spark folds the merges over every word row and decodes the outcome by concatenating the tokens' bytes;
+2. Spark folds the merges over the bytes of every word row and decodes the outcome by concatenating the tokens' bytes;
 3. documents are put together from their words' ids and bytes.
+
+Steps 1 and 3 rely on the order of rows within a partition, which narrow steps keep; step 3 fails if a document comes
+before one of its words.
 """
 
 from __future__ import annotations
@@ -16,7 +19,6 @@ import base64
 import hashlib
 import heapq
 import json
-import zlib
 from collections.abc import Callable, Iterator
 from functools import cache
 from itertools import chain
@@ -29,17 +31,20 @@ from pyspark.sql import functions as F
 
 from .subwords import byte_slices
 
-BUCKETS = 16384
-#: Over any place in a word of LONG_WORD bytes; a rank times it, and a place, are one int.
-PLACES = 1 << 15
-#: Words kept by a partition at once; beyond that it starts anew.
+#: Bits of a token's id and of a place in a word; NONE is over any rank.
+ID_BITS, PLACE_BITS = 20, 20
+NONE = (1 << 21) - 1
+#: Words kept by a partition at once; of more, those of the older half that didn't come again are forgotten.
 HELD = 300_000
+#: Ids of a very long word that go on as one row.
+PART = 256
 #: Chunks (a word with the white space before and the punctuation after it) whose words' numbers are kept at once.
 HELD_CHUNKS = 200_000
 #: Documents in the sample of frequent words (about so many), and words broadcast (at most): some 15 MB.
 HEAD_DOCUMENTS, HEAD_WORDS = 20_000, 250_000
 #: The fold copies a word's pieces at each merge; a word of more bytes is merged by a heap instead (same result).
 LONG_WORD = 2048
+READY = pa.list_(pa.int32())
 # The white space of the pattern's \s: every character with that Unicode property.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
@@ -62,70 +67,125 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, filter(None, f.read().splitlines()))}
 
 
-def bucket_of(token: bytes) -> int:
-    return zlib.crc32(token.decode("latin-1").encode()) % BUCKETS
+def token_literal(ranks: dict[bytes, int]) -> Column:
+    """array<binary>: the bytes of the token with rank i at place i."""
+    tokens = [b""] * (max(ranks.values(), default=-1) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return F.from_json(F.lit(json.dumps([base64.b64encode(t).decode() for t in tokens])), "array<binary>")
 
 
-def rank_literal(ranks: dict[bytes, int]) -> Column:
-    """array<map<string, int>>: token (byte b as character b) to rank, by the token's CRC-32. Folded to a literal."""
-    buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
+def packed_pairs(ranks: dict[bytes, int]) -> tuple[list[int], list[int]]:
+    """(shift, entries): the rank of tokens l and r put together is entries[shift[l] + r] % 2^ID_BITS, if that entry's upper bits are l.
+
+    The matrix of ranks by left and right token is sparse: its rows are laid over one another, fullest first, each
+    shifted (a shift may be negative) to the first place where none of its entries meets another's.
+    """
+    rows: dict[int, list[tuple[int, int]]] = {}
     for token, rank in ranks.items():
-        buckets[bucket_of(token)][token.decode("latin-1")] = rank
-    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>")
+        for i in range(1, len(token)):
+            left, right = ranks.get(token[:i]), ranks.get(token[i:])
+            if left is not None and right is not None:
+                rows.setdefault(left, []).append((right, rank))
+    size = max(ranks.values(), default=-1) + 2
+    held = np.full(size + 2 * sum(map(len, rows.values())), -1, np.int64)
+    shift = np.zeros(size, np.int64)
+    first, last, among = 0, 0, 0  # no place before `first` is free; rows of `among` entries don't seek before `last`
+    for left, row in sorted(rows.items(), key=lambda x: (-len(x[1]), x[0])):
+        rights = np.array(sorted(row), np.int64)
+        while held[first] >= 0:
+            first += 1
+        place, step, found = (last if len(row) == among else first), 16, None  # of the row's first entry
+        while found is None:
+            if place + step + size > len(held):
+                held = np.concatenate([held, np.full(len(held) + step, -1, np.int64)])
+            free = place + np.flatnonzero(held[place : place + step] < 0)
+            for further in rights[1:, 0] - rights[0, 0]:
+                free = free[held[free + further] < 0]
+                if not len(free):
+                    break
+            found = int(free[0]) if len(free) else None
+            place, step = place + step, 2 * step
+        last, among = found, len(row)
+        shift[left] = found - rights[0, 0]
+        held[found + rights[:, 0] - rights[0, 0]] = (left << ID_BITS) | rights[:, 1]
+    return shift.tolist(), held[: int(np.flatnonzero(held >= 0).max(initial=-1)) + 1].tolist()
 
 
-def token_literal(ranks: dict[bytes, int]) -> Column:
-    """array<string>: the bytes of the token with rank i (byte b as character b) at place i + 1."""
-    tokens = [""] * (max(ranks.values(), default=-1) + 1)
-    for token, rank in ranks.items():
-        tokens[rank] = token.decode("latin-1")
-    return F.from_json(F.lit(json.dumps(tokens)), "array<string>")
+@cache
+def read_pairs(path: str) -> tuple[list[int], list[int]]:
+    return packed_pairs(read_ranks(path))
 
 
-def rank_of(literal: Column, token: Column) -> Column:
-    """The token's rank; null if it has none."""
-    return F.element_at(F.get(literal, F.crc32(token.cast("binary")).bitwiseAND(BUCKETS - 1).cast("int")), token)
+def pair_literals(ranks: dict[bytes, int], pairs: tuple[list[int], list[int]]) -> Column:
+    """struct of literal arrays: the rank map of pairs (shift, entries) and the single bytes' ranks."""
+    found = {"shift": pairs[0], "entries": pairs[1], "bytes": [ranks.get(bytes([b]), NONE) for b in range(256)]}
+    return F.struct(*[F.from_json(F.lit(json.dumps(x)), "array<bigint>").alias(name) for name, x in found.items()])
 
 
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """use(value) with value worked out once, and in the plan once, however often use refers to it."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+    """use(value) with value worked out once, and in the plan once, however often use refers to it.
+
+    The largest of an array of one is that one, and array_max keeps its type, where taking an item works out the type
+    of the whole expression anew for each row.
+    """
+    return F.array_max(F.transform(F.array(value), use))
 
 
-def encode_word(word: Column, literal: Column) -> Column:
-    """Ids of a word given as a string of bytes: its own rank, or the fold of its bytes' ranked merges.
+def merged_ids(word: Column, pairs: Column, outside: int) -> Column:
+    """Ids of a word (binary) after all ranked merges of its bytes, as a fold over an array of its pieces.
 
-    The state holds the pieces and the rank of every adjacent pair; each step merges the leftmost pair of the least
-    rank and looks up its two new neighbours only. Rank and place are compared as one number, PLACES being more than
-    a word folded here has bytes.
+    A piece is one number: the rank of it and its next piece together (NONE if that is no token), its place in the
+    word, and its id. So the least number is the leftmost pair of the least rank, and it is as many pieces from the
+    start as have a smaller place. A step takes it, puts the merged piece in, looks up its two new pairs and copies the
+    rest as slices; without a pair the state stays as it is. Before the first and after the last piece stands one
+    whose id (outside) is in no pair.
     """
-    size = F.length(word)
+    low = F.lit((1 << ID_BITS) - 1).cast("bigint")
+    below = F.lit((1 << (ID_BITS + PLACE_BITS)) - 1).cast("bigint")
+    places = F.lit(((1 << PLACE_BITS) - 1) << ID_BITS).cast("bigint")
+    none = F.lit(NONE << (ID_BITS + PLACE_BITS)).cast("bigint")
+
+    def pair_rank(left: Column, right: Column) -> Column:
+        """The rank of the pair, where a piece's number has it."""
+        entry = F.get(pairs["entries"], (F.get(pairs["shift"], left.cast("int")) + right).cast("int"))
+        return F.when(F.shiftright(entry, ID_BITS) == left, F.shiftleft(entry.bitwiseAND(low), ID_BITS + PLACE_BITS)).otherwise(none)
 
     def step(state: Column, _: Column) -> Column:
-        p, r = state["p"], state["r"]
+        def merge(least: Column, k: Column) -> Column:
+            """The state with its pieces k and k + 1 (from 0) as one."""
+
+            new, before = F.shiftright(least, ID_BITS + PLACE_BITS), F.get(state, k - 1)
+            left = pair_rank(before.bitwiseAND(low), new).bitwiseOR(before.bitwiseAND(below))
+            merged = pair_rank(new, F.get(state, k + 2).bitwiseAND(low)).bitwiseOR(least.bitwiseAND(places)).bitwiseOR(new)
+            return F.concat(F.slice(state, F.lit(1), k - 1), F.array(left, merged), F.slice(state, k + 3, F.size(state)))
+
+        def least(x: Column) -> Column:
+            at = x.bitwiseAND(below)
+            k = F.size(F.filter(state, lambda y: y.bitwiseAND(below) < at))
+            return F.when(x >= none, state).otherwise(bound(k, lambda k: merge(x, k)))
 
-        def merged(k: Column) -> Column:
-            def put(new: Column) -> Column:
-                pieces = F.transform(F.filter(p, lambda _, i: i != k + 1), lambda x, i: F.when(i == k, new).otherwise(x))
-                left, right = rank_of(literal, F.concat(F.get(p, k - 1), new)), rank_of(literal, F.concat(new, F.get(p, k + 2)))
-                ranks = F.transform(F.filter(r, lambda _, i: i != k), lambda x, i: F.when(i == k - 1, left).when(i == k, right).otherwise(x))
-                return F.struct(pieces.alias("p"), ranks.alias("r"))
+        return bound(F.array_min(state), least)
 
-            return bound(F.concat(F.get(p, k), F.get(p, k + 1)), put)
+    def start(ids: Column) -> Column:
+        pieces = F.transform(ids, lambda i, k: pair_rank(i, F.coalesce(F.get(ids, k + 1), F.lit(outside).cast("bigint"))).bitwiseOR(F.shiftleft((k + 1).cast("bigint"), ID_BITS).bitwiseOR(i)))
+        return F.concat(F.array(none.bitwiseOR(F.lit(outside).cast("bigint"))), pieces, F.array(none.bitwiseOR(F.lit((((1 << PLACE_BITS) - 1) << ID_BITS) | outside).cast("bigint"))))
 
-        least = F.array_min(F.transform(r, lambda x, i: x * PLACES + i))
-        return bound(least, lambda x: F.when(x.isNull(), state).otherwise(bound(x.bitwiseAND(PLACES - 1), merged)))
+    n = F.octet_length(word)
+    ids = bound(F.decode(word, "ISO-8859-1"), lambda t: F.transform(F.sequence(F.lit(1), n), lambda i: F.get(pairs["bytes"], F.ascii(F.substring(t, i, 1)))))
+    folded = F.aggregate(F.sequence(F.lit(2), F.greatest(n, F.lit(2))), bound(ids, start), step)
+    return bound(folded, lambda f: F.transform(F.slice(f, 2, F.size(f) - 2), lambda x: x.bitwiseAND(low).cast("int")))
 
-    pairs = F.transform(F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1))), lambda i: rank_of(literal, F.substring(word, i, 2)))
-    start = F.struct(F.split(word, "").alias("p"), pairs.alias("r"))
-    folded = F.aggregate(F.sequence(F.lit(2), F.greatest(size, F.lit(2))), start, step, lambda s: F.transform(s["p"], lambda x: rank_of(literal, x)))
-    own = rank_of(literal, word)
-    return F.when(size == 0, F.array().cast("array<int>")).when(own.isNotNull(), F.array(own)).otherwise(folded)
+
+def encode_word(word: Column, path: str) -> Column:
+    """Ids of a word (binary, not empty) that is no token itself: what the fold of its ranked merges leaves."""
+    ranks = read_ranks(path)
+    return bound(pair_literals(ranks, read_pairs(path)), lambda pairs: merged_ids(word, pairs, max(ranks.values(), default=-1) + 1))
 
 
 def decode_word(ids: Column, tokens: Column) -> Column:
-    """The bytes of ids, their tokens' pieces put together."""
-    return F.encode(F.array_join(F.transform(ids, lambda i: F.get(tokens, i)), ""), "ISO-8859-1")
+    """The bytes of ids: their tokens' binary pieces, concatenated."""
+    return F.aggregate(ids, F.lit(b""), lambda done, i: F.concat(done, F.get(tokens, i)))
 
 
 def merge_by_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -186,15 +246,16 @@ def spark_pattern(pattern: str) -> str:
     return pattern.replace("[^\\s", f"[^{SPACE}").replace("\\s", f"[{SPACE}]").replace("\\S", f"[^{SPACE}]")
 
 
-def encoded(rows: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """rows with ids and bytes of the column word (bytes as characters); null where word is null."""
-    rank_map, tokens = rank_literal(ranks), token_literal(ranks)
-    rows = rows.withColumn("ids", F.when(F.col("word").isNotNull(), bound(rank_map, lambda m: encode_word(F.col("word"), m))))
+def encoded(rows: DataFrame, path: str) -> DataFrame:
+    """rows (word binary, ready array<int>, ...) with ids (ready, else those of word) and their bytes; null where both are null."""
+    tokens = token_literal(read_ranks(path))
+    rows = rows.withColumn("ids", F.coalesce("ready", F.when(F.col("word").isNotNull(), encode_word(F.col("word"), path)))).drop("ready")
     return rows.withColumn("bytes", F.when(F.col("ids").isNotNull(), bound(tokens, lambda t: decode_word(F.col("ids"), t))))
 
 
-def frequent_words(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> list[tuple[str, list[int], bytes]]:
+def frequent_words(docs: DataFrame, path: str, pattern: str) -> list[tuple[str, list[int], bytes]]:
     """(word, ids, bytes) of the most frequent words of about HEAD_DOCUMENTS documents, HEAD_WORDS at most."""
+    ranks = read_ranks(path)
     share = min(1.0, HEAD_DOCUMENTS / max(docs.count(), 1))
     sample = docs.where(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1_000_000)) < int(share * 1_000_000)).select("text")
 
@@ -210,13 +271,14 @@ def frequent_words(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> li
                 for chunk, n in zip(listed, np.bincount(index, minlength=len(listed)).tolist(), strict=True):
                     for word in find(chunk):
                         many[word] = many.get(word, 0) + n
-                short = {w.decode("latin-1"): n for w, n in ((w.encode(), n) for w, n in many.items()) if len(w) <= 64}
-                yield pa.RecordBatch.from_arrays([pa.array(list(short), pa.string()), pa.array(list(short.values()), pa.int64())], ["word", "n"])
+                short = {w: n for w, n in ((w.encode(), n) for w, n in many.items()) if len(w) <= 64}
+                own = [None if rank is None else [rank] for rank in map(ranks.get, short)]
+                yield pa.RecordBatch.from_arrays([pa.array(list(short), pa.binary()), pa.array(own, READY), pa.array(list(short.values()), pa.int64())], ["word", "ready", "n"])
 
-    counted = sample.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = sample.mapInArrow(count, "word binary, ready array<int>, n long").groupBy("word").agg(F.sum("n").alias("n"), F.first("ready").alias("ready"))
     top = counted.orderBy(F.desc("n"), "word").limit(HEAD_WORDS)
-    rows = encoded(top.repartition(docs.sparkSession.sparkContext.defaultParallelism), ranks).select("word", "ids", "bytes").toArrow()
-    words = [w.encode("latin-1").decode() for w in rows.column(0).to_pylist()]
+    rows = encoded(top.repartition(docs.sparkSession.sparkContext.defaultParallelism), path).select("word", "ids", "bytes").toArrow()
+    words = [w.decode() for w in rows.column(0).to_pylist()]
     return list(zip(words, rows.column(1).to_pylist(), rows.column(2).to_pylist(), strict=True))
 
 
@@ -239,7 +301,7 @@ def encode_documents(docs: DataFrame, *, path: str | None = None, pattern: str |
     ranks = read_ranks(path)
     kind = docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select("doc_id", "text")
-    frequent = frequent_words(docs, ranks, pattern)
+    frequent = frequent_words(docs, path, pattern)
     head = docs.sparkSession.sparkContext.broadcast({w: i for i, (w, _, _) in enumerate(frequent)})
     head_store = docs.sparkSession.sparkContext.broadcast(Held.of([x for _, x, _ in frequent], [x for _, _, x in frequent]))
 
@@ -248,7 +310,9 @@ def encode_documents(docs: DataFrame, *, path: str | None = None, pattern: str |
 
         find = regex.compile(pattern).findall
         common = head.value
-        known: dict[str, int] = {}  # number of each further word, after those of the common ones
+        count = len(common)  # numbers given, those of the common words first
+        older: dict[str, int] = {}  # number of each further word
+        known: dict[str, int] = {}  # and of those that came in the newer half
         chunks: dict[str, tuple[int, ...]] = {}  # chunk: its words' numbers
         names = ["kind", "doc_id", "numbers", "word", "ready"]
         for whole in batches:
@@ -256,11 +320,14 @@ def encode_documents(docs: DataFrame, *, path: str | None = None, pattern: str |
             for a, b in byte_slices(column, 2 << 20):
                 if len(chunks) > HELD_CHUNKS:
                     chunks = {}
-                if len(known) > HELD:
-                    known, chunks = {}, {}
-                    yield pa.RecordBatch.from_arrays([pa.array([2], pa.int32()), pa.nulls(1, ids.type), pa.nulls(1, pa.binary()), pa.nulls(1, pa.string()), pa.nulls(1, pa.binary())], names)
+                if len(known) > HELD // 2:
+                    live = np.fromiter(known.values(), np.int32, len(known)).tobytes()
+                    older, known, chunks = dict(zip(known, range(len(common), len(common) + len(known)), strict=True)), {}, {}
+                    count = len(common) + len(older)
+                    yield pa.RecordBatch.from_arrays([pa.array([2], pa.int32()), pa.nulls(1, ids.type), pa.array([live], pa.binary()), pa.nulls(1, pa.binary()), pa.nulls(1, READY)], names)
                 offsets, index, listed = chunks_of(column.slice(a, b - a))
-                fresh: list[str] = []
+                fresh: list[bytes | None] = []
+                ready: list[list[int] | None] = []
                 mapped = []
                 for chunk in listed:
                     numbers = chunks.get(chunk)
@@ -271,8 +338,22 @@ def encode_documents(docs: DataFrame, *, path: str | None = None, pattern: str |
                             if number is None:
                                 number = known.get(word)
                                 if number is None:
-                                    number = known[word] = len(common) + len(known)
-                                    fresh.append(word)
+                                    number = older.get(word)
+                                    if number is None:
+                                        coded = word.encode()
+                                        if len(coded) > LONG_WORD:
+                                            merged = merge_by_heap(coded, ranks)
+                                            for i in range(0, len(merged), PART):
+                                                fresh.append(None)
+                                                ready.append(merged[i : i + PART])
+                                                numbers.append(count)
+                                                count += 1
+                                            continue
+                                        number, count = count, count + 1
+                                        own = ranks.get(coded)
+                                        fresh.append(coded if own is None else None)
+                                        ready.append(None if own is None else [own])
+                                    known[word] = number
                             numbers.append(number)
                         numbers = tuple(numbers)
                         if len(chunk) <= LONG_WORD:
@@ -281,21 +362,16 @@ def encode_documents(docs: DataFrame, *, path: str | None = None, pattern: str |
                 lengths = np.fromiter(map(len, mapped), np.int64, len(mapped))
                 flat = np.fromiter(chain.from_iterable(mapped), np.int32, int(lengths.sum()))
                 if fresh:
-                    coded = [w.encode() for w in fresh]
-                    short = [len(w) <= LONG_WORD for w in coded]
                     n = len(fresh)
-                    as_text = pa.array([w.decode("latin-1") if s else None for w, s in zip(coded, short, strict=True)], pa.string())
-                    ready = pa.array([None if s else np.array(merge_by_heap(w, ranks), "<i4").tobytes() for w, s in zip(coded, short, strict=True)], pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(np.ones(n, np.int32)), pa.nulls(n, ids.type), pa.nulls(n, pa.binary()), as_text, ready], names)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.ones(n, np.int32)), pa.nulls(n, ids.type), pa.nulls(n, pa.binary()), pa.array(fresh, pa.binary()), pa.array(ready, READY)], names)
                 all_numbers, ends = ragged(flat, np.concatenate([[0], np.cumsum(lengths)]), index)
                 bounds = ends[offsets]
                 rows = [all_numbers[s:e].tobytes() for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
                 n = b - a
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), ids.slice(a, n), pa.array(rows, pa.binary()), pa.nulls(n, pa.string()), pa.nulls(n, pa.binary())], names)
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), ids.slice(a, n), pa.array(rows, pa.binary()), pa.nulls(n, pa.binary()), pa.nulls(n, READY)], names)
 
-    told = encoded(docs.mapInArrow(words, f"kind int, doc_id {kind}, numbers binary, word string, ready binary"), ranks)
-    told = told.select("kind", "doc_id", "numbers", "ids", "ready", "bytes")
-    tokens = [t for t, _ in sorted(ranks.items(), key=lambda x: x[1])] if ranks else []
+    told = encoded(docs.mapInArrow(words, f"kind int, doc_id {kind}, numbers binary, word binary, ready array<int>"), path)
+    told = told.select("kind", "doc_id", "numbers", "ids", "bytes")
 
     def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store = head_store.value.copy()
@@ -307,12 +383,15 @@ def encode_documents(docs: DataFrame, *, path: str | None = None, pattern: str |
                 batch = whole.slice(part[0], len(part))
                 own = np.asarray(batch.column(0))
                 if own[0] == 2:
-                    store = head_store.value.copy()
-                store.learn(batch.filter(pa.array(own == 1)), tokens)
+                    store.keep(len(head_store.value), np.frombuffer(batch.column(2)[0].as_buffer(), np.int32).astype(np.int64))
+                learnt = batch.filter(pa.array(own == 1))
+                store.add(learnt.column(3), learnt.column(4))
                 rows = batch.filter(pa.array(own == 0))
                 n_tokens, ids_hash, text_hash, ids_out, text_out = [], [], [], [], []
                 for numbers in rows.column(2):
                     of = np.frombuffer(numbers.as_buffer(), np.int32).astype(np.int64)
+                    if len(of) and of.max() >= len(store):
+                        raise RuntimeError("a document came before its words: the rows of a partition were reordered")
                     ids, _ = ragged(store.ids, store.id_bounds, of)
                     text, _ = ragged(store.bytes, store.byte_bounds, of)
                     n_tokens.append(len(ids))
@@ -347,18 +426,18 @@ class Held:
         return out
 
     def add(self, ids: pa.Array, text: pa.Array) -> None:
+        if not len(ids):
+            return
         self.ids = np.concatenate([self.ids, np.asarray(ids.flatten())])
         self.id_bounds = np.concatenate([self.id_bounds, self.id_bounds[-1] + np.cumsum(np.asarray(ids.value_lengths()), dtype=np.int64)])
         self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(text.to_pylist()), np.uint8)])
         self.byte_bounds = np.concatenate([self.byte_bounds, self.byte_bounds[-1] + np.cumsum(np.asarray(pc.binary_length(text)), dtype=np.int64)])
 
-    def learn(self, rows: pa.RecordBatch, tokens: list[bytes]) -> None:
-        if not rows.num_rows:
-            return
-        ids, text = rows.column(3), rows.column(5)
-        if rows.column(4).null_count < rows.num_rows:  # very long words come with their ids
-            listed, ready = ids.to_pylist(), rows.column(4).to_pylist()
-            listed = [x if r is None else np.frombuffer(r, "<i4") for x, r in zip(listed, ready, strict=True)]
-            ids = pa.array(listed, pa.list_(pa.int32()))
-            text = pa.array([x if r is None else b"".join(tokens[i] for i in np.frombuffer(r, "<i4")) for x, r in zip(text.to_pylist(), ready, strict=True)], pa.binary())
-        self.add(ids, text)
+    def keep(self, head: int, live: np.ndarray) -> None:
+        """Only the first `head` words and then those numbered `live`, in that order."""
+        of = np.concatenate([np.arange(head), live])
+        self.ids, self.id_bounds = ragged(self.ids, self.id_bounds, of)
+        self.bytes, self.byte_bounds = ragged(self.bytes, self.byte_bounds, of)
+
+    def __len__(self) -> int:
+        return len(self.id_bounds) - 1
