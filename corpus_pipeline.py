@@ -9,8 +9,8 @@ from quire.llm import language, lines, packing, simhash, toxicity
 from quire.llm.storage import fresh_path
 
 TOXIC = 0.7
-#: Near duplicates: shingles of so many words, their least Jaccard, and the bits in which fingerprints of such texts may differ.
-WORDS, JACCARD, REACH = 5, 0.8, 16
+#: Near duplicates: shingles of so many words, their least Jaccard, and the bits in which word fingerprints of such texts may differ.
+WORDS, JACCARD, REACH = 5, 0.8, 10
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from .storage import cut
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(id, component) for every id in edges (a, b): component is the smallest id reachable.
 
     Alternating large-star and small-star steps: every node points its neighbours at its smallest neighbour, so the
-    edge list never grows beyond its first size and ends as one star per component in a logarithmic number of rounds.
+    edge list never grows beyond its first size and ends as one star per component. Rounds go on until nothing changes;
+    their number is logarithmic.
     Minima are aggregated before shuffling; joins on a node with very many neighbours can be split by Spark (AQE).
     Ids are non-null; a self-loop is a component of its own; an empty table gives none.
     """
@@ -22,7 +23,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     loops = edges.where("a = b").select("a").distinct()
     now = cut(directed(edges))
     before = None
-    for _ in range(most_rounds):
+    while True:
         # large star: all larger neighbours of a node, and it, go to the smallest of its neighbours and itself
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))

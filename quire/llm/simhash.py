@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -19,16 +20,18 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .storage import cut
-from .vectors import forest
 
 BITS = 64
 SEED = 42
 SAMPLE = 8192
-BUCKET = 8192
-#: Sets of shingles in a block of a group.
-SETS = 256
-#: Bits in which second fingerprints of a pair may differ: at a Jaccard of 0.8 eight do on average.
-MARK_REACH = 20
+#: Rows of a bucket in one task; larger buckets are verified block by block.
+BUCKET = 1 << 16
+#: Shingles (of 8 bytes) in a block of a group, and comparisons of fingerprints at once.
+SHINGLES, AT_ONCE = 1 << 20, 1 << 21
+#: Bits of 128 in which further fingerprints of a pair may differ: at a Jaccard of 0.8 twenty do on average.
+MARK_REACH = 40
+#: Work of sending a row to a bucket, in comparisons of two fingerprints.
+ROW = 1000
 #: Keys of texts to compare that are broadcast at most.
 BROADCAST_KEYS = 200_000
 
@@ -54,6 +57,14 @@ def shingle_hashes(text: str, words: int) -> np.ndarray:
     return np.fromiter((xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts, ends[words - 1 :], strict=True)), np.uint64, len(starts))
 
 
+def word_hashes(text: str) -> np.ndarray:
+    """XXH64 of the distinct words."""
+    from xxhash import xxh64_intdigest
+
+    found = set(text.encode("utf-8", "surrogatepass").lower().split())
+    return np.fromiter((xxh64_intdigest(w, SEED) for w in found), np.uint64, len(found))
+
+
 def fingerprints(docs: DataFrame, words: int = 3, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns to keep and fp, the 64 bits as a signed long. Null, empty and blank texts have fingerprint zero."""
     kept = docs.select(*keep, "text")
@@ -147,78 +158,96 @@ def plan(sample: np.ndarray, n: int, reach: int, row: float = 50) -> list[tuple[
     return min(options, key=lambda x: x[0])[1]
 
 
+def joined(label: np.ndarray, p: np.ndarray, q: np.ndarray) -> None:
+    """Make rows p[i] and q[i] one group each: label[row] is the smallest row of its group, before and after."""
+    while len(p):
+        a, b = label[p], label[q]
+        apart = a != b
+        p, q, a, b = p[apart], q[apart], a[apart], b[apart]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while (label[label] != label).any():
+            label[:] = label[label]
+
+
 def close_pairs(fps: DataFrame, reach: int = 2, row: float = 50, jaccard: float = 0) -> DataFrame:
     """(a, b): distinct fingerprints (fp) linked at reach or fewer differing bits, as a spanning forest of each bucket.
 
-    Of sets (set, fp, mark, size) the same for sets, less pairs whose sizes exclude the Jaccard or whose marks, second
-    fingerprints, differ in over MARK_REACH bits: without those, chance links of a wide reach connect most of a table.
+    Of sets (set, fp, mark, mark2, size) the same for sets, less pairs whose sizes exclude the Jaccard or whose marks,
+    further fingerprints, differ in over MARK_REACH bits: without those, chance links of a wide reach connect most of a
+    table. Buckets of over BUCKET rows are few (a share of the rows, counted): they are dealt out by pairs of blocks.
     """
     sets = "set" in fps.columns
-    names = ["fp", "set", "mark", "size"] if sets else ["fp"]
-    name = "set" if sets else "fp"
+    names = ["set", "fp", "mark", "mark2"] if sets else ["fp"]
+    name = names[0]
     n = fps.count()
     sample = np.array([r["fp"] for r in fps.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()], np.int64)
     if n < 2:
         return fps.select(F.col(name).alias("a"), F.col(name).alias("b")).limit(0)
     parts = plan(sample, n, reach, row)
+    rows = n * sum(comb(len(own), j) for own, t in parts for j in range(t + 1))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each fingerprint at its own value of each partition, and as a question at the values within the threshold."""
+        """Each fingerprint at its own value of each partition (tag odd), and as a question at the values within the threshold."""
         for batch in batches:
-            fp = np.asarray(batch.column(0)).view(np.uint64)
+            fp = np.asarray(batch.column(names.index("fp"))).view(np.uint64)
+            tag = np.asarray(batch.column(len(names))) << 3 if sets else np.zeros(len(fp), np.int64)
             for k, (own, t) in enumerate(parts):
-                mask = np.uint64(sum(1 << b for b in own))
-                value = fp & mask
+                value = fp & np.uint64(sum(1 << b for b in own))
                 for j in range(t + 1):
                     for flip in combinations(own, j):
-                        asked = (value ^ np.uint64(sum(1 << b for b in flip))).view(np.int64)
-                        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(fp), k, np.int32)), pa.array(asked), pa.array(np.full(len(fp), j == 0))], [*names, "part", "value", "own"])
-
-    probed = fps.select(*names).mapInArrow(probe, ", ".join(f"{c} long" for c in names) + ", part int, value long, own boolean")
-    wide = max((len(own) for own, t in parts), default=0) <= 16
-    if not wide:
-        probed = cut(probed)
-    # only buckets that hold a pair; large ones are verified block by block
-    sizes = probed.groupBy("part", "value").agg(F.count(F.lit(1)).alias("size"), F.count_if("own").alias("owners")).where("size > 1 and owners > 0")
-    sizes = sizes.withColumn("blocks", F.ceil(F.col("size") / BUCKET).cast("int"))
-    if wide:  # few values, nearly all of which hold pairs: only those of several blocks (one in BUCKET rows at most) are looked up
-        large = sizes.where("blocks > 1").select("part", "value", "blocks")
-        held = probed.join(F.broadcast(large), ["part", "value"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    else:
-        held = probed.join(sizes, ["part", "value"])
-    held = held.withColumn("block", F.pmod(F.xxhash64(name), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    held = held.select("part", "value", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "own", *names)
+                        key = mixed((value ^ np.uint64(sum(1 << b for b in flip))) + np.uint64(k) * np.uint64(0xD6E8FEB86659FD93))
+                        yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(tag | (j == 0)), pa.array(key.view(np.int64))], [*names, "tag", "key"])
+
+    probed = fps.select(*names, *["size"] * sets).mapInArrow(probe, ", ".join(f"{c} long" for c in [*names, "tag", "key"]))
+    cell = F.pmod("key", F.lit(min(1 << 20, max(1, 8 * rows // BUCKET))))
+    crowded = probed.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > BUCKET).select("cell")
+    large = probed.withColumn("cell", cell).join(F.broadcast(crowded), "cell", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    large = large.where(F.col("size") > BUCKET).select("key", F.ceil(F.col("size") / BUCKET).cast("int").alias("blocks"))
+    held = probed.join(F.broadcast(large), "key", "left")  # one in BUCKET rows at most
+    block = F.pmod(F.xxhash64(name), F.col("blocks")).cast("int")
+    other = F.when(F.col("blocks").isNull(), F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
+    held = held.withColumn("block", block).withColumn("other", F.explode(other))
     # many small buckets share a group, so that a task's Python work isn't one call per bucket
-    held = held.withColumn("deal", F.when(F.col("j") > 0, F.xxhash64("part", "value", "i", "j")).otherwise(F.pmod(F.xxhash64("part", "value"), F.lit(max(1, n // 4096)))))
+    deal = F.when(F.col("other") < 0, F.pmod("key", F.lit(max(1, rows // BUCKET)))).otherwise(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")))
+    side = F.when(F.col("block") < F.col("other"), 2).when(F.col("block") > F.col("other"), 4).otherwise(0)  # of a pair of blocks
+    held = held.select(deal.alias("deal"), "key", F.col("tag").bitwiseOR(side.cast("bigint")).alias("tag"), *names)
 
     def verify(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["part", "value", "i", "j"], kind="stable")
-        keys = rows[["part", "value", "i", "j"]].to_numpy()
-        edges = np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1
-        bounds = [0, *edges.tolist(), len(rows)]
-        fp, own, block, ids = (rows[c].to_numpy() for c in ("fp", "own", "block", name))
-        if sets:
-            mark, size = rows["mark"].to_numpy().view(np.uint64), rows["size"].to_numpy()
-        out_a, out_b = [], []
-        for s, e in zip(bounds, bounds[1:], strict=False):
-            if e - s < 2:
-                continue
-            i, j = keys[s, 2], keys[s, 3]
-            left, right = (np.arange(s, e),) * 2 if i == j else (s + np.flatnonzero(block[s:e] == i), s + np.flatnonzero(block[s:e] == j))
-            # of a pair one at least is at its own value; the other may ask there
-            for l, r in [(left, right)] if i == j else [(left, right), (right, left)]:
-                l = l[own[l]]
-                for at in range(0, len(l), 512):
-                    near = np.bitwise_count(fp[l[at : at + 512]][:, None].view(np.uint64) ^ fp[r][None].view(np.uint64)) <= reach
-                    p, q = np.nonzero(near)
-                    p, q = l[at + p], r[q]
-                    keep = ids[p] != ids[q]
-                    if sets:
-                        keep &= (np.bitwise_count(mark[p] ^ mark[q]) <= MARK_REACH) & (np.minimum(size[p], size[q]) >= jaccard * np.maximum(size[p], size[q]) - 1e-9)
-                    a, b = forest(ids[p[keep]], ids[q[keep]])
-                    out_a += a
-                    out_b += b
-        return pd.DataFrame({"a": np.array(out_a, np.int64), "b": np.array(out_b, np.int64)})
+        key, tag = rows["key"].to_numpy(), rows["tag"].to_numpy()
+        order = np.lexsort((1 - (tag & 1), key))  # in a bucket those at their own value first
+        key, tag = key[order], tag[order]
+        ids, *rest = (rows[c].to_numpy()[order] for c in names)
+        prints = [x.view(np.uint64) for x in rest or [ids]]
+        own, side, size = (tag & 1).astype(bool), tag & 6, tag >> 3
+        label = np.arange(len(key))
+
+        def link(p: np.ndarray, q: np.ndarray) -> None:
+            """Join the rows of those pairs that are within reach."""
+            near = np.bitwise_count(prints[0][p] ^ prints[0][q]) <= reach
+            p, q = p[near], q[near]
+            keep = (ids[p] != ids[q]) & ((side[p] == 0) | (side[p] != side[q]))
+            if sets:
+                keep &= np.bitwise_count(prints[1][p] ^ prints[1][q]) + np.bitwise_count(prints[2][p] ^ prints[2][q]) <= MARK_REACH
+                keep &= np.minimum(size[p], size[q]) >= jaccard * np.maximum(size[p], size[q]) - 1e-9
+            joined(label, p[keep], q[keep])
+
+        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        sizes = np.diff(np.append(starts, len(key)))
+        narrow = np.repeat(sizes <= 32, sizes)
+        for d in range(1, int(sizes[sizes <= 32].max(initial=1))):
+            p = np.flatnonzero((key[:-d] == key[d:]) & narrow[:-d] & own[:-d])  # of a pair one at least is at its own value
+            link(p, p + d)
+        for s, many in zip(starts[sizes > 32].tolist(), sizes[sizes > 32].tolist(), strict=True):
+            owners = int(own[s : s + many].sum())
+            at = s
+            while at < s + owners:
+                step = min(max(1, AT_ONCE // (s + many - at)), s + owners - at)
+                near = np.bitwise_count(prints[0][at : at + step, None] ^ prints[0][None, at : s + many]) <= reach
+                p, q = np.nonzero(near)
+                link(at + p, at + q)
+                at += step
+        found = np.flatnonzero(label != np.arange(len(label)))
+        return pd.DataFrame({"a": ids[found], "b": ids[label[found]]})
 
     return held.groupBy("deal").applyInPandas(verify, "a long, b long")
 
@@ -256,7 +285,10 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def set_keys(docs: DataFrame, words: int, keep: tuple[str, ...], whole: bool = False) -> DataFrame:
-    """The columns to keep, and set (a digest of the distinct shingles), with fp, mark (a second fingerprint) and size.
+    """The columns to keep, and set (a digest of the distinct shingles), with fp, two marks and size (their number).
+
+    fp is the fingerprint of the distinct single words: a changed word changes `words` shingles but one word, so texts
+    of similar shingles lie much closer there. The marks are fingerprints of the shingles.
 
     With whole, the columns to keep, set and the sorted shingles.
     """
@@ -267,7 +299,7 @@ def set_keys(docs: DataFrame, words: int, keep: tuple[str, ...], whole: bool = F
         from xxhash import xxh3_64_intdigest
 
         for batch in batches:
-            fp, mark, key, size = np.zeros((4, batch.num_rows), np.uint64)
+            fp, mark, mark2, key, size = np.zeros((5, batch.num_rows), np.uint64)
             own = []
             for i, text in enumerate(batch.column(len(keep))):
                 hashes = shingle_hashes(text.as_py() or "", words)
@@ -277,12 +309,12 @@ def set_keys(docs: DataFrame, words: int, keep: tuple[str, ...], whole: bool = F
                 if whole:
                     own.append(held)
                 elif len(hashes):
-                    fp[i], mark[i] = fingerprint_of(hashes), fingerprint_of(mixed(hashes))
+                    fp[i], mark[i], mark2[i] = fingerprint_of(word_hashes(text.as_py())), fingerprint_of(distinct), fingerprint_of(mixed(distinct))
             found = {"set": pa.array(key.view(np.int64))}
-            found |= {"shingles": pa.array(own, pa.binary())} if whole else {n: pa.array(x.view(np.int64)) for n, x in (("fp", fp), ("mark", mark), ("size", size))}
+            found |= {"shingles": pa.array(own, pa.binary())} if whole else {n: pa.array(x.view(np.int64)) for n, x in (("fp", fp), ("mark", mark), ("mark2", mark2), ("size", size))}
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *found.values()], [*keep, *found])
 
-    return kept.mapInArrow(compute, f"{schema}{', ' if schema else ''}set long, {'shingles binary' if whole else 'fp long, mark long, size long'}")
+    return kept.mapInArrow(compute, f"{schema}{', ' if schema else ''}set long, {'shingles binary' if whole else 'fp long, mark long, mark2 long, size long'}")
 
 
 def similar_sets(left: list[np.ndarray], right: list[np.ndarray], names: np.ndarray, others: np.ndarray, least: float) -> tuple[list[int], list[int]]:
@@ -318,18 +350,18 @@ def similar_groups(rows: DataFrame, words: int, reach: int, jaccard: float) -> D
     block, so that no task holds more than two blocks of a group. Only the reach, of both fingerprints, can miss a pair.
     """
     marked = cut(set_keys(rows, words, ("doc_id", "__key")))
-    sets = cut(marked.groupBy("set").agg(*[F.min(c).alias(c) for c in ("fp", "mark", "size", "__key")]))
-    near = components(cut(close_pairs(sets.drop("__key"), reach, row=400, jaccard=jaccard))).select(F.col("id").alias("set"), F.col("component").alias("near"))
-    placed = sets.select("set", "__key").join(near, "set")
-    sizes = placed.groupBy("near").agg(F.count(F.lit(1)).alias("size"))
-    placed = cut(placed.join(sizes, "near").withColumn("blocks", F.ceil(F.col("size") / SETS).cast("int")))
+    sets = cut(marked.groupBy("set").agg(*[F.min(c).alias(c) for c in ("fp", "mark", "mark2", "size", "__key")]))
+    near = components(close_pairs(sets.drop("__key"), reach, row=ROW, jaccard=jaccard)).select(F.col("id").alias("set"), F.col("component").alias("near"))
+    placed = sets.select("set", "__key", "size").join(near, "set")
+    blocks = placed.groupBy("near").agg(F.ceil(F.sum("size") / SHINGLES).cast("int").alias("blocks"))
+    placed = cut(placed.join(blocks, "near").drop("size"))
     number = placed.count()
     keys = placed.select("__key").distinct()
     keys = F.broadcast(keys) if number <= BROADCAST_KEYS else keys  # counted, so safe to broadcast
     texts = set_keys(rows.join(keys, "__key", "left_semi"), words, (), whole=True).dropDuplicates(["set"])
-    held = texts.join(placed.drop("__key", "size"), "set").withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
+    held = texts.join(placed.drop("__key"), "set").withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
     held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    deals = max(1, number // SETS)
+    deals = max(1, number // 256)
     deal = F.when(F.col("blocks") > 1, F.xxhash64("near", F.least("block", "other"), F.greatest("block", "other"))).otherwise(F.pmod(F.xxhash64("near"), F.lit(deals)))
     held = held.select(deal.alias("deal"), "near", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "set", "shingles")
 

@@ -53,5 +53,6 @@ def test_pipeline_finds_near_copies_of_five_words(spark, monkeypatch):
     gone = set(range(len(texts))) - want
     assert want <= got  # no text goes without a partner of Jaccard 0.8
     assert len(gone - got) >= 0.98 * len(gone)
-    monkeypatch.setattr(simhash, "SETS", 2)  # groups of several blocks
+    monkeypatch.setattr(simhash, "SHINGLES", 600)  # groups of several blocks
+    monkeypatch.setattr(simhash, "BUCKET", 16)  # and buckets
     assert got == {r["doc_id"] for r in corpus_pipeline.one_of_each(spark, docs, "").select("doc_id").collect()}
