@@ -54,7 +54,6 @@ class WordEncoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         # byte b as the printable character that the byte-level vocabulary uses for it
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
@@ -216,7 +215,8 @@ def pack(docs: DataFrame, *, path: str | None = None, end_id: int = 2, window: i
     """Pack docs (doc_id, text) into windows: one row per piece with its sequence_id and offset.
 
     A null or empty text is its end token alone. Repeated rows and null ids are packed like any other row. An empty
-    table gives none. Groups hold about `group` remainders whatever their ids, so no key makes a large one.
+    table gives none. Very long texts are cut into full windows, a slice of rows at a time. Other columns of docs are
+    left out, whatever their names. Groups hold about `group` remainders whatever their ids, so no key makes a large one.
     """
     pieces = cut(encode_pieces(docs, path or vocabulary_path(), end_id, window, with_ids))
     # the pieces are read from written files, so the row numbers that deal them out are the same on every reread
