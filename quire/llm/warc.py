@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from .storage import cut, fresh_path
 
-RECORDS_PER_ARCHIVE = 5000
+#: (bytes of HTML and URL, records of at most so many in an archive): archives stay under some 300 MB unless one record is larger.
+ARCHIVES = [(1 << 16, 4096), (1 << 20, 256), (1 << 24, 16), (None, 1)]
 #: Sampled captures per key range, and at most in all.
 PER_RANGE, SPLITTER_SAMPLE = 50, 200_000
 RANGE_ROWS = 50_000
@@ -44,10 +45,18 @@ def url_key(url: Column) -> Column:
     return F.when(host == "", bare).otherwise(F.concat(F.array_join(F.reverse(F.split(host, r"\.")), ","), F.lit(")"), F.when(rest == "", "/").otherwise(rest)))
 
 
+def utc(captured: Column) -> Column:
+    """ISO 8601 of a timestamp in UTC, whatever the session's time zone."""
+    seconds = F.unix_seconds(captured)
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(seconds / 86400).cast("int")).cast("string")
+    part = lambda n, of: F.lpad((F.floor(seconds / n) % of + of).cast("int") % of, 2, "0")
+    return F.concat(day, F.lit("T"), part(3600, 24), F.lit(":"), part(60, 60), F.lit(":"), part(1, 60), F.lit("Z"))
+
+
 def with_types(pages: DataFrame, least_bytes: int) -> DataFrame:
     """pages with payload, payload_bytes, payload_digest, record_type and refers_to."""
     payload = F.coalesce(F.col("html"), F.lit(""))
-    base = pages.select("page_id", "url", "captured", payload.alias("payload"), F.octet_length(payload).cast("long").alias("payload_bytes"), sha1_base32(payload).alias("payload_digest"))
+    base = pages.select("page_id", "url", "captured", *[c for c in pages.columns if c == "__kind"], payload.alias("payload"), F.octet_length(payload).cast("long").alias("payload_bytes"), sha1_base32(payload).alias("payload_digest"))
     same = base.where(F.col("payload_bytes") >= least_bytes).groupBy("payload_digest").agg(F.max("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
     same = cut(same.where("n > 1 and first is not null").drop("n"))
     few = same.count() <= BROADCAST_ROWS  # otherwise Spark shuffles both sides and splits hot digests
@@ -70,7 +79,7 @@ def record(captured: Column) -> Column:
         F.lit(f"WARC/1.1{NEWLINE}"),
         header("WARC-Type", F.col("record_type")),
         header("WARC-Record-ID", F.coalesce(uuid(page), F.lit("<urn:uuid:00000000-0000-0000-0000-000000000000>"))),
-        header("WARC-Date", F.date_format(captured, "yyyy-MM-dd'T'HH:mm:ss'Z'")),
+        header("WARC-Date", utc(captured)),
         header("WARC-Target-URI", target),
         header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
         header("WARC-Refers-To", uuid(F.col("refers_to"))),
@@ -86,15 +95,30 @@ def record(captured: Column) -> Column:
     return F.concat(*lines)
 
 
-def write_archives(pages: DataFrame, path: str, *, least_bytes: int = 0, per_archive: int = RECORDS_PER_ARCHIVE) -> None:
-    """Write pages (page_id, url, html, captured) as gzipped WARC files of at most per_archive records each."""
-    rows = with_types(pages, least_bytes).select(record(F.col("captured")).alias("value"))
-    rows.write.option("lineSep", NEWLINE * 2).option("maxRecordsPerFile", per_archive).option("zlib.compress.level", "BEST_SPEED").text(path, compression="gzip")
-
+def write_archives(pages: DataFrame, path: str, *, least_bytes: int = 0, archives: list[tuple[int | None, int]] | None = None) -> int:
+    """Write pages (page_id, url, html, captured) as gzipped WARC files, bounded in bytes; the number of pages.
 
-def parse_records(chunks: Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, block) of each record of an archive that arrives in chunks; at most one record is held."""
-    chunks, held = iter(chunks), bytearray()
+    Records of each size class of `archives` go to files of their own with at most as many records as it says.
+    """
+    archives = archives or ARCHIVES
+    size = F.coalesce(F.octet_length("html"), F.lit(0)) + F.coalesce(F.octet_length("url"), F.lit(0))
+    kind = F.lit(len(archives) - 1)
+    for i, (bound, _) in reversed(list(enumerate(archives[:-1]))):
+        kind = F.when(size <= bound, i).otherwise(kind)
+    counts = {r["kind"]: r["n"] for r in pages.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    typed = with_types(pages.withColumn("__kind", kind), least_bytes)
+    for i in sorted(counts) or [0]:
+        rows = typed.where(F.col("__kind") == i).select(record(F.col("captured")).alias("value"))
+        rows.write.option("lineSep", NEWLINE * 2).option("maxRecordsPerFile", archives[i][1]).option("zlib.compress.level", "BEST_SPEED").text(f"{path}/size={i}", compression="gzip")
+    return sum(counts.values())
+
+
+def parse_records(chunks: Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes, int, int]]:
+    """(headers, block, offset, length) of each record of an archive that arrives in chunks; at most one record is held.
+
+    offset and length are of the record, less its closing line ends, in the archive without compression.
+    """
+    chunks, held, at = iter(chunks), bytearray(), 0
 
     def need(n: int) -> bool:
         while len(held) < n:
@@ -107,6 +131,7 @@ def parse_records(chunks: Iterable[bytes]) -> Iterator[tuple[dict[str, str], byt
     while True:
         while need(2) and held[:2] == b"\r\n":
             del held[:2]
+            at += 2
         if not need(1):
             return
         end, seen = -1, 0
@@ -121,8 +146,9 @@ def parse_records(chunks: Iterable[bytes]) -> Iterator[tuple[dict[str, str], byt
         stop = end + 4 + int(headers["content-length"])
         if not need(stop):
             raise ValueError("a record's block is cut short")
-        yield headers, bytes(held[end + 4 : stop])
+        yield headers, bytes(held[end + 4 : stop]), at, stop
         del held[:stop]
+        at += stop
 
 
 def unzipped(content: memoryview, step: int = 1 << 20) -> Iterator[bytes]:
@@ -137,8 +163,8 @@ def unzipped(content: memoryview, step: int = 1 << 20) -> Iterator[bytes]:
                 data, reader = reader.unused_data, zlib.decompressobj(31)
 
 
-def capture(headers: dict[str, str], block: bytes) -> tuple:
-    """(url_key, time, page_id, payload_bytes, payload_digest, record_type, refers_to) of a record."""
+def capture(archive: str, headers: dict[str, str], block: bytes, offset: int, length: int) -> tuple:
+    """(url_key, time, page_id, payload_bytes, payload_digest, record_type, refers_to, archive, offset, length) of a record."""
     http, _, payload = block.partition(b"\r\n\r\n")
     number = lambda k: int(headers[k]) if k in headers else None
     if headers["warc-type"] == "revisit":
@@ -148,7 +174,7 @@ def capture(headers: dict[str, str], block: bytes) -> tuple:
         size, digest = len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()
         if "sha1:" + digest != headers["warc-payload-digest"]:
             raise ValueError(f"payload of {headers['warc-record-id']} differs from its digest")
-    return (headers.get("x-url-key", ""), headers.get("warc-date", ""), number("x-page"), size, digest, headers["warc-type"], number("x-refers-to-page"))
+    return (headers.get("x-url-key", ""), headers.get("warc-date", ""), number("x-page"), size, digest, headers["warc-type"], number("x-refers-to-page"), archive, offset, length)
 
 
 def order(c: tuple) -> tuple:
@@ -198,7 +224,7 @@ def splitters(pages: DataFrame, ranges: int) -> list[tuple]:
     """ranges - 1 (url_key, time, page_id) that cut the captures about evenly, from PER_RANGE sampled rows for each."""
     if ranges < 2:
         return []
-    keys = pages.select(F.regexp_replace(url_key(F.col("url")), r"[\x00-\x1f\x7f]", "").alias("k"), F.coalesce(F.date_format("captured", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit("")).alias("t"), "page_id")
+    keys = pages.select(F.regexp_replace(url_key(F.col("url")), r"[\x00-\x1f\x7f]", "").alias("k"), F.coalesce(utc(F.col("captured")), F.lit("")).alias("t"), "page_id")
     got = sorted(order((r["k"], r["t"], r["page_id"])) for r in keys.orderBy(F.xxhash64("k", "t", "page_id")).limit(min(SPLITTER_SAMPLE, PER_RANGE * ranges)).collect())
     return sorted({got[len(got) * i // ranges] for i in range(1, ranges)}) if got else []
 
@@ -206,16 +232,17 @@ def splitters(pages: DataFrame, ranges: int) -> list[tuple]:
 def read_index(spark: SparkSession, path: str, bounds: list[tuple], page_type: str = "bigint") -> DataFrame:
     """Captures of all archives under path in global order: (index_part, index_pos) ascend with url_key, time, page_id.
 
-    A run is one archive's captures, sorted where it is read. `bounds` (sorted order() tuples) cut the runs.
+    A run is one archive's captures, sorted where it is read. `bounds` (sorted order() tuples) cut the runs. archive,
+    record_offset and record_length say where a record stands (in the archive without compression).
     """
-    fields = f"url_key string, captured string, page_id {page_type}, payload_bytes long, payload_digest string, record_type string, refers_to {page_type}"
+    fields = f"url_key string, captured string, page_id {page_type}, payload_bytes long, payload_digest string, record_type string, refers_to {page_type}, archive string, record_offset long, record_length long"
     names = [f.split()[0] for f in fields.split(", ")]
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        struct = pa.list_(pa.struct([(n, pa.int64() if n in ("page_id", "payload_bytes", "refers_to") else pa.string()) for n in names]))
+        struct = pa.list_(pa.struct([(n, pa.int64() if n in ("page_id", "payload_bytes", "refers_to", "record_offset", "record_length") else pa.string()) for n in names]))
         for batch in batches:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                run = sorted((capture(*r) for r in parse_records(unzipped(memoryview(content.as_buffer())))), key=order)
+                run = sorted((capture(f"{name.split('/')[-2]}/{name.split('/')[-1]}", *r) for r in parse_records(unzipped(memoryview(content.as_buffer())))), key=order)
                 pieces: dict[int, list[dict]] = {}
                 for c in run:
                     pieces.setdefault(bisect_right(bounds, order(c)), []).append(dict(zip(names, c, strict=True)))
@@ -240,10 +267,11 @@ def archive(pages: DataFrame, path: str | None = None, *, least_bytes: int = 0)
 
     Of records with equal payloads of at least least_bytes, the one with the largest page_id is a response and the
     others are revisits that refer to it; rows that repeat that largest page_id are responses too. A null html is an
-    empty payload; null ids and URLs stay null or empty. An empty table gives an empty index.
+    empty payload; null ids and URLs stay null or empty. Very large pages go to archives of their own. Rows that repeat
+    a page_id are records with one record id, captures each. Other columns are left out, whatever their names. An empty
+    table gives an empty index.
     """
     spark = pages.sparkSession
     path = path or fresh_path(spark, "warc")
-    write_archives(pages, path, least_bytes=least_bytes)
-    bounds = splitters(pages, max(1, -(-pages.count() // RANGE_ROWS)))
+    bounds = splitters(pages, max(1, -(-write_archives(pages, path, least_bytes=least_bytes) // RANGE_ROWS)))
     return read_index(spark, path, bounds)
