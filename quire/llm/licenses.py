@@ -133,19 +133,27 @@ def known_licenses(spark: SparkSession, known: list[tuple[str, str]] | None = No
     return rows.groupBy("digest").agg(F.min("license").alias("license"))
 
 
-def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
+#: Each notice and licence of KNOWN has one of these words, in every spelling.
+TELLING = "(?i)licen|permission|redistribution|mozilla|mpl"
+
+
+def scan(docs: DataFrame, known: DataFrame | None = None, telling: str | None = None) -> DataFrame:
     """docs (doc_id, text, ...) as (doc_id, text_digest, text_license, notice_licenses, n_notices), one row per row.
 
     text_license: the licence that the whole text is, else null. notice_licenses: sorted names of those that a line
     or a paragraph (between blank lines) of it is; n_notices: the number of such lines and paragraphs that differ.
-    A null text has a null digest and no licence; an empty one has the digest of the empty form. Rows that repeat a
-    doc_id come out once each with the notices of all of them.
+    With known, (license, digest) rows of your own, every line and paragraph is looked up, unless `telling`, a pattern
+    that all of those texts match, leaves the others out beforehand; without, TELLING does so for the texts of KNOWN.
+    A null text has a null digest and no licence; an empty one has the digest of the empty form. Very long texts are
+    looked up whole. Rows that repeat a doc_id come out once each with the notices of all of them; null ids stay. Other
+    columns of docs are left out, whatever their names; an empty table gives none.
     """
+    telling = telling or (TELLING if known is None else None)
     known = known if known is not None else known_licenses(docs.sparkSession)
     parts = F.array_union(F.split("text", "\n"), F.split("text", r"\n[ \t\r]*\n"))
     # what cannot be a notice, for want of any word that licences have, isn't normalised
-    telling = F.filter(parts, lambda p: p.rlike("(?i)licen|permission|redistribution|mozilla|mpl"))
-    units = docs.where(F.col("text").rlike("(?i)licen|permission|redistribution|mozilla|mpl")).select("doc_id", F.explode(telling).alias("part"))
+    units = docs.where(F.col("text").rlike(telling)) if telling else docs
+    units = units.select("doc_id", F.explode(F.filter(parts, lambda p: p.rlike(telling)) if telling else parts).alias("part"))
     units = units.select("doc_id", digest(F.col("part")).alias("digest"))
     notices = units.join(known, "digest").groupBy("doc_id").agg(F.array_sort(F.collect_set("license")).alias("notice_licenses"), F.count_distinct("digest").alias("n_notices"))
     whole = docs.select("doc_id", digest(F.col("text")).alias("text_digest"))
@@ -173,7 +181,7 @@ WITH k AS (SELECT digest, min(license) AS license FROM (SELECT {digest_sql("text
 u AS (SELECT DISTINCT doc_id, part FROM (
         SELECT doc_id, unnest(string_split(text, chr(10))) AS part FROM documents
         UNION ALL SELECT doc_id, unnest(regexp_split_to_array(text, '\\n[ \\t\\r]*\\n')) FROM documents)
-      WHERE regexp_matches(part, '(?i)licen|permission|redistribution|mozilla|mpl')),
+      WHERE regexp_matches(part, {quoted(TELLING)})),
 d AS (SELECT DISTINCT doc_id, {digest_sql("part")} AS digest FROM u),
 n AS (SELECT doc_id, list_sort(list_distinct(list(license))) AS notice_licenses, count(*) AS n_notices FROM d JOIN k USING (digest) GROUP BY doc_id),
 w AS (SELECT doc_id, {digest_sql("text")} AS text_digest FROM documents)
