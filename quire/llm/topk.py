@@ -21,6 +21,8 @@ from .storage import cut
 DIMENSIONS = 16
 CHUNK = 8192
 QUERIES = 2048
+#: Whole numbers below it are exact in doubles.
+EXACT = 2.0**53
 
 
 def chunk_top(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, k: int, step: int = DIMENSIONS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -57,22 +59,37 @@ def chunk_top(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_
     return np.concatenate(out_q), np.concatenate(out_r), np.concatenate(out_s)
 
 
+def large_top(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """chunk_top for components whose scores doubles can't hold: Python's whole numbers, score by score."""
+    whole = lambda table: np.array([[int(x) for x in row] for row in table], object)
+    rows = whole(rows)
+    out = []
+    for i, q in enumerate(whole(queries)):
+        scores = (rows * q).sum(axis=1)
+        best = sorted((r for r in range(len(rows)) if row_ids[r] != query_ids[i]), key=lambda r: (-scores[r], row_ids[r]))[:k]
+        out += [(i, r, scores[r]) for r in best]
+    return np.array([i for i, _, _ in out], np.int64), np.array([r for _, r, _ in out], np.int64), np.array([s for _, _, s in out], object)
+
+
 def vectors(table: DataFrame) -> DataFrame:
     """(vec_id, v) with v = floor(256 x) per component as doubles.
 
     Left out: vectors that are null or empty or hold a null or non-finite component, and rows without a vec_id.
     """
     whole = F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & F.forall("embedding", lambda x: F.coalesce(x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")), F.lit(False)))
-    return table.where(F.coalesce(whole, F.lit(False))).select("vec_id", F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("double")).alias("v"))
+    scaled = lambda x: F.when(F.abs(x) < EXACT, F.floor(x).cast("double")).otherwise(x)  # a larger double is whole
+    return table.where(F.coalesce(whole, F.lit(False))).select("vec_id", F.transform("embedding", lambda x: scaled(x.cast("double") * 256)).alias("v"))
 
 
 def top_k(table: DataFrame, *, k: int = 5, query_every: int = 50, chunk: int = CHUNK, block: int = QUERIES) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best rows for every row whose vec_id is divisible by query_every.
 
-    Integer scores are exact while components keep below 2^20 or so (their products' sums below 2^53). Vectors of
-    different lengths never meet. Repeated rows of one vec_id count as one. An empty table gives no row.
+    Scores are exact: where doubles can't hold a chunk's, whole numbers of any size count, far more slowly; a score
+    among the k best that no long holds fails the job. Equal scores go by the smaller vec_id. Vectors of different
+    lengths never meet. Of rows that repeat a vec_id the least vector counts. Other columns are left out, whatever their
+    names. An empty table gives no row.
     """
-    data = vectors(table).dropDuplicates(["vec_id"])
+    data = vectors(table).groupBy("vec_id").agg(F.min("v").alias("v"))
     data = cut(data.withColumn("n", F.size("v")))
     n = data.count()
     chunks = max(1, -(-n // chunk))
@@ -90,8 +107,10 @@ def top_k(table: DataFrame, *, k: int = 5, query_every: int = 50, chunk: int = C
                 continue
             x, ids = np.stack(own["v"].to_numpy()), own["vec_id"].to_numpy()
             names = asking["vec_id"].to_numpy()
-            q, r, s = chunk_top(np.stack(asking["v"].to_numpy()), names, x, ids, k)
-            found.append(pd.DataFrame({"query_id": names[q], "vec_id": ids[r], "score": s.astype(np.int64)}))
+            asked_of = np.stack(asking["v"].to_numpy())
+            small = dims * np.abs(x).max() * np.abs(asked_of).max() < EXACT
+            q, r, s = (chunk_top if small else large_top)(asked_of, names, x, ids, k)
+            found.append(pd.DataFrame({"query_id": names[q], "vec_id": ids[r], "score": np.array(s.tolist(), np.int64)}))
         return pd.concat(found) if found else pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_id", "vec_id", "score")})
 
     # a task holds one block of queries and one chunk of rows
