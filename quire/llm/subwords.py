@@ -1,6 +1,6 @@
 """Words of Arrow text batches and their hashed byte n-grams, for the two embedding classifiers.
 
-A batch is split into words once, its distinct words are hashed once, and documents are sums or maxima over
+A batch is split into words once, its distinct words are hashed once, and documents are sums over
 word indices: the cost in Python is per batch, never per row or word.
 """
 
@@ -50,8 +50,8 @@ def byte_slices(column: pa.Array, at_most: int = SLICE_BYTES) -> Iterator[tuple[
 
 
 def split_words(texts: pa.Array) -> Words:
-    """Lower-cased words between ASCII white space, without punctuation at their ends; null texts have none."""
-    lists = pc.ascii_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
+    """Lower-cased words between ASCII white space, without punctuation at their ends; one empty word for a text without any."""
+    lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.utf8_lower(pc.fill_null(texts, ""))))
     offsets = np.asarray(lists.offsets).astype(np.int64)
     coded = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
     trimmed = pc.utf8_trim(coded.dictionary, characters=EDGE_PUNCTUATION).dictionary_encode()
@@ -108,12 +108,3 @@ def row_sums(values: np.ndarray, words: Words) -> np.ndarray:
     """Sum over each row's words of values[word]."""
     total = np.concatenate([[0.0], np.cumsum(values[words.index])])
     return total[words.offsets[1:]] - total[words.offsets[:-1]]
-
-
-def row_max(values: np.ndarray, words: Words, empty: float) -> np.ndarray:
-    """Largest of values[word] in each row; empty for a row without words."""
-    out = np.full(len(words.offsets) - 1, empty)
-    some = np.diff(words.offsets) > 0
-    if some.any():
-        out[some] = np.maximum.reduceat(values[words.index], words.offsets[:-1][some])
-    return out

@@ -1,8 +1,9 @@
 """Toxicity: subword-bag embeddings averaged into a linear softmax, trained jointly in numpy.
 
-A word is the average of its character n-gram embeddings, so a misspelling shares most of its vectors with the
-word it disguises. A document is as toxic as its most toxic word (one insult in a long text is not averaged
-away), and the logit of that word is calibrated on labelled documents outside the fit.
+A bag is a run of WINDOW words: the average of the embeddings of all their character n-grams, so a misspelling shares
+most of its vectors with the word it disguises. Embeddings and softmax start at random and are fitted together; a
+document's evidence is that of its most toxic bag (one insult in a long text isn't averaged away), which the fit
+approaches by weighting bags ever more sharply. That evidence is calibrated on labelled documents outside the fit.
 """
 
 from __future__ import annotations
@@ -17,7 +18,15 @@ from pyspark.sql import functions as F
 
 from . import subwords as sw
 
+#: Words of a bag. Evidence of a text without a word.
+WINDOW = 2
 EMPTY = -30.0
+#: How many times as sharply bags are weighted at the end of the fit; the slope by which n-grams hardly move.
+SHARPNESS, FLOOR = 30.0, 1e-6
+#: Share that embeddings lose in an epoch.
+DECAY = 0.05
+#: Texts of more characters aren't fitted on, so that the sample has a bound in bytes too.
+FIT_CHARS = 20_000
 
 
 @dataclass
@@ -29,13 +38,36 @@ class ToxicityModel:
     def scores(self, texts: pa.Array) -> np.ndarray:
         words = sw.split_words(texts)
         sums, n = sw.word_sums(words.distinct, self.table)
-        top = sw.row_max(sums[:, 0] / np.maximum(n, 1), words, EMPTY)
+        start, end, row = bags(words.offsets)
+        top = np.full(len(texts), EMPTY)
+        if len(start):
+            grams = between(n, words.index, start, end)
+            average = np.where(grams > 0, between(sums[:, 0], words.index, start, end) / np.maximum(grams, 1), EMPTY)
+            first = np.flatnonzero(np.diff(row, prepend=-1))
+            top[row[first]] = np.maximum.reduceat(average, first)
         return 1 / (1 + np.exp(-np.clip(self.slope * top + self.shift, -30, 30)))
 
 
+def bags(offsets: np.ndarray, size: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, row) of every run of `size` words of a row, of all its words if it has fewer; in the order of rows."""
+    many = np.diff(offsets)
+    count = np.where(many > 0, np.maximum(many - size + 1, 1), 0)
+    row = np.repeat(np.arange(len(many)), count)
+    start = offsets[:-1][row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    return start, np.minimum(start + size, offsets[1:][row]), row
+
+
+def between(values: np.ndarray, index: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Sums of values[index] from start to end."""
+    total = np.concatenate([[0.0], np.cumsum(values[index])])
+    return total[end] - total[start]
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int) -> list[tuple[str, int]]:
     """Up to per_class (text, toxic) rows of each class, chosen by a hash of doc_id; clean ones up to 3 x per_class.
 
+    Texts of over FIT_CHARS characters aren't among them. Of rows that repeat a doc_id, the greatest text and label count.
+
     Only label rows are sampled before the join, so the broadcast side has 4 x per_class rows at most.
     """
     one = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -46,7 +78,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int) -> list[
         share = min(1.0, 1.1 * bound / max(counts.get(toxic, 0), 1))
         part = one.where((F.col("toxic") == toxic) & (draw < int(share * 1_000_000) + 1)).limit(bound)
         wanted = part if wanted is None else wanted.unionByName(part)
-    rows = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"), F.max("toxic").alias("toxic"))
+    rows = docs.where(F.coalesce(F.length("text"), F.lit(0)) <= FIT_CHARS).select("doc_id", "text").join(F.broadcast(wanted), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"), F.max("toxic").alias("toxic"))
     return [(r["text"] or "", r["toxic"]) for r in rows.orderBy("doc_id").collect()]
 
 
@@ -58,7 +90,7 @@ def gathered(to: np.ndarray, size: int, values: np.ndarray, at: np.ndarray, step
     return out
 
 
-def fit_toxicity(rows: list[tuple[str, int]], *, bits: int = 18, dim: int = 8, epochs: int = 60, seed: int = 11) -> ToxicityModel:
+def fit_toxicity(rows: list[tuple[str, int]], *, bits: int = 18, dim: int = 8, epochs: int = 60, rate: float = 1.0, seed: int = 11) -> ToxicityModel:
     """Fit on (text, 0 or 1) rows; a quarter of them calibrates. With one class only, every score is that of no evidence."""
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(rows))
@@ -68,65 +100,50 @@ def fit_toxicity(rows: list[tuple[str, int]], *, bits: int = 18, dim: int = 8, e
     words = sw.split_words(pa.array([rows[i][0] for i in order], pa.string()))
     of, bucket = sw.ngrams(words.distinct, bits)
     size = len(words.distinct)
-    grams = np.maximum(np.bincount(of, minlength=size), 1)
-    pairs = np.repeat(np.arange(len(y), dtype=np.int64) * size, np.diff(words.offsets))
-    pairs += words.index
-    pairs = np.unique(pairs)
-    row, word = (pairs // size).astype(np.int32), (pairs % size).astype(np.int32)
-    del pairs, words
-    fit = np.arange(len(y)) >= len(y) // 4
-    inside = fit[row]
-    row_in, word_in = row[inside], word[inside]
-    n1, n0 = (y[fit] == 1).sum(), (y[fit] == 0).sum()
-    c1 = np.bincount(word_in, weights=y[row_in], minlength=size)
-    c0 = np.bincount(word_in, weights=1 - y[row_in], minlength=size)
-    # start: each word's cautious log-odds (two standard errors towards no evidence), handed to its n-grams
-    odds = np.log((c1 + 0.5) / (n1 + 1)) - np.log((c0 + 0.5) / (n0 + 1))
-    error = np.sqrt(1 / (c1 + 0.5) + 1 / (c0 + 0.5))
-    odds = np.clip(odds - 2 * np.minimum(error, 2), -4, 4)
-    evidence = c1 + c0
-    seen = gathered(bucket, 1 << bits, evidence, of)
-    start = gathered(bucket, 1 << bits, evidence * odds, of) / (seen + 3)
-    direction = rng.normal(0, 1, dim)
-    direction /= np.linalg.norm(direction)
-    embedding = rng.normal(0, 0.01, (1 << bits, dim)) + start[:, None] * direction[None]
-    softmax = np.stack([-direction / 2, direction / 2], axis=1)
-    bias = -1.0
-    weight = np.where(y == 1, len(y) / (2 * max(n1, 1)), len(y) / (2 * max(n0, 1)))
-    starts = np.flatnonzero(np.diff(row_in, prepend=-1))
-    docs_in = row_in[starts]
-    of_doc = np.repeat(np.arange(len(starts), dtype=np.int32), np.diff(np.append(starts, len(row_in))))
-    second = np.zeros(1 << bits)
+    grams = np.bincount(of, minlength=size)
+    index = words.index.astype(np.int32)
+    start, end, row = bags(words.offsets)
+    held = len(y) // 4
+    fitted = int(np.searchsorted(row, held))  # the first rows calibrate
+    s_in, e_in, r_in = start[fitted:], end[fitted:], row[fitted:] - held
+    many = np.maximum(between(grams, index, start, end), 1)
+    starts = np.flatnonzero(np.diff(r_in, prepend=-1))
+    docs_in = r_in[starts]
+    bags_of = np.diff(np.append(starts, len(r_in)))
+    t = y[held:][docs_in]
+    weight = np.where(t == 1, 0.5 / max((t == 1).sum(), 1), 0.5 / max((t == 0).sum(), 1))
+    embedding = rng.normal(0, 0.02, (1 << bits, dim)).astype(np.float32)
+    softmax = rng.normal(0, 0.5, (dim, 2)).astype(np.float32)
+    bias, second, inertia = 0.0, np.full(1 << bits, 1e-12), np.zeros(1 << bits)
     for epoch in range(epochs):
+        done = epoch / max(epochs - 1, 1)
         u = softmax[:, 1] - softmax[:, 0]
         value = embedding @ u
-        logit = gathered(of, size, value, bucket) / grams
-        near = logit.astype(np.float32)[word_in]
-        top = np.maximum.reduceat(near, starts)
-        near -= top[of_doc]
-        near *= 3
-        np.exp(near, out=near)
-        near /= np.add.reduceat(near, starts)[of_doc]
-        wrong = (1 / (1 + np.exp(-(top + bias))) - y[docs_in]) * weight[docs_in] / len(docs_in)
-        per_word = np.bincount(word_in, weights=near * wrong.astype(np.float32)[of_doc], minlength=size)
-        active = np.flatnonzero(per_word)
-        chosen = np.zeros(size, bool)
-        chosen[active] = True
-        use = chosen[of]
-        slope = np.bincount(bucket[use], weights=(per_word / grams)[of[use]], minlength=1 << bits)
-        second = 0.9 * second + 0.1 * slope**2
-        pull = slope / (np.sqrt(second) + 1e-5)
-        touched = np.flatnonzero(slope)
-        into = embedding[touched].T @ slope[touched]
-        embedding[touched] -= 0.15 * pull[touched, None] * u[None]
-        softmax[:, 1] -= 0.5 * into
-        softmax[:, 0] += 0.5 * into
-        bias -= 0.5 * wrong.sum()
-    table = (embedding @ (softmax[:, 1] - softmax[:, 0])).astype(np.float32)[:, None]
-    logit = gathered(of, size, table[:, 0], bucket) / grams
+        of_word = gathered(of, size, value, bucket)
+        logit = between(of_word, index, s_in, e_in) / many[fitted:]
+        # bags count by a softmax of their evidence, from nearly alike to the largest alone
+        share = np.exp((logit - np.repeat(np.maximum.reduceat(logit, starts), bags_of)) * SHARPNESS ** done)
+        share /= np.repeat(np.add.reduceat(share, starts), bags_of)
+        whole = np.add.reduceat(share * logit, starts)
+        wrong = (1 / (1 + np.exp(-np.clip(whole + bias, -30, 30))) - t) * weight
+        back = share * np.repeat(wrong, bags_of) / many[fitted:]
+        change = np.bincount(s_in, weights=back, minlength=len(index) + 1) - np.bincount(e_in, weights=back, minlength=len(index) + 1)
+        per_word = np.bincount(index, weights=np.cumsum(change)[:-1], minlength=size)
+        slope = gathered(bucket, 1 << bits, per_word, of)
+        into = embedding.T @ slope
+        inertia = 0.8 * inertia + 0.2 * slope
+        second = np.maximum(0.95 * second, slope * slope)
+        embedding *= 1 - DECAY
+        embedding -= (rate * inertia / (np.sqrt(second) + FLOOR))[:, None].astype(np.float32) * u[None]
+        softmax[:, 1] -= rate * into
+        softmax[:, 0] += rate * into
+        bias -= rate * wrong.sum()
+    table = (embedding @ (softmax[:, 1] - softmax[:, 0]))[:, None]
+    logit = np.where(between(grams, index, start, end) > 0, between(gathered(of, size, table[:, 0], bucket), index, start, end) / many, EMPTY)
+    fit = np.arange(len(y)) >= held
     starts = np.flatnonzero(np.diff(row, prepend=-1))
     top = np.full(len(y), EMPTY)
-    top[row[starts]] = np.maximum.reduceat(logit[word], starts)
+    top[row[starts]] = np.maximum.reduceat(logit, starts)
     out = ~fit & (top > EMPTY)
     x, t = top[out], y[out]
     if len(set(t.tolist())) < 2:
@@ -145,7 +162,11 @@ def fit_toxicity(rows: list[tuple[str, int]], *, bits: int = 18, dim: int = 8, e
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """docs with tox_score (0 to 1) for every row and whole text; null and empty texts score as texts without a word."""
+    """docs with tox_score (0 to 1) for every row and whole text; null and empty texts score as texts without a word.
+
+    Very long texts are taken whole, a slice of rows at a time. Other columns pass through (one named tox_score is
+    replaced), repeated rows and null ids stay, an empty table gives none, and equal evidence gives equal scores.
+    """
     keep = [c for c in docs.columns if c != "tox_score"]
     kept = docs.select(*[F.col(f"`{c}`") for c in keep])
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields) + ", tox_score double"
