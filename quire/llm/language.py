@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from . import subwords as sw
 
 UNKNOWN = "und"
+#: Texts of more characters aren't fitted on, so that the sample has a bound in bytes too.
+FIT_CHARS = 20_000
 
 
 @dataclass
@@ -48,18 +50,21 @@ def remainder(doc_id: Column) -> Column:
 
 
 def labelled_sample(docs: DataFrame, per_language: int) -> list[tuple[str, str]]:
-    """Up to per_language (text, lang) rows of each language, chosen by a hash of doc_id and text."""
-    rows = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("doc_id", "text", "lang")
+    """Up to per_language (text, lang) rows of each language, chosen by a hash of doc_id and length.
+
+    Texts of over FIT_CHARS characters aren't among them. One scan counts, one draws, whatever the number of languages.
+    """
+    rows = docs.where(F.col("lang").isNotNull() & (F.length("text") <= FIT_CHARS) & F.col("text").rlike(r"\p{L}")).select("doc_id", "text", "lang")
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return []
     draw = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1_000_000))
-    wanted = None
-    for lang, n in sorted(counts.items()):
-        share = min(1.0, 1.3 * per_language / n)
-        part = rows.where((F.col("lang") == lang) & (draw < int(share * 1_000_000) + 1)).limit(per_language)
-        wanted = part if wanted is None else wanted.unionByName(part)
-    return [(r["text"], r["lang"]) for r in wanted.orderBy("lang", "doc_id", "text").select("text", "lang").collect()]
+    bounds = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, int(min(1.0, 1.3 * per_language / n) * 1_000_000) + 1)])
+    drawn = rows.withColumn("draw", draw).where(F.col("draw") < F.element_at(bounds, F.col("lang"))).collect()
+    of: dict[str, list[tuple[str, str]]] = {}
+    for r in sorted(drawn, key=lambda r: (r["draw"], str(r["doc_id"]), r["text"])):
+        of.setdefault(r["lang"], []).append((r["text"], r["lang"]))
+    return [row for lang in sorted(of) for row in of[lang][:per_language]]
 
 
 def fit_language(rows: list[tuple[str, str]], *, bits: int = 16, dim: int = 16, epochs: int = 6, rate: float = 0.5, lost: float = 0.001, seed: int = 7) -> LanguageModel | None:
@@ -110,7 +115,9 @@ def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     """docs with lang_pred, lang_score and lang_rejected for every row.
 
     lang_pred is `und`, lang_score 0 and lang_rejected true where the text is null or has no letter, or where
-    nothing could be learned. Other columns pass through; repeated rows stay.
+    nothing could be learned. Of classes of equal probability the first by name is taken. Very long texts are read whole,
+    a slice of rows at a time. Other columns pass through (those of the three names are replaced); repeated rows and null
+    ids stay; an empty table gives none.
     """
     text, flag = "text", "__has_letter"
     keep = [c for c in docs.columns if c not in ("lang_pred", "lang_score", "lang_rejected")]

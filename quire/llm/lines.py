@@ -34,7 +34,8 @@ def drop_boilerplate(docs: DataFrame, *, host: str = "source", ratio: float = RA
 
     A line goes where over `ratio` of the host's pages, and at least `least_pages` of them, contain it. Blank lines
     stay. A null text stays null with 0 dropped; a null host is a host of its own; repeated rows are pages of their
-    own. Documents keep all other columns, and none is dropped: a text of boilerplate alone becomes empty.
+    own. Documents keep all other columns (one named lines_dropped is replaced), and none is dropped: a text of
+    boilerplate alone becomes empty, an empty or very long one is treated like any other. An empty table gives none.
     """
     on = F.col(f"`{host}`")
     pages = docs.select(F.col("doc_id").alias("__id"), on.alias("__host"), F.filter(F.array_distinct(F.transform(lines(F.col("text")), digest)), lambda d: d.isNotNull()).alias("__lines"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
+    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where that is unset in local mode (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if named:
@@ -17,6 +17,8 @@ def shared_dir(spark: SparkSession) -> str:
             context.setCheckpointDir(named)
         return named
     if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
     return context.getCheckpointDir()
 
