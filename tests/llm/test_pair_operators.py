@@ -5,6 +5,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import importlib
+import gzip
+import pathlib
 import random
 
 import numpy as np
@@ -147,7 +149,7 @@ def test_archives(spark, tmp_path):
     rows = [(i, rng.choice([f"http://www.b{i % 4}.example.org:80/P?q={i % 3}#f", "https://a.example.com", None, "odd\r\nurl"]), h) for i, h in enumerate(html)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("captured", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("page_id") % 5)).repartition(3)
     path = str(tmp_path / "warc")
-    warc.write_archives(pages, path, per_archive=7)
+    warc.write_archives(pages, path, archives=[(None, 7)])
     bounds = warc.splitters(pages, 4)
     out = warc.read_index(spark, path, bounds).orderBy("index_part", "index_pos").collect()
     last = {}
@@ -159,6 +161,23 @@ def test_archives(spark, tmp_path):
     assert keys == sorted(keys) and len({r["index_part"] for r in out}) > 1
     assert "org,example,b1)/p?q=1" in {k for k, *_ in keys}
     assert warc.archive(pages.limit(0)).count() == 0
+    for r in out:  # each record stands where the index says
+        name = next(p for p in pathlib.Path(path).rglob("*.gz") if r["archive"].endswith(p.name))
+        whole = gzip.decompress(name.read_bytes())[r["record_offset"] : r["record_offset"] + r["record_length"]]
+        assert whole.startswith(b"WARC/1.1\r\n") and f"X-Page: {r['page_id']}\r\n".encode() in whole
+
+
+def test_archives_of_odd_pages(spark, tmp_path):
+    rows = [(None, "http://a.b/", "same", 0), (5, "http://a.b/", "same", 1), (5, "http://a.b/", "same", 1), (4, None, "same", 90), (6, "http://a.b/c", "y" * 70_000, 3)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, t long")
+    pages = pages.withColumn("captured", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("t"))).withColumn("payload", F.lit("clash")).withColumn("archive", F.lit(1))
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        out = warc.archive(pages, str(tmp_path / "odd")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    got = sorted(((r["page_id"] is not None, r["page_id"] or 0, r["record_type"], r["refers_to"], r["captured"]) for r in out))
+    assert got == [(False, 0, "response", None, "2023-11-14T22:13:20Z"), (True, 4, "revisit", 5, "2023-11-14T22:14:50Z"), (True, 5, "response", None, "2023-11-14T22:13:21Z"), (True, 5, "response", None, "2023-11-14T22:13:21Z"), (True, 6, "response", None, "2023-11-14T22:13:23Z")]
 
 
 def test_loser_tree_merges_any_number_of_runs():

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from quire.llm import topk
 
@@ -16,3 +17,11 @@ def test_queries_are_grouped_by_block(spark):
     plan = out._jdf.queryExecution().toString()
     assert re.search(r"FlatMapCoGroupsInPandas \[chunk#\d+, block#\d+\], \[chunk#\d+, block#\d+\]", plan)
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, topk.top_k(table, k=3, query_every=4).collect()))
+
+
+def test_large_components_ties_and_repeats(spark):
+    big = 2**27  # after scaling: scores beyond 2^53
+    rows = [(50, [big, 1]), (1, [big, 3]), (4, [big, 2]), (3, [big, 2]), (3, [big, 2]), (3, [big + 1, 9])]
+    table = spark.createDataFrame([(i, [x / 256 for x in v]) for i, v in rows], "vec_id long, embedding array<double>").withColumn("score", F.lit("clash"))
+    got = [tuple(r) for r in topk.top_k(table, k=3).orderBy("rank").collect()]
+    assert got == [(50, 1, 1, big * big + 3), (50, 2, 3, big * big + 2), (50, 3, 4, big * big + 2)]

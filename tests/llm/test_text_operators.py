@@ -93,9 +93,12 @@ def test_lines_match_brute_force(spark, odd, none, monkeypatch, broadcast):
 
 
 def test_packing_covers_every_token_once(odd, none):
-    out = packing.pack(odd, window=256, group=4, with_ids=True).collect()
-    encoder = packing.WordEncoder(packing.vocabulary_path())
-    want = sorted([*encoder.tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for _, t, *_ in ODD)
+    from tokenizers import Tokenizer
+
+    special = [(20, "hello <|endoftext|> x", "en", "a", 1), (21, "mid<|startoftext|>dle, it's<|endoftext|>'s <| endoftext|> <|ENDOFTEXT|>", "en", "a", 1)]
+    out = packing.pack(odd.select(DOCS_COLUMNS).unionByName(odd.sparkSession.createDataFrame(special, DOCS)), window=256, group=4, with_ids=True).collect()
+    plain = Tokenizer.from_file(packing.vocabulary_path())
+    want = sorted([*plain.encode(t or "", add_special_tokens=False).ids, 2] for _, t, *_ in ODD + special)
     docs = {}
     for r in out:
         ids = np.array(r["ids"], "<u4")
