@@ -1,33 +1,70 @@
-"""Closeness of two texts by matching blocks: no SQL function has it, so a pair at a time in Arrow batches."""
+"""Closeness of two texts by matching blocks: no SQL function has it, so distinct values at a time in Arrow batches."""
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
+from difflib import SequenceMatcher, get_close_matches
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql.types import DoubleType, StringType
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 # Section titles and their types in article XML.
-SECTION_TITLES = {"introduction": "intro", "synopsis": "intro", "materials": "materials", "methods": "methods", "methodology": "methods", "procedures": "methods", "results": "results", "statement of findings": "results", "discussion": "discussion", "interpretation": "discussion", "conclusions": "conclusions", "comments": "conclusions", "cases": "cases", "case reports": "cases", "subjects": "subjects", "participants": "subjects", "patients": "subjects", "supplementary materials": "supplementary-material"}
+SECTION_TITLES = {
+    "Cases": "cases",
+    "Case Reports": "cases",
+    "Conclusions": "conclusions",
+    "Comment": "conclusions",
+    "Discussion": "discussion",
+    "Interpretation": "discussion",
+    "Introduction": "intro",
+    "Synopsis": "intro",
+    "Materials": "materials",
+    "Methods": "methods",
+    "Methodology": "methods",
+    "Procedures": "methods",
+    "Results": "results",
+    "Statement of Findings": "results",
+    "Subjects": "subjects",
+    "Participants": "subjects",
+    "Patients": "subjects",
+    "Supplementary materials": "supplementary-material",
+}
 
 
 @F.pandas_udf(DoubleType())
 def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Twice the matching characters over all characters, 1 for equal texts; null where either is null."""
-    return pd.Series([None if x is None or y is None else 1.0 if x == y else SequenceMatcher(None, x, y, autojunk=False).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
+    """Twice the matching characters over all characters, 1 for equal texts; null where either is null.
 
+    Pairs that a batch has several times are compared once.
+    """
+    pairs = list(zip(a, b, strict=True))
+    known = {(x, y): 1.0 if x == y else SequenceMatcher(None, x, y, autojunk=False).ratio() for x, y in set(pairs) if x is not None and y is not None}
+    return pd.Series([known.get(p) for p in pairs], dtype="float64")
 
-def section_type(title: Column, cutoff: float = 0.6) -> Column:
-    """Types of the parts of a title, joined by |: each that of the closest known title, left out below the cutoff."""
-    options = F.array(*[F.struct(F.lit(t).alias("title"), F.lit(c).alias("code")) for t, c in SECTION_TITLES.items()])
 
-    def code(part: Column) -> Column:
-        # length-scaled edit distance stands for the ratio here: it is a JVM function
-        scored = F.transform(options, lambda o: F.struct((1 - F.levenshtein(part, o["title"]) / F.greatest(F.length(part), F.length(o["title"]))).alias("s"), o["code"].alias("code")))
-        best = F.array_max(scored)
-        return F.when(best["s"] >= cutoff, best["code"])
+def type_of(title: str, cutoff: float = 0.6) -> str:
+    """Types of the parts of a title (between " and "), joined by |: each that of the closest known title, none below the cutoff."""
+    closest = [get_close_matches(part, SECTION_TITLES, n=1, cutoff=cutoff) for part in title.split(" and ")]
+    return "|".join(SECTION_TITLES[found[0]] for found in closest if found)
 
-    parts = F.filter(F.split(F.lower(title), r"\s+and\s+"), lambda p: p != "")
-    return F.array_join(F.array_distinct(F.filter(F.transform(parts, code), lambda c: c.isNotNull())), "|")
+
+@F.pandas_udf(StringType())
+def section_type(title: pd.Series) -> pd.Series:
+    """type_of each distinct title; null for null."""
+    return title.map({t: type_of(t) for t in title.dropna().unique()})
+
+
+@F.pandas_udf(StringType())
+def closest_name(word: pd.Series, words: pd.Series) -> pd.Series:
+    """Of an array of names the one that equals word, else the first that differs from it by case only; null without one.
+
+    Names of another length don't count; of several, the closest by matching blocks comes first, then array order.
+    """
+
+    def pick(w: str, names: list[str]) -> str | None:
+        if w in names:
+            return w
+        as_long = [n for n in names if len(n) == len(w)]
+        return next((n for n in [*get_close_matches(w, as_long), *as_long] if n.upper() == w.upper()), None)
+
+    return pd.Series([None if w is None or n is None else pick(w, list(n)) for w, n in zip(word, words, strict=True)], dtype="object")

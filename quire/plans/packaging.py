@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from difflib import get_close_matches
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -167,14 +169,81 @@ def text_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", fuzzy.ratio("a", "b").alias("ratio"))
 
 
-@query("""
-SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'intro' WHEN 1 THEN 'materials|methods' WHEN 2 THEN 'discussion' ELSE '' END AS section_type FROM orders""")
+#: Known titles as they are, cut short, in other cases, in pairs and with words around them; and what is no title.
+TITLES = [f(t, u) for t, u in zip(fuzzy.SECTION_TITLES, [*list(fuzzy.SECTION_TITLES)[1:], "Zzz"], strict=True) for f in (lambda t, u: t, lambda t, u: t[:-2], lambda t, u: t.upper(), lambda t, u: t.lower(), lambda t, u: f"{t} and {u}", lambda t, u: f"Study {t}", lambda t, u: f"{t} and other {u}")] + ["", " and ", "Reports", "Case study", "Supplementary", "Study subjects"]
+
+
+def closest_sql() -> str:
+    """The titles' types by the standard library's closest matches, title by title."""
+    found = {t: "|".join(fuzzy.SECTION_TITLES[m] for part in t.split(" and ") for m in get_close_matches(part, list(fuzzy.SECTION_TITLES), 1, 0.6)) for t in TITLES}
+    return f"CASE o_orderkey % {len(TITLES)} {' '.join(f'WHEN {i} THEN {chr(39)}{found[t]}{chr(39)}' for i, t in enumerate(TITLES))} END"
+
+
+@query(f"SELECT o_orderkey, {closest_sql()} AS section_type FROM orders")
 def fuzzy_title(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("o_orderkey") % 4
-    title = F.when(k == 0, "Introducton").when(k == 1, "Materials and Method").when(k == 2, "Discusion").otherwise("Zzz")
+    title = F.get(F.array(*[F.lit(t) for t in TITLES]), (F.col("o_orderkey") % len(TITLES)).cast("int"))
     return table(spark, sf_dir, "orders").select("o_orderkey", fuzzy.section_type(title).alias("section_type"))
 
 
+@query("SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'Fig1.JPG' WHEN 1 THEN 'Fig1.JPG' WHEN 2 THEN 'Table.png' END AS found FROM orders")
+def closest_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File names as they are spelt in a folder."""
+    names = F.array(*[F.lit(x) for x in ("fig1.jpg", "Fig1.JPG", "Table.png", "fig10.jpg")])
+    k = F.col("o_orderkey") % 4
+    word = F.when(k == 0, "Fig1.JPG").when(k == 1, "fig1.JPG").when(k == 2, "tABLE.png").otherwise("fig2.jpg")
+    return table(spark, sf_dir, "orders").select("o_orderkey", fuzzy.closest_name(word, names).alias("found"))
+
+
+@query("""
+SELECT l_orderkey AS folder, 'a' || l_partkey || '.jpg' AS asset, 'a' || l_partkey || x AS file FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem), (VALUES ('.tif'), ('.png')) AS v(x) WHERE (x = '.tif' AND l_partkey % 2 = 0) OR (x = '.png' AND l_partkey % 3 = 0)
+UNION ALL SELECT DISTINCT l_orderkey, 'a' || l_partkey || '.jpg', 'a' || l_partkey || '.jpg' FROM lineitem""")
+def asset_alternatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of a folder that are an asset in another format, or the asset itself."""
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("folder"), "l_partkey").distinct()
+    stem = F.concat(F.lit("a"), text_of(F.col("l_partkey")))
+    assets = rows.select("folder", F.concat(stem, F.lit(".jpg")).alias("asset"))
+    kinds = F.array(F.lit(".jpg"), F.when(F.col("l_partkey") % 2 == 0, ".tif"), F.when(F.col("l_partkey") % 3 == 0, ".png"))
+    files = rows.select("folder", F.explode(F.array_compact(F.transform(kinds, lambda x: F.concat(stem, x)))).alias("file"))
+    return L.alternatives(assets, files, "folder")
+
+
+@query("""
+SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'en=/a/v1n2/x.pdf,pt=/a/v1N2/y.pdf' WHEN 1 THEN 'en=/a/v1N2/x.pdf' ELSE '' END AS renditions FROM orders""")
+def fixed_renditions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rendition paths whose issue folder is spelt otherwise than the issue's."""
+    k = F.col("o_orderkey") % 3
+    paths = F.when(k == 0, F.create_map(F.lit("en"), F.lit("/a/v1n2/x.pdf"), F.lit("pt"), F.lit("/a/v1N2/y.pdf"))).when(k == 1, F.create_map(F.lit("en"), F.lit("/a/v1n2/x.pdf"), F.lit("es"), F.lit("/b/z.pdf"))).otherwise(F.create_map(F.lit("en"), F.lit("/c/z.pdf")))
+    fixed = R.fixed_renditions(paths, F.lit("v1N2"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.array_join(F.transform(F.array_sort(F.map_entries(fixed)), lambda e: F.concat_ws("=", e["key"], e["value"])), ",").alias("renditions"))
+
+
+@query("""
+SELECT c_custkey, printf('%04d-0000', c_custkey % 10000) AS id, '2000-01-0' || (c_custkey % 9 + 1) || 'T00:00:00.000000Z' AS created, c_name AS title, 'iso ' || c_name AS title_iso, CASE WHEN c_custkey % 2 = 0 THEN 'short' END AS short_title, 'acr' || c_custkey AS acronym,
+  CASE WHEN c_custkey % 2 = 0 THEN '1111-1111' END AS print_issn, '2222-2222' AS electronic_issn, 'en:mission,pt:' || c_name AS mission, 'C@1999-01-02T00:00:00.000000Z,S@?:r' AS status, 'A,B' AS subject_areas, 'sponsor ' || c_nationkey AS sponsors, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END AS email,
+  CASE WHEN c_custkey % 5 = 0 THEN 'next' END AS next_journal, 'p1/city/BR,p2/city/BR' AS institutions FROM customer""")
+def journal_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Journal manifests from title records in JSON, and what is in them."""
+    k, name = F.col("c_custkey"), F.col("c_name")
+    one = lambda c: F.array(F.create_map(F.lit("_"), c if isinstance(c, Column) else F.lit(c)))
+    made = lambda **x: F.create_map(*[v for key, c in x.items() for v in (F.lit("_" if key == "text" else key), c if isinstance(c, Column) else F.lit(c))])
+    record = F.to_json(
+        F.struct(
+            one(F.format_string("%04d-0000", k % 10000)).alias("v400"), one(F.format_string("2000010%d", k % 9 + 1)).alias("v940"), one(name).alias("v100"), one(F.concat(F.lit("iso "), name)).alias("v151"), F.when(k % 2 == 0, one("short")).alias("v150"),
+            one(F.concat(F.lit("ACR"), text_of(k))).alias("v68"), F.array(made(text="2222-2222", t="ONLIN"), F.when(k % 2 == 0, made(text="1111-1111", t="PRINT")).otherwise(made(text="0", t="X"))).alias("v435"),
+            F.array(made(text="mission", l="en"), made(text=name, l="pt")).alias("v901"), F.array(made(a="19990102", b="C"), made(a="bad", b="S", c="r")).alias("v51"), F.array(made(text="A"), made(text="B"), made(text="")).alias("v441"),
+            one(F.concat(F.lit("sponsor "), text_of(F.col("c_nationkey")))).alias("v140"), F.when(k % 3 == 0, one(F.col("c_mktsegment"))).alias("v64"), F.when(k % 5 == 0, one("next")).alias("v710"), F.array(made(text="p1"), made(text="p2")).alias("v480"), one("city").alias("v490"), one("BR").alias("v310"),
+        )
+    )
+    rows = table(spark, sf_dir, "customer").select("c_custkey", R.manifest_of_journal(R.parsed(record)).alias("m"))
+    said = lambda c, *parts: F.array_join(F.transform(c, lambda x: F.concat(*[p if isinstance(p, Column) else p(x) for p in parts])), ",")
+    at = lambda n: lambda x: F.coalesce(x[n], F.lit("?"))
+    status = F.array_join(F.transform("m.status_history", lambda x: F.concat(x["status"], F.lit("@"), F.coalesce(x["date"], F.lit("?")), F.coalesce(F.concat(F.lit(":"), x["reason"]), F.lit("")))), ",")
+    return rows.select(
+        "c_custkey", *[f"m.{n}" for n in ("id", "created", "title", "title_iso", "short_title", "acronym", "print_issn", "electronic_issn")], said("m.mission", at("language"), F.lit(":"), at("value")).alias("mission"), status.alias("status"), F.array_join("m.subject_areas", ",").alias("subject_areas"),
+        said("m.sponsors", at("name")).alias("sponsors"), F.col("m.contact.email").alias("email"), "m.next_journal", said("m.institution_responsible_for", at("name"), F.lit("/"), at("city"), F.lit("/"), at("country_code")).alias("institutions"),
+    )
+
+
 @query("SELECT doc_id, lower(trim(replace(replace(text, 'the ', ''), 'de ', ''))) AS text FROM documents")
 def remove_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", text.remove_texts(F.col("text"), ["the ", "de "]).alias("text"))
