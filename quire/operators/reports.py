@@ -5,42 +5,78 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# What log lines say, the rule's name and where in the line its groups are; the first that fits counts.
-LOG_RULES = [
-    ("resource-not-found", r'Could not find (?:asset|file) "([^"]+)"(?: for PID "([^"]+)")?', ("uri", "pid")),
-    ("xml-not-found", r'Could not find the XML file "([^"]+)"', ("uri",)),
-    ("xml-not-update", r'Could not update xml "([^"]+)"', ("uri",)),
-    ("xml-parser-error", r'Could not parse the "([^"]+)" file', ("uri",)),
-    ("manifest-not-found", r'Could not find the manifest(?: of)? "([^"]+)"', ("uri",)),
-    ("bundle-not-found", r'No bundle "([^"]+)"(?: for PID "([^"]+)")?', ("uri", "pid")),
-    ("issn-not-found", r'No ISSN in document "([^"]+)"', ("pid",)),
-    ("package-not-imported", r'Could not import package "([^"]+)"', ("uri",)),
+from ..functions.binding import let
+
+# Error codes, what the log's lines say (whatever the case), and what their groups are.
+PACK_RULES = [
+    ("resource-not-found", r".*\[(S\d{4}-.*)\].*Could not find asset '([^']+)'.*'([^']+)'.?$", ("pid", "uri", "xml"), "renditions"),
+    ("resource-not-found", r".*\[(S\d{4}-.*)\].*Could not find rendition '([^']+)'.*'([^']+)'.?$", ("pid", "uri", "xml"), "renditions"),
+    ("xml-not-update", r".*Could not update xml '([^']+)'.?( The exception '([^']+)')?", ("uri", "", "exception"), None),
+    ("xml-not-found", r".*Could not find the XML file '([^']+)'.?", ("uri",), None),
+    ("missing-metadata", r""".*Missing "([\w\s]+)".* "([^']+)\"""", ("metadata", "uri"), None),
+]
+IMPORT_RULES = [
+    ("missing-manifest", r".*No such file or directory: '([^']+)'", ("file_path",), None),
+    ("xml-not-found", r".*There is no XML file into package '([^']+)", ("package_path",), None),
+    ("xml-parser-error", r".*Could not parse the '([^']+)' file", ("file_path",), None),
+    ("bundle-not-found", r".*The bundle '([^']+)' was not updated.", ("bundle",), None),
+    ("issn-not-found", r".*No ISSN in document '([^']+)'", ("pid",), None),
+    ("package-not-import", r".*Could not import package '([^']+).*'", ("package_path",), None),
 ]
-LINE = r"^(\S+)\s+(\S+)\s+(\S+)\s+\[(\S+)\]\s+(.*)$"
+FIELDS = ("pid", "uri", "xml", "file_path", "package_path", "bundle", "exception", "metadata")
+LINE = r"^(.*?)\s+(.*?)\s+(.*?)\s+(.*?)\s+(.*?)$"
+
+
+def parse_lines(lines: DataFrame, value: str = "value", rules: list | None = None) -> DataFrame:
+    """Log lines as (date, time, level, module, message, error, group, and what the message names: FIELDS).
+
+    Lines of another shape go; of the rules the first that fits counts, and each is matched with a line once.
+    """
+    bare = F.trim(F.col(value))
+    parts = lines.where(bare.rlike(LINE)).select(*[F.regexp_extract(bare, LINE, i + 1).alias(n) for i, n in enumerate(("date", "time", "level", "module", "message"))])
+    known = [(error, f"(?i){pattern}", names, group) for error, pattern, names, group in (PACK_RULES + IMPORT_RULES if rules is None else rules)]
+    rule = F.lit(-1)
+    for i, (_, pattern, _, _) in reversed(list(enumerate(known))):
+        rule = F.when(F.col("message").rlike(pattern), i).otherwise(rule)
+
+    said = {n: {i: F.nullif(F.regexp_extract("message", pattern, names.index(n) + 1), F.lit("")) for i, (_, pattern, names, _) in enumerate(known) if n in names} for n in FIELDS}
+    plain = {"error": {i: F.lit(error) for i, (error, *_) in enumerate(known)}, "group": {i: F.lit(group) for i, (*_, group) in enumerate(known) if group}}
 
+    def found(v: Column) -> Column:
+        def of(values: dict[int, Column]) -> Column:
+            out = F.lit(None).cast("string")
+            for i, value in values.items():
+                out = F.when(v["rule"] == i, value).otherwise(out)
+            return out
 
-def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Log lines as (date, time, level, module, message, error, uri, pid); lines of another shape go."""
-    parts = lines.where(F.col(value).rlike(LINE)).select(*[F.regexp_extract(value, LINE, i + 1).alias(n) for i, n in enumerate(("date", "time", "level", "module", "message"))])
-    def rule(pick: str | None) -> Column:
-        out = None
-        for name, pattern, groups in LOG_RULES:
-            if pick is None:
-                got: Column = F.lit(name)
-            elif pick in groups:
-                got = F.nullif(F.regexp_extract("message", pattern, groups.index(pick) + 1), F.lit(""))
-            else:
-                got = F.lit(None).cast("string")
-            out = F.when(F.col("message").rlike(pattern), got) if out is None else out.when(F.col("message").rlike(pattern), got)
-        return out
+        return F.struct(*[of(values).alias(n) for n, values in {**plain, **said}.items()])
 
-    return parts.withColumns({"error": rule(None), "uri": rule("uri"), "pid": rule("pid")})
+    # as a row of its own, what was found isn't worked out anew by later filters
+    return parts.select("*", F.inline(F.array(let(found, rule=rule))))
 
 
 def errors_by_pid(parsed: DataFrame) -> DataFrame:
-    """Per pid and error: the sorted distinct uris, their number of lines and the latest time."""
+    """Per pid, error and group: the sorted distinct uris (those of one document), the number of lines and the latest time."""
     known = parsed.where("error is not null and pid is not null")
-    return known.groupBy("pid", "error").agg(F.array_sort(F.collect_set("uri")).alias("uris"), F.count(F.lit(1)).alias("n"), F.max(F.concat_ws(" ", "date", "time")).alias("last"))
+    return known.groupBy("pid", "error", "group").agg(F.array_sort(F.collect_set("uri")).alias("uris"), F.count(F.lit(1)).alias("n"), F.max(F.concat_ws(" ", "date", "time")).alias("last"))
+
+
+def errors_without_pid(parsed: DataFrame) -> DataFrame:
+    """Errors that name no document, as they are; a missing resource always names one."""
+    return parsed.where("error is not null and pid is null and error <> 'resource-not-found'").select("date", "time", "level", "error", *[f for f in FIELDS if f != "pid"])
+
+
+def linking_errors(lines: DataFrame, value: str = "value") -> DataFrame:
+    """Error lines of the linking step with the id of the document that lacks an ISSN, else null."""
+    line = F.trim(F.col(value))
+    pid = F.when(F.contains(line, F.lit("No ISSN in document")), F.expr(f"substring(right(trim({value}), 25), 2, 23)"))
+    return lines.where(F.contains(F.col(value), F.lit("ERROR"))).select(line.alias("line"), pid.alias("pid"))
+
+
+def known_ids(names: DataFrame, name: str, mark: str = ".", ending: str = "") -> DataFrame:
+    """Distinct ids of file names with an ending, an id being what stands before the first mark; empty ones go."""
+    ids = names.where(F.endswith(F.col(name), F.lit(ending))).select(F.substring_index(F.col(name), mark, 1).alias("pid"))
+    return ids.where("pid <> ''").distinct()
 
 
 def funnel(stages: dict[str, DataFrame], key: str, group: str) -> DataFrame:
