@@ -14,13 +14,18 @@ def clean_paragraphs(paragraphs: DataFrame) -> DataFrame:
     return rows.groupBy("pid", "ref_index").agg(F.max("citation").alias("citation"))
 
 
-def with_citations(references: DataFrame, paragraphs: DataFrame) -> DataFrame:
-    """references (pid, position, mixed) with the cleaned citation of their position where mixed is missing.
+def with_citations(references: DataFrame, paragraphs: DataFrame, *, override: bool = False) -> DataFrame:
+    """references (pid, position, mixed[, label]) with the cleaned citation of their position where mixed is missing.
 
-    label: the number that the citation begins with, if it is the position.
+    With override, a citation takes the place of a mixed that is there, too. updated says which references changed;
+    those get as label the number that the citation begins with, if it is the position; other labels stay.
     """
     texts = clean_paragraphs(paragraphs)
     joined = references.join(texts, (references["pid"] == texts["pid"]) & (references["position"].cast("string") == texts["ref_index"]), "left").select(references["*"], "citation")
-    mixed = F.coalesce(F.nullif("mixed", F.lit("")), F.col("citation"))
+    updated = F.coalesce(F.col("citation") != "", F.lit(False))
+    if not override:
+        updated &= F.coalesce(F.col("mixed"), F.lit("")) == ""
     number = T.leading_number(F.col("citation"))
-    return joined.withColumn("mixed", mixed).withColumn("label", F.when(number == F.col("position").cast("string"), number)).drop("citation")
+    before = F.col("label") if "label" in references.columns else F.lit(None).cast("string")
+    label = F.when(F.col("updated") & (number == F.col("position").cast("string")), number).otherwise(before)
+    return joined.withColumn("updated", updated).withColumn("label", label).withColumn("mixed", F.when(F.col("updated"), F.col("citation")).otherwise(F.col("mixed"))).drop("citation")

@@ -20,20 +20,27 @@ def compare(left: DataFrame, right: DataFrame, key: str, mark: float) -> DataFra
     return both.select(key, "similarity", T.percent(F.col("similarity")).alias("percent"), below.alias("below"), F.when(below, F.col("a")).alias("left_text"), F.when(below, F.col("b")).alias("right_text"))
 
 
-def shared_word_pairs(docs: DataFrame, items: DataFrame, doc: str, item: str, least: float) -> DataFrame:
-    """(doc, item, similarity): pairs of a document and an item whose word sets' Jaccard reaches `least` (over 0).
+#: Rows of (item, word) that are broadcast at most; more are joined by a shuffle.
+BROADCAST_WORDS = 200_000
 
-    Exact by prefix filtering: such a pair shares one of the item's rarest words, all but ceil(least * n) - 1 of n.
-    Word frequencies are those of the documents, so prefixes hold the words that select best.
+
+def contained_items(docs: DataFrame, items: DataFrame, doc: str, item: str, least: float) -> DataFrame:
+    """(doc, item, containment): pairs in which a document has at least the share `least` (over 0) of an item's words.
+
+    Exact by prefix filtering: such a pair shares one of all but ceil(least * n) - 1 of the item's n words, and those
+    that fewest items have are probed. Only documents with a hit are then compared word set by word set. Documents are
+    exploded against the probed words alone, which are broadcast if their counted rows are few.
     """
-    d = docs.select(doc, T.words(T.normalize_text(F.col("text"))).alias("dw"))
     i = items.select(item, T.words(T.normalize_text(F.col("text"))).alias("iw")).where("size(iw) > 0")
-    tokens = d.select(doc, F.explode("dw").alias("w"))
-    counted = tokens.join(i.select(F.explode("iw").alias("w")).distinct(), "w", "left_semi").groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    ranked = i.select(item, F.explode("iw").alias("w")).join(counted, "w", "left").groupBy(item).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "w"))).alias("by_rarity"))
+    words = i.select(item, F.explode("iw").alias("w"))
+    counted = words.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    rare = F.struct("n", (-F.length("w")).alias("l"), "w")  # of words as rare the longer, which documents have less often
+    ranked = words.join(counted, "w").groupBy(item).agg(F.array_sort(F.collect_list(rare)).alias("by_rarity"))
     size = F.size("by_rarity")
     probe = ranked.select(item, F.explode(F.slice("by_rarity", 1, size - F.ceil(size * least).cast("int") + 1)).alias("p")).select(item, "p.w")
-    pairs = tokens.join(probe, "w").select(doc, item).distinct()
-    out = pairs.join(d, doc).join(i, item)
+    probe = F.broadcast(probe) if probe.count() <= BROADCAST_WORDS else probe
+    of_docs = docs.select(doc, "text").withColumn("dw", T.words(T.normalize_text(F.col("text")))).drop("text")
+    pairs = of_docs.select(doc, F.explode("dw").alias("w")).join(probe, "w").select(doc, item).distinct()
     shared = F.size(F.array_intersect("dw", "iw"))
-    return out.withColumn("similarity", F.try_divide(shared, F.size("dw") + F.size("iw") - shared)).where(F.col("similarity") >= least).select(doc, item, "similarity")
+    out = pairs.join(of_docs, doc).join(i, item).withColumn("containment", shared / F.size("iw"))
+    return out.where(F.col("containment") >= least).select(doc, item, "containment")

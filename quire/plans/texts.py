@@ -31,13 +31,13 @@ def token_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH t AS (SELECT doc_id, lang, source, {NORMAL.format(x="text")} AS n FROM documents),
+WITH t AS (SELECT doc_id, {NORMAL.format(x="text")} AS n FROM documents),
 d AS (SELECT doc_id, {WORDS.format(x="n")} AS w FROM t), m AS (SELECT item_id, {NORMAL.format(x="text")} AS n FROM benchmark), b AS (SELECT item_id, {WORDS.format(x="n")} AS w FROM m),
-j AS (SELECT doc_id, item_id, len(list_intersect(d.w, b.w)) AS s, len(d.w) + len(b.w) AS t FROM d, b WHERE len(b.w) > 0)
-SELECT doc_id, item_id, s / (t - s) AS similarity FROM j WHERE s / (t - s) >= 0.5""")
+j AS (SELECT doc_id, item_id, len(list_intersect(d.w, b.w)) AS s, len(b.w) AS t FROM d, b WHERE len(b.w) > 0)
+SELECT doc_id, item_id, s / t AS containment FROM j WHERE s / t >= 0.7""")
 def benchmark_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents and benchmark items whose words are half the same."""
-    return similarity.shared_word_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "doc_id", "item_id", 0.5)
+    """Documents that have seven tenths of a benchmark item's words."""
+    return similarity.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "doc_id", "item_id", 0.7)
 
 
 @query(f"""
@@ -58,19 +58,32 @@ def similarity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.compare(said(F.col("role") == "user"), said(F.col("role") != "user"), "conv_id", 20.0).drop("percent")
 
 
-@query("""
+CITATIONS_SQL = """
 WITH p AS (SELECT conv_id AS pid, CAST(turn AS VARCHAR) AS ref_index, turn || '. <font size=''2''>' || text || '</font> ' AS text FROM conversations WHERE turn % 3 <> 0),
 c AS (SELECT pid, ref_index, trim(regexp_replace(regexp_replace(text, '(?is)<!--.*?-->|<\\s*/?\\s*(?:font|br|span|p|small|o:p)\\b[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS citation FROM p),
 r AS (SELECT DISTINCT conv_id AS pid, turn AS position, CASE WHEN turn % 4 = 0 THEN 'kept' END AS mixed FROM conversations),
-j AS (SELECT r.pid, position, coalesce(mixed, citation) AS mixed, regexp_extract(citation, '^\\s*(\\d+)', 1) AS num FROM r LEFT JOIN c ON r.pid = c.pid AND CAST(position AS VARCHAR) = ref_index)
-SELECT pid, position, mixed, CASE WHEN num = CAST(position AS VARCHAR) THEN num END AS label FROM j""")
-def mixed_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """References without text get the cleaned paragraph of their position."""
+j AS (SELECT r.pid, position, mixed, citation, coalesce(citation <> '', false) AND {when} AS updated FROM r LEFT JOIN c ON r.pid = c.pid AND CAST(position AS VARCHAR) = ref_index)
+SELECT pid, position, CASE WHEN updated THEN citation ELSE mixed END AS mixed, updated, CASE WHEN updated AND regexp_extract(citation, '^\\s*(\\d+)', 1) = CAST(position AS VARCHAR) THEN CAST(position AS VARCHAR) END AS label FROM j"""
+
+
+def cited(spark: SparkSession, sf_dir: str, override: bool) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     text = F.concat(F.col("turn").cast("string"), F.lit(". <font size='2'>"), "text", F.lit("</font> "))
     paragraphs = rows.where("turn % 3 <> 0").select(F.col("conv_id").alias("pid"), F.col("turn").cast("string").alias("ref_index"), text.alias("text"))
     references = rows.select(F.col("conv_id").alias("pid"), F.col("turn").alias("position"), F.when(F.col("turn") % 4 == 0, "kept").alias("mixed")).distinct()
-    return citations.with_citations(references, paragraphs)
+    return citations.with_citations(references, paragraphs, override=override)
+
+
+@query(CITATIONS_SQL.format(when="mixed IS NULL"))
+def mixed_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """References without text get the cleaned paragraph of their position."""
+    return cited(spark, sf_dir, False)
+
+
+@query(CITATIONS_SQL.format(when="true"))
+def citations_override(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All references get the cleaned paragraph of their position, if there is one."""
+    return cited(spark, sf_dir, True)
 
 
 @query("SELECT doc_id, regexp_extract(text, '^\\s*(\\d+)', 1) AS first_number, regexp_matches(regexp_extract(text, '^\\S+', 0), '^[0-9]|^[^\\p{L}\\p{N}]|^\\p{Ll}$') AS is_label FROM documents")
