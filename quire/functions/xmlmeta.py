@@ -2,22 +2,38 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .binding import let
 
 
-def first(xml: Column, *paths: str) -> Column:
-    """The text of the first path that has one; null if none has."""
-    return F.coalesce(*[F.nullif(F.xpath_string(xml, F.lit(p)), F.lit("")) for p in paths])
+#: Between values of one XPath call, and the operators that it may have.
+MARK, OPERATORS = "\u241f", 95
+
+
+def values(xml: Column, paths: dict[str, str]) -> Column:
+    """Struct of the text of each path's first node, null where it has none.
+
+    A call parses the document, so as many paths share one as the parser allows an expression operators.
+    """
+    calls, room = [[]], OPERATORS
+    for path in paths.values():
+        room -= len(re.findall(r"//?|[=@(\[]|\band\b|\bor\b", path)) + 2
+        if room < 0:
+            calls, room = [*calls, []], OPERATORS
+        calls[-1].append(path)
+    parts = F.concat(*[F.split(F.xpath_string(xml, F.lit("concat(" + f", '{MARK}', ".join(call) + ", '')")), MARK, -1) for call in calls])
+    return let(lambda x: F.struct(*[F.nullif(F.get(x["parts"], F.lit(i)), F.lit("")).alias(name) for i, name in enumerate(paths)]), parts=parts)
 
 
 def every(xml: Column, path: str) -> Column:
     return F.xpath(xml, F.lit(path))
 
 
-META = "/article/front/article-meta"
+META = "//article-meta"
 
 
 def bare(xml: Column) -> Column:
@@ -25,40 +41,52 @@ def bare(xml: Column) -> Column:
     return F.regexp_replace(xml, r"(?s)^\s*<\?xml[^>]*\?>|<!DOCTYPE[^>\[]*(?:\[.*?\])?>", "")
 
 
-def issn(xml: Column) -> Column:
-    """Electronic, else print, else any."""
-    return first(xml, "//issn[@pub-type='epub']", "//issn[@pub-type='ppub']", "//issn")
+# Where a document's dates stand, in order; of the first that there is, year, month and day.
+DOCUMENT_DATES = ("@pub-type='epub'", "@date-type='pub'", "position()=1 and not(@date-type='collection') and (@date-type or not(@pub-type='collection'))")
+BUNDLE_DATES = ("@pub-type='epub-ppub'", "@pub-type='collection'", "@date-type='collection'")
+BUNDLE_YEARS = ("@pub-type='collection'", "@date-type='collection'", "@pub-type='epub-pub'", "@pub-type='epub'")
 
 
-def pub_date(xml: Column, *tests: str) -> Column:
-    """(year, month, day) of the first pub-date with a year that one of the tests selects; numbers of two places.
+def date_paths(name: str, tests: tuple[str, ...]) -> dict[str, str]:
+    return {f"{name}_{part}_{i}": f"{META}/pub-date[{test}][1]/{part}" for i, test in enumerate(tests) for part in ("year", "month", "day")}
 
-    One XPath call a test gives all three parts, since each call parses the document anew.
-    """
-    def of(test: str) -> Column:
-        node = f"{META}/pub-date[({test}) and year][1]"
-        parts = F.xpath_string(xml, F.lit(f"concat({node}/year, '|', {node}/month, '|', {node}/day)"))
-        return F.when(~parts.startswith("|"), parts)
 
-    def part(said: Column, i: int) -> Column:
-        value = F.get(F.split(said, r"\|"), F.lit(i))
-        return F.when(value.rlike(r"^\d$"), F.lpad(value, 2, "0")).otherwise(value)
+def two_places(value: Column) -> Column:
+    return F.when(value.rlike(r"^\d$"), F.lpad(value, 2, "0")).otherwise(value)
 
-    return let(lambda x: F.struct(part(x["said"], 0).alias("year"), part(x["said"], 1).alias("month"), part(x["said"], 2).alias("day")), said=F.coalesce(*[of(t) for t in tests]))
 
+def date_of(found: Column, name: str, tests: tuple[str, ...]) -> Column:
+    """(year, month, day) of the first date with a year, missing parts empty; numbers of two places."""
+    at = [F.struct(*[two_places(F.coalesce(found[f"{name}_{part}_{i}"], F.lit(""))).alias(part) for part in ("year", "month", "day")]) for i in range(len(tests))]
+    none = F.struct(*[F.lit(None).cast("string").alias(part) for part in ("year", "month", "day")])
+    return F.coalesce(*[F.when(found[f"{name}_year_{i}"].isNotNull(), at[i]) for i in range(len(tests))], none)
 
-def document_date(xml: Column) -> Column:
-    return pub_date(xml, "@pub-type='epub'", "@date-type='pub'", "not(@pub-type='collection') and not(@date-type='collection')")
 
+def assets(xml: Column) -> Column:
+    """Local file names that graphics, media and supplements link to, once each, in document order."""
+    tags = ("graphic", "inline-graphic", "media", "inline-supplementary-material", "supplementary-material")
+    return F.array_distinct(F.filter(every(xml, " | ".join(f"//{tag}/@*[name()='xlink:href']" for tag in tags)), lambda h: (h != "") & ~h.rlike("[:/]")))
 
-def bundle_date(xml: Column) -> Column:
-    return pub_date(xml, "@pub-type='collection'", "@date-type='collection'", "@pub-type='epub-ppub'")
 
+def issns(xml: Column) -> Column:
+    """Map of the journal's ISSNs by their type; null without one."""
+    said = every(bare(xml), "//journal-meta//issn/@pub-type | //journal-meta//issn/text()")
+    number = lambda x: x.rlike("^[0-9]{4}-[0-9]{3}[0-9Xx]$")
+    typed = lambda s: F.filter(F.transform(s, lambda x, i: F.struct(x.alias("key"), F.get(s, i + 1).alias("value"))), lambda e: ~number(e["key"]) & F.coalesce(number(e["value"]), F.lit(False)))
+    return let(lambda v: F.when(F.size(typed(v["said"])) > 0, F.map_from_entries(typed(v["said"]))), said=said)
 
-def assets(xml: Column) -> Column:
-    """Local file names that graphics, media and supplements link to, once each."""
-    hrefs = [every(xml, f"//{tag}/@*[name()='xlink:href']") for tag in ("graphic", "inline-graphic", "media", "inline-supplementary-material", "supplementary-material")]
-    return F.array_distinct(F.filter(F.concat(*hrefs), lambda h: (h != "") & ~h.rlike("[:/]")))
+
+def renditions(xml: Column) -> Column:
+    """Map of rendition files by language, as the document's self-uri say."""
+    node = f"{META}//self-uri[@*[name()='xml:lang'] and @*[name()='xlink:href']]"
+    x = bare(xml)
+    return F.map_from_arrays(every(x, f"{node}/@*[name()='xml:lang']"), every(x, f"{node}/@*[name()='xlink:href']"))
+
+
+def journal_meta(xml: Column) -> Column:
+    """(key, value) of electronic, print and first ISSN and the acronym, those that there are."""
+    paths = {"eissn": "//issn[@pub-type='epub']", "pissn": "//issn[@pub-type='ppub']", "issn": "//issn", "acron": "//journal-id[@journal-id-type='publisher-id']"}
+    return let(lambda v: F.filter(F.array(*[F.struct(F.lit(n).alias("key"), v["found"][n].alias("value")) for n in paths]), lambda e: e["value"].isNotNull()), found=values(bare(xml), paths))
 
 
 def languages(xml: Column) -> Column:
@@ -67,15 +95,29 @@ def languages(xml: Column) -> Column:
 
 
 def metadata(xml: Column, collection: str = "pid") -> Column:
-    """All fields of a document; its ids are those of the collection's `specific-use`, such as pid-v2."""
+    """All fields of a document; its ids are those of the collection's `specific-use`, such as pid-v2.
+
+    A document is parsed a few times: for all texts, for its languages and for its assets.
+    """
     x = bare(xml)
-    doi = F.regexp_replace(first(x, f"{META}/article-id[@pub-id-type='doi']"), r"^https?://(dx\.)?doi\.org/", "")
-    pid = lambda use: first(x, f"{META}/article-id[@specific-use='{use}']")
-    nonzero = lambda c: F.when(~c.rlike("^0+$"), c)
-    fields = {
-        "pid_v1": pid(f"{collection}-v1"), "pid_v2": pid(f"{collection}-v2"), "pid_v3": pid(f"{collection}-v3"), "aop_pid": pid("previous-pid"), "doi": doi,
-        "other": first(x, f"{META}/article-id[@pub-id-type='other']"), "issn": issn(x), "acron": first(x, "//journal-id[@journal-id-type='publisher-id']"),
-        "volume": nonzero(first(x, f"{META}/volume")), "issue": nonzero(first(x, f"{META}/issue")), "fpage": nonzero(first(x, f"{META}/fpage")), "lpage": nonzero(first(x, f"{META}/lpage")),
-        "elocation_id": first(x, f"{META}/elocation-id"), "languages": languages(x), "assets": assets(x), "document_date": document_date(x), "bundle_date": bundle_date(x),
+    pid = lambda use: f"{META}/article-id[@specific-use='{use}']"
+    paths = {
+        "pid_v1": pid(f"{collection}-v1"), "pid_v2": pid(f"{collection}-v2"), "pid_v3": pid(f"{collection}-v3"), "aop_pid": pid("previous-pid"),
+        "publisher_id": f"//article-id[not(@specific-use='{collection}') and @pub-id-type='publisher-id']", "doi": f"{META}/article-id[@pub-id-type='doi']", "other": f"{META}/article-id[@pub-id-type='other']",
+        "epub": "//issn[@pub-type='epub']", "ppub": "//issn[@pub-type='ppub']", "issn": "//issn", "acron": "//journal-id[@journal-id-type='publisher-id']",
+        "volume": f"{META}/volume", "issue": f"{META}/issue", "fpage": f"{META}/fpage", "lpage": f"{META}/lpage", "elocation_id": f"{META}/elocation-id",
+        **date_paths("document", DOCUMENT_DATES), **date_paths("bundle", BUNDLE_DATES), **{f"year_{i}": f"{META}/pub-date[{test}][1]/year" for i, test in enumerate(BUNDLE_YEARS)},
     }
-    return F.struct(*[c.alias(n) for n, c in fields.items()])
+    nonzero = lambda c: F.when(~c.rlike("^0+$"), c)
+
+    def fields(v: Column) -> Column:
+        f = v["found"]
+        as_they_are = {n: f[n] for n in ("pid_v1", "pid_v2", "pid_v3", "aop_pid", "publisher_id", "other", "acron", "elocation_id")}
+        worked_out = {
+            "doi": F.regexp_replace(f["doi"], r"^https?://(dx\.)?doi\.org/", ""), "issn": F.coalesce(f["epub"], f["ppub"], f["issn"]), **{n: nonzero(f[n]) for n in ("volume", "issue", "fpage", "lpage")},
+            "languages": v["languages"], "assets": v["assets"], "document_date": date_of(f, "document", DOCUMENT_DATES), "bundle_date": date_of(f, "bundle", BUNDLE_DATES),
+            "bundle_year": F.coalesce(*[f[f"year_{i}"] for i in range(len(BUNDLE_YEARS))]),
+        }
+        return F.struct(*[c.alias(n) for n, c in {**as_they_are, **worked_out}.items()])
+
+    return let(fields, found=values(x, paths), languages=languages(x), assets=assets(x))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import markup as M
 from ..functions import text as T
+from ..functions import xmledit as E
 from ..functions import xmlmeta as X
 from .registry import query, table
 
@@ -70,33 +71,79 @@ def conversion_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as article XML: ids, dates, pages and languages from their columns."""
+    """Documents as article XML: ids, dates, pages, files and languages from their columns."""
     k = F.col("doc_id")
-    lit = F.lit
+    lit, text = F.lit, k.cast("string")
     node = lambda name, value, attrs="": F.concat(lit(f"<{name}{attrs}>"), value, lit(f"</{name}>"))
+    only = lambda test, value: F.when(test, value).otherwise("")
+    use = lambda x: f' pub-id-type="publisher-id" specific-use="{x}"'
     meta = F.concat(
-        node("article-id", F.format_string("S0000-0000202000%07d", k), ' pub-id-type="publisher-id" specific-use="pid-v2"'),
-        F.when(k % 2 == 0, node("article-id", F.concat(lit("https://doi.org/10.1/"), k.cast("string")), ' pub-id-type="doi"')).otherwise(""),
-        F.when(k % 3 == 0, lit('<pub-date pub-type="epub"><day>5</day><month>3</month><year>2019</year></pub-date>')).otherwise(""),
+        node("article-id", F.format_string("S0000-0000202000%07d", k), use("pid-v2")),
+        only(k % 3 == 1, node("article-id", F.concat(lit("v1-"), text), use("pid-v1"))),
+        only(k % 3 == 2, node("article-id", F.concat(lit("v3-"), text), use("pid-v3"))),
+        only(k % 10 == 0, node("article-id", F.concat(lit("aop-"), text), use("previous-pid"))),
+        only(k % 4 == 1, node("article-id", F.lpad(text, 5, "0"), ' pub-id-type="other"')),
+        only(k % 2 == 0, node("article-id", F.concat(lit("https://doi.org/10.1/"), text), ' pub-id-type="doi"')),
+        only(k % 3 == 0, lit('<pub-date pub-type="epub"><day>5</day><month>3</month><year>2019</year></pub-date>')),
         lit('<pub-date pub-type="collection"><year>2020</year></pub-date>'),
+        only(k % 7 == 0, lit('<pub-date pub-type="epub-ppub"><month>11</month><year>2018</year></pub-date>')),
         node("volume", (k % 4).cast("string")),
-        node("fpage", k.cast("string")),
+        node("issue", (k % 5).cast("string")),
+        node("fpage", text),
+        only(k % 2 == 1, node("lpage", (k + 9).cast("string"))),
+        only(k % 3 == 0, node("elocation-id", F.concat(lit("e"), text))),
+        F.concat(lit('<self-uri xml:lang="en" xlink:href="'), text, lit('.pdf"/>')),
+        only(k % 2 == 1, F.concat(lit('<self-uri xlink:href="pt_'), text, lit('.pdf" xml:lang="pt"/>'))),
+        lit('<counts><page-count count="1"/></counts>'),
     )
     graphic = F.concat(lit('<graphic xlink:href="g'), (k % 5).cast("string"), lit('.jpg"/><graphic xlink:href="http://x/y.jpg"/>'))
-    issn = F.when(k % 2 == 0, lit('<issn pub-type="epub">1111-1111</issn>')).otherwise('<issn pub-type="ppub">2222-2222</issn>')
+    issn = F.concat(only(k % 6 == 0, lit('<issn pub-type="ppub">3333-333X</issn>')), F.when(k % 2 == 0, lit('<issn pub-type="epub">1111-1111</issn>')).otherwise('<issn pub-type="ppub">2222-2222</issn>'))
     xml = F.concat(
         F.when(k % 5 == 0, lit('<!DOCTYPE article PUBLIC "-//X//DTD" "a.dtd">')).otherwise(""),
-        lit('<article xmlns:xlink="http://www.w3.org/1999/xlink" xml:lang="'), "lang", lit('"><front><journal-meta>'), issn, lit("</journal-meta><article-meta>"), meta,
+        lit('<article xmlns:xlink="http://www.w3.org/1999/xlink" xml:lang="'), "lang", lit('"><front><journal-meta>'), node("journal-id", F.concat(lit("acr"), (k % 7).cast("string")), ' journal-id-type="publisher-id"'), issn, lit("</journal-meta><article-meta>"), meta,
         lit("</article-meta></front><body><p>"), graphic, lit('</p></body><sub-article article-type="translation" xml:lang="pt"/></article>'),
     )
     return table(spark, sf_dir, "documents").select("doc_id", xml.alias("xml"))
 
 
 @query("""
-SELECT doc_id, printf('S0000-0000202000%07d', doc_id) AS pid_v2, CASE WHEN doc_id % 2 = 0 THEN '10.1/' || doc_id END AS doi, CASE WHEN doc_id % 2 = 0 THEN '1111-1111' ELSE '2222-2222' END AS issn,
-  CASE WHEN doc_id % 4 <> 0 THEN CAST(doc_id % 4 AS VARCHAR) END AS volume, CASE WHEN doc_id <> 0 THEN CAST(doc_id AS VARCHAR) END AS fpage, lang || ',pt' AS languages, 'g' || doc_id % 5 || '.jpg' AS assets,
-  CASE WHEN doc_id % 3 = 0 THEN '2019-03-05' ELSE '' END AS document_date, '2020--' AS bundle_date FROM documents""")
+SELECT doc_id, CASE WHEN doc_id % 3 = 1 THEN 'v1-' || doc_id END AS pid_v1, printf('S0000-0000202000%07d', doc_id) AS pid_v2, CASE WHEN doc_id % 3 = 2 THEN 'v3-' || doc_id END AS pid_v3, CASE WHEN doc_id % 10 = 0 THEN 'aop-' || doc_id END AS aop_pid,
+  printf('S0000-0000202000%07d', doc_id) AS publisher_id, CASE WHEN doc_id % 2 = 0 THEN '10.1/' || doc_id END AS doi, CASE WHEN doc_id % 4 = 1 THEN left(lpad(CAST(doc_id AS VARCHAR), 5, '0'), 5) END AS other, CASE WHEN doc_id % 2 = 0 THEN '1111-1111' ELSE '2222-2222' END AS issn, 'acr' || doc_id % 7 AS acron,
+  CASE WHEN doc_id % 4 <> 0 THEN CAST(doc_id % 4 AS VARCHAR) END AS volume, CASE WHEN doc_id % 5 <> 0 THEN CAST(doc_id % 5 AS VARCHAR) END AS issue, CASE WHEN doc_id <> 0 THEN CAST(doc_id AS VARCHAR) END AS fpage, CASE WHEN doc_id % 2 = 1 THEN CAST(doc_id + 9 AS VARCHAR) END AS lpage, CASE WHEN doc_id % 3 = 0 THEN 'e' || doc_id END AS elocation_id,
+  lang || ',pt' AS languages, 'g' || doc_id % 5 || '.jpg' AS assets, CASE WHEN doc_id % 3 = 0 THEN '2019-03-05' ELSE '' END AS document_date, CASE WHEN doc_id % 7 = 0 THEN '2018-11-' ELSE '2020--' END AS bundle_date, '2020' AS bundle_year FROM documents""")
 def doc_meta_xpath(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = documents_xml(spark, sf_dir).select("doc_id", X.metadata(F.col("xml")).alias("m"))
-    day = lambda d: F.when(F.col(d).getField("year").isNotNull(), F.concat_ws("-", *[F.col(d).getField(p) for p in ("year", "month", "day")])).otherwise("")
-    return rows.select("doc_id", "m.pid_v2", "m.doi", "m.issn", "m.volume", "m.fpage", F.array_join("m.languages", ",").alias("languages"), F.array_join("m.assets", ",").alias("assets"), day("m.document_date").alias("document_date"), day("m.bundle_date").alias("bundle_date"))
+    day = lambda d: F.when(F.col(d).getField("year").isNotNull(), F.concat_ws("-", *[F.coalesce(F.col(d).getField(p), F.lit("")) for p in ("year", "month", "day")])).otherwise("")
+    plain = ("pid_v1", "pid_v2", "pid_v3", "aop_pid", "publisher_id", "doi", "other", "issn", "acron", "volume", "issue", "fpage", "lpage", "elocation_id", "bundle_year")
+    return rows.select("doc_id", *[f"m.{n}" for n in plain], F.array_join("m.languages", ",").alias("languages"), F.array_join("m.assets", ",").alias("assets"), day("m.document_date").alias("document_date"), day("m.bundle_date").alias("bundle_date"))
+
+
+@query("""
+SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN '1111-1111' END AS epub, CASE WHEN doc_id % 6 = 0 THEN '3333-333X' WHEN doc_id % 2 = 1 THEN '2222-2222' END AS ppub,
+  (CASE WHEN doc_id % 2 = 0 THEN 'eissn=1111-1111,' ELSE '' END) || (CASE WHEN doc_id % 6 = 0 THEN 'pissn=3333-333X,issn=3333-333X,' WHEN doc_id % 2 = 1 THEN 'pissn=2222-2222,issn=2222-2222,' ELSE 'issn=1111-1111,' END) || 'acron=acr' || doc_id % 7 AS journal_meta FROM documents""")
+def issns_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = documents_xml(spark, sf_dir).select("doc_id", X.issns(F.col("xml")).alias("m"), X.journal_meta(F.col("xml")).alias("j"))
+    at = lambda k: F.try_element_at("m", F.lit(k))
+    return rows.select("doc_id", at("epub").alias("epub"), at("ppub").alias("ppub"), F.array_join(F.transform("j", lambda e: F.concat_ws("=", e["key"], e["value"])), ",").alias("journal_meta"))
+
+
+@query("SELECT doc_id, 'en=' || doc_id || '.pdf' || CASE WHEN doc_id % 2 = 1 THEN ',pt=pt_' || doc_id || '.pdf' ELSE '' END AS renditions FROM documents")
+def rendition_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = documents_xml(spark, sf_dir).select("doc_id", X.renditions(F.col("xml")).alias("m"))
+    return rows.select("doc_id", F.array_join(F.transform(F.array_sort(F.map_entries("m")), lambda e: F.concat_ws("=", e["key"], e["value"])), ",").alias("renditions"))
+
+
+@query("""
+SELECT doc_id, '<article><front><journal-meta><journal-id>a</journal-id><issn pub-type="epub">1111-1111</issn><issn pub-type="ppub">2222-2222</issn></journal-meta><article-meta>'
+  || CASE WHEN doc_id % 2 = 0 THEN '<article-id pub-id-type="publisher-id" specific-use="pid-v3">n' || doc_id || '</article-id><article-id pub-id-type="doi">d</article-id>' ELSE '' END
+  || '<pub-date' || CASE WHEN doc_id % 3 = 0 THEN ' id="x"' ELSE '' END || ' date-type="pub" publication-format="electronic"><year>2019</year></pub-date><pub-date date-type="collection" publication-format="electronic"><year>2020</year></pub-date>'
+  || CASE WHEN doc_id % 2 = 0 THEN '' ELSE '<article-id pub-id-type="publisher-id" specific-use="pid-v3">n' || doc_id || '</article-id>' END || '</article-meta></front></article>' AS xml FROM documents""")
+def xml_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata brought up to date: ISSNs and ids added, dates of the newer kind, counts taken out."""
+    k, lit = F.col("doc_id"), F.lit
+    xml = F.concat(
+        lit("<article><front><journal-meta><journal-id>a</journal-id></journal-meta><article-meta>"), F.when(k % 2 == 0, lit('<article-id pub-id-type="doi">d</article-id>')).otherwise(""),
+        lit("<pub-date"), F.when(k % 3 == 0, lit(' id="x"')).otherwise(""), lit(' pub-type="epub"><year>2019</year></pub-date><pub-date pub-type="epub-ppub"><year>2020</year></pub-date><counts><page-count count="1"/></counts></article-meta></front></article>'),
+    )
+    out = E.with_article_id(E.without_counts(E.upgraded_dates(xml)), F.concat(lit("n"), k.cast("string")), "pid-v3")
+    return table(spark, sf_dir, "documents").select("doc_id", E.with_issns(out, F.create_map(lit("ppub"), lit("2222-2222"), lit("epub"), lit("1111-1111"))).alias("xml"))
