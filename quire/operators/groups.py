@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 
 def items_per_group(rows: DataFrame, group: str, item: list[str], last: str, order: Column) -> DataFrame:
-    """Per group its sorted items (structs) and the last row's value of one column, by a total order."""
+    """Per group its sorted items (structs) and the last row's value of one column, by a total order.
+
+    For groups that are one record when written, such as an issue with its documents.
+    """
     return rows.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(*item))).alias("items"), F.max_by(last, order).alias(last))
 
 
@@ -18,15 +21,34 @@ def first_wins(rows: DataFrame, keys: list[str], order: Column) -> DataFrame:
     return packed.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest])
 
 
+def occurrences(rows: DataFrame, message: Column, line: str, file: str, length: int = 80) -> DataFrame:
+    """(message, file, line) of every row, messages cut to their first `length` characters: the lines behind a summary."""
+    return rows.select(F.substring(message, 1, length).alias("message"), F.col(file).alias("file"), F.col(line).alias("line"))
+
+
 def summary(rows: DataFrame, message: Column, line: str, file: str, length: int = 80) -> DataFrame:
-    """Messages grouped by their first `length` characters: count, lines and files (sorted, distinct files)."""
-    out = rows.groupBy(F.substring(message, 1, length).alias("message"))
-    return out.agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(line)).alias("lines"), F.array_sort(F.collect_set(file)).alias("files"))
+    """Per message and file the number of rows and their first and last line.
+
+    A message may be most of a table, so its lines aren't gathered; occurrences() has them as rows.
+    """
+    out = occurrences(rows, message, line, file, length).groupBy("message", "file")
+    return out.agg(F.count(F.lit(1)).alias("n"), F.min("line").alias("first_line"), F.max("line").alias("last_line"))
+
+
+def most_frequent(counted: DataFrame, key: str, n: str, limit: int) -> DataFrame:
+    """The `limit` keys with the largest n, ties to the smaller key, with their rank: a top-k, no sort of the whole."""
+    top = counted.groupBy(key).agg(F.sum(n).alias(n)).orderBy(F.desc(n), key).limit(limit)
+    return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc(n), key)))  # of the limit's rows
 
 
 def merge(rows: DataFrame, key: str, sums: list[str], lists: list[str]) -> DataFrame:
-    """Rows of one key merged: numbers add up, lists are joined (sorted, for a result that doesn't depend on order)."""
-    return rows.groupBy(key).agg(*[F.sum(c).alias(c) for c in sums], *[F.array_sort(F.flatten(F.collect_list(c))).alias(c) for c in lists])
+    """Rows of one key merged: numbers add up, and of lists the joined list's length (merged_items has its items)."""
+    return rows.groupBy(key).agg(*[F.sum(c).alias(c) for c in sums], *[F.sum(F.size(F.coalesce(F.col(c), F.array()))).alias(f"n_{c}") for c in lists])
+
+
+def merged_items(rows: DataFrame, key: str, items: str) -> DataFrame:
+    """(key, item) of all lists of a key: the joined list as rows, of any length."""
+    return rows.select(key, F.explode(items).alias("item"))
 
 
 def repeated(rows: DataFrame, value: str) -> DataFrame:

@@ -24,14 +24,25 @@ def first_wins_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.first_wins(rows, ["o_custkey", "o_orderpriority"], F.col("o_orderkey"))
 
 
-@query("""
-SELECT substr(event_type || ' failed for item ' || CAST(event_id % 7 AS VARCHAR) || repeat(' detail', 15), 1, 30) AS message, count(*) AS n, list_sort(list(event_id)) AS lines, list_sort(list_distinct(list(user_id % 5))) AS files FROM events GROUP BY 1""", joined=("lines", "files",))
-def validation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+MESSAGE_SQL = "substr(event_type || ' failed for item ' || CAST(event_id % 7 AS VARCHAR) || repeat(' detail', 15), 1, 30)"
+
+
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     message = F.concat("event_type", F.lit(" failed for item "), (F.col("event_id") % 7).cast("string"), F.repeat(F.lit(" detail"), 15))
     return G.summary(table(spark, sf_dir, "events").withColumn("file", F.col("user_id") % 5), message, "event_id", "file", 30)
 
 
-@query("SELECT user_id, CAST(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS errors, list_sort(list(event_id)) AS ids FROM events GROUP BY 1", joined=("ids",))
+@query(f"SELECT {MESSAGE_SQL} AS message, user_id % 5 AS file, count(*) AS n, min(event_id) AS first_line, max(event_id) AS last_line FROM events GROUP BY 1, 2")
+def validation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return messages(spark, sf_dir)
+
+
+@query(f"SELECT {MESSAGE_SQL} AS message, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, {MESSAGE_SQL}) AS rank FROM events GROUP BY 1 ORDER BY n DESC, message LIMIT 10")
+def errors_by_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.most_frequent(messages(spark, sf_dir), "message", "n", 10)
+
+
+@query("SELECT user_id, CAST(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS errors, count(*) AS n_ids FROM events GROUP BY 1")
 def merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select("user_id", F.when(F.col("event_type") == "error", 1).otherwise(0).cast("long").alias("errors"), F.array("event_id").alias("ids"))
     return G.merge(rows, "user_id", ["errors"], ["ids"])
