@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
+
 # HTML elements and what each becomes.
 UNWRAPPED = ["font", "small", "big", "dir", "span", "s", "lixo", "center"]
 RENAMED = [
@@ -90,19 +92,27 @@ def images(html: Column) -> Column:
     return F.regexp_replace(html, r"""(?i)<img\b[^>]*?src\s*=\s*["']([^"'>]*)["'][^>]*>""", '<inline-graphic xlink:href="$1"/>')
 
 
-def drop_empty(html: Column, depth: int = 4) -> Column:
-    """Elements without content, but for those that may be empty; as deep as depth."""
+def until_gone(html: Column, pattern: str, by: str, passes: int) -> Column:
+    """html with a pattern replaced until it doesn't occur: in a few passes, and the rare deeper nesting by a fold."""
+    for _ in range(passes):
+        html = F.regexp_replace(html, pattern, by)
+
+    def rest(v: Column) -> Column:
+        ends = F.sequence(F.lit(1), F.size(F.split(v["html"], "</")))
+        return F.when(v["html"].rlike(pattern), F.aggregate(ends, v["html"], lambda h, _: F.regexp_replace(h, pattern, by))).otherwise(v["html"])
+
+    return let(rest, html=html)
+
+
+def drop_empty(html: Column) -> Column:
+    """Elements without content, but for those that may be empty, at any depth."""
     keep = "|".join(EMPTY_STAYS)
-    for _ in range(depth):
-        html = F.regexp_replace(html, rf"(?i)<(?!(?:{keep})\b)([a-z][a-z-]*)(?:\s+[^>/]*)?>\s*</\1\s*>", "")
-    return html
+    return until_gone(html, rf"(?i)<(?!(?:{keep})\b)([a-z][a-z-]*)(?:\s+[^>/]*)?>\s*</\1\s*>", "", 4)
 
 
-def unnest_paragraphs(html: Column, depth: int = 3) -> Column:
-    """A paragraph that holds nothing but one paragraph is that one."""
-    for _ in range(depth):
-        html = F.regexp_replace(html, r"(?is)<p(?:\s[^>]*)?>\s*(<p(?:\s[^>]*)?>(?:(?!</?p\b).)*</p>)\s*</p>", "$1")
-    return html
+def unnest_paragraphs(html: Column) -> Column:
+    """A paragraph that holds nothing but one paragraph is that one, at any depth."""
+    return until_gone(html, r"(?is)<p(?:\s[^>]*)?>\s*(<p(?:\s[^>]*)?>(?:(?!</?p\b).)*</p>)\s*</p>", "$1", 3)
 
 
 def fix_ids(html: Column, body: Column) -> Column:

@@ -70,18 +70,27 @@ def contained_assets(assets: DataFrame, files: DataFrame, folder: str) -> DataFr
     """Each asset (folder, asset) with the best of its folder's files (folder, file).
 
     Best is the file of that name, then a .tif whose name contains the asset's stem, then any that contains it.
-    Folders are joined by equality, so only names of one folder are compared.
+    Exact names meet by equality; only assets without one are compared with their folder's other files.
     """
+    asked = assets.select(folder, "asset").distinct()
+    exact = asked.join(files.select(folder, F.col("file").alias("asset")).distinct(), [folder, "asset"], "left_semi").withColumn("file", F.col("asset"))
     stem = F.regexp_replace("asset", r"\.[^.]*$", "")
-    pairs = assets.join(files, folder).where((F.col("file") == F.col("asset")) | F.contains(F.col("file"), stem))
-    rank = F.when(F.col("file") == F.col("asset"), 0).when(F.lower("file").endswith(".tif"), 1).otherwise(2)
-    best = pairs.groupBy(folder, "asset").agg(F.min_by("file", F.struct(rank, F.col("file"))).alias("file"))
-    return assets.select(folder, "asset").distinct().join(best, [folder, "asset"], "left")
+    pairs = asked.join(exact, [folder, "asset"], "left_anti").join(files, folder).where(F.contains(F.col("file"), stem))
+    rank = F.when(F.lower("file").endswith(".tif"), 1).otherwise(2)
+    best = pairs.groupBy(folder, "asset").agg(F.min_by("file", F.struct(rank, F.col("file"))).alias("file")).unionByName(exact)
+    return asked.join(best, [folder, "asset"], "left")
+
+
+def alternatives(assets: DataFrame, files: DataFrame, folder: str) -> DataFrame:
+    """(folder, asset, file): the other files of an asset's folder whose names differ by the extension only."""
+    stem = lambda c: F.regexp_replace(c, r"(?<=[^.])\.[^.]*$", "")
+    a = assets.select(folder, "asset", stem(F.col("asset")).alias("__stem")).distinct()
+    return a.join(files.select(folder, "file", stem(F.col("file")).alias("__stem")).distinct(), [folder, "__stem"]).select(folder, "asset", "file")
 
 
 def anchors_with_links(anchors: DataFrame, links: DataFrame) -> DataFrame:
     """Anchors (doc, name, pos) with the links (doc, href, pos) that lead to them: one self equi-join per document."""
-    target = F.when(F.col("href").startswith("#"), F.substring("href", 2, 1_000_000))
+    target = F.when(F.col("href").startswith("#"), F.substr("href", F.lit(2)))
     side = links.select("doc", target.alias("name"), F.col("pos").alias("link_pos")).where("name is not null")
     return anchors.join(side, ["doc", "name"], "left")
 
@@ -89,13 +98,13 @@ def anchors_with_links(anchors: DataFrame, links: DataFrame) -> DataFrame:
 def longest_rule(items: DataFrame, name: str, rules: DataFrame) -> DataFrame:
     """Each name with the longest rule (clue, tag) that it begins with; ties to the smaller clue.
 
-    Names and clues meet on their first letter, so the rules are never paired with all names. A name for which no
-    rule fits has null clue and tag.
+    Names meet rules by equality of a beginning as long as a clue: one row per name and length that clues have. A name
+    for which no rule fits has null clue and tag.
     """
-    letter = lambda c: F.lower(F.substring(c, 1, 1))
-    named = items.select(name).distinct().withColumn("__first", letter(F.col(name)))
-    pairs = named.join(rules.select("clue", "tag").withColumn("__first", letter(F.col("clue"))), "__first")
-    pairs = pairs.where(F.startswith(F.lower(name), F.lower("clue")))
+    lengths = sorted(r[0] for r in rules.select(F.length("clue")).distinct().collect() if r[0])
+    named = items.select(name).distinct()
+    begins = F.array(*[F.when(F.length(name) >= n, F.substring(F.lower(name), 1, n)) for n in lengths]) if lengths else F.array().cast("array<string>")
+    pairs = named.select(name, F.explode(begins).alias("__begin")).join(rules.select("clue", "tag", F.lower("clue").alias("__begin")), "__begin")
     best = pairs.groupBy(name).agg(F.max_by(F.struct("clue", "tag"), F.struct(F.length("clue"), F.translate(F.col("clue"), "abcdefghijklmnopqrstuvwxyz", "zyxwvutsrqponmlkjihgfedcba"))).alias("__rule"))
     return named.select(name).join(best, name, "left").select(name, "__rule.clue", "__rule.tag")
 

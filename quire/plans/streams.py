@@ -15,8 +15,11 @@ EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder where the session keeps shared data; a temporary one only where it names none."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
+    """A new folder where the session keeps shared data; a temporary one only where it names none, in local mode."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+    root = root or tempfile.mkdtemp(prefix="spark-")
     return f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
 
 
@@ -32,7 +35,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     for run in ("first", "second"):
         rows = arriving(spark, sf_dir).select("event_id", "event_type", "user_id")
         S.ingest_once(rows, f"{folder}/table", f"{folder}/{run}", "event_id")
-    return spark.read.parquet(f"{folder}/table")
+    return spark.read.parquet(f"{folder}/table").drop("key_part")
 
 
 @query("SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
