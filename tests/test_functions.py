@@ -189,3 +189,58 @@ def test_ratio(spark):
 
     rows = spark.createDataFrame([("abcd", "bcde"), ("", ""), (None, "a"), ("a", "b")], "a string, b string").select(fuzzy.ratio("a", "b").alias("r")).collect()
     assert [r["r"] for r in rows] == [0.75, 1.0, None, 0.0]
+
+
+def test_xml_edits(value):
+    from quire.functions import xmledit as E
+
+    meta = lambda inner: f'<article xml:lang="en"><front><journal-meta><journal-id>a</journal-id><journal-title-group><t/></journal-title-group></journal-meta><article-meta>{inner}</article-meta></front></article>'
+    assert value(E.with_date(F.lit(meta("")), "epub", F.lit("2020"), F.lit("05"), F.lit(""))) == meta('<pub-date pub-type="epub"><month>05</month><year>2020</year></pub-date>')
+    old = meta('<pub-date pub-type="epub"><year>1</year></pub-date><volume>1</volume>')
+    assert value(E.with_date(F.lit(old), "epub", F.lit("2020"), F.lit(None).cast("string"), F.lit(""))) == meta('<pub-date pub-type="epub"><year>2020</year></pub-date><volume>1</volume>')
+    assert value(E.with_language(F.lit("<article><p/></article>"), F.lit("pt"))) == '<article xml:lang="pt"><p/></article>'
+    assert value(E.with_language(F.lit(meta("")), F.lit("pt"))) == meta("")
+    assert value(E.with_article_id(F.lit(meta("<volume/>")), F.lit("00012"), kind="other")) == meta('<volume/><article-id pub-id-type="other">00012</article-id>')
+    issns = F.create_map(F.lit("ppub"), F.lit("2"), F.lit("epub"), F.lit("1"))
+    assert '</journal-title-group><issn pub-type="epub">1</issn><issn pub-type="ppub">2</issn></journal-meta>' in value(E.with_issns(F.lit(meta("")), issns))
+    there = meta("").replace("</journal-meta>", "<issn>9</issn></journal-meta>")
+    assert value(E.with_issns(F.lit(there), issns)) == there
+    assert value(E.upgraded_dates(F.lit(meta('<pub-date date-type="pub"><year>1</year></pub-date>')))) == meta('<pub-date date-type="pub" publication-format="electronic"><year>1</year></pub-date>')
+    assert value(E.without_counts(F.lit(meta("<counts><x/></counts><counts/>")))) == meta("<counts/>")
+    assert value(E.with_names(F.lit('<g xlink:href="a.jpg"/><g xlink:href="b.jpg"/>'), F.create_map(F.lit("a.jpg"), F.lit("p-ga.jpg")))) == '<g xlink:href="p-ga.jpg"/><g xlink:href="b.jpg"/>'
+
+
+def test_nesting_of_any_depth(value):
+    from quire.functions import markup as M
+
+    deep = "<b>" * 40 + "</b>" * 40
+    assert value(M.drop_empty(F.lit(f"x{deep}y"))) == "xy"
+    assert value(M.unnest_paragraphs(F.lit("<p>" * 9 + "t" + "</p>" * 9))) == "<p>t</p>"
+
+
+def test_log_lines_of_each_kind(spark):
+    from quire.operators import reports as P
+
+    lines = [
+        "2020-08-26 13:46:05 ERROR [module.packing] [S0066-782X2020000500001] - Could not find rendition 'bases/pdf/abc/v114n4s1/pt_0066.pdf' during packing XML '0066-782X-abc.xml'",
+        "2020-08-26 14:49:55 ERROR [module.packing] Could not find the XML file 'cadbto/nahead/2526.xml'.",
+        "2020-09-11 08:35:56 ERROR [module.inserting] The bundle '0036-3634-2009-v45-n4' was not updated. During executions this following exception was raised 'x'.\n",
+        "2020-09-11 08:35:56 ERROR [module.inserting] No ISSN in document 'JwqGdMDrdcV3Z7MFHgtKvVk'\n",
+        "2020-08-26 14:49:55 ERROR [module] Could not update xml 'a.xml'. The exception 'boom' was raised.",
+        "2020-08-26 14:49:55 ERROR [module] something else",
+        "short line",
+    ]
+    got = {r["message"][:20]: r for r in P.parse_lines(spark.createDataFrame([(x,) for x in lines], "value string")).collect()}
+    assert len(got) == 6
+    first = got["[S0066-782X202000050"]
+    assert (first["pid"], first["uri"], first["xml"], first["error"], first["group"], first["module"]) == ("S0066-782X2020000500001", "bases/pdf/abc/v114n4s1/pt_0066.pdf", "0066-782X-abc.xml", "resource-not-found", "renditions", "[module.packing]")
+    assert got["The bundle '0036-363"]["bundle"] == "0036-3634-2009-v45-n4" and got["No ISSN in document "]["pid"] == "JwqGdMDrdcV3Z7MFHgtKvVk"
+    assert got["Could not update xml"]["exception"] == "boom" and got["something else"]["error"] is None
+    assert P.errors_without_pid(P.parse_lines(spark.createDataFrame([(x,) for x in lines], "value string"))).count() == 3
+
+
+def test_fixed_renditions(value):
+    paths = F.create_map(F.lit("pt"), F.lit("/img/v31n2S1/a.pdf"))
+    assert value(R.fixed_renditions(paths, F.lit("v31n2S1"))) == {"pt": "/img/v31n2S1/a.pdf"}
+    lower = F.create_map(F.lit("pt"), F.lit("/img/v31n2s1/a.pdf"), F.lit("en"), F.lit("/other/b.pdf"))
+    assert value(R.fixed_renditions(lower, F.lit("v31n2S1"))) == {"pt": "/img/v31n2S1/a.pdf"}
