@@ -28,7 +28,7 @@ LINE = r"^(.*?)\s+(.*?)\s+(.*?)\s+(.*?)\s+(.*?)$"
 
 
 def parse_lines(lines: DataFrame, value: str = "value", rules: list | None = None) -> DataFrame:
-    """Log lines as (date, time, level, module, message, error, group, and what the message names: FIELDS).
+    """Log lines as (date, time, level, module, message, error, error_group, and what the message names: FIELDS).
 
     Lines of another shape go; of the rules the first that fits counts, and each is matched with a line once.
     """
@@ -40,7 +40,7 @@ def parse_lines(lines: DataFrame, value: str = "value", rules: list | None = Non
         rule = F.when(F.col("message").rlike(pattern), i).otherwise(rule)
 
     said = {n: {i: F.nullif(F.regexp_extract("message", pattern, names.index(n) + 1), F.lit("")) for i, (_, pattern, names, _) in enumerate(known) if n in names} for n in FIELDS}
-    plain = {"error": {i: F.lit(error) for i, (error, *_) in enumerate(known)}, "group": {i: F.lit(group) for i, (*_, group) in enumerate(known) if group}}
+    plain = {"error": {i: F.lit(error) for i, (error, *_) in enumerate(known)}, "error_group": {i: F.lit(group) for i, (*_, group) in enumerate(known) if group}}
 
     def found(v: Column) -> Column:
         def of(values: dict[int, Column]) -> Column:
@@ -56,9 +56,9 @@ def parse_lines(lines: DataFrame, value: str = "value", rules: list | None = Non
 
 
 def errors_by_pid(parsed: DataFrame) -> DataFrame:
-    """Per pid, error and group: the sorted distinct uris (those of one document), the number of lines and the latest time."""
+    """Per pid, error and group of errors: the sorted distinct uris (those of one document), the number of lines and the latest time."""
     known = parsed.where("error is not null and pid is not null")
-    return known.groupBy("pid", "error", "group").agg(F.array_sort(F.collect_set("uri")).alias("uris"), F.count(F.lit(1)).alias("n"), F.max(F.concat_ws(" ", "date", "time")).alias("last"))
+    return known.groupBy("pid", "error", "error_group").agg(F.array_sort(F.collect_set("uri")).alias("uris"), F.count(F.lit(1)).alias("n"), F.max(F.concat_ws(" ", "date", "time")).alias("last"))
 
 
 def errors_without_pid(parsed: DataFrame) -> DataFrame:

@@ -55,7 +55,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def found_sql(column: str) -> str:
-    cases = {"error": [f"'{e}'" for e, _, _ in FOUND], "group": [f"'{g}'" if g else "NULL" for _, g, _ in FOUND]}
+    cases = {"error": [f"'{e}'" for e, _, _ in FOUND], "error_group": [f"'{g}'" if g else "NULL" for _, g, _ in FOUND]}
     of = cases.get(column) or [fields.get(column, "NULL") for _, _, fields in FOUND]
     return f"CASE event_id % 13 {' '.join(f'WHEN {i} THEN {x}' for i, x in enumerate(of))} END"
 
@@ -67,7 +67,7 @@ def message_sql() -> str:
     return f"CASE event_id % 13 {' '.join(f'WHEN {i} THEN {chr(39)}{m}{chr(39)}' for i, m in enumerate(quoted))} ELSE 'done' END"
 
 
-PARSED = f"""(SELECT stamp, {message_sql()} AS message, {', '.join(f'{found_sql(c)} AS "{c}"' for c in ("error", "group", *P.FIELDS))} FROM
+PARSED = f"""(SELECT stamp, {message_sql()} AS message, {', '.join(f'{found_sql(c)} AS "{c}"' for c in ("error", "error_group", *P.FIELDS))} FROM
   (SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS stamp, 'img/f' || event_id % 50 || '.jpg' AS f, 'a/x' || event_id % 9 || '.xml' AS x, 'S0000-0000202000' || lpad(CAST(user_id % 10000000 AS VARCHAR), 7, '0') AS p, 'path/pkg' || event_id % 9 AS d FROM events WHERE event_id % 10 <> 0))"""
 
 
@@ -76,7 +76,7 @@ def log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.parse_lines(log_lines(spark, sf_dir))
 
 
-@query(f'SELECT pid, error, "group", list_sort(coalesce(list_distinct(list(uri) FILTER (WHERE uri IS NOT NULL)), [])) AS uris, count(*) AS n, max(stamp) AS last FROM {PARSED} WHERE error IS NOT NULL AND pid IS NOT NULL GROUP BY 1, 2, 3', joined=("uris",))
+@query(f'SELECT pid, error, error_group, list_sort(coalesce(list_distinct(list(uri) FILTER (WHERE uri IS NOT NULL)), [])) AS uris, count(*) AS n, max(stamp) AS last FROM {PARSED} WHERE error IS NOT NULL AND pid IS NOT NULL GROUP BY 1, 2, 3', joined=("uris",))
 def log_errors_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.errors_by_pid(P.parse_lines(log_lines(spark, sf_dir)))
 

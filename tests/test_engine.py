@@ -84,8 +84,8 @@ def test_shared_words_find_what_brute_force_finds(spark):
     texts = ["a b c d", "a b c x", "q r", "", "a b", "x y z a b c d"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc int, text string")
     items = spark.createDataFrame(list(enumerate(texts)), "item int, text string")
-    want = sorted((i, j) for i, a in enumerate(texts) for j, b in enumerate(texts) if (A := set(a.split())) and (B := set(b.split())) and len(A & B) / len(A | B) >= 0.5)
-    assert rows(similarity.shared_word_pairs(docs, items, "doc", "item", 0.5), "doc", "item") == want
+    want = sorted((i, j) for i, a in enumerate(texts) for j, b in enumerate(texts) if (A := set(a.split())) and (B := set(b.split())) and len(A & B) / len(B) >= 0.5)
+    assert rows(similarity.contained_items(docs, items, "doc", "item", 0.5), "doc", "item") == want
 
 
 def test_iso2709(spark, tmp_path):
@@ -131,7 +131,7 @@ def test_stream_ingest_is_idempotent(spark, tmp_path):
     spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "id int, v string").write.parquet(source)
     for run in ("one", "two"):
         ingest.ingest_once(ingest.read_stream(spark, source, "id int, v string"), target, str(tmp_path / run), "id")
-    assert rows(spark.read.parquet(target)) == [(1, "a"), (2, "c")]
+    assert rows(spark.read.parquet(target).drop("key_part")) == [(1, "a"), (2, "c")]
 
 
 def plain(value):

@@ -233,7 +233,7 @@ def test_log_lines_of_each_kind(spark):
     got = {r["message"][:20]: r for r in P.parse_lines(spark.createDataFrame([(x,) for x in lines], "value string")).collect()}
     assert len(got) == 6
     first = got["[S0066-782X202000050"]
-    assert (first["pid"], first["uri"], first["xml"], first["error"], first["group"], first["module"]) == ("S0066-782X2020000500001", "bases/pdf/abc/v114n4s1/pt_0066.pdf", "0066-782X-abc.xml", "resource-not-found", "renditions", "[module.packing]")
+    assert (first["pid"], first["uri"], first["xml"], first["error"], first["error_group"], first["module"]) == ("S0066-782X2020000500001", "bases/pdf/abc/v114n4s1/pt_0066.pdf", "0066-782X-abc.xml", "resource-not-found", "renditions", "[module.packing]")
     assert got["The bundle '0036-363"]["bundle"] == "0036-3634-2009-v45-n4" and got["No ISSN in document "]["pid"] == "JwqGdMDrdcV3Z7MFHgtKvVk"
     assert got["Could not update xml"]["exception"] == "boom" and got["something else"]["error"] is None
     assert P.errors_without_pid(P.parse_lines(spark.createDataFrame([(x,) for x in lines], "value string"))).count() == 3
