@@ -293,7 +293,8 @@ def chunks_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
 def encode_documents(docs: DataFrame, *, path: str | None = None, pattern: str | None = None, with_ids: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256[, ids, decoded]) for every row of docs (doc_id, text).
 
-    Null texts are empty: no token, the digests of nothing. Repeated rows and null ids come out as they came in.
+    Null texts are empty: no token, the digests of nothing. Very long texts and words are encoded whole. Repeated rows
+    and null ids come out as they came in; other columns are left out, whatever their names; an empty table gives none.
     ids_sha256 is over the ids as little-endian unsigned 32-bit integers.
     """
     path = path or vocabulary_path()

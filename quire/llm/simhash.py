@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .storage import cut
+from .storage import cut, join_hot
 
 BITS = 64
 SEED = 42
@@ -255,18 +255,20 @@ def close_pairs(fps: DataFrame, reach: int = 2, row: float = 50, jaccard: float
 def grouped(docs: DataFrame, words: int, reach: int, keep: tuple[str, ...]) -> DataFrame:
     """The columns to keep (doc_id among them), fp, and per group component (a fingerprint) and component_id."""
     marked = cut(fingerprints(docs, words, keep))
-    first = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    first = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")))
     linked = components(close_pairs(first.select("fp"), reach))
-    of = first.join(linked.withColumnRenamed("id", "fp"), "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
-    least = of.groupBy("component").agg(F.min("first").alias("component_id"))
-    return marked.join(of.drop("first").join(least, "component"), "fp")
+    of = first.join(linked.withColumnRenamed("id", "fp"), "fp", "left").select("fp", "first", "n", F.coalesce("component", "fp").alias("component"))
+    least = of.groupBy("component").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("m"))
+    of = join_hot(of.drop("first"), least, "component", "m", first.count())
+    return join_hot(marked, of, "fp", "n", marked.count())
 
 
 def near_duplicates(docs: DataFrame, *, words: int = 3, reach: int = 2) -> DataFrame:
     """(doc_id, fp, component_id) for every row: documents are linked where fingerprints differ in at most reach bits.
 
-    component_id is the smallest doc_id reachable. Texts without a word share fingerprint zero. Repeated rows come
-    out as often as they came in. A null doc_id gets the component's smallest id, null where it has none.
+    component_id is the smallest doc_id reachable. Null texts and texts without a word share fingerprint zero; very long
+    ones are read whole. Repeated rows come out as often as they came in. A null doc_id gets the component's smallest id,
+    null where it has none. Other columns are left out, whatever their names; an empty table gives none.
     """
     return grouped(docs, words, reach, ("doc_id",)).select("doc_id", "fp", "component_id")
 

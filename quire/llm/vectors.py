@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .storage import cut
+from .storage import cut, join_hot
 
 BLOCK = 16384
 MOST_PIVOTS = 1024
@@ -188,15 +188,17 @@ def near_duplicates(table: DataFrame, *, cosine: float = 0.9, block: int = BLOCK
     Equal vectors are joined as one, with their number. A vector that cannot link (null, zero, with a null or
     non-finite component) has no link and is its own component. Vectors of different lengths never link. Repeated
     rows of one vec_id come out once each; links count other rows. A null vec_id has no link and a null component.
+    Other columns are left out, whatever their names; an empty table gives none.
     """
     good = usable(table.where(F.col("vec_id").isNotNull()))
     same = good.groupBy("x").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     same = cut(same.select("rep", "copies", "x"))
+    number = good.count()
     links, edges = range_links(same, cosine, block)
     linked = components(edges)
     per = same.join(links, "rep", "left").join(linked.withColumnRenamed("id", "rep"), "rep", "left")
-    per = per.select("x", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    own = good.join(per, "x", "inner").select("vec_id", "n_links", "component_id")
+    per = per.select("x", "copies", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    own = join_hot(good, per, "x", "copies", number).select("vec_id", "n_links", "component_id")
     bad = table.where(F.col("vec_id").isNull() | ~fine_vector()).select("vec_id")
     rows = own.unionByName(bad.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")))
     return rows.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
