@@ -148,7 +148,7 @@ def test_bpe_equals_tiktoken(odd, none):
     rng = np.random.default_rng(2)
     texts = [(100 + i, "".join(rng.choice(list("ab\n 's'é1!x\t"), 80)), "en", "s", 1) for i in range(50)] + [(200, "a\x00b  c \n", "en", "s", 1), (201, "don't <|endoftext|> I'LL\r\n\r\n  é   x", "en", "s", 1)]
     docs = odd.select(DOCS_COLUMNS).unionByName(odd.sparkSession.createDataFrame(texts, DOCS))
-    got = bpe.encode_documents(docs).collect()
+    got = bpe.encode_documents(docs.withColumn("ids", F.lit("clash")).withColumn("n_tokens", F.lit("clash"))).collect()
     want = []
     for doc, text, *_ in ODD + texts:
         ids = np.array(known.encode_ordinary(text or ""), "<u4")
@@ -160,6 +160,21 @@ def test_bpe_equals_tiktoken(odd, none):
 DOCS_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def test_bpe_forgets_and_keeps_words(odd, monkeypatch):
+    """Words beyond those held are folded anew, parts of long words are rows of their own: the same ids."""
+    import tiktoken
+
+    known = tiktoken.Encoding("own", pat_str=bpe.word_pattern(), mergeable_ranks=bpe.read_ranks(bpe.vocabulary_path()), special_tokens={})
+    for name, value in {"HELD": 40, "HELD_CHUNKS": 20, "HEAD_WORDS": 30, "LONG_WORD": 12, "PART": 2}.items():
+        monkeypatch.setattr(bpe, name, value)
+    monkeypatch.setattr(bpe, "byte_slices", lambda column, at_most: subwords.byte_slices(column, 300))
+    rng = random.Random(9)
+    texts = [" ".join("".join(rng.choice("aeioubcdfgh") for _ in range(rng.randrange(1, 18))) for _ in range(30)) for _ in range(60)]
+    docs = odd.sparkSession.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: (r["ids_sha256"], r["decoded_sha256"]) for r in bpe.encode_documents(docs).collect()}
+    assert got == {i: (hashlib.sha256(np.array(known.encode_ordinary(t), "<u4").tobytes()).hexdigest(), hashlib.sha256(t.encode()).hexdigest()) for i, t in enumerate(texts)}
+
+
 def test_heap_merges_like_the_fold():
     import tiktoken
 
