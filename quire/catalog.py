@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from .plans import groupings, issues, links, markup, packaging, registry, reporting, streams, texts
+from .plans import groupings, inference, issues, links, markup, packaging, registry, reporting, streams, texts
 
-PLANS = (texts, issues, links, groupings, packaging, reporting, markup, streams)
+PLANS = (texts, issues, links, groupings, packaging, reporting, markup, inference, streams)
 FLAGSHIP: registry.Query = texts.similarity_report
 
 

@@ -63,6 +63,13 @@ def consecutive(rows: DataFrame, partition: list[str], order: list[str], n: int,
     return runs.select(*partition, "run", F.transform("__items", lambda x: x[value]).alias("items"))
 
 
+def placed(rows: DataFrame, group: str, order: Column, reverse: Column, tie: Column) -> DataFrame:
+    """rows with position, from 1, in their group's order, or in the reverse order where the group says so; ties by `tie`."""
+    up, down = F.when(~reverse, order), F.when(reverse, order)
+    w = Window.partitionBy(group).orderBy(up.asc_nulls_last(), down.desc_nulls_last(), tie)
+    return rows.withColumn("position", F.row_number().over(w))
+
+
 def page(rows: DataFrame, order: list[Column], number: int, size: int = 20) -> DataFrame:
     """Page `number` (from 1) of rows in a total order: a top-k, no sort of the whole."""
     return rows.orderBy(*order).offset((number - 1) * size).limit(size)

@@ -109,6 +109,11 @@ def longest_rule(items: DataFrame, name: str, rules: DataFrame) -> DataFrame:
     return named.select(name).join(best, name, "left").select(name, "__rule.clue", "__rule.tag")
 
 
+def issn_fixes(documents: DataFrame, pid: str, fixes: DataFrame, issn: str) -> DataFrame:
+    """documents with the columns that the fixes have for the ISSN in their id (its second to tenth character); null without one."""
+    return documents.join(fixes.withColumnRenamed(issn, "__issn"), F.substring(pid, 2, 9) == F.col("__issn"), "left").drop("__issn")
+
+
 def propagate_label(links: DataFrame) -> DataFrame:
     """links (doc, pos, text) with label: that of the last link before with letters, if a link's text is a number only."""
     order = Window.partitionBy("doc").orderBy("pos")
