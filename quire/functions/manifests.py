@@ -67,3 +67,23 @@ def completed_dates(document_date: Column, bundle_date: Column, new_document: Co
     missing = lambda d: F.coalesce(I.blank(d), F.lit("")) == ""
     bundle = F.when(~ahead, F.when(missing(bundle_date), new_bundle).otherwise(bundle_date))
     return F.struct(F.when(missing(document_date), new_document).otherwise(document_date).alias("document"), bundle.alias("bundle"))
+
+
+def bundle(id_: Column, stamp: Column) -> Column:
+    """The manifest of a bundle without documents yet; null without its id."""
+    return F.when(I.blank(id_).isNotNull(), F.struct(id_.alias("id"), stamp.alias("created"), stamp.alias("updated"), F.array().cast("array<string>").alias("items"), F.create_map().cast("map<string,string>").alias("metadata")))
+
+
+def dated(stamp: Column, value: Column) -> Column:
+    """A metadata value in the form that later ones are added to: pairs of a time and a value."""
+    return F.array(F.struct(stamp.alias("date"), value.alias("value")))
+
+
+def article_result(meta: Column, journal: Column) -> Column:
+    """What an imported document's issue is found by, from metadata() and journal_meta(): eleven texts, null where unknown."""
+    of = lambda name: F.get(F.filter(journal, lambda e: e["key"] == name), F.lit(0))["value"]
+    fields = {
+        "pid_v3": meta["pid_v3"], "eissn": of("eissn"), "pissn": of("pissn"), "issn": of("issn"), "acron": of("acron"), "pid": meta["pid_v2"], "year": I.blank(meta["bundle_date"]["year"]), "volume": meta["volume"],
+        "number": I.issue_number(meta["issue"]), "supplement": I.issue_supplement(meta["issue"]), "order": I.order_of(meta["pid_v2"], meta["other"], meta["fpage"]),
+    }
+    return F.struct(*[c.alias(n) for n, c in fields.items()])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import markup as M
 from ..functions import text as T
+from ..functions import manifests as MA
 from ..functions import xmledit as E
 from ..functions import xmlmeta as X
 from .registry import query, table
@@ -147,3 +148,14 @@ def xml_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     out = E.with_article_id(E.without_counts(E.upgraded_dates(xml)), F.concat(lit("n"), k.cast("string")), "pid-v3")
     return table(spark, sf_dir, "documents").select("doc_id", E.with_issns(out, F.create_map(lit("ppub"), lit("2222-2222"), lit("epub"), lit("1111-1111"))).alias("xml"))
+
+
+@query("""
+SELECT doc_id, CASE WHEN doc_id % 3 = 2 THEN 'v3-' || doc_id END AS pid_v3, CASE WHEN doc_id % 2 = 0 THEN '1111-1111' END AS eissn, CASE WHEN doc_id % 6 = 0 THEN '3333-333X' WHEN doc_id % 2 = 1 THEN '2222-2222' END AS pissn,
+  CASE WHEN doc_id % 6 = 0 THEN '3333-333X' WHEN doc_id % 2 = 1 THEN '2222-2222' ELSE '1111-1111' END AS issn, 'acr' || doc_id % 7 AS acron, printf('S0000-0000202000%07d', doc_id) AS pid, CASE WHEN doc_id % 7 = 0 THEN '2018' ELSE '2020' END AS year,
+  CASE WHEN doc_id % 4 <> 0 THEN CAST(doc_id % 4 AS VARCHAR) END AS volume, CASE WHEN doc_id % 5 <> 0 THEN CAST(doc_id % 5 AS VARCHAR) END AS number, CAST(NULL AS VARCHAR) AS supplement,
+  coalesce(CASE WHEN doc_id % 100000 BETWEEN 1 AND 99999 THEN lpad(CAST(doc_id % 100000 AS VARCHAR), 5, '0') END, CASE WHEN doc_id BETWEEN 1 AND 99999 THEN lpad(CAST(doc_id AS VARCHAR), 5, '0') END) AS position FROM documents""")
+def import_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What imported documents' issues are found by."""
+    rows = documents_xml(spark, sf_dir).select("doc_id", X.metadata(F.col("xml")).alias("m"), X.journal_meta(F.col("xml")).alias("j"))
+    return rows.select("doc_id", MA.article_result(F.col("m"), F.col("j")).alias("r")).select("doc_id", "r.*").withColumnRenamed("order", "position")

@@ -85,3 +85,14 @@ def write_by_year(rows: DataFrame, date: str, path: str) -> None:
     """One folder per year of a date text; each year's rows are brought together first, split where they are many."""
     dated = rows.withColumn("year", F.regexp_extract(date, r"^\s*(\d{4})", 1))
     dated.hint("rebalance", "year").write.mode("overwrite").partitionBy("year").json(path)
+
+
+def read_ids(spark: SparkSession, path: str) -> DataFrame:
+    """Distinct ids of a text file, one a line; empty lines go."""
+    return spark.read.text(path).select(F.trim("value").alias("pid")).where("pid <> ''").distinct()
+
+
+def read_binary(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """Files whole, with name, length and content."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
+    return files.select(F.regexp_extract("path", r"([^/]*)$", 1).alias("name"), "length", "content")

@@ -244,3 +244,21 @@ def test_fixed_renditions(value):
     assert value(R.fixed_renditions(paths, F.lit("v31n2S1"))) == {"pt": "/img/v31n2S1/a.pdf"}
     lower = F.create_map(F.lit("pt"), F.lit("/img/v31n2s1/a.pdf"), F.lit("en"), F.lit("/other/b.pdf"))
     assert value(R.fixed_renditions(lower, F.lit("v31n2S1"))) == {"pt": "/img/v31n2S1/a.pdf"}
+
+
+def test_bundle_and_dated(value):
+    from quire.functions import manifests as MF
+
+    made = value(MF.bundle(F.lit("0000-0000-2020-v1-n2"), F.lit("t")))
+    assert (made["id"], made["created"], made["items"], made["metadata"]) == ("0000-0000-2020-v1-n2", "t", [], {})
+    assert value(MF.bundle(F.lit(""), F.lit("t"))) is None
+    assert [tuple(x) for x in value(MF.dated(F.lit("t"), F.lit("v")))] == [("t", "v")]
+
+
+def test_ids_and_files_whole(spark, tmp_path):
+    from quire.sources import catalogue
+
+    (tmp_path / "ids.txt").write_text("S1\n\nS2\nS1\n")
+    (tmp_path / "a.bin").write_bytes(b"\x00\xff")
+    assert sorted(r["pid"] for r in catalogue.read_ids(spark, str(tmp_path / "ids.txt")).collect()) == ["S1", "S2"]
+    assert [(r["name"], r["length"], bytes(r["content"])) for r in catalogue.read_binary(spark, str(tmp_path), "*.bin").collect()] == [("a.bin", 2, b"\x00\xff")]
