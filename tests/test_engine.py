@@ -167,3 +167,24 @@ def test_conversion_keeps_the_words(spark):
     worst = catalog.queries()["conversion_diff"](spark, SF).agg(F.min("ratio")).first()[0]
     assert worst > 0.95
     assert catalog.queries()["html_to_article"](spark, SF).where("html_left > 0").count() == 0
+
+
+@needs_data
+def test_text_ratio_by_matching_blocks(spark):
+    from difflib import SequenceMatcher
+
+    from quire.functions import markup as M
+
+    article = M.element(F.col("html"), "article")
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", M.text_of(M.element(article, "h1")).alias("a"), M.text_of(M.element(article, "p")).alias("b")).collect()
+    want = {r["page_id"]: None if r["a"] is None or r["b"] is None else SequenceMatcher(None, r["a"], r["b"], autojunk=False).ratio() for r in pages}
+    got = {r["page_id"]: r["ratio"] for r in catalog.queries()["text_ratio"](spark, SF).collect()}
+    assert got == pytest.approx(want)
+    assert len(got) > 0
+
+
+def test_placed_and_most_frequent(spark):
+    items = spark.createDataFrame([("a", 1, 5), ("a", 2, 3), ("a", 3, None), ("b", 1, 5), ("b", 2, 3)], "g string, i int, o int")
+    assert rows(G.placed(items, "g", F.col("o"), F.col("g") == "b", F.col("i")), "g", "i", "position") == [("a", 1, 2), ("a", 2, 1), ("a", 3, 3), ("b", 1, 1), ("b", 2, 2)]
+    counted = spark.createDataFrame([("x", 2), ("y", 1), ("x", 1), ("z", 3)], "k string, n long")
+    assert rows(G.most_frequent(counted, "k", "n", 2), "k", "n", "rank") == [("x", 3, 1), ("z", 3, 2)]
