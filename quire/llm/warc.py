@@ -27,6 +27,8 @@ ARCHIVES = [(1 << 16, 4096), (1 << 20, 256), (1 << 24, 16), (None, 1)]
 PER_RANGE, SPLITTER_SAMPLE = 50, 200_000
 RANGE_ROWS = 50_000
 BROADCAST_ROWS = 20_000
+#: Bits of the map of shared digests: 8 MB.
+BITMAP = 1 << 26
 NEWLINE = "\r\n"
 
 
@@ -53,14 +55,28 @@ def utc(captured: Column) -> Column:
     return F.concat(day, F.lit("T"), part(3600, 24), F.lit(":"), part(60, 60), F.lit(":"), part(1, 60), F.lit("Z"))
 
 
+def maybe_in(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """rows with maybe: false only where keys lacks the row's key, by a broadcast bitmap of BITMAP bits whatever the keys' number."""
+    spot = F.pmod(F.xxhash64(key), F.lit(BITMAP))
+    maps = keys.groupBy(F.bitmap_bucket_number(spot).alias("__part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(spot)).alias("__bits"))
+    at = F.bitmap_bit_position(spot)
+    byte = F.conv(F.hex(F.substr("__bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    found = rows.withColumn("__part", F.bitmap_bucket_number(spot)).join(F.broadcast(maps), "__part", "left")
+    return found.withColumn("maybe", F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))).drop("__part", "__bits")
+
+
 def with_types(pages: DataFrame, least_bytes: int) -> DataFrame:
     """pages with payload, payload_bytes, payload_digest, record_type and refers_to."""
     payload = F.coalesce(F.col("html"), F.lit(""))
     base = pages.select("page_id", "url", "captured", *[c for c in pages.columns if c == "__kind"], payload.alias("payload"), F.octet_length(payload).cast("long").alias("payload_bytes"), sha1_base32(payload).alias("payload_digest"))
     same = base.where(F.col("payload_bytes") >= least_bytes).groupBy("payload_digest").agg(F.max("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
     same = cut(same.where("n > 1 and first is not null").drop("n"))
-    few = same.count() <= BROADCAST_ROWS  # otherwise Spark shuffles both sides and splits hot digests
-    out = base.join(F.broadcast(same) if few else same, "payload_digest", "left")
+    if same.count() <= BROADCAST_ROWS:
+        out = base.join(F.broadcast(same), "payload_digest", "left")
+    else:  # only payloads that may be shared are shuffled
+        marked = maybe_in(base, same, "payload_digest")
+        alone = marked.where("not maybe").drop("maybe").withColumn("first", F.lit(None).cast(same.schema["first"].dataType))
+        out = marked.where("maybe").drop("maybe").join(same, "payload_digest", "left").unionByName(alone)
     again = F.coalesce(F.col("page_id") != F.col("first"), F.lit(False)) & (F.col("payload_bytes") >= least_bytes)
     return out.withColumn("record_type", F.when(again, "revisit").otherwise("response")).withColumn("refers_to", F.when(again, F.col("first"))).drop("first")
 

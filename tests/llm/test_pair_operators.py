@@ -142,7 +142,7 @@ def test_simhash_groups(spark):
 PAGE = "page_id long, url string, html string, captured timestamp"
 
 
-def test_archives(spark, tmp_path):
+def test_archives(spark, tmp_path, monkeypatch):
     rng = random.Random(11)
     tricky = "a\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\n\r\n"
     html = [None, "", tricky, tricky, "<p>é</p>", "x" * 200_000] + [f"<p>{rng.randrange(25)}</p>" for _ in range(60)]
@@ -157,6 +157,10 @@ def test_archives(spark, tmp_path):
         last[h or ""] = i
     want = {i: (len((h or "").encode()), base64.b32encode(hashlib.sha1((h or "").encode()).digest()).decode(), "response" if last[h or ""] == i else "revisit", None if last[h or ""] == i else last[h or ""]) for i, _, h in rows}
     assert {r["page_id"]: (r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in out} == want
+    types = lambda: sorted((r["page_id"], r["record_type"], r["refers_to"]) for r in warc.with_types(pages, 0).collect())
+    few = types()
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", 0)  # many shared payloads: by bitmap
+    assert types() == few
     keys = [(r["url_key"], r["captured"], r["page_id"]) for r in out]
     assert keys == sorted(keys) and len({r["index_part"] for r in out}) > 1
     assert "org,example,b1)/p?q=1" in {k for k, *_ in keys}
