@@ -34,7 +34,7 @@ def parse_lines(lines: DataFrame, value: str = "value", rules: list | None = Non
     """
     bare = F.trim(F.col(value))
     parts = lines.where(bare.rlike(LINE)).select(*[F.regexp_extract(bare, LINE, i + 1).alias(n) for i, n in enumerate(("date", "time", "level", "module", "message"))])
-    known = [(error, f"(?i){pattern}", names, group) for error, pattern, names, group in (PACK_RULES + IMPORT_RULES if rules is None else rules)]
+    known = [(error, f"(?i)^{pattern}", names, group) for error, pattern, names, group in (PACK_RULES + IMPORT_RULES if rules is None else rules)]
     rule = F.lit(-1)
     for i, (_, pattern, _, _) in reversed(list(enumerate(known))):
         rule = F.when(F.col("message").rlike(pattern), i).otherwise(rule)
