@@ -9,6 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from .binding import let
+
 # The 48 digits of document ids, least significant place first in an id.
 DIGITS = "bcdfghjkmnpqrstvwxyzBCDFGHJKLMNPQRSTVWXYZ3456789"
 ID_LENGTH = 23
@@ -97,6 +99,25 @@ def package_name(issn: Column, acron: Column, volume: Column, number: Column, pa
     return F.when(ahead, F.concat_ws("-", issn, acron, F.lit("ahead"), blank(year), blank(rest))).otherwise(F.concat_ws("-", issn, acron, blank(volume), blank(number), blank(page)))
 
 
+def package_name_of(meta: Column, prefix: Column) -> Column:
+    """The package name of a document by its metadata(): issn-acron-volume-issue-fpage-lpage-elocation, parts that there are.
+
+    Ahead of print (no volume or issue) ahead, year and doi follow, or the other id without one; of an issue's document
+    without pages and doi the other id follows. Where nothing is known, the prefix of the original file names.
+    """
+
+    def named(m: Column) -> Column:
+        pages = [m["meta"][n] for n in ("fpage", "lpage", "elocation_id")]
+        ahead = m["meta"]["volume"].isNull() & m["issue"].isNull()
+        last = F.coalesce(m["doi"], m["meta"]["other"])
+        unpaged = F.coalesce(*pages, m["doi"]).isNull()
+        more = F.when(ahead & last.isNotNull(), F.concat_ws("-", F.lit("ahead"), m["meta"]["bundle_year"], last)).when(~ahead & unpaged, m["meta"]["other"])
+        name = F.concat_ws("-", m["meta"]["issn"], m["meta"]["acron"], m["meta"]["volume"], m["issue"], *pages, more)
+        return F.when(name != "", name).otherwise(prefix)
+
+    return let(named, meta=meta, issue=issue_token(meta["issue"]), doi=F.regexp_replace(meta["doi"], "^[^/]*/", ""))
+
+
 def asset_name(package: Column, prefix: Column, filename: Column) -> Column:
     """package-g + what follows the prefix in filename."""
     return F.concat(package, F.lit("-g"), F.when(filename.startswith(prefix), F.substring(filename, F.length(prefix) + 1, F.length(filename))).otherwise(filename))

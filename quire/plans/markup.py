@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import markup as M
 from ..functions import text as T
+from ..functions import ids as I
 from ..functions import manifests as MA
 from ..functions import xmledit as E
 from ..functions import xmlmeta as X
@@ -159,3 +160,11 @@ def import_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What imported documents' issues are found by."""
     rows = documents_xml(spark, sf_dir).select("doc_id", X.metadata(F.col("xml")).alias("m"), X.journal_meta(F.col("xml")).alias("j"))
     return rows.select("doc_id", MA.article_result(F.col("m"), F.col("j")).alias("r")).select("doc_id", "r.*").withColumnRenamed("order", "position")
+
+
+@query("""
+SELECT doc_id, concat_ws('-', CASE WHEN doc_id % 2 = 0 THEN '1111-1111' ELSE '2222-2222' END, 'acr' || doc_id % 7, CASE WHEN doc_id % 4 <> 0 THEN CAST(doc_id % 4 AS VARCHAR) END, CASE WHEN doc_id % 5 <> 0 THEN '0' || doc_id % 5 END,
+  CASE WHEN doc_id <> 0 THEN CAST(doc_id AS VARCHAR) END, CASE WHEN doc_id % 2 = 1 THEN CAST(doc_id + 9 AS VARCHAR) END, CASE WHEN doc_id % 3 = 0 THEN 'e' || doc_id END, CASE WHEN doc_id % 20 = 0 THEN 'ahead-2020-' || doc_id END) AS package FROM documents""")
+def package_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Package names by documents' metadata, those ahead of print among them."""
+    return documents_xml(spark, sf_dir).select("doc_id", I.package_name_of(X.metadata(F.col("xml")), F.lit("file")).alias("package"))

@@ -262,3 +262,14 @@ def test_ids_and_files_whole(spark, tmp_path):
     (tmp_path / "a.bin").write_bytes(b"\x00\xff")
     assert sorted(r["pid"] for r in catalogue.read_ids(spark, str(tmp_path / "ids.txt")).collect()) == ["S1", "S2"]
     assert [(r["name"], r["length"], bytes(r["content"])) for r in catalogue.read_binary(spark, str(tmp_path), "*.bin").collect()] == [("a.bin", 2, b"\x00\xff")]
+
+
+def test_package_name_by_metadata(value):
+    names = ("issn", "acron", "volume", "issue", "fpage", "lpage", "elocation_id", "doi", "other", "bundle_year")
+    made = lambda **known: F.struct(*[F.lit(known.get(n)).cast("string").alias(n) for n in names])
+    name = lambda **known: value(I.package_name_of(made(**known), F.lit("file")))
+    assert name(issn="1-2", acron="abc", volume="3", issue="4 suppl 1", fpage="5", lpage="9") == "1-2-abc-3-04-s01-5-9"
+    assert name(issn="1-2", acron="abc", doi="10.1/x.y", bundle_year="2020") == "1-2-abc-ahead-2020-x.y"
+    assert name(issn="1-2", acron="abc", other="00012", bundle_year="2020") == "1-2-abc-ahead-2020-00012"
+    assert name(issn="1-2", acron="abc", volume="3", other="00012") == "1-2-abc-3-00012"
+    assert name() == "file"
