@@ -54,13 +54,16 @@ def bags(offsets: np.ndarray, size: int = WINDOW) -> tuple[np.ndarray, np.ndarra
     count = np.where(many > 0, np.maximum(many - size + 1, 1), 0)
     row = np.repeat(np.arange(len(many)), count)
     start = offsets[:-1][row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-    return start, np.minimum(start + size, offsets[1:][row]), row
+    return start.astype(np.int32), np.minimum(start + size, offsets[1:][row]).astype(np.int32), row.astype(np.int32)
 
 
 def between(values: np.ndarray, index: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Sums of values[index] from start to end."""
-    total = np.concatenate([[0.0], np.cumsum(values[index])])
-    return total[end] - total[start]
+    total = np.zeros(len(index) + 1)
+    np.cumsum(values[index], out=total[1:])
+    out = total[end]
+    out -= total[start]
+    return out
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int) -> list[tuple[str, int]]:
@@ -106,6 +109,7 @@ def fit_toxicity(rows: list[tuple[str, int]], *, bits: int = 18, dim: int = 8, e
     held = len(y) // 4
     fitted = int(np.searchsorted(row, held))  # the first rows calibrate
     s_in, e_in, r_in = start[fitted:], end[fitted:], row[fitted:] - held
+    del words
     many = np.maximum(between(grams, index, start, end), 1)
     starts = np.flatnonzero(np.diff(r_in, prepend=-1))
     docs_in = r_in[starts]
@@ -122,13 +126,19 @@ def fit_toxicity(rows: list[tuple[str, int]], *, bits: int = 18, dim: int = 8, e
         of_word = gathered(of, size, value, bucket)
         logit = between(of_word, index, s_in, e_in) / many[fitted:]
         # bags count by a softmax of their evidence, from nearly alike to the largest alone
-        share = np.exp((logit - np.repeat(np.maximum.reduceat(logit, starts), bags_of)) * SHARPNESS ** done)
+        share = logit - np.repeat(np.maximum.reduceat(logit, starts), bags_of)
+        share *= SHARPNESS**done
+        np.exp(share, out=share)
         share /= np.repeat(np.add.reduceat(share, starts), bags_of)
         whole = np.add.reduceat(share * logit, starts)
         wrong = (1 / (1 + np.exp(-np.clip(whole + bias, -30, 30))) - t) * weight
-        back = share * np.repeat(wrong, bags_of) / many[fitted:]
-        change = np.bincount(s_in, weights=back, minlength=len(index) + 1) - np.bincount(e_in, weights=back, minlength=len(index) + 1)
-        per_word = np.bincount(index, weights=np.cumsum(change)[:-1], minlength=size)
+        share *= np.repeat(wrong, bags_of)
+        share /= many[fitted:]
+        change = np.bincount(s_in, weights=share, minlength=len(index) + 1)
+        change -= np.bincount(e_in, weights=share, minlength=len(index) + 1)
+        np.cumsum(change, out=change)
+        per_word = np.bincount(index, weights=change[:-1], minlength=size)
+        del logit, share, change
         slope = gathered(bucket, 1 << bits, per_word, of)
         into = embedding.T @ slope
         inertia = 0.8 * inertia + 0.2 * slope
