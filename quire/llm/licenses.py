@@ -149,13 +149,14 @@ def scan(docs: DataFrame, known: DataFrame | None = None, telling: str | None =
     columns of docs are left out, whatever their names; an empty table gives none.
     """
     telling = telling or (TELLING if known is None else None)
-    known = known if known is not None else known_licenses(docs.sparkSession)
+    # the module's own table has a few dozen rows, so texts needn't be shuffled by digest
+    known = known if known is not None else F.broadcast(known_licenses(docs.sparkSession))
     parts = F.array_union(F.split("text", "\n"), F.split("text", r"\n[ \t\r]*\n"))
     # what cannot be a notice, for want of any word that licences have, isn't normalised
     units = docs.where(F.col("text").rlike(telling)) if telling else docs
     units = units.select("doc_id", F.explode(F.filter(parts, lambda p: p.rlike(telling)) if telling else parts).alias("part"))
     units = units.select("doc_id", digest(F.col("part")).alias("digest"))
-    notices = units.join(known, "digest").groupBy("doc_id").agg(F.array_sort(F.collect_set("license")).alias("notice_licenses"), F.count_distinct("digest").alias("n_notices"))
+    notices = units.join(known, "digest").groupBy("doc_id").agg(F.array_sort(F.collect_set("license")).alias("notice_licenses"), F.size(F.collect_set("digest")).cast("long").alias("n_notices"))
     whole = docs.select("doc_id", digest(F.col("text")).alias("text_digest"))
     texts = known.select(F.col("digest").alias("text_digest"), F.col("license").alias("text_license"))
     out = whole.join(texts, "text_digest", "left").alias("w").join(notices.alias("n"), F.col("w.doc_id").eqNullSafe(F.col("n.doc_id")), "left")
