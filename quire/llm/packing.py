@@ -28,7 +28,7 @@ GROUP = 2048
 #: A remainder of over LONG tokens gives up its last FILLER to 5 x FILLER tokens as a piece of their own: with small
 #: pieces to place last, the windows come out nearly equal and hardly any is added.
 LONG, FILLER = 1000, 16
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
