@@ -1,4 +1,4 @@
-"""The queries of the ten operators, each over its whole table, and the SQL of those that SQL can express."""
+"""The queries of the operators, each over its whole table, and the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, licenses, lines, packing, simhash, topk, toxicity, vectors, warc
+from . import audit, bpe, centroids, language, licenses, lines, packing, simhash, tokenfiles, topk, toxicity, vectors, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,8 +68,21 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.as_hex("fp").alias("fingerprint"), "component_id")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_language_id, op3_packing, op4_topk, op5_embedding_dedup, op6_warc, op7_byte_bpe, op8_toxicity, op9_line_dedup, op10_simhash)}
+    first = (op1_license_scan, op2_language_id, op3_packing, op4_topk, op5_embedding_dedup, op6_warc, op7_byte_bpe, op8_toxicity, op9_line_dedup, op10_simhash)
+    return {f.__name__: f for f in (*first, op11_filter_audit, op12_token_files, op13_centroids)}
 
 
 OP4_SQL = """
@@ -82,4 +95,4 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": licenses.oracle(), "op4_topk": OP4_SQL, "op9_line_dedup": lines.ORACLE}
+    return {"op1_license_scan": licenses.oracle(), "op4_topk": OP4_SQL, "op9_line_dedup": lines.ORACLE, "op11_filter_audit": audit.ORACLE, "op13_centroids": centroids.oracle()}
