@@ -9,9 +9,10 @@ from the pages that hold them, and the metadata without any page of ids.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
-from itertools import pairwise
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -21,14 +22,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import subwords as sw
-from .packing import CACHE_WORDS, WordEncoder, vocabulary_path
+from .packing import WordEncoder, vocabulary_path
 from .storage import BROADCAST_ROWS, fresh_path
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Bytes of a row group, rows of a page.
 ROW_GROUP, PAGE_ROWS = 16 << 20, 128
 #: Bytes of texts that are encoded at once, distinct pieces given to the tokenizer at once, and bytes of ids in a batch.
-SLICE, PIECES, BATCH = 4 << 20, 20_000, 8 << 20
+SLICE, PIECES, BATCH = 3 << 20, 2_000, 4 << 20
+#: Distinct pieces that a worker remembers.
+CACHE_PIECES = 200_000
 
 
 def layout(row_group: int = ROW_GROUP, page_rows: int = PAGE_ROWS) -> dict[str, str]:
@@ -55,9 +58,20 @@ class PieceEncoder(WordEncoder):
     """
 
     held: dict[str, WordEncoder] = {}
+    LETTERS = "^(?P<core> ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)(?P<tail>[!-/:-@\\[-`{-~]*)$"
 
     def __init__(self, path: str) -> None:
+        from tokenizers import pre_tokenizers
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task for each core
         super().__init__(path)
+        space = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(" ")[0][0]
+        vocabulary = self.tokenizer.get_vocab()
+        self.begins = np.zeros(len(vocabulary), bool)
+        self.begins[[i for token, i in vocabulary.items() if token.startswith(space)]] = True
+        # bytes of letters and the space as the vocabulary's characters for them
+        self.levels = {**self.shown, ord(" "): space}
+        self.apart = not any(space in token.lstrip(space) and set(token) <= set(self.levels.values()) for token in vocabulary)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         plain = np.zeros(256, bool)
         plain[0x21:0x7F] = True
@@ -67,11 +81,14 @@ class PieceEncoder(WordEncoder):
         self.plain_first = plain
 
     def cuts(self, data: np.ndarray) -> np.ndarray:
-        """Positions in the bytes at which a piece begins."""
+        """Whether a piece begins at each of the bytes."""
         after = np.append(self.plain_first[data[1:]], False)
-        before = np.concatenate([[False], self.plain_last[data[:-1]]])
-        space, feed = np.flatnonzero((data == 0x20) & after), np.flatnonzero((data == 0x0A) & before & after)
-        return np.union1d(space, np.concatenate([feed, feed + 1]))
+        starts = (data == 0x20) & after
+        feeds = np.flatnonzero((data == 0x0A) & after)
+        feeds = feeds[feeds > 0]
+        feeds = feeds[self.plain_last[data[feeds - 1]]]
+        starts[feeds] = starts[feeds + 1] = True
+        return starts
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, offsets of each text in them)."""
@@ -80,31 +97,72 @@ class PieceEncoder(WordEncoder):
         bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
         data = np.frombuffer(texts.buffers()[2], np.uint8)[bounds[0] : bounds[-1]] if texts.buffers()[2] else np.zeros(0, np.uint8)
         bounds = bounds - bounds[0]
-        if len(self.number) > CACHE_WORDS:
+        if len(self.number) > CACHE_PIECES:
             self.reset()
         starts = self.cuts(data)
         whole = np.zeros(len(texts), bool)
         for content in self.special:
             whole |= np.asarray(pc.match_substring(texts, content))
         for i in np.flatnonzero(whole).tolist():
-            starts = starts[(starts <= bounds[i]) | (starts >= bounds[i + 1])]
-        # a text's start is a cut (an empty text has no piece), and none falls outside
-        starts = np.union1d(starts, bounds[:-1][np.diff(bounds) > 0])
+            starts[bounds[i] : bounds[i + 1]] = False
+        # a text's start begins a piece too; an empty text has none
+        starts[bounds[:-1][np.diff(bounds) > 0]] = True
+        starts = np.flatnonzero(starts)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
         edges = np.append(starts, len(data))
         pieces = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data)))
         coded = pieces.dictionary_encode()
-        forms = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        new = [w for w in forms if w not in self.number]
-        for i in range(0, len(new), PIECES):
-            self._store(new[i : i + PIECES], [x.ids for x in self.tokenizer.encode_batch_fast(new[i : i + PIECES], add_special_tokens=False)])
-        of = np.fromiter(map(self.number.__getitem__, forms), np.int64, len(forms))[np.asarray(coded.indices)]
+        of = self._units(coded.dictionary)[np.asarray(coded.indices)].ravel()
         begin = self.bounds[of]
         lengths = self.bounds[of + 1] - begin
         ends = np.concatenate([[0], np.cumsum(lengths)])
         ids = self.ids[np.repeat(begin - ends[:-1], lengths) + np.arange(ends[-1])]
-        return ids, ends[np.searchsorted(starts, bounds)]
+        return ids, ends[2 * np.searchsorted(starts, bounds)]
+
+    def _units(self, forms: pa.Array) -> np.ndarray:
+        """Two numbers for each piece: of Latin letters with the space before them and of the punctuation after them, else of the whole piece and none."""
+        units = np.zeros((len(forms), 2), np.int64)
+        units[:, 1] = self._numbers(pa.array([""]), False)[0]
+        split = pc.extract_regex(forms, self.LETTERS)
+        plain = np.asarray(split.is_valid())
+        for at, part, cores in ((0, "core", True), (1, "tail", False)):
+            distinct = split.field(part).filter(pa.array(plain)).dictionary_encode()
+            if len(distinct):
+                units[plain, at] = self._numbers(distinct.dictionary, cores)[np.asarray(distinct.indices)]
+        if not plain.all():
+            units[~plain, 0] = self._numbers(forms.filter(pa.array(~plain)), False)
+        return units
+
+    def _numbers(self, forms: pa.Array, cores: bool) -> np.ndarray:
+        """Number of each form.
+
+        Forms of one space and letters are words of the model each. No merge of the vocabulary reaches from a letter to a
+        space, so many go to the model side by side; a token that begins with a space then begins a form.
+        """
+        words = forms.to_numpy(zero_copy_only=False).tolist()
+        new = [w for w in words if w not in self.number]
+        spaced = [w for w in new if w[:1] == " "] if cores and self.apart else []
+        for i in range(0, len(spaced), PIECES):
+            part = spaced[i : i + PIECES]
+            ids = np.array([t.id for t in self.model.tokenize("".join(part).encode().decode("latin-1").translate(self.levels))], np.uint32)
+            self._keep(part, ids, np.diff(np.flatnonzero(self.begins[ids]), append=len(ids)))
+        others = [w for w in new if w[:1] != " "] if cores and self.apart else new
+        for i in range(0, len(others), PIECES):
+            part = others[i : i + PIECES]
+            coded = [x.ids for x in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            self._keep(part, np.fromiter(chain.from_iterable(coded), np.uint32), np.fromiter(map(len, coded), np.int64, len(coded)))
+        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+
+    def _keep(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        """Add words, whose ids stand in a row."""
+        n = len(self.number)
+        m = int(self.bounds[n])
+        room = lambda a, size: a if size <= len(a) else np.concatenate([a, np.zeros(max(len(a), size - len(a)), a.dtype)])
+        self.ids, self.bounds = room(self.ids, m + len(ids)), room(self.bounds, n + len(words) + 1)
+        self.ids[m : m + len(ids)] = ids
+        self.bounds[n + 1 : n + 1 + len(words)] = m + np.cumsum(lengths)
+        self.number.update(zip(words, range(n, n + len(words)), strict=True))
 
 
 def in_order(docs: DataFrame) -> DataFrame:
