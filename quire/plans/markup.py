@@ -73,7 +73,7 @@ def conversion_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as article XML: ids, dates, pages, files and languages from their columns."""
+    """Documents as article XML: ids, dates, pages, files and languages from their columns; of fifty, three are broken, empty or null."""
     k = F.col("doc_id")
     lit, text = F.lit, k.cast("string")
     node = lambda name, value, attrs="": F.concat(lit(f"<{name}{attrs}>"), value, lit(f"</{name}>"))
@@ -85,10 +85,11 @@ def documents_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
         only(k % 3 == 2, node("article-id", F.concat(lit("v3-"), text), use("pid-v3"))),
         only(k % 10 == 0, node("article-id", F.concat(lit("aop-"), text), use("previous-pid"))),
         only(k % 4 == 1, node("article-id", F.lpad(text, 5, "0"), ' pub-id-type="other"')),
-        only(k % 2 == 0, node("article-id", F.concat(lit("https://doi.org/10.1/"), text), ' pub-id-type="doi"')),
+        only(k % 2 == 0, node("article-id", F.concat(lit("https://doi.org/10.1/"), only(k % 4 == 2, lit("a&amp;b&#x2d;")), text), ' pub-id-type="doi"')),
         only(k % 3 == 0, lit('<pub-date pub-type="epub"><day>5</day><month>3</month><year>2019</year></pub-date>')),
-        lit('<pub-date pub-type="collection"><year>2020</year></pub-date>'),
+        F.when(k % 11 != 3, '<pub-date pub-type="collection"><year>2020</year></pub-date>').when(k % 2 == 0, '<pub-date date-type="collection"><year>2021</year></pub-date>').otherwise('<pub-date pub-type="epub-pub"><year>2022</year></pub-date>'),
         only(k % 7 == 0, lit('<pub-date pub-type="epub-ppub"><month>11</month><year>2018</year></pub-date>')),
+        lit("<product><volume>99</volume><fpage>98</fpage></product><!-- <issue>97</issue> -->"),
         node("volume", (k % 4).cast("string")),
         node("issue", (k % 5).cast("string")),
         node("fpage", text),
@@ -105,31 +106,42 @@ def documents_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
         lit('<article xmlns:xlink="http://www.w3.org/1999/xlink" xml:lang="'), "lang", lit('"><front><journal-meta>'), node("journal-id", F.concat(lit("acr"), (k % 7).cast("string")), ' journal-id-type="publisher-id"'), issn, lit("</journal-meta><article-meta>"), meta,
         lit("</article-meta></front><body><p>"), graphic, lit('</p></body><sub-article article-type="translation" xml:lang="pt"/></article>'),
     )
-    return table(spark, sf_dir, "documents").select("doc_id", xml.alias("xml"))
+    given = F.when(k % 50 == 7, F.substr(xml, lit(1), F.length(xml) - F.length(lit("</article>")))).when(k % 50 == 8, "").when(k % 50 != 9, xml)
+    return table(spark, sf_dir, "documents").select("doc_id", given.alias("xml"))
 
 
-@query("""
-SELECT doc_id, CASE WHEN doc_id % 3 = 1 THEN 'v1-' || doc_id END AS pid_v1, printf('S0000-0000202000%07d', doc_id) AS pid_v2, CASE WHEN doc_id % 3 = 2 THEN 'v3-' || doc_id END AS pid_v3, CASE WHEN doc_id % 10 = 0 THEN 'aop-' || doc_id END AS aop_pid,
-  printf('S0000-0000202000%07d', doc_id) AS publisher_id, CASE WHEN doc_id % 2 = 0 THEN '10.1/' || doc_id END AS doi, CASE WHEN doc_id % 4 = 1 THEN left(lpad(CAST(doc_id AS VARCHAR), 5, '0'), 5) END AS other, CASE WHEN doc_id % 2 = 0 THEN '1111-1111' ELSE '2222-2222' END AS issn, 'acr' || doc_id % 7 AS acron,
-  CASE WHEN doc_id % 4 <> 0 THEN CAST(doc_id % 4 AS VARCHAR) END AS volume, CASE WHEN doc_id % 5 <> 0 THEN CAST(doc_id % 5 AS VARCHAR) END AS issue, CASE WHEN doc_id <> 0 THEN CAST(doc_id AS VARCHAR) END AS fpage, CASE WHEN doc_id % 2 = 1 THEN CAST(doc_id + 9 AS VARCHAR) END AS lpage, CASE WHEN doc_id % 3 = 0 THEN 'e' || doc_id END AS elocation_id,
-  lang || ',pt' AS languages, 'g' || doc_id % 5 || '.jpg' AS assets, CASE WHEN doc_id % 3 = 0 THEN '2019-03-05' ELSE '' END AS document_date, CASE WHEN doc_id % 7 = 0 THEN '2018-11-' ELSE '2020--' END AS bundle_date, '2020' AS bundle_year FROM documents""")
+#: Of a document that is broken, empty or null, what SQL says in place of a value.
+SOUND = "doc_id % 50 NOT IN (7, 8, 9)"
+
+
+@query(f"""
+WITH d AS (SELECT doc_id, CASE WHEN {SOUND} THEN doc_id END AS k, lang FROM documents)
+SELECT doc_id, CASE WHEN k % 3 = 1 THEN 'v1-' || k END AS pid_v1, CASE WHEN k IS NOT NULL THEN printf('S0000-0000202000%07d', k) END AS pid_v2, CASE WHEN k % 3 = 2 THEN 'v3-' || k END AS pid_v3, CASE WHEN k % 10 = 0 THEN 'aop-' || k END AS aop_pid,
+  CASE WHEN k IS NOT NULL THEN printf('S0000-0000202000%07d', k) END AS publisher_id, CASE WHEN k % 2 = 0 THEN '10.1/' || CASE WHEN k % 4 = 2 THEN 'a&b-' ELSE '' END || k END AS doi, CASE WHEN k % 4 = 1 THEN left(lpad(CAST(k AS VARCHAR), 5, '0'), 5) END AS other,
+  CASE WHEN k % 2 = 0 THEN '1111-1111' WHEN k % 2 = 1 THEN '2222-2222' END AS issn, 'acr' || k % 7 AS acron,
+  CASE WHEN k % 4 <> 0 THEN CAST(k % 4 AS VARCHAR) END AS volume, CASE WHEN k % 5 <> 0 THEN CAST(k % 5 AS VARCHAR) END AS issue, CASE WHEN k <> 0 THEN CAST(k AS VARCHAR) END AS fpage, CASE WHEN k % 2 = 1 THEN CAST(k + 9 AS VARCHAR) END AS lpage, CASE WHEN k % 3 = 0 THEN 'e' || k END AS elocation_id,
+  CASE WHEN k IS NOT NULL THEN lang || ',pt' END AS languages, CASE WHEN k IS NOT NULL THEN 'g' || k % 5 || '.jpg' END AS assets, CASE WHEN k % 3 = 0 THEN '2019-03-05' WHEN k % 11 = 3 AND k % 2 = 1 THEN '2022--' ELSE '' END AS document_date,
+  CASE WHEN k % 7 = 0 THEN '2018-11-' WHEN k % 11 <> 3 THEN '2020--' WHEN k % 2 = 0 THEN '2021--' ELSE '' END AS bundle_date, CASE WHEN k % 11 <> 3 THEN '2020' WHEN k % 2 = 0 THEN '2021' WHEN k % 2 = 1 THEN '2022' END AS bundle_year,
+  CASE doc_id % 50 WHEN 7 THEN 'not closed: article' WHEN 8 THEN 'no root' WHEN 9 THEN 'no document' END AS error FROM d""")
 def doc_meta_xpath(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = documents_xml(spark, sf_dir).select("doc_id", X.metadata(F.col("xml")).alias("m"))
     day = lambda d: F.when(F.col(d).getField("year").isNotNull(), F.concat_ws("-", *[F.coalesce(F.col(d).getField(p), F.lit("")) for p in ("year", "month", "day")])).otherwise("")
     plain = ("pid_v1", "pid_v2", "pid_v3", "aop_pid", "publisher_id", "doi", "other", "issn", "acron", "volume", "issue", "fpage", "lpage", "elocation_id", "bundle_year")
-    return rows.select("doc_id", *[f"m.{n}" for n in plain], F.array_join("m.languages", ",").alias("languages"), F.array_join("m.assets", ",").alias("assets"), day("m.document_date").alias("document_date"), day("m.bundle_date").alias("bundle_date"))
+    error = F.regexp_replace("m.error", r"^\d+: ", "").alias("error")
+    return rows.select("doc_id", *[f"m.{n}" for n in plain], error, F.array_join("m.languages", ",").alias("languages"), F.array_join("m.assets", ",").alias("assets"), day("m.document_date").alias("document_date"), day("m.bundle_date").alias("bundle_date"))
 
 
-@query("""
-SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN '1111-1111' END AS epub, CASE WHEN doc_id % 6 = 0 THEN '3333-333X' WHEN doc_id % 2 = 1 THEN '2222-2222' END AS ppub,
-  (CASE WHEN doc_id % 2 = 0 THEN 'eissn=1111-1111,' ELSE '' END) || (CASE WHEN doc_id % 6 = 0 THEN 'pissn=3333-333X,issn=3333-333X,' WHEN doc_id % 2 = 1 THEN 'pissn=2222-2222,issn=2222-2222,' ELSE 'issn=1111-1111,' END) || 'acron=acr' || doc_id % 7 AS journal_meta FROM documents""")
+@query(f"""
+WITH d AS (SELECT doc_id AS id, CASE WHEN {SOUND} THEN doc_id END AS doc_id FROM documents)
+SELECT id AS doc_id, CASE WHEN doc_id % 2 = 0 THEN '1111-1111' END AS epub, CASE WHEN doc_id % 6 = 0 THEN '3333-333X' WHEN doc_id % 2 = 1 THEN '2222-2222' END AS ppub,
+  (CASE WHEN doc_id % 2 = 0 THEN 'eissn=1111-1111,' ELSE '' END) || (CASE WHEN doc_id % 6 = 0 THEN 'pissn=3333-333X,issn=3333-333X,' WHEN doc_id % 2 = 1 THEN 'pissn=2222-2222,issn=2222-2222,' ELSE 'issn=1111-1111,' END) || 'acron=acr' || doc_id % 7 AS journal_meta FROM d""")
 def issns_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = documents_xml(spark, sf_dir).select("doc_id", X.issns(F.col("xml")).alias("m"), X.journal_meta(F.col("xml")).alias("j"))
     at = lambda k: F.try_element_at("m", F.lit(k))
     return rows.select("doc_id", at("epub").alias("epub"), at("ppub").alias("ppub"), F.array_join(F.transform("j", lambda e: F.concat_ws("=", e["key"], e["value"])), ",").alias("journal_meta"))
 
 
-@query("SELECT doc_id, 'en=' || doc_id || '.pdf' || CASE WHEN doc_id % 2 = 1 THEN ',pt=pt_' || doc_id || '.pdf' ELSE '' END AS renditions FROM documents")
+@query(f"SELECT doc_id, CASE WHEN {SOUND} THEN 'en=' || doc_id || '.pdf' || CASE WHEN doc_id % 2 = 1 THEN ',pt=pt_' || doc_id || '.pdf' ELSE '' END END AS renditions FROM documents")
 def rendition_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = documents_xml(spark, sf_dir).select("doc_id", X.renditions(F.col("xml")).alias("m"))
     return rows.select("doc_id", F.array_join(F.transform(F.array_sort(F.map_entries("m")), lambda e: F.concat_ws("=", e["key"], e["value"])), ",").alias("renditions"))
@@ -151,20 +163,22 @@ def xml_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", E.with_issns(out, F.create_map(lit("ppub"), lit("2222-2222"), lit("epub"), lit("1111-1111"))).alias("xml"))
 
 
-@query("""
-SELECT doc_id, CASE WHEN doc_id % 3 = 2 THEN 'v3-' || doc_id END AS pid_v3, CASE WHEN doc_id % 2 = 0 THEN '1111-1111' END AS eissn, CASE WHEN doc_id % 6 = 0 THEN '3333-333X' WHEN doc_id % 2 = 1 THEN '2222-2222' END AS pissn,
-  CASE WHEN doc_id % 6 = 0 THEN '3333-333X' WHEN doc_id % 2 = 1 THEN '2222-2222' ELSE '1111-1111' END AS issn, 'acr' || doc_id % 7 AS acron, printf('S0000-0000202000%07d', doc_id) AS pid, CASE WHEN doc_id % 7 = 0 THEN '2018' ELSE '2020' END AS year,
-  CASE WHEN doc_id % 4 <> 0 THEN CAST(doc_id % 4 AS VARCHAR) END AS volume, CASE WHEN doc_id % 5 <> 0 THEN CAST(doc_id % 5 AS VARCHAR) END AS number, CAST(NULL AS VARCHAR) AS supplement,
-  coalesce(CASE WHEN doc_id % 100000 BETWEEN 1 AND 99999 THEN lpad(CAST(doc_id % 100000 AS VARCHAR), 5, '0') END, CASE WHEN doc_id BETWEEN 1 AND 99999 THEN lpad(CAST(doc_id AS VARCHAR), 5, '0') END) AS position FROM documents""")
+@query(f"""
+WITH d AS (SELECT doc_id, CASE WHEN {SOUND} THEN doc_id END AS k FROM documents)
+SELECT doc_id, CASE WHEN k % 3 = 2 THEN 'v3-' || k END AS pid_v3, CASE WHEN k % 2 = 0 THEN '1111-1111' END AS eissn, CASE WHEN k % 6 = 0 THEN '3333-333X' WHEN k % 2 = 1 THEN '2222-2222' END AS pissn,
+  CASE WHEN k % 6 = 0 THEN '3333-333X' WHEN k % 2 = 1 THEN '2222-2222' WHEN k % 2 = 0 THEN '1111-1111' END AS issn, 'acr' || k % 7 AS acron, CASE WHEN k IS NOT NULL THEN printf('S0000-0000202000%07d', k) END AS pid,
+  CASE WHEN k % 7 = 0 THEN '2018' WHEN k % 11 <> 3 THEN '2020' WHEN k % 2 = 0 THEN '2021' END AS year,
+  CASE WHEN k % 4 <> 0 THEN CAST(k % 4 AS VARCHAR) END AS volume, CASE WHEN k % 5 <> 0 THEN CAST(k % 5 AS VARCHAR) END AS number, CAST(NULL AS VARCHAR) AS supplement,
+  coalesce(CASE WHEN k % 100000 BETWEEN 1 AND 99999 THEN lpad(CAST(k % 100000 AS VARCHAR), 5, '0') END, CASE WHEN k BETWEEN 1 AND 99999 THEN lpad(CAST(k AS VARCHAR), 5, '0') END) AS position FROM d""")
 def import_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What imported documents' issues are found by."""
     rows = documents_xml(spark, sf_dir).select("doc_id", X.metadata(F.col("xml")).alias("m"), X.journal_meta(F.col("xml")).alias("j"))
     return rows.select("doc_id", MA.article_result(F.col("m"), F.col("j")).alias("r")).select("doc_id", "r.*").withColumnRenamed("order", "position")
 
 
-@query("""
-SELECT doc_id, concat_ws('-', CASE WHEN doc_id % 2 = 0 THEN '1111-1111' ELSE '2222-2222' END, 'acr' || doc_id % 7, CASE WHEN doc_id % 4 <> 0 THEN CAST(doc_id % 4 AS VARCHAR) END, CASE WHEN doc_id % 5 <> 0 THEN '0' || doc_id % 5 END,
-  CASE WHEN doc_id <> 0 THEN CAST(doc_id AS VARCHAR) END, CASE WHEN doc_id % 2 = 1 THEN CAST(doc_id + 9 AS VARCHAR) END, CASE WHEN doc_id % 3 = 0 THEN 'e' || doc_id END, CASE WHEN doc_id % 20 = 0 THEN 'ahead-2020-' || doc_id END) AS package FROM documents""")
+@query(f"""
+SELECT doc_id, CASE WHEN {SOUND} THEN concat_ws('-', CASE WHEN doc_id % 2 = 0 THEN '1111-1111' ELSE '2222-2222' END, 'acr' || doc_id % 7, CASE WHEN doc_id % 4 <> 0 THEN CAST(doc_id % 4 AS VARCHAR) END, CASE WHEN doc_id % 5 <> 0 THEN '0' || doc_id % 5 END,
+  CASE WHEN doc_id <> 0 THEN CAST(doc_id AS VARCHAR) END, CASE WHEN doc_id % 2 = 1 THEN CAST(doc_id + 9 AS VARCHAR) END, CASE WHEN doc_id % 3 = 0 THEN 'e' || doc_id END, CASE WHEN doc_id % 20 = 0 THEN 'ahead-' || CASE WHEN doc_id % 11 = 3 THEN '2021-' ELSE '2020-' END || doc_id END) ELSE 'file' END AS package FROM documents""")
 def package_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Package names by documents' metadata, those ahead of print among them."""
     return documents_xml(spark, sf_dir).select("doc_id", I.package_name_of(X.metadata(F.col("xml")), F.lit("file")).alias("package"))
