@@ -2,57 +2,89 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.binding import let
 
-# Error codes, what the log's lines say (whatever the case), and what their groups are.
-PACK_RULES = [
-    ("resource-not-found", r".*\[(S\d{4}-.*)\].*Could not find asset '([^']+)'.*'([^']+)'.?$", ("pid", "uri", "xml"), "renditions"),
-    ("resource-not-found", r".*\[(S\d{4}-.*)\].*Could not find rendition '([^']+)'.*'([^']+)'.?$", ("pid", "uri", "xml"), "renditions"),
-    ("xml-not-update", r".*Could not update xml '([^']+)'.?( The exception '([^']+)')?", ("uri", "", "exception"), None),
-    ("xml-not-found", r".*Could not find the XML file '([^']+)'.?", ("uri",), None),
-    ("missing-metadata", r""".*Missing "([\w\s]+)".* "([^']+)\"""", ("metadata", "uri"), None),
+# What the log's messages say, whatever the case, with the names of what stands in them; what each is called, and its group.
+PACK_MESSAGES = [
+    ("resource-not-found", "renditions", "[{pid}] - Could not find asset '{uri}' during packing XML '{xml}'"),
+    ("resource-not-found", "renditions", "[{pid}] - Could not find rendition '{uri}' during packing XML '{xml}'"),
+    ("xml-not-update", None, "Could not update xml '{uri}'. The exception '{exception}' was raised"),
+    ("xml-not-update", None, "Could not update xml '{uri}'"),
+    ("xml-not-found", None, "Could not find the XML file '{uri}'"),
+    ("missing-metadata", None, 'Missing "{metadata}" into "{uri}"'),
 ]
-IMPORT_RULES = [
-    ("missing-manifest", r".*No such file or directory: '([^']+)'", ("file_path",), None),
-    ("xml-not-found", r".*There is no XML file into package '([^']+)", ("package_path",), None),
-    ("xml-parser-error", r".*Could not parse the '([^']+)' file", ("file_path",), None),
-    ("bundle-not-found", r".*The bundle '([^']+)' was not updated.", ("bundle",), None),
-    ("issn-not-found", r".*No ISSN in document '([^']+)'", ("pid",), None),
-    ("package-not-import", r".*Could not import package '([^']+).*'", ("package_path",), None),
+IMPORT_MESSAGES = [
+    ("missing-manifest", None, "No such file or directory: '{file_path}'"),
+    ("xml-not-found", None, "There is no XML file into package '{package_path}'"),
+    ("xml-parser-error", None, "Could not parse the '{file_path}' file"),
+    ("bundle-not-found", None, "The bundle '{bundle}' was not updated"),
+    ("issn-not-found", None, "No ISSN in document '{pid}'"),
+    ("package-not-import", None, "Could not import package '{package_path}'"),
 ]
 FIELDS = ("pid", "uri", "xml", "file_path", "package_path", "bundle", "exception", "metadata")
-LINE = r"^(.*?)\s+(.*?)\s+(.*?)\s+(.*?)\s+(.*?)$"
-
+PARTS = ("date", "time", "level", "module", "message")
+FORMAT = "<date> <time> <level> <module> <message>"
 
-def parse_lines(lines: DataFrame, value: str = "value", rules: list | None = None) -> DataFrame:
-    """Log lines as (date, time, level, module, message, error, error_group, and what the message names: FIELDS).
 
-    Lines of another shape go; of the rules the first that fits counts, and each is matched with a line once.
-    """
-    bare = F.trim(F.col(value))
-    parts = lines.where(bare.rlike(LINE)).select(*[F.regexp_extract(bare, LINE, i + 1).alias(n) for i, n in enumerate(("date", "time", "level", "module", "message"))])
-    known = [(error, f"(?i)^{pattern}", names, group) for error, pattern, names, group in (PACK_RULES + IMPORT_RULES if rules is None else rules)]
-    rule = F.lit(-1)
-    for i, (_, pattern, _, _) in reversed(list(enumerate(known))):
-        rule = F.when(F.col("message").rlike(pattern), i).otherwise(rule)
+def literal(text: str) -> str:
+    """Pattern of a text as it is; a run of blanks stands for white space."""
+    return r"\s+".join(re.sub(r"([^\w\s])", r"\\\1", part) for part in re.split(" +", text))
 
-    said = {n: {i: F.nullif(F.regexp_extract("message", pattern, names.index(n) + 1), F.lit("")) for i, (_, pattern, names, _) in enumerate(known) if n in names} for n in FIELDS}
-    plain = {"error": {i: F.lit(error) for i, (error, *_) in enumerate(known)}, "error_group": {i: F.lit(group) for i, (*_, group) in enumerate(known) if group}}
 
-    def found(v: Column) -> Column:
-        def of(values: dict[int, Column]) -> Column:
-            out = F.lit(None).cast("string")
-            for i, value in values.items():
-                out = F.when(v["rule"] == i, value).otherwise(out)
-            return out
+def template(said: str, marks: str) -> tuple[list[str], str]:
+    """(names, pattern) of a text with named places between two marks.
 
-        return F.struct(*[of(values).alias(n) for n, values in {**plain, **said}.items()])
+    What stands in a place goes on to the character after it: to white space where a blank follows, to the end if nothing does.
+    """
+    names, pattern = [], ""
+    pieces = re.split(f"{re.escape(marks[0])}(\\w+){re.escape(marks[1])}", said)
+    for i, piece in enumerate(pieces):
+        if i % 2 == 0:
+            pattern += literal(piece)
+        else:
+            after = pieces[i + 1][:1]
+            names.append(piece)
+            pattern += "(.*)" if not after else r"(\S+)" if after == " " else f"([^{re.sub(r'([^\w\s])', r'\\\1', after)}]+)"
+    return names, pattern
+
+
+def first_of(cases: dict[int, Column], which: Column) -> Column:
+    out = F.lit(None).cast("string")
+    for i, value in cases.items():
+        out = F.when(which == i, value).otherwise(out)
+    return out
+
+
+def first_fit(column: Column, patterns: list[str]) -> Column:
+    """The number of the first pattern that is in column, -1 without one; each is looked for once at most."""
+    fits = F.lit(-1)
+    for i, pattern in reversed(list(enumerate(patterns))):
+        fits = F.when(column.rlike(pattern), i).otherwise(fits)
+    return fits
+
+
+def parse_lines(lines: DataFrame, value: str = "value", messages: list | None = None, formats: tuple[str, ...] = (FORMAT,)) -> DataFrame:
+    """Log lines as (date, time, level, module, message, error, error_group, and what the message names: FIELDS).
 
-    # as a row of its own, what was found isn't worked out anew by later filters
-    return parts.select("*", F.inline(F.array(let(found, rule=rule))))
+    formats say how a line is made up, parts between < and > as in FORMAT; messages are (error, group, text with {names}).
+    Of either the first that fits a line counts; a part or name that it lacks is null, and lines of no format go.
+    """
+    made = [template(f, "<>") for f in formats]
+    known = [(error, group, *template(said, "{}")) for error, group, said in (PACK_MESSAGES + IMPORT_MESSAGES if messages is None else messages)]
+    shapes, said = [f"(?s)^{pattern}$" for _, pattern in made], [f"(?is){pattern}" for _, _, _, pattern in known]
+    # as rows of their own, what was found isn't worked out anew by later filters
+    bare = lines.select(F.inline(F.array(F.struct(F.trim(F.col(value)).alias("line"))))).select("line", F.inline(F.array(F.struct(first_fit(F.col("line"), shapes).alias("shape"))))).where("shape >= 0")
+    part = {n: {i: F.regexp_extract("line", shapes[i], names.index(n) + 1) for i, (names, _) in enumerate(made) if n in names} for n in PARTS}
+    parts = bare.select(*[first_of(cases, F.col("shape")).alias(n) for n, cases in part.items()])
+    named = {n: {i: F.nullif(F.regexp_extract("message", said[i], names.index(n) + 1), F.lit("")) for i, (_, _, names, _) in enumerate(known) if n in names} for n in FIELDS}
+    plain = {"error": {i: F.lit(error) for i, (error, *_) in enumerate(known)}, "error_group": {i: F.lit(group) for i, (_, group, *_) in enumerate(known) if group}}
+    found = lambda v: F.struct(*[first_of(cases, v["rule"]).alias(n) for n, cases in {**plain, **named}.items()])
+    return parts.select("*", F.inline(F.array(let(found, rule=first_fit(F.col("message"), said)))))
 
 
 def errors_by_pid(parsed: DataFrame) -> DataFrame:
@@ -69,7 +101,7 @@ def errors_without_pid(parsed: DataFrame) -> DataFrame:
 def linking_errors(lines: DataFrame, value: str = "value") -> DataFrame:
     """Error lines of the linking step with the id of the document that lacks an ISSN, else null."""
     line = F.trim(F.col(value))
-    pid = F.when(F.contains(line, F.lit("No ISSN in document")), F.expr(f"substring(right(trim({value}), 25), 2, 23)"))
+    pid = F.when(F.contains(line, F.lit("No ISSN in document")), F.substring(F.right(line, F.lit(25)), 2, 23))
     return lines.where(F.contains(F.col(value), F.lit("ERROR"))).select(line.alias("line"), pid.alias("pid"))
 
 

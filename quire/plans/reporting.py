@@ -41,7 +41,7 @@ FOUND = [
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as log lines of every kind, with lines of another shape and lines that no rule fits among them."""
+    """Events as log lines of every kind in two formats, with lines of another shape and lines that no rule fits among them."""
     k = F.col("event_id")
     values = {"f": F.concat(F.lit("img/f"), (k % 50).cast("string"), F.lit(".jpg")), "x": F.concat(F.lit("a/x"), (k % 9).cast("string"), F.lit(".xml")), "p": F.concat(F.lit("S0000-0000202000"), F.lpad((F.col("user_id") % 10000000).cast("string"), 7, "0")), "d": F.concat(F.lit("path/pkg"), (k % 9).cast("string"))}
     message = F.lit("done")
@@ -50,10 +50,15 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name, value in values.items():
             text = F.replace(text, F.lit("{" + name + "}"), value)
         message = F.when(k % 13 == i, text).otherwise(message)
-    line = F.concat(F.lit(" "), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" ERROR [module]  "), message)
+    spaced = F.concat(F.lit(" "), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" ERROR [module]  "), message)
+    line = F.when(k % 2 == 1, F.concat(F.lit("ERROR;[module];"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("; "), message)).otherwise(spaced)
     return table(spark, sf_dir, "events").select(F.when(k % 10 == 0, "traceback").otherwise(line).alias("value"))
 
 
+#: The formats of log_lines.
+FORMATS = ("<level>;<module>;<date>T<time>; <message>", P.FORMAT)
+
+
 def found_sql(column: str) -> str:
     cases = {"error": [f"'{e}'" for e, _, _ in FOUND], "error_group": [f"'{g}'" if g else "NULL" for _, g, _ in FOUND]}
     of = cases.get(column) or [fields.get(column, "NULL") for _, _, fields in FOUND]
@@ -73,22 +78,22 @@ PARSED = f"""(SELECT stamp, {message_sql()} AS message, {', '.join(f'{found_sql(
 
 @query(f"SELECT stamp[1:10] AS date, stamp[12:19] AS time, 'ERROR' AS level, '[module]' AS module, * EXCLUDE (stamp) FROM {PARSED}")
 def log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.parse_lines(log_lines(spark, sf_dir))
+    return P.parse_lines(log_lines(spark, sf_dir), formats=FORMATS)
 
 
 @query(f'SELECT pid, error, error_group, list_sort(coalesce(list_distinct(list(uri) FILTER (WHERE uri IS NOT NULL)), [])) AS uris, count(*) AS n, max(stamp) AS last FROM {PARSED} WHERE error IS NOT NULL AND pid IS NOT NULL GROUP BY 1, 2, 3', joined=("uris",))
 def log_errors_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.errors_by_pid(P.parse_lines(log_lines(spark, sf_dir)))
+    return P.errors_by_pid(P.parse_lines(log_lines(spark, sf_dir), formats=FORMATS))
 
 
 @query(f"SELECT stamp[1:10] AS date, stamp[12:19] AS time, 'ERROR' AS level, error, {', '.join(f for f in P.FIELDS if f != 'pid')} FROM {PARSED} WHERE error IS NOT NULL AND pid IS NULL")
 def log_errors_without_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.errors_without_pid(P.parse_lines(log_lines(spark, sf_dir)))
+    return P.errors_without_pid(P.parse_lines(log_lines(spark, sf_dir), formats=FORMATS))
 
 
 @query(f"SELECT coalesce(error, 'none') AS error, count(*) AS n, count(DISTINCT pid) AS n_pids FROM {PARSED} GROUP BY 1")
 def error_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = P.parse_lines(log_lines(spark, sf_dir))
+    rows = P.parse_lines(log_lines(spark, sf_dir), formats=FORMATS)
     return rows.groupBy(F.coalesce("error", F.lit("none")).alias("error")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("pid").alias("n_pids"))
 
 

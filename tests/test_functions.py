@@ -273,3 +273,14 @@ def test_package_name_by_metadata(value):
     assert name(issn="1-2", acron="abc", other="00012", bundle_year="2020") == "1-2-abc-ahead-2020-00012"
     assert name(issn="1-2", acron="abc", volume="3", other="00012") == "1-2-abc-3-00012"
     assert name() == "file"
+
+
+def test_log_formats_from_templates(spark):
+    from quire.operators import reports as P
+
+    lines = ["ERROR|2020-08-26|[m.x]|No ISSN in document 'abc'", "2020-08-26 13:46:05 WARN [m.y] Disk  'a.b' is (full) now", "short"]
+    got = P.parse_lines(spark.createDataFrame([(x,) for x in lines], "value string"), messages=[("full", "disks", "Disk '{uri}' is (full)"), ("issn", None, "No ISSN in document '{pid}'")], formats=("<level>|<date>|<module>|<message>", P.FORMAT)).collect()
+    assert sorted((r["date"], r["time"] or "", r["level"], r["module"], r["error"], r["error_group"] or "", r["uri"] or "", r["pid"] or "") for r in got) == [
+        ("2020-08-26", "", "ERROR", "[m.x]", "issn", "", "", "abc"),
+        ("2020-08-26", "13:46:05", "WARN", "[m.y]", "full", "disks", "a.b", ""),
+    ]
