@@ -145,22 +145,30 @@ def scan(docs: DataFrame, known: DataFrame | None = None, telling: str | None =
     With known, (license, digest) rows of your own, every line and paragraph is looked up, unless `telling`, a pattern
     that all of those texts match, leaves the others out beforehand; without, TELLING does so for the texts of KNOWN.
     A null text has a null digest and no licence; an empty one has the digest of the empty form. Very long texts are
-    looked up whole. Rows that repeat a doc_id come out once each with the notices of all of them; null ids stay. Other
-    columns of docs are left out, whatever their names; an empty table gives none.
+    looked up whole. Each row has its own notices, whether it repeats a doc_id or has none. Other columns of docs are
+    left out, whatever their names; an empty table gives none.
     """
-    telling = telling or (TELLING if known is None else None)
-    # the module's own table has a few dozen rows, so texts needn't be shuffled by digest
-    known = known if known is not None else F.broadcast(known_licenses(docs.sparkSession))
     parts = F.array_union(F.split("text", "\n"), F.split("text", r"\n[ \t\r]*\n"))
-    # what cannot be a notice, for want of any word that licences have, isn't normalised
-    units = docs.where(F.col("text").rlike(telling)) if telling else docs
-    units = units.select("doc_id", F.explode(F.filter(parts, lambda p: p.rlike(telling)) if telling else parts).alias("part"))
-    units = units.select("doc_id", digest(F.col("part")).alias("digest"))
-    notices = units.join(known, "digest").groupBy("doc_id").agg(F.array_sort(F.collect_set("license")).alias("notice_licenses"), F.size(F.collect_set("digest")).cast("long").alias("n_notices"))
-    whole = docs.select("doc_id", digest(F.col("text")).alias("text_digest"))
+    whole = docs.select("doc_id", "text", digest(F.col("text")).alias("text_digest"))
+    if known is None:
+        # the module's own table has a few dozen rows, so it is a literal and each row finds its own notices; what cannot be
+        # one, for want of any word that licences have, isn't normalised
+        named = F.create_map(*[F.lit(x) for r in known_licenses(docs.sparkSession).collect() for x in (r["digest"], r["license"])])
+        likely = F.filter(parts, lambda p: p.rlike(telling or TELLING))
+        found = F.filter(F.array_distinct(F.transform(likely, digest)), lambda d: F.map_contains_key(named, d))
+        found = F.when(F.col("text").rlike(telling or TELLING), found)
+        rows = whole.select("doc_id", "text_digest", F.try_element_at(named, F.col("text_digest")).alias("text_license"), F.coalesce(found, F.array().cast("array<string>")).alias("found"))
+        names = F.array_sort(F.array_distinct(F.transform("found", lambda d: F.try_element_at(named, d))))
+        return rows.select("doc_id", "text_digest", "text_license", names.alias("notice_licenses"), F.size("found").cast("long").alias("n_notices"))
+    # equal texts have equal notices, so a text's notices are found under its own digest, whatever the ids of its rows
+    whole = whole.withColumn("text_key", F.sha2("text", 256))
+    units = whole.where(F.col("text").rlike(telling)) if telling else whole
+    units = units.select("text_key", F.explode(F.filter(parts, lambda p: p.rlike(telling)) if telling else parts).alias("part"))
+    units = units.select("text_key", digest(F.col("part")).alias("digest"))
+    notices = units.join(known, "digest").groupBy("text_key").agg(F.array_sort(F.collect_set("license")).alias("notice_licenses"), F.size(F.collect_set("digest")).cast("long").alias("n_notices"))
     texts = known.select(F.col("digest").alias("text_digest"), F.col("license").alias("text_license"))
-    out = whole.join(texts, "text_digest", "left").alias("w").join(notices.alias("n"), F.col("w.doc_id").eqNullSafe(F.col("n.doc_id")), "left")
-    return out.select("w.doc_id", "text_digest", "text_license", F.coalesce("notice_licenses", F.array().cast("array<string>")).alias("notice_licenses"), F.coalesce("n_notices", F.lit(0)).alias("n_notices"))
+    out = whole.drop("text").join(texts, "text_digest", "left").join(notices, "text_key", "left")
+    return out.select("doc_id", "text_digest", "text_license", F.coalesce("notice_licenses", F.array().cast("array<string>")).alias("notice_licenses"), F.coalesce("n_notices", F.lit(0)).alias("n_notices"))
 
 
 def oracle() -> str:

@@ -77,7 +77,7 @@ def with_types(pages: DataFrame, least_bytes: int) -> DataFrame:
         marked = maybe_in(base, same, "payload_digest")
         alone = marked.where("not maybe").drop("maybe").withColumn("first", F.lit(None).cast(same.schema["first"].dataType))
         out = marked.where("maybe").drop("maybe").join(same, "payload_digest", "left").unionByName(alone)
-    again = F.coalesce(F.col("page_id") != F.col("first"), F.lit(False)) & (F.col("payload_bytes") >= least_bytes)
+    again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")) & (F.col("payload_bytes") >= least_bytes)
     return out.withColumn("record_type", F.when(again, "revisit").otherwise("response")).withColumn("refers_to", F.when(again, F.col("first"))).drop("first")
 
 

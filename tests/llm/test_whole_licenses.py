@@ -33,3 +33,12 @@ def test_copyright_lines(spark, line):
 def test_wrapped_lines_of_a_license_stay(spark):
     wrapped = licenses.MIT.replace("The above copyright", "The above\ncopyright").replace("OR COPYRIGHT", "OR\nCOPYRIGHT")
     assert found(spark, [wrapped]) == ["MIT"]
+
+
+def test_rows_have_their_own_notices(spark):
+    rows = [(None, "Licensed under the MIT License."), (None, "nothing here"), (3, "Licensed under the MIT License.\nother"), (3, "plain"), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    own = licenses.known_licenses(spark)
+    for known in (None, own):
+        got = sorted((str(r["doc_id"]), r["notice_licenses"], r["n_notices"]) for r in licenses.scan(docs, known).collect())
+        assert got == [("3", [], 0), ("3", ["MIT"], 1), ("4", [], 0), ("None", [], 0), ("None", ["MIT"], 1)]
