@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from .plans import groupings, inference, issues, links, markup, packaging, registry, reporting, streams, texts, trees
+from .plans import groupings, inference, issues, links, markup, packaging, registry, reporting, stores, streams, texts, trees
 
-PLANS = (texts, issues, links, groupings, packaging, reporting, markup, trees, inference, streams)
+PLANS = (texts, issues, links, groupings, packaging, reporting, markup, trees, stores, inference, streams)
 FLAGSHIP: registry.Query = texts.similarity_report
 
 

@@ -74,22 +74,21 @@ def last_of_each(entries: Column) -> Column:
 
 
 def asset_names(x: Column) -> Column:
-    links = F.transform(T.tags(x, ASSET_TAGS), lambda t: T.attribute(t, "xlink:href"))
+    links = F.transform(F.transform(T.tags(x, ASSET_TAGS), lambda t: T.raw_attribute(t, "xlink:href")), T.decoded)
     return F.array_distinct(F.filter(links, lambda h: h.isNotNull() & ~h.rlike("[:/]")))
 
 
 def language_codes(x: Column) -> Column:
     def found(v: Column) -> Column:
-        own = F.when(T.name_of(v["root"]) == "article", T.attribute(v["root"], "xml:lang"))
-        translations = F.filter(v["subs"], lambda t: T.attribute(t, "article-type") == "translation")
-        return F.filter(F.concat(F.array(own), F.transform(translations, lambda t: T.attribute(t, "xml:lang"))), lambda c: c.isNotNull())
+        spoken = F.concat(F.filter(F.array(v["root"]), lambda t: T.name_of(t) == "article"), F.filter(v["subs"], lambda t: T.raw_attribute(t, "article-type") == "translation"))
+        return F.filter(F.transform(spoken, lambda t: T.attribute(t, "xml:lang")), lambda c: c.isNotNull())
 
     return let(found, root=F.regexp_extract(x, T.TAG, 0), subs=T.tags(x, ["sub-article"]))
 
 
 def issn_nodes(x: Column) -> Column:
     """(type, value) of elements issn, in document order."""
-    return F.transform(T.elements(x, "issn"), lambda e: F.struct(T.attribute(e["tag"], "pub-type").alias("type"), value(e["inner"]).alias("value")))
+    return F.transform(T.elements(x, "issn"), lambda e: F.struct(T.raw_attribute(e["tag"], "pub-type").alias("type"), value(e["inner"]).alias("value")))
 
 
 def first_issns(nodes: Column) -> dict[str, Column]:
@@ -98,7 +97,7 @@ def first_issns(nodes: Column) -> dict[str, Column]:
 
 
 def acronym(x: Column) -> Column:
-    return value(item(T.elements(x, "journal-id"), lambda e: T.attribute(e["tag"], "journal-id-type") == "publisher-id")["inner"])
+    return value(item(T.elements(x, "journal-id"), lambda e: T.raw_attribute(e["tag"], "journal-id-type") == "publisher-id")["inner"])
 
 
 def assets(xml: Column) -> Column:
@@ -151,7 +150,7 @@ def metadata(xml: Column, collection: str = "pid") -> Column:
     def node(e: Column) -> Column:
         date = e["name"] == "pub-date"
         raw = F.array(F.when(~date, e["inner"]), *[F.when(date, T.first(e["inner"], p)) for p in ("year", "month", "day")])
-        given = [F.when((date if n.endswith("_type") and n != "id_type" else e["name"] == "article-id"), T.attribute(e["tag"], a)).alias(n) for n, a in ATTRIBUTES.items()]
+        given = [F.when((date if n.endswith("_type") and n != "id_type" else e["name"] == "article-id"), T.raw_attribute(e["tag"], a)).alias(n) for n, a in ATTRIBUTES.items()]
         read = lambda v: F.struct(e["name"].alias("name"), *given, *[F.get(v["t"], F.lit(i)).alias(n) for i, n in enumerate(("text", "year", "month", "day"))])
         return let(read, t=F.transform(raw, value))
 
@@ -170,7 +169,7 @@ def metadata(xml: Column, collection: str = "pid") -> Column:
         return F.struct(*[c.alias(n) for n, c in known.items()])
 
     def of_document(x: Column) -> Column:
-        main = item(T.elements(x, "article-id"), lambda e: ~T.attribute(e["tag"], "specific-use").eqNullSafe(collection) & (T.attribute(e["tag"], "pub-id-type") == "publisher-id"))
+        main = item(T.elements(x, "article-id"), lambda e: ~T.raw_attribute(e["tag"], "specific-use").eqNullSafe(collection) & (T.raw_attribute(e["tag"], "pub-id-type") == "publisher-id"))
         found = {"issns": issn_nodes(x), "acron": acronym(x), "languages": language_codes(x), "assets": asset_names(x), "publisher_id": value(main["inner"])}
         return let(lambda v: let(fields, nodes=v["nodes"], ids=named(v, "article-id"), dates=named(v, "pub-date"), **{n: v[n] for n in found}), nodes=F.transform(T.children(T.first(x, "article-meta")), node), **found)
 

@@ -183,10 +183,15 @@ def escaped(value: Column) -> Column:
     return value
 
 
+def raw_attribute(tag: Column, name: str) -> Column:
+    """The attribute's value as it is written, for comparison with a word; null if the tag hasn't got it or it is empty."""
+    before = rf"^<[^\s/>]++(?:\s++(?!{name}\s*+=)[^\s=]++\s*+=\s*+{QUOTED})*+\s++{name}\s*+=\s*+({QUOTED})"
+    return let(lambda v: F.when(F.length(v["q"]) > 2, F.substr(v["q"], F.lit(2), F.length(v["q"]) - 2)), q=F.regexp_extract(tag, before, 1))
+
+
 def attribute(tag: Column, name: str) -> Column:
     """The attribute's value; null if the tag hasn't got it or it is empty."""
-    before = rf"^<[^\s/>]++(?:\s++(?!{name}\s*+=)[^\s=]++\s*+=\s*+{QUOTED})*+\s++{name}\s*+=\s*+({QUOTED})"
-    return let(lambda v: F.when(F.length(v["q"]) > 2, decoded(F.substr(v["q"], F.lit(2), F.length(v["q"]) - 2))), q=F.regexp_extract(tag, before, 1))
+    return decoded(raw_attribute(tag, name))
 
 
 def first(xml: Column, name: str) -> Column:

@@ -3,6 +3,7 @@
 A node has the place of its first character (start, from 1) and that after its last (end), its depth, its parent's start and
 its position among its siblings. Parent and child meet by (document, parent = start), neighbours by (document, parent,
 position), descendants by start and end. All windows run within a document over its tags, with one shuffle for both.
+Operators take the nodes as `every` where they are written already, so that they aren't worked out for each of its joins.
 """
 
 from __future__ import annotations
@@ -90,21 +91,21 @@ def link(tag: Column) -> Column:
     return F.when(href.startswith("#"), F.substr(href, F.lit(2)))
 
 
-def note_labels(docs: DataFrame, key: str, xml: str) -> DataFrame:
+def note_labels(docs: DataFrame, key: str, xml: str, every: DataFrame | None = None) -> DataFrame:
     """Anchors that stand right before a link elsewhere with the same label (xml_text): a note's own anchor and its way back.
 
     (key, anchor, target, label): at a[@name=anchor], whose next sibling is a[@href='#target'].
     """
-    every = nodes(docs, key, xml)
+    every = nodes(docs, key, xml) if every is None else every
     anchors = every.where(F.col("name") == "a").select(key, "parent", "position", T.attribute(F.col("tag"), "name").alias("anchor"), T.attribute(F.col("tag"), "xml_text").alias("label")).where("anchor is not null")
     links = every.where(F.col("name") == "a").select(key, "parent", (F.col("position") - 1).alias("position"), link(F.col("tag")).alias("target"), T.attribute(F.col("tag"), "xml_text").alias("label"))
     pairs = anchors.join(links.where("target is not null"), [key, "parent", "position", "label"])
     return pairs.where("anchor <> target").select(key, "anchor", "target", "label")
 
 
-def appendix_labels(docs: DataFrame, key: str, xml: str) -> DataFrame:
+def appendix_labels(docs: DataFrame, key: str, xml: str, every: DataFrame | None = None) -> DataFrame:
     """Appendices without a label of their own and the text of the first link with text that leads to them: (key, id, label)."""
-    every = nodes(docs, key, xml)
+    every = nodes(docs, key, xml) if every is None else every
     labels = every.where(F.col("name") == "label").select(key, F.col("parent").alias("start")).distinct()
     apps = every.where(F.col("name") == "app").join(labels, [key, "start"], "left_anti").select(key, T.attribute(F.col("tag"), "id").alias("id")).where("id is not null").distinct()
     links = every.where(F.col("name") == "xref").withColumn("id", T.attribute(F.col("tag"), "rid")).where("id is not null").join(apps, [key, "id"], "left_semi")
@@ -113,13 +114,13 @@ def appendix_labels(docs: DataFrame, key: str, xml: str) -> DataFrame:
     return apps.join(first, [key, "id"], "left")
 
 
-def without_references(docs: DataFrame, key: str, xml: str, references: str) -> DataFrame:
+def without_references(docs: DataFrame, key: str, xml: str, references: str, every: DataFrame | None = None) -> DataFrame:
     """docs without the paragraphs that end a reference by a comment `end-ref`, if they are as many as the document has references.
 
     Such a paragraph or list item is the comment's parent, else its grandparent, else the item right before it. The heading
     right before the first comment `ref` goes with them where its text begins with REF. n_removed counts what went.
     """
-    every = nodes(docs, key, xml)
+    every = nodes(docs, key, xml) if every is None else every
     said = every.where(F.col("name") == COMMENT).withColumn("said", F.trim(F.regexp_extract("tag", "(?s)^<!--(.*)-->$", 1)))
     ends = with_parent(said.where("said = 'end-ref'"), every, key, "p_")
     ends = with_parent(ends.withColumnRenamed("parent", "own").withColumn("parent", F.col("p_parent")), every, key, "g_").drop("parent").withColumnRenamed("own", "parent")

@@ -2,27 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources import shared
 from ..streaming import ingest as S
 from .registry import query
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder where the session keeps shared data; a temporary one only where it names none, in local mode."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root and not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-    root = root or tempfile.mkdtemp(prefix="spark-")
-    return f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
-
-
 def arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a stream; its folder is watched, other tables in it are not read."""
     return spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
@@ -31,7 +20,7 @@ def arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_id, event_type, user_id FROM events")
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events ingested twice from the same files: the second run adds none."""
-    folder = shared_folder(spark)
+    folder = shared.folder(spark, "stream")
     for run in ("first", "second"):
         rows = arriving(spark, sf_dir).select("event_id", "event_type", "user_id")
         S.ingest_once(rows, f"{folder}/table", f"{folder}/{run}", "event_id")
@@ -41,7 +30,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def stream_error_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events by day and type, counted as a stream without duplicates."""
-    folder = shared_folder(spark)
+    folder = shared.folder(spark, "stream")
     counted = S.counts_by_window(S.without_duplicates(arriving(spark, sf_dir), "event_id", "ts", "60 days"), "ts", "event_type")
     name = "table"
     def keep(batch: DataFrame, number: int) -> None:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import xmltree as T
 from ..operators import trees
+from ..sources import shared
 from .markup import documents_xml
 from .registry import query, table
 
@@ -40,13 +41,15 @@ SELECT doc_id, 'tx1' AS anchor, 'nt1' AS target, '1' AS label FROM documents
 UNION ALL SELECT doc_id, 'nt1', 'tx1', '1' FROM documents WHERE doc_id % 2 = 0""")
 def fn_label_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Anchors right before links with the same label: notes in the text and at the end."""
-    return trees.note_labels(bodies_xml(spark, sf_dir), "doc_id", "xml")
+    bodies = bodies_xml(spark, sf_dir)
+    return trees.note_labels(bodies, "doc_id", "xml", shared.written(trees.nodes(bodies, "doc_id", "xml"), "nodes"))
 
 
 @query("SELECT doc_id, 'app1' AS id, CASE WHEN doc_id % 3 = 0 THEN 'Appendix A' END AS label FROM documents")
 def appendix_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels of appendices that have none, by the first link to them."""
-    return trees.appendix_labels(bodies_xml(spark, sf_dir), "doc_id", "xml")
+    bodies = bodies_xml(spark, sf_dir)
+    return trees.appendix_labels(bodies, "doc_id", "xml", shared.written(trees.nodes(bodies, "doc_id", "xml"), "nodes"))
 
 
 ESCAPED = "replace(replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;')"
@@ -63,5 +66,6 @@ x AS (SELECT doc_id, gone, '<article><body><p>T <a name="tx1" xml_text="1"/><a h
 SELECT doc_id, CAST(CASE WHEN gone THEN doc_id % 4 + 1 ELSE 0 END AS INT) AS n_removed, CAST(length(xml) AS INT) AS n_chars, md5(xml) AS digest FROM x""")
 def references_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bodies without their references, where as many are marked as the document has."""
-    out = trees.without_references(bodies_xml(spark, sf_dir), "doc_id", "xml", "n_refs")
+    bodies = bodies_xml(spark, sf_dir)
+    out = trees.without_references(bodies, "doc_id", "xml", "n_refs", shared.written(trees.nodes(bodies, "doc_id", "xml"), "nodes"))
     return out.select("doc_id", "n_removed", F.length("xml").alias("n_chars"), F.md5("xml").alias("digest"))
