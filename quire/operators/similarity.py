@@ -28,8 +28,9 @@ def contained_items(docs: DataFrame, items: DataFrame, doc: str, item: str, leas
     """(doc, item, containment): pairs in which a document has at least the share `least` (over 0) of an item's words.
 
     Exact by prefix filtering: such a pair shares one of all but ceil(least * n) - 1 of the item's n words, and those
-    that fewest items have are probed. A document carries its words to the items that it hits and is compared where it
-    is: documents are normalised once and, if the counted rows of probed words are few enough to broadcast, not shuffled.
+    that fewest items have are probed. If the counted rows of probed words are few enough to broadcast, a document is
+    normalised once and compared where it is. Otherwise documents and items meet as rows of (document, word) and only
+    those that share a probed word are fetched with all their words, once for each item that they may hold.
     """
     i = items.select(item, T.words(T.normalize_text(F.col("text"))).alias("iw")).where("size(iw) > 0")
     words = i.select(item, F.explode("iw").alias("w"))
@@ -38,9 +39,11 @@ def contained_items(docs: DataFrame, items: DataFrame, doc: str, item: str, leas
     ranked = words.join(counted, "w").groupBy(item).agg(F.array_sort(F.collect_list(rare)).alias("by_rarity"))
     size = F.size("by_rarity")
     probe = ranked.select(item, F.explode(F.slice("by_rarity", 1, size - F.ceil(size * least).cast("int") + 1)).alias("p")).select(item, "p.w")
-    if probe.count() <= BROADCAST_WORDS:
-        probe, i = F.broadcast(probe), F.broadcast(i)
     of_docs = docs.select(doc, T.words(T.normalize_text(F.col("text"))).alias("dw"))
-    hits = of_docs.select(doc, "dw", F.explode("dw").alias("w")).join(probe, "w").join(i, item)
-    out = hits.withColumn("containment", F.size(F.array_intersect("dw", "iw")) / F.size("iw"))
+    if probe.count() <= BROADCAST_WORDS:
+        pairs = of_docs.select(doc, "dw", F.explode("dw").alias("w")).join(F.broadcast(probe), "w").join(F.broadcast(i), item)
+    else:
+        hits = of_docs.select(doc, F.explode("dw").alias("w")).join(probe, "w").select(doc, item).distinct()
+        pairs = hits.join(of_docs, doc).join(i, item)
+    out = pairs.withColumn("containment", F.size(F.array_intersect("dw", "iw")) / F.size("iw"))
     return out.where(F.col("containment") >= least).select(doc, item, "containment").distinct()

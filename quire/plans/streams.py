@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources import shared
 from ..streaming import ingest as S
+from ..streaming import sorting
 from .registry import query
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -40,3 +41,19 @@ def stream_error_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = counted.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{folder}/counts").trigger(availableNow=True).start()
     run.awaitTermination()
     return spark.read.parquet(f"{folder}/{name}").groupBy(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type").agg(F.max_by("n", "batch").alias("n"))
+
+
+ORDERS = "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz"
+
+
+@query("""
+SELECT CAST(o_custkey AS VARCHAR) AS bundle, CAST(o_orderkey AS VARCHAR) AS id, row_number() OVER (PARTITION BY o_custkey ORDER BY CASE WHEN o_custkey % 2 = 0 THEN -d ELSE d END, CASE WHEN o_custkey % 2 = 0 THEN NULL ELSE CAST(o_orderkey AS VARCHAR) END, CAST(o_orderkey AS VARCHAR) DESC)::INT AS place
+FROM (SELECT o_orderkey, o_custkey, CAST(strftime(o_orderdate, '%Y%m%d') AS INT) AS d FROM orders)""")
+def bundle_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers' orders as bundles kept in order while they arrive, every other one from the last on."""
+    folder = shared.folder(spark, "stream")
+    rows = spark.readStream.schema(ORDERS).option("pathGlobFilter", "orders.parquet").parquet(sf_dir)
+    rows = rows.select(F.col("o_custkey").alias("bundle"), F.col("o_orderkey").alias("id"), F.date_format("o_orderdate", "yyyyMMdd").alias("position"))
+    run = sorting.sorted_stream(rows).writeStream.outputMode("append").format("parquet").option("path", f"{folder}/rows").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+    run.awaitTermination()
+    return sorting.current(spark.read.parquet(f"{folder}/rows"), F.col("bundle").cast("long") % 2 == 0).select("bundle", "id", "place")

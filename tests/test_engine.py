@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -80,12 +81,17 @@ def test_store(spark):
     assert rows(report) == [(2, "ROLLEDBACK"), (9, "MISSING")]
 
 
-def test_shared_words_find_what_brute_force_finds(spark):
+def test_shared_words_find_what_brute_force_finds(spark, monkeypatch):
     texts = ["a b c d", "a b c x", "q r", "", "a b", "x y z a b c d"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc int, text string")
     items = spark.createDataFrame(list(enumerate(texts)), "item int, text string")
     want = sorted((i, j) for i, a in enumerate(texts) for j, b in enumerate(texts) if (A := set(a.split())) and (B := set(b.split())) and len(A & B) / len(B) >= 0.5)
     assert rows(similarity.contained_items(docs, items, "doc", "item", 0.5), "doc", "item") == want
+    monkeypatch.setattr(similarity, "BROADCAST_WORDS", 0)
+    far = similarity.contained_items(docs, items, "doc", "item", 0.5)
+    assert rows(far, "doc", "item") == want
+    # what meets the probed words is words, not documents' arrays
+    assert re.search(r"Generate explode\(dw#\d+\), \[doc#\d+\], false, \[w#\d+\]", far._jdf.queryExecution().executedPlan().toString())
 
 
 def test_iso2709(spark, tmp_path):
