@@ -66,18 +66,58 @@ def by_ordinal(rows: DataFrame, items: str, texts: DataFrame, keys: list[str], p
     return placed.join(texts.select(*keys, position, text), [*keys, position], "left").select(*keys, position, "item", text)
 
 
+#: Length of the parts of names by which stems find them.
+GRAM = 4
+#: Files of a folder that each of its assets is compared with; those of larger folders are looked up by an index.
+FEW_FILES = 100
+
+
+def grams(name: Column, length: int) -> Column:
+    """Distinct parts of a name of that length; none if it is shorter."""
+    starts = F.when(F.length(name) >= length, F.sequence(F.lit(1), F.length(name) - length + 1))
+    return F.array_distinct(F.transform(F.coalesce(starts, F.array().cast("array<int>")), lambda i: F.substring(name, i, F.lit(length))))
+
+
+def containing(stems: DataFrame, names: DataFrame, group: str, stem: str, name: str, q: int = GRAM) -> DataFrame:
+    """(group, stem, name): the names of its group that contain a stem, by an inverted index of their parts.
+
+    A stem is looked up by that of its parts of q characters that fewest names of the group have (shorter stems by
+    themselves, an empty one by the whole group), so that the names it is compared with are nearly those that contain it;
+    a part that no name has ends the search. A group with many names is spread over its parts.
+    """
+    asked = stems.select(group, F.col(stem).alias("__stem")).where(F.col(stem).isNotNull()).distinct()
+    there = names.select(group, F.col(name).alias("__name")).where("__name is not null").distinct().join(asked.select(group).distinct(), group, "left_semi")
+    # names have parts of the lengths that stems are looked up by
+    lengths = F.array(*[F.struct(F.lit(n).alias("n"), grams(F.col("__name"), n).alias("g")) for n in range(1, q + 1)])
+    wanted = asked.where(F.col("__stem") != "").select(group, F.least(F.length("__stem"), F.lit(q)).alias("n")).groupBy(group).agg(F.collect_set("n").alias("__ns"))  # q numbers at most
+    index = there.join(wanted, group).select(group, "__name", F.explode(F.flatten(F.transform(F.filter(lengths, lambda x: F.array_contains("__ns", x["n"])), lambda x: x["g"]))).alias("__gram"))
+    parts = F.when(F.length("__stem") >= q, grams(F.col("__stem"), q)).otherwise(F.array("__stem"))
+    probes = asked.where(F.col("__stem") != "").select(group, "__stem", F.explode(parts).alias("__gram"))
+    counts = index.groupBy(group, "__gram").agg(F.count(F.lit(1)).alias("__n"))
+    rarest = probes.join(counts, [group, "__gram"], "left").groupBy(group, "__stem").agg(F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("n"), F.col("__gram"))).alias("p"))
+    rarest = rarest.where(F.col("p.n") > 0).select(group, "__stem", F.col("p.__gram").alias("__gram"))
+    found = rarest.join(index, [group, "__gram"]).where(F.contains(F.col("__name"), F.col("__stem"))).select(group, "__stem", "__name")
+    every = asked.where(F.col("__stem") == "").join(there, group).select(group, "__stem", "__name")
+    return found.unionByName(every).select(group, F.col("__stem").alias(stem), F.col("__name").alias(name))
+
+
 def contained_assets(assets: DataFrame, files: DataFrame, folder: str) -> DataFrame:
     """Each asset (folder, asset) with the best of its folder's files (folder, file).
 
     Best is the file of that name, then a .tif whose name contains the asset's stem, then any that contains it.
-    Exact names meet by equality; only assets without one are compared with their folder's other files.
+    Exact names meet by equality; only assets without one are compared with their folder's other files, in large folders
+    with those alone that an index of parts of names finds.
     """
     asked = assets.select(folder, "asset").distinct()
     exact = asked.join(files.select(folder, F.col("file").alias("asset")).distinct(), [folder, "asset"], "left_semi").withColumn("file", F.col("asset"))
-    stem = F.regexp_replace("asset", r"\.[^.]*$", "")
-    pairs = asked.join(exact, [folder, "asset"], "left_anti").join(files, folder).where(F.contains(F.col("file"), stem))
+    left = asked.join(exact, [folder, "asset"], "left_anti").withColumn("stem", F.regexp_replace("asset", r"\.[^.]*$", ""))
     rank = F.when(F.lower("file").endswith(".tif"), 1).otherwise(2)
-    best = pairs.groupBy(folder, "asset").agg(F.min_by("file", F.struct(rank, F.col("file"))).alias("file")).unionByName(exact)
+    large = files.groupBy(folder).agg(F.count(F.lit(1)).alias("__files")).where(F.col("__files") > FEW_FILES).select(folder)
+    near = left.join(files.select(folder, "file").join(large, folder, "left_anti"), folder).where(F.contains(F.col("file"), F.col("stem"))).select(folder, "stem", "file")
+    far = files.select(folder, "file").join(large, folder, "left_semi")
+    found = near.unionByName(containing(left, far, folder, "stem", "file")) if large.limit(1).count() else near
+    best = found.groupBy(folder, "stem").agg(F.min_by("file", F.struct(rank, F.col("file"))).alias("file"))
+    best = left.join(best, [folder, "stem"]).select(folder, "asset", "file").unionByName(exact)
     return asked.join(best, [folder, "asset"], "left")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import citations, similarity
+from ..operators import diff as D
 from .registry import query, table
 
 NORMAL = r"trim(regexp_replace(strip_accents(replace(lower({x}), 'ß', 'ss')), '[^\p{{L}}\p{{N}}_]+', ' ', 'g'))"
@@ -98,3 +99,18 @@ SELECT doc_id, len(w) AS n_words, sha1(array_to_string(w, ' ')) AS words_sha1 FR
 def alnum_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select("doc_id", T.alnum_words(F.col("text")).alias("w"))
     return rows.select("doc_id", F.size("w").cast("long").alias("n_words"), F.sha1(F.array_join("w", " ").cast("binary")).alias("words_sha1"))
+
+
+TOKENS = "list_filter(regexp_split_to_array(coalesce({x}, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '')"
+
+
+@query(f"""
+WITH t AS (SELECT doc_id, {TOKENS.format(x="text")} AS a, {TOKENS.format(x=NORMAL.format(x="text"))} AS b FROM documents)
+SELECT doc_id, CAST(len(a) AS BIGINT) AS before_length, CAST(len(b) AS BIGINT) AS after_length, md5(array_to_string(a, ' ')) AS before_digest, md5(array_to_string(b, ' ')) AS after_digest FROM t WHERE len(a) + len(b) > 0""")
+def rendition_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents against their normalised text: what the runs kept and lost, and those kept and added, put together again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = D.diff(docs, docs.withColumn("text", T.normalize_text(F.col("text"))), "doc_id")
+    side = lambda other: F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") != other, F.struct("run", "text")))), lambda r: r["text"]), " "))
+    whole = found.groupBy("doc_id").agg(side(D.ADDED).alias("before_digest"), side(D.LOST).alias("after_digest"))  # one document's runs
+    return D.report(found, "doc_id").join(whole, "doc_id").select("doc_id", "before_length", "after_length", "before_digest", "after_digest")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import random
 import re
 
 import pytest
@@ -44,6 +45,28 @@ def test_contained_assets_prefer_the_same_name(spark):
     assert [(r["asset"], r["file"]) for r in L.contained_assets(assets, files, "folder").orderBy("asset").collect()] == [("f1.jpg", "f1.jpg"), ("f2.jpg", "xf2.tif"), ("f3.jpg", None)]
 
 
+def test_stems_in_names_by_brute_force(spark):
+    rng = random.Random(3)
+    name = lambda n: "".join(rng.choice("abé.") for _ in range(rng.randrange(n)))
+    names = [(rng.choice("xy"), name(12)) for _ in range(300)] + [("x", None)]
+    stems = [(rng.choice("xyz"), name(7)) for _ in range(120)] + [("x", ""), ("z", ""), ("y", None)]
+    made = lambda rows, c: spark.createDataFrame(rows, f"g string, {c} string")
+    for q in (1, 3, 4):
+        got = rows(L.containing(made(stems, "s"), made(names, "f"), "g", "s", "f", q))
+        assert got == sorted({(g, s, f) for g, s in stems for h, f in names if g == h and s is not None and f is not None and s in f})
+
+
+def test_a_folder_of_many_files(spark):
+    folder = F.concat(F.lit("d"), (F.col("id") % 1).cast("string")).alias("folder")
+    files = spark.range(100_000).select(folder, F.format_string("img%06d.tif", "id").alias("file"))
+    assets = spark.range(0, 100_000, 20).select(folder, F.format_string("%06d.jpg", "id").alias("asset"))
+    out = L.contained_assets(assets, files, "folder")
+    assert out.count() == 5000 and out.where(F.concat(F.lit("img"), F.replace("asset", F.lit(".jpg"), F.lit(".tif"))) != F.col("file")).count() == 0
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # no join on the folder alone, and none without a key
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
 def test_fallback_path(spark):
     given = spark.createDataFrame([(1, "a", "b"), (2, "x", "b"), (3, "x", "y")], "id int, first string, second string")
     files = spark.createDataFrame([("a",), ("b",)], "file string")
