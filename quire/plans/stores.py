@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import history, imports, snapshots
+from ..functions import text as T
+from ..operators import history, imports, ledger, snapshots
 from ..sources import shared
 from .markup import SOUND, documents_xml
 from .registry import query, table
+from .texts import NORMAL
 
 
 @query(f"""
@@ -61,3 +63,17 @@ def rollback_to(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = table(spark, sf_dir, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), "value", "event_type")
     ends = log.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).select(F.date_trunc("day", F.timestamp_micros(((F.unix_micros("a") + F.unix_micros("b")) / 2).cast("long"))).alias("t")).first()
     return history.roll_back_to(log, "user_id", "ts", "event_id", "value", F.lit(ends["t"]), F.col("event_type") == "error")
+
+
+@query(f"""
+WITH c AS (SELECT conv_id, turn, CASE WHEN conv_id % 10 = 1 THEN text || ' Changed' ELSE text END AS text FROM conversations WHERE conv_id % 10 <> 2)
+SELECT conv_id, turn, {NORMAL.format(x="text")} AS normal, CAST(CASE conv_id % 10 WHEN 1 THEN 2 WHEN 3 THEN 3 ELSE 1 END AS BIGINT) AS version FROM c""")
+def recomputed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normalised turns of conversations, kept up to date while some change, some go, and some are asked for again."""
+    root, schema = shared.folder(spark, "store"), "conv_id bigint, turn bigint, normal string"
+    turns, k = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "text"), F.col("conv_id")
+    changed = turns.where(k % 10 != 2).withColumn("text", F.when(k % 10 == 1, F.concat("text", F.lit(" Changed"))).otherwise(F.col("text")))
+    compute = lambda rows: rows.select("conv_id", "turn", T.normalize_text(F.col("text")).alias("normal"))
+    for rows, override in ((turns, None), (changed, None), (changed, k % 10 == 3), (changed, None)):
+        ledger.refresh(spark, root, rows, "conv_id", ["turn", "text"], compute, schema, override)
+    return ledger.results(spark, root, "conv_id", schema)
