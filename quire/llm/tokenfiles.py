@@ -98,7 +98,7 @@ class PieceEncoder(WordEncoder):
         data = np.frombuffer(texts.buffers()[2], np.uint8)[bounds[0] : bounds[-1]] if texts.buffers()[2] else np.zeros(0, np.uint8)
         bounds = bounds - bounds[0]
         if len(self.number) > CACHE_PIECES:
-            self.reset()
+            self._trim()
         starts = self.cuts(data)
         whole = np.zeros(len(texts), bool)
         for content in self.special:
@@ -113,12 +113,21 @@ class PieceEncoder(WordEncoder):
         edges = np.append(starts, len(data))
         pieces = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data)))
         coded = pieces.dictionary_encode()
-        of = self._units(coded.dictionary)[np.asarray(coded.indices)].ravel()
+        # ids of the distinct pieces in a row, then those of all pieces by their places in it
+        held, at = self._ids_of(self._units(coded.dictionary))
+        of = np.asarray(coded.indices)
+        lengths = np.diff(at)[of]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        ids = held[np.repeat(at[of] - ends[:-1], lengths) + np.arange(ends[-1])]
+        return ids, ends[np.searchsorted(starts, bounds)]
+
+    def _ids_of(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all rows of units, the place at which each row's begin, and their end)."""
+        of = units.ravel()
         begin = self.bounds[of]
         lengths = self.bounds[of + 1] - begin
         ends = np.concatenate([[0], np.cumsum(lengths)])
-        ids = self.ids[np.repeat(begin - ends[:-1], lengths) + np.arange(ends[-1])]
-        return ids, ends[2 * np.searchsorted(starts, bounds)]
+        return self.ids[np.repeat(begin - ends[:-1], lengths) + np.arange(ends[-1])], ends[::2]
 
     def _units(self, forms: pa.Array) -> np.ndarray:
         """Two numbers for each piece: of Latin letters with the space before them and of the punctuation after them, else of the whole piece and none."""
@@ -152,14 +161,33 @@ class PieceEncoder(WordEncoder):
             part = others[i : i + PIECES]
             coded = [x.ids for x in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
             self._keep(part, np.fromiter(chain.from_iterable(coded), np.uint32), np.fromiter(map(len, coded), np.int64, len(coded)))
-        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        numbers = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        self.uses[numbers] += 1
+        return numbers
+
+    def reset(self) -> None:
+        super().reset()
+        self.uses = np.zeros(1 << 14, np.int32)
+
+    def _trim(self) -> None:
+        """Forget pieces that were asked for least often, at least half of them: most stand in one text only."""
+        n, least = len(self.number), 2
+        while np.count_nonzero(self.uses[:n] >= least) > CACHE_PIECES // 2:
+            least += 1
+        kept = np.flatnonzero(self.uses[:n] >= least)
+        words, ids, bounds = list(self.number), self.ids, self.bounds
+        lengths = bounds[kept + 1] - bounds[kept]
+        ends = np.cumsum(lengths)
+        self.reset()
+        self._keep([words[i] for i in kept.tolist()], ids[np.repeat(bounds[kept] - ends + lengths, lengths) + np.arange(lengths.sum())], lengths)
+        self.uses[: len(kept)] = 1
 
     def _keep(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
         """Add words, whose ids stand in a row."""
         n = len(self.number)
         m = int(self.bounds[n])
         room = lambda a, size: a if size <= len(a) else np.concatenate([a, np.zeros(max(len(a), size - len(a)), a.dtype)])
-        self.ids, self.bounds = room(self.ids, m + len(ids)), room(self.bounds, n + len(words) + 1)
+        self.ids, self.bounds, self.uses = room(self.ids, m + len(ids)), room(self.bounds, n + len(words) + 1), room(self.uses, n + len(words))
         self.ids[m : m + len(ids)] = ids
         self.bounds[n + 1 : n + 1 + len(words)] = m + np.cumsum(lengths)
         self.number.update(zip(words, range(n, n + len(words)), strict=True))
@@ -188,6 +216,7 @@ def encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
                     columns = [batch.column("doc_id").slice(a + c, d - c), pa.array(np.full(d - c, part, np.int32)), pa.array(offset + bounds[c:d]), pa.array(np.diff(bounds[c : d + 1])), lists]
                     yield pa.RecordBatch.from_arrays(columns, ["doc_id", "part", "offset", "n_tokens", "ids"])
                 offset += int(bounds[-1])
+            sw.give_back()
 
     return docs.select("doc_id", "text").mapInArrow(encode, f"doc_id {id_type}, part int, offset long, n_tokens long, ids array<int>")
 
@@ -263,6 +292,7 @@ def checked(rows: DataFrame) -> DataFrame:
             bounds = np.asarray(lists.offsets).astype(np.int64) * 4
             data = memoryview(np.ascontiguousarray(lists.values.to_numpy(), "<i4")).cast("B")
             crc = pa.array([zlib.crc32(data[a:b]) for a, b in pairwise(bounds.tolist())], pa.int64())
+            sw.give_back()
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), crc], [*(f.name for f in kept), "ids_crc32"])
 
     return rows.mapInArrow(check, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "ids_crc32 long"]))

@@ -92,6 +92,16 @@ def test_pieces_have_the_ids_of_whole_texts(tokenizer):
         assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
+def test_a_full_memory_forgets_rare_pieces(tokenizer, monkeypatch):
+    monkeypatch.setattr(tokenfiles, "CACHE_PIECES", 40)
+    encoder = tokenfiles.PieceEncoder(vocabulary_path(tokenfiles.VOCABULARY))
+    for i in range(60):
+        texts = [f"often the same, rare{i} word{i * 7}é 12-{i}", f"the same again {i}"]
+        ids, bounds = encoder.encode(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert " same" in encoder.number and " rare3" not in encoder.number and len(encoder.number) < 60
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.text(st.sampled_from("ab'sé1.\n\t   \x85\x1c日👍<|>") | st.characters(exclude_categories=["Cs"])), max_size=4))
 def test_pieces_of_any_text(tokenizer, texts):
