@@ -7,12 +7,13 @@ beginnings and ends of a gap are kept first. Documents meet in one join and each
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 RUNS = "run int, kind string, left_at int, right_at int, n int, text string"
@@ -96,9 +97,9 @@ def runs(a: list[str], b: list[str]) -> list[tuple[str, int, int, int]]:
     return out
 
 
-def tokens(text: Column) -> Column:
-    """Tokens between white space; none in a null or blank text."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda w: w != "")
+def tokens(text: str | None) -> list[str]:
+    """Tokens between ASCII white space; none in a null or blank text."""
+    return re.findall(r"[^ \t\n\x0b\f\r]+", text or "")
 
 
 def diff(left: DataFrame, right: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -107,13 +108,13 @@ def diff(left: DataFrame, right: DataFrame, key: str, text: str = "text") -> Dat
     Runs are numbered from 1, places count tokens from 0. Documents without a token on either side have no run. The kept
     tokens are common to both in order, and lost or added is all else; they are not always as many as could be kept.
     """
-    pairs = left.select(key, tokens(F.col(text)).alias("a")).join(right.select(key, tokens(F.col(text)).alias("b")), key)
+    pairs = left.select(key, F.col(text).alias("a")).join(right.select(key, F.col(text).alias("b")), key)
     kind = left.schema[key].dataType.simpleString()
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             for k, a, b in zip(rows[key], rows["a"], rows["b"], strict=True):
-                a, b = list(a), list(b)
+                a, b = tokens(a), tokens(b)
                 found = [(k, r + 1, kind, i, j, n, " ".join(b[j : j + n] if kind == ADDED else a[i : i + n])) for r, (kind, i, j, n) in enumerate(runs(a, b))]
                 if found:
                     yield pd.DataFrame(found, columns=[key, *(c.split()[0] for c in RUNS.split(", "))])
