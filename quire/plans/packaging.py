@@ -14,9 +14,14 @@ from ..functions import markup, text
 from ..functions import records as R
 from ..operators import lookups as L
 from ..operators import packages as P
+from ..sources import shared
 from .registry import query, table
 
 
+#: Journal records that a task works out at most, by their number over the input's.
+JOURNALS_A_TASK = 10_000
+
+
 def text_of(column: Column) -> Column:
     return column.cast("string")
 
@@ -234,7 +239,9 @@ def journal_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
             one(F.concat(F.lit("sponsor "), text_of(F.col("c_nationkey")))).alias("v140"), F.when(k % 3 == 0, one(F.col("c_mktsegment"))).alias("v64"), F.when(k % 5 == 0, one("next")).alias("v710"), F.array(made(text="p1"), made(text="p2")).alias("v480"), one("city").alias("v490"), one("BR").alias("v310"),
         )
     )
-    rows = table(spark, sf_dir, "customer").select("c_custkey", R.manifest_of_journal(R.parsed(record)).alias("m"))
+    # each record is parsed once, and rows of a small file, which are much work each, are many tasks'
+    rows = shared.spread(table(spark, sf_dir, "customer"), JOURNALS_A_TASK).select("c_custkey", R.parsed(record).alias("r"))
+    rows = rows.select("c_custkey", R.manifest_of_journal(F.col("r")).alias("m"))
     said = lambda c, *parts: F.array_join(F.transform(c, lambda x: F.concat(*[p if isinstance(p, Column) else p(x) for p in parts])), ",")
     at = lambda n: lambda x: F.coalesce(x[n], F.lit("?"))
     status = F.array_join(F.transform("m.status_history", lambda x: F.concat(x["status"], F.lit("@"), F.coalesce(x["date"], F.lit("?")), F.coalesce(F.concat(F.lit(":"), x["reason"]), F.lit("")))), ",")

@@ -22,3 +22,13 @@ def written(rows: DataFrame, kind: str) -> DataFrame:
     path = folder(rows.sparkSession, kind)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def tasks(rows: DataFrame, each: int) -> int:
+    """How many tasks of so many rows there are in rows, as many as shuffles have at least; of a table read as it is, only footers are read for it."""
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // each))
+
+
+def spread(rows: DataFrame, each: int, *keys: str) -> DataFrame:
+    """rows dealt, by keys if given, over tasks of about `each` rows: their number, and not the size of one, grows with the input."""
+    return rows.repartition(tasks(rows, each), *keys)
