@@ -10,15 +10,21 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources import shared
+
 RUNS = "run int, kind string, left_at int, right_at int, n int, text string"
 #: A gap of so many pairs of tokens at most is searched in whole, so that repeated words in it are kept too.
 CELLS = 4096
+#: Tokens of documents, about, whose runs leave a task together.
+BATCH = 200_000
+#: Documents that a task compares, about: so many tasks that it is them, not their length, that grow with the input.
+DOCUMENTS = 2000
 KEPT, LOST, ADDED = "kept", "lost", "added"
 
 
@@ -37,17 +43,23 @@ def ascending(places: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def exact(a: list[str], b: list[str], i: int, m: int, j: int, n: int) -> list[tuple[int, int]]:
-    """A longest common subsequence of a[i:m] and b[j:n], by a table of their lengths."""
-    best = [[0] * (n - j + 1) for _ in range(m - i + 1)]
+    """A longest common subsequence of a[i:m] and b[j:n], by a table of their lengths: a row is one number, whose bits say where its lengths grow."""
+    at: dict[str, int] = {}
+    for y in range(j, n):
+        at[b[y]] = at.get(b[y], 0) | 1 << n - 1 - y
+    every = (1 << n - j) - 1
+    same, rows = every, [0]
     for x in range(m - 1, i - 1, -1):
-        for y in range(n - 1, j - 1, -1):
-            best[x - i][y - j] = best[x - i + 1][y - j + 1] + 1 if a[x] == b[y] else max(best[x - i + 1][y - j], best[x - i][y - j + 1])
-    kept, x, y = [], i, j
-    while x < m and y < n:
+        hit = same & at.get(a[x], 0)
+        same = (same + hit | same - hit) & every
+        rows.append(every ^ same)
+    # the length from (x, y) on is that of the bits of row x below n - y
+    kept, x, y, left = [], i, j, rows[-1].bit_count()
+    while left:
         if a[x] == b[y]:
             kept.append((x, y))
-            x, y = x + 1, y + 1
-        elif best[x - i + 1][y - j] >= best[x - i][y - j + 1]:
+            x, y, left = x + 1, y + 1, left - 1
+        elif (rows[m - x - 1] & (1 << n - y) - 1).bit_count() == left:
             x += 1
         else:
             y += 1
@@ -81,19 +93,19 @@ def common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
 
 def runs(a: list[str], b: list[str]) -> list[tuple[str, int, int, int]]:
     """(kind, place on the left, place on the right, number of tokens) of runs kept, lost and added, in order."""
-    out, i, j = [], 0, 0
-
-    def add(kind: str, x: int, y: int, n: int) -> None:
-        if n and out and out[-1][0] == kind:
-            out[-1] = (kind, *out[-1][1:3], out[-1][3] + n)
-        elif n:
-            out.append((kind, x, y, n))
-
+    out, i, j, n = [], 0, 0, 0  # up to (i, j) all is said but the n tokens kept right before
     for x, y in [*common(a, b), (len(a), len(b))]:
-        add(LOST, i, j, x - i)
-        add(ADDED, x, j, y - j)
-        add(KEPT, x, y, int(x < len(a) and y < len(b)))
-        i, j = x + 1, y + 1
+        if x > i or y > j:
+            if n:
+                out.append((KEPT, i - n, j - n, n))
+            if x > i:
+                out.append((LOST, i, j, x - i))
+            if y > j:
+                out.append((ADDED, x, j, y - j))
+            n = 0
+        i, j, n = x + 1, y + 1, n + 1
+    if n > 1:  # the last counts the end
+        out.append((KEPT, i - n, j - n, n - 1))
     return out
 
 
@@ -102,28 +114,44 @@ def tokens(text: str | None) -> list[str]:
     return re.findall(r"[^ \t\n\x0b\f\r]+", text or "")
 
 
+def compared(key: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """A function of batches of pairs (key, a, b) to their runs, those of many small documents together."""
+    names = [key, *(c.split()[0] for c in RUNS.split(", "))]
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found, size = [], 0
+        for rows in batches:
+            for k, a, b in zip(rows[key], rows["a"], rows["b"], strict=True):
+                a, b = tokens(a), tokens(b)
+                found += [(k, r + 1, kind, i, j, n, " ".join(b[j : j + n] if kind == ADDED else a[i : i + n])) for r, (kind, i, j, n) in enumerate(runs(a, b))]
+                size += len(a) + len(b)
+                if size > BATCH:
+                    yield pd.DataFrame(found, columns=names)
+                    found, size = [], 0
+        if found:
+            yield pd.DataFrame(found, columns=names)
+
+    return compare
+
+
 def diff(left: DataFrame, right: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(key, run, kind, left_at, right_at, n, text): runs of tokens kept, lost and added of documents that both sides have.
 
     Runs are numbered from 1, places count tokens from 0. Documents without a token on either side have no run. The kept
     tokens are common to both in order, and lost or added is all else; they are not always as many as could be kept.
     """
-    pairs = left.select(key, F.col(text).alias("a")).join(right.select(key, F.col(text).alias("b")), key)
+    n = shared.tasks(left, DOCUMENTS)
+    pairs = left.select(key, F.col(text).alias("a")).repartition(n, key).join(right.select(key, F.col(text).alias("b")).repartition(n, key), key)
     kind = left.schema[key].dataType.simpleString()
+    return pairs.mapInPandas(compared(key), f"`{key}` {kind}, {RUNS}")
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            for k, a, b in zip(rows[key], rows["a"], rows["b"], strict=True):
-                a, b = tokens(a), tokens(b)
-                found = [(k, r + 1, kind, i, j, n, " ".join(b[j : j + n] if kind == ADDED else a[i : i + n])) for r, (kind, i, j, n) in enumerate(runs(a, b))]
-                if found:
-                    yield pd.DataFrame(found, columns=[key, *(c.split()[0] for c in RUNS.split(", "))])
-
-    return pairs.mapInPandas(compare, f"`{key}` {kind}, {RUNS}")
 
+def report(found: DataFrame, key: str, **more: Column) -> DataFrame:
+    """(key, before_length, after_length, similarity, differs) of each document's runs: tokens, and twice the kept over all.
 
-def report(found: DataFrame, key: str) -> DataFrame:
-    """(key, before_length, after_length, similarity, differs) of each document's runs: tokens, and twice the kept over all."""
+    more: further aggregates of a document's runs, by name, for which they aren't shuffled once more.
+    """
     count = lambda *kinds: F.sum(F.when(F.col("kind").isin(*kinds), F.col("n")).otherwise(0))
     before, after = count(KEPT, LOST), count(KEPT, ADDED)
-    return found.groupBy(key).agg(before.alias("before_length"), after.alias("after_length"), (2 * count(KEPT) / (before + after)).alias("similarity"), (count(LOST, ADDED) > 0).alias("differs"))
+    said = {"before_length": before, "after_length": after, "similarity": 2 * count(KEPT) / (before + after), "differs": count(LOST, ADDED) > 0, **more}
+    return found.groupBy(key).agg(*[c.alias(n) for n, c in said.items()])

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import citations, similarity
 from ..operators import diff as D
-from ..sources import shared
 from .registry import query, table
 
 NORMAL = r"trim(regexp_replace(strip_accents(replace(lower({x}), 'ß', 'ss')), '[^\p{{L}}\p{{N}}_]+', ' ', 'g'))"
@@ -111,7 +110,7 @@ SELECT doc_id, CAST(len(a) AS BIGINT) AS before_length, CAST(len(b) AS BIGINT) A
 def rendition_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents against their normalised text: what the runs kept and lost, and those kept and added, put together again."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = shared.written(D.diff(docs, docs.withColumn("text", T.normalize_text(F.col("text"))), "doc_id"), "diff")
-    side = lambda other: F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") != other, F.struct("run", "text")))), lambda r: r["text"]), " "))
-    whole = found.groupBy("doc_id").agg(side(D.ADDED).alias("before_digest"), side(D.LOST).alias("after_digest"))  # one document's runs
-    return D.report(found, "doc_id").join(whole, "doc_id").select("doc_id", "before_length", "after_length", "before_digest", "after_digest")
+    found = D.diff(docs, docs.withColumn("text", T.normalize_text(F.col("text"))), "doc_id")
+    side = lambda other: F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") != other, F.struct("run", "text")))), lambda r: r["text"]), " "))  # one document's runs
+    whole = D.report(found, "doc_id", before_digest=side(D.ADDED), after_digest=side(D.LOST))
+    return whole.select("doc_id", "before_length", "after_length", "before_digest", "after_digest")
