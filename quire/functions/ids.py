@@ -115,7 +115,8 @@ def package_name_of(meta: Column, prefix: Column) -> Column:
         name = F.concat_ws("-", m["meta"]["issn"], m["meta"]["acron"], m["meta"]["volume"], m["issue"], *pages, more)
         return F.when(name != "", name).otherwise(prefix)
 
-    return let(named, meta=meta, issue=issue_token(meta["issue"]), doi=F.regexp_replace(meta["doi"], "^[^/]*/", ""))
+    # the metadata are worked out once, whatever refers to them
+    return let(lambda v: let(named, meta=v["meta"], issue=issue_token(v["meta"]["issue"]), doi=F.regexp_replace(v["meta"]["doi"], "^[^/]*/", "")), meta=meta)
 
 
 def asset_name(package: Column, prefix: Column, filename: Column) -> Column:

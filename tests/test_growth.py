@@ -7,7 +7,11 @@ from contextlib import redirect_stdout
 
 from random import Random
 
+from pyspark.sql import functions as F
+
 from quire import catalog
+from quire.functions import ids as I
+from quire.functions import xmlmeta as X
 from quire.operators import diff as D
 from quire.operators import lookups as L
 
@@ -75,3 +79,16 @@ def test_runs_of_many_documents_leave_together(spark):
     assert len(list(compare(iter([pairs])))) == 1
     found = D.diff(docs.withColumnRenamed("id", "key"), docs.selectExpr("id as key", "lower(text) as text"), "key")
     assert D.report(found, "key").where("before_length = 3 and after_length = 3 and differs").count() == 2000
+
+
+def test_package_names_work_metadata_out_once(spark):
+    names = ("issn", "acron", "volume", "issue", "fpage", "lpage", "elocation_id", "doi", "other", "bundle_year")
+    meta = F.struct(*[F.concat(F.lit(n), F.lit("-mark-" + n)).alias(n) for n in names])
+    assert str(I.package_name_of(meta, F.lit("file"))).count("-mark-doi") == 1
+
+
+def test_journal_of_an_import_looks_for_no_fault(spark):
+    given = spark.createDataFrame([('<a><journal-meta><issn pub-type="epub">1</issn></journal-meta></a>', None), ("<a>", "4: not closed: a")], "xml string, error string")
+    column = X.journal_meta(F.col("xml"), F.col("error"))
+    assert "is due" not in str(column)
+    assert [a == b for a, b in given.select(column, X.journal_meta(F.col("xml"))).collect()] == [True, True]
