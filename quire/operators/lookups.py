@@ -15,15 +15,47 @@ def last_wins(rows: DataFrame, key: str, order: Column) -> DataFrame:
     return packed.select(key, *[F.col(f"__row.{c}").alias(c) for c in names])
 
 
+#: Rows that a task joins, about; keys with more are joined apart.
+ROWS = 250_000
+
+
+def frequent(rows: DataFrame, keys: list[Column], total: int) -> list:
+    """Values that a key of rows has more than ROWS times: of `total` rows and each key total / ROWS at most."""
+    if total <= ROWS:
+        return []
+    return [r[0] for r in rows.select(F.explode(F.array(*keys)).alias("k")).where("k is not null").groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > ROWS).collect()]
+
+
+def looked_up(rows: DataFrame, key: Column, lookup: DataFrame, by: str, n: int, hot: list) -> DataFrame:
+    """rows with the columns of the lookup's row of their key, nulls without one, by n tasks.
+
+    Rows without a key and those of `hot` ones, which are joined by broadcast, are dealt by what else they have. The lookup
+    has one row per key and no column of rows.
+    """
+    often = F.coalesce(key.isin(hot), F.lit(False))
+    salt = F.when(key.isNull() | often, F.pmod(F.xxhash64(*rows.columns), F.lit(1 << 20))).otherwise(F.lit(0).cast("long"))
+    placed = rows.withColumns({"__key": F.when(~often, key), "__salt": salt}).repartition(n, "__key", "__salt")
+    # always 0, but no constant, which the optimizer would take out of the join and with it out of the shuffle
+    side = lookup.withColumnRenamed(by, "__key").withColumn("__salt", F.pmod(F.xxhash64("__key"), F.lit(1))).repartition(n, "__key", "__salt")
+    out = placed.join(side, ["__key", "__salt"], "left").drop("__key", "__salt")
+    if not hot:
+        return out
+    names = [c for c in lookup.columns if c != by]
+    few = lookup.where(F.col(by).isin(hot)).select(F.col(by).alias("__hot"), *[F.col(c).alias(f"__hot_{c}") for c in names])
+    out = out.join(F.broadcast(few), key == F.col("__hot"), "left")
+    return out.withColumns({c: F.coalesce(c, f"__hot_{c}") for c in names}).drop("__hot", *[f"__hot_{c}" for c in names])
+
+
 def resolve_first(rows: DataFrame, keys: list[str], lookup: DataFrame, key: str, value: str) -> DataFrame:
     """rows with value of the first of several keys that the lookup has, and matched_by, the column it was found by.
 
     Keys are tried in order of what is found, not of what is given. The lookup has one row per key.
     """
+    total, given = rows.count(), [F.trim(F.col(c)) for c in keys]
+    n, hot = shared.tasks(rows, ROWS, total), frequent(rows, given, total)
     out = rows
-    for i, c in enumerate(keys):
-        side = lookup.select(F.col(key).alias(f"__k{i}"), F.col(value).alias(f"__v{i}"))
-        out = out.join(side, F.trim(F.col(c)) == F.col(f"__k{i}"), "left").drop(f"__k{i}")
+    for i, k in enumerate(given):
+        out = looked_up(out, k, lookup.select(F.col(key).alias(f"__k{i}"), F.col(value).alias(f"__v{i}")), f"__k{i}", n, hot)
     found = F.coalesce(*[F.col(f"__v{i}") for i in range(len(keys))])
     by = F.coalesce(*[F.when(F.col(f"__v{i}").isNotNull(), c) for i, c in enumerate(keys)])
     return out.withColumn(value, found).withColumn("matched_by", by).drop(*[f"__v{i}" for i in range(len(keys))])
@@ -154,8 +186,10 @@ def contained_assets(assets: DataFrame, files: DataFrame, folder: str) -> DataFr
 def alternatives(assets: DataFrame, files: DataFrame, folder: str) -> DataFrame:
     """(folder, asset, file): the other files of an asset's folder whose names differ by the extension only."""
     stem = lambda c: F.regexp_replace(c, r"(?<=[^.])\.[^.]*$", "")
-    a = assets.select(folder, "asset", stem(F.col("asset")).alias("__stem")).distinct()
-    return a.join(files.select(folder, "file", stem(F.col("file")).alias("__stem")).distinct(), [folder, "__stem"]).select(folder, "asset", "file")
+    n = shared.tasks(assets, ROWS) + shared.tasks(files, ROWS)
+    a = assets.select(folder, "asset", stem(F.col("asset")).alias("__stem")).repartition(n, folder, "__stem").distinct()
+    b = files.select(folder, "file", stem(F.col("file")).alias("__stem")).repartition(n, folder, "__stem").distinct()
+    return a.join(b, [folder, "__stem"]).select(folder, "asset", "file")
 
 
 def anchors_with_links(anchors: DataFrame, links: DataFrame) -> DataFrame:

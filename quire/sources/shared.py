@@ -24,9 +24,9 @@ def written(rows: DataFrame, kind: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def tasks(rows: DataFrame, each: int) -> int:
-    """How many tasks of so many rows there are in rows, as many as shuffles have at least; of a table read as it is, only footers are read for it."""
-    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // each))
+def tasks(rows: DataFrame, each: int, total: int | None = None) -> int:
+    """How many tasks of so many rows there are in rows, as many as shuffles have at least; of a table read as it is, only footers are read for it. total: their number, if known."""
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(rows.count() if total is None else total) // each))
 
 
 def spread(rows: DataFrame, each: int, *keys: str) -> DataFrame:

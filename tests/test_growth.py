@@ -14,6 +14,7 @@ from quire.functions import ids as I
 from quire.functions import xmlmeta as X
 from quire.operators import diff as D
 from quire.operators import lookups as L
+from quire.operators import store, trees
 
 SF = "/root/testdata/sf0.001"
 
@@ -92,3 +93,35 @@ def test_journal_of_an_import_looks_for_no_fault(spark):
     column = X.journal_meta(F.col("xml"), F.col("error"))
     assert "is due" not in str(column)
     assert [a == b for a, b in given.select(column, X.journal_meta(F.col("xml"))).collect()] == [True, True]
+
+
+def largest(rows) -> int:
+    return rows.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+
+def test_rows_without_a_key_or_with_a_hot_one_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(L, "ROWS", 500)
+    shown = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        rows = spark.range(4000).selectExpr("id", "case when id % 4 = 0 then 'none' when id % 4 = 1 then 'hot' end as a", "concat(' ', id) as b")
+        out = L.resolve_first(rows, ["b", "a"], spark.createDataFrame([("hot", "H"), ("5", "F")], "code string, v string"), "code", "v")
+        found = {(r["v"], r["matched_by"]): r["count"] for r in out.groupBy("v", "matched_by").count().collect()}
+        assert found == {("H", "a"): 999, ("F", "b"): 1, (None, None): 3000}
+        assert largest(out) < 900
+        asked = rows.selectExpr("id", "a as previous_pid", "trim(b) as pid_v2")
+        pids = store.pid_pairs(asked, spark.createDataFrame([("hot", "H"), ("7", "S"), ("7", "Z"), ("5", "F")], "v2 string, v3 string"), F.lit("new"))
+        assert {(r["pid_v3"], r["is_new"]): r["count"] for r in pids.groupBy("pid_v3", "is_new").count().collect()} == {("H", False): 1000, ("S", False): 1, ("new", True): 2999}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", shown)
+
+
+def test_tasks_grow_with_files_and_documents(spark, monkeypatch):
+    monkeypatch.setattr(L, "ROWS", 50)
+    monkeypatch.setattr(trees, "DOCUMENTS", 10)
+    files = spark.range(1000).selectExpr("id % 10 as folder", "concat('f', id, '.tif') as file")
+    out = L.alternatives(files.selectExpr("folder", "replace(file, 'tif', 'jpg') as asset"), files, "folder")
+    assert (out.count(), out.rdd.getNumPartitions()) == (1000, 40)
+    docs = spark.range(200).selectExpr("id", "'<a><b/><c/></a>' as xml")
+    assert plan(trees.nodes(docs, "id", "xml")).count("REPARTITION_BY_NUM") == 1
+    assert trees.nodes(docs, "id", "xml").count() == 600
