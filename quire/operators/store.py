@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources import shared
+from . import lookups
+
 
 def insert_if_absent(stored: DataFrame, new: DataFrame, key: list[str], order: Column) -> tuple[DataFrame, DataFrame]:
     """(inserted, refused): rows of new whose key isn't stored, the first of each key; and all other rows of new.
@@ -52,6 +55,9 @@ def roll_back(stored: DataFrame, bundles: DataFrame, ids: DataFrame, key: str, i
 def pid_pairs(documents: DataFrame, known: DataFrame, fresh: Column) -> DataFrame:
     """documents (pid_v2, previous_pid) with pid_v3: that known for the previous pid, else for pid_v2, else a fresh one."""
     first = known.groupBy("v2").agg(F.min("v3").alias("v3"))
-    a, b = first.select(F.col("v2").alias("__a"), F.col("v3").alias("__va")), first.select(F.col("v2").alias("__b"), F.col("v3").alias("__vb"))
-    out = documents.join(a, F.col("previous_pid") == F.col("__a"), "left").join(b, F.col("pid_v2") == F.col("__b"), "left")
-    return out.withColumn("pid_v3", F.coalesce("__va", "__vb", fresh)).withColumn("is_new", F.coalesce("__va", "__vb").isNull()).drop("__a", "__b", "__va", "__vb")
+    total, given = documents.count(), [F.col("previous_pid"), F.col("pid_v2")]
+    n, hot = shared.tasks(documents, lookups.ROWS, total), lookups.frequent(documents, given, total)
+    out = documents
+    for k, mark in zip(given, "ab", strict=True):
+        out = lookups.looked_up(out, k, first.select(F.col("v2").alias(f"__{mark}"), F.col("v3").alias(f"__v{mark}")), f"__{mark}", n, hot)
+    return out.withColumn("pid_v3", F.coalesce("__va", "__vb", fresh)).withColumn("is_new", F.coalesce("__va", "__vb").isNull()).drop("__va", "__vb")
