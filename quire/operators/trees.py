@@ -12,8 +12,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import xmltree as T
+from ..sources import shared
 
 COMMENT = "#comment"
+#: Documents whose tokens a task sorts, about.
+DOCUMENTS = 1000
 
 
 def routed(docs: DataFrame, xml: str) -> tuple[DataFrame, DataFrame]:
@@ -32,6 +35,8 @@ def nodes(docs: DataFrame, key: str, xml: str) -> DataFrame:
     text = T.bare(F.col(xml))
     rows = docs.where(T.fault(F.col(xml)).isNull()).select(key, F.posexplode(T.tokens(text)).alias("n", "tag"))
     rows = rows.select(key, "n", F.length("tag").alias("size"), T.kind(F.col("tag")).alias("kind"), F.when(F.col("tag").startswith("<"), F.col("tag")).alias("tag"))
+    # windows sort what a task has: tokens are dealt over tasks by the number of documents
+    rows = rows.repartition(shared.tasks(docs, DOCUMENTS), key)
     order = Window.partitionBy(key).orderBy("n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     step = F.when(F.col("kind") == T.START, 1).when(F.col("kind") == T.END, -1).otherwise(0)
     rows = rows.select("*", (F.sum("size").over(order) - F.col("size") + 1).cast("int").alias("start"), F.sum(step).over(order).cast("int").alias("open"))
