@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType, VariantType
 
 from ..sources import shared
 
@@ -32,8 +33,9 @@ def looked_up(rows: DataFrame, key: Column, lookup: DataFrame, by: str, n: int,
     Rows without a key and those of `hot` ones, which are joined by broadcast, are dealt by what else they have. The lookup
     has one row per key and no column of rows.
     """
+    plain = [f.name for f in rows.schema if isinstance(f.dataType, AtomicType) and not isinstance(f.dataType, VariantType)]  # maps and variants have no hash
     often = F.coalesce(key.isin(hot), F.lit(False))
-    salt = F.when(key.isNull() | often, F.pmod(F.xxhash64(*rows.columns), F.lit(1 << 20))).otherwise(F.lit(0).cast("long"))
+    salt = F.when(key.isNull() | often, F.pmod(F.xxhash64(*plain), F.lit(1 << 20))).otherwise(F.lit(0).cast("long"))
     placed = rows.withColumns({"__key": F.when(~often, key), "__salt": salt}).repartition(n, "__key", "__salt")
     # always 0, but no constant, which the optimizer would take out of the join and with it out of the shuffle
     side = lookup.withColumnRenamed(by, "__key").withColumn("__salt", F.pmod(F.xxhash64("__key"), F.lit(1))).repartition(n, "__key", "__salt")

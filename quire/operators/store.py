@@ -55,9 +55,8 @@ def roll_back(stored: DataFrame, bundles: DataFrame, ids: DataFrame, key: str, i
 def pid_pairs(documents: DataFrame, known: DataFrame, fresh: Column) -> DataFrame:
     """documents (pid_v2, previous_pid) with pid_v3: that known for the previous pid, else for pid_v2, else a fresh one."""
     first = known.groupBy("v2").agg(F.min("v3").alias("v3"))
-    total, given = documents.count(), [F.col("previous_pid"), F.col("pid_v2")]
-    n, hot = shared.tasks(documents, lookups.ROWS, total), lookups.frequent(documents, given, total)
-    out = documents
-    for k, mark in zip(given, "ab", strict=True):
-        out = lookups.looked_up(out, k, first.select(F.col("v2").alias(f"__{mark}"), F.col("v3").alias(f"__v{mark}")), f"__{mark}", n, hot)
+    # ids repeat little, so none is counted as hot, for which documents would be parsed once more; those without one are dealt
+    n, out = shared.tasks(documents, lookups.ROWS), documents
+    for key, mark in (("previous_pid", "a"), ("pid_v2", "b")):
+        out = lookups.looked_up(out, F.col(key), first.select(F.col("v2").alias(f"__{mark}"), F.col("v3").alias(f"__v{mark}")), f"__{mark}", n, [])
     return out.withColumn("pid_v3", F.coalesce("__va", "__vb", fresh)).withColumn("is_new", F.coalesce("__va", "__vb").isNull()).drop("__va", "__vb")
