@@ -128,13 +128,20 @@ def renditions(xml: Column) -> Column:
     return on_sound(xml, found)
 
 
-def journal_meta(xml: Column) -> Column:
-    """(key, value) of electronic, print and first ISSN and the acronym, those that there are."""
-    def found(x: Column) -> Column:
-        known = lambda v: {**first_issns(v["issns"]), "acron": v["acron"]}
-        return let(lambda v: F.filter(F.array(*[F.struct(F.lit(n).alias("key"), c.alias("value")) for n, c in known(v).items()]), lambda e: e["value"].isNotNull()), issns=issn_nodes(x), acron=acronym(x))
+def journal_fields(x: Column) -> Column:
+    """journal_meta() of a document of tags and text without fault."""
+    known = lambda v: {**first_issns(v["issns"]), "acron": v["acron"]}
+    return let(lambda v: F.filter(F.array(*[F.struct(F.lit(n).alias("key"), c.alias("value")) for n, c in known(v).items()]), lambda e: e["value"].isNotNull()), issns=issn_nodes(x), acron=acronym(x))
 
-    return on_sound(xml, found)
+
+def journal_meta(xml: Column, error: Column | None = None) -> Column:
+    """(key, value) of electronic, print and first ISSN and the acronym, those that there are.
+
+    error: the document's, where metadata() has found it already, so that it isn't looked for once more.
+    """
+    if error is None:
+        return on_sound(xml, journal_fields)
+    return F.when(error.isNull(), let(lambda v: journal_fields(v["x"]), x=T.plain(xml)))
 
 
 def metadata(xml: Column, collection: str = "pid") -> Column:

@@ -21,7 +21,7 @@ SCHEMAS = {"documents": DOCUMENTS, "changes": CHANGES, "pids": PIDS, "places": P
 def described(packages: DataFrame) -> DataFrame:
     """packages (package, xml, ...) with the document's metadata and what keeps it out: error, null for a sound document."""
     x = F.col("xml")
-    rows = packages.select("*", X.metadata(x).alias("meta"), X.journal_meta(x).alias("journal"))
+    rows = packages.select("*", X.metadata(x).alias("meta")).withColumn("journal", X.journal_meta(x, F.col("meta.error")))
     fault = F.when(x.isNull(), "there is no XML file in the package").when(F.col("meta.error").isNotNull(), F.concat(F.lit("could not parse the document: "), F.col("meta.error"))).when(F.col("meta.pid_v2").isNull() & F.col("meta.pid_v3").isNull(), "no id")
     return rows.withColumn("error", fault)
 
