@@ -204,7 +204,7 @@ SELECT l_orderkey AS folder, 'a' || l_partkey || '.jpg' AS asset, 'a' || l_partk
 UNION ALL SELECT DISTINCT l_orderkey, 'a' || l_partkey || '.jpg', 'a' || l_partkey || '.jpg' FROM lineitem""")
 def asset_alternatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The files of a folder that are an asset in another format, or the asset itself."""
-    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("folder"), "l_partkey").distinct()
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("folder"), "l_partkey")
     stem = F.concat(F.lit("a"), text_of(F.col("l_partkey")))
     assets = rows.select("folder", F.concat(stem, F.lit(".jpg")).alias("asset"))
     kinds = F.array(F.lit(".jpg"), F.when(F.col("l_partkey") % 2 == 0, ".tif"), F.when(F.col("l_partkey") % 3 == 0, ".png"))
