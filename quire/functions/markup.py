@@ -64,12 +64,23 @@ def src_to_href(html: Column) -> Column:
 
 
 def rename(html: Column) -> Column:
+    """Elements by their new names; a page is only searched for those that it may have."""
+    steps = []
     for old, new, more in RENAMED:
-        html = F.regexp_replace(html, rf"(?i)<{old}(?=[\s/>])[^>]*>", f"<{new}{more}>")
-        html = F.regexp_replace(html, rf"(?i)</{old}\s*>", f"</{new}>")
-    html = F.regexp_replace(F.regexp_replace(html, r"(?i)<li(?=[\s/>])[^>]*>", "<list-item><p>"), r"(?i)</li\s*>", "</p></list-item>")
-    html = F.regexp_replace(F.regexp_replace(html, r"(?i)<h([1-6])(?=[\s/>])[^>]*>", '<p content-type="h$1">'), r"(?i)</h[1-6]\s*>", "</p>")
-    return F.regexp_replace(html, r"(?i)<hr(?=[\s/>])[^>]*>", '<p content-type="hr"/>')
+        steps += [(f"<{old}", rf"(?i)<{old}(?=[\s/>])[^>]*>", f"<{new}{more}>"), (f"</{old}", rf"(?i)</{old}\s*>", f"</{new}>")]
+    steps += [("<li", r"(?i)<li(?=[\s/>])[^>]*>", "<list-item><p>"), ("</li", r"(?i)</li\s*>", "</p></list-item>")]
+    steps += [("<h", r"(?i)<h([1-6])(?=[\s/>])[^>]*>", '<p content-type="h$1">'), ("</h", r"(?i)</h[1-6]\s*>", "</p>"), ("<hr", r"(?i)<hr(?=[\s/>])[^>]*>", '<p content-type="hr"/>')]
+
+    def renamed(v: Column) -> Column:
+        def step(html: Column, mark: str, pattern: str, by: str) -> Column:
+            return let(lambda w: F.when(F.contains(v["lower"], F.lit(mark)), F.regexp_replace(w["html"], pattern, by)).otherwise(w["html"]), html=html)
+
+        done = v["html"]
+        for mark, pattern, by in steps:  # none makes what another looks for, so the page as it was says what is there
+            done = step(done, mark, pattern, by)
+        return done
+
+    return let(renamed, html=html, lower=F.lower(html))
 
 
 def links(html: Column) -> Column:

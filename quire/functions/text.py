@@ -31,7 +31,11 @@ def words(text: Column) -> Column:
 
 def jaccard(a: Column, b: Column) -> Column:
     """Shared words over all words of two texts; 0 if neither has any."""
-    x, y = words(a), words(b)
+    return overlap(words(a), words(b))
+
+
+def overlap(x: Column, y: Column) -> Column:
+    """Shared words over all words of two lists of distinct words; 0 if neither has any."""
     shared = F.size(F.array_intersect(x, y))
     return F.coalesce(F.try_divide(shared, F.size(x) + F.size(y) - shared), F.lit(0.0))
 

@@ -67,9 +67,12 @@ def html_to_article(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def conversion_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much of each article's words the conversion has kept."""
-    rows = html_to_article(spark, sf_dir).join(table(spark, sf_dir, "pages").select("page_id", "html"), "page_id")
-    before, after = T.normalize_text(M.text_of(M.element(F.col("html"), "article"))), T.normalize_text(M.text_of(F.col("body")))
-    return rows.select("page_id", F.length(before).alias("before"), F.length(after).alias("after"), T.jaccard(before, after).alias("ratio"))
+    said = lambda html: T.normalize_text(M.text_of(html))
+    # a page's row has all that is compared; each step is worked out once for what refers to it
+    rows = table(spark, sf_dir, "pages").select("page_id", M.element(F.col("html"), "article").alias("html"))
+    rows = rows.select("page_id", said(F.col("html")).alias("a"), said(M.to_article_body(F.col("html"), F.lit(1))).alias("b"))
+    rows = rows.select("page_id", F.length("a").alias("before"), F.length("b").alias("after"), T.words(F.col("a")).alias("a"), T.words(F.col("b")).alias("b"))
+    return rows.select("page_id", "before", "after", T.overlap(F.col("a"), F.col("b")).alias("ratio"))
 
 
 def documents_xml(spark: SparkSession, sf_dir: str) -> DataFrame:

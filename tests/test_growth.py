@@ -125,3 +125,19 @@ def test_tasks_grow_with_files_and_documents(spark, monkeypatch):
     docs = spark.range(200).selectExpr("id", "'<a><b/><c/></a>' as xml")
     assert plan(trees.nodes(docs, "id", "xml")).count("REPARTITION_BY_NUM") == 1
     assert trees.nodes(docs, "id", "xml").count() == 600
+
+
+def test_pages_are_compared_in_one_scan(spark):
+    out = catalog.queries()["conversion_diff"](spark, SF)
+    shown = plan(out)
+    assert "Join" not in shown and "Exchange" not in shown
+    assert shown.count("<article(?=") == 1
+    assert out.count() == spark.read.parquet(f"{SF}/pages.parquet").count()
+
+
+def test_elements_are_renamed_whatever_their_case(spark):
+    from quire.functions import markup as M
+
+    page = "<H2 id='x'>a</H2><UL><LI>b</LI></UL><hr/><Em>c</eM><i>d</i><img><link><dl><dd>e</dd></dl><BLOCKQUOTE>f</BLOCKQUOTE>"
+    want = '<p content-type="h2">a</p><list list-type="bullet"><list-item><p>b</p></list-item></list><p content-type="hr"/><italic>c</italic><italic>d</italic><img><link><def-list><def-item>e</def-item></def-list><disp-quote>f</disp-quote>'
+    assert spark.createDataFrame([(page,), ("plain",), (None,)], "h string").select(M.rename(F.col("h"))).collect() == [(want,), ("plain",), (None,)]
