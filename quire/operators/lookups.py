@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType, VariantType
 
+from ..functions.binding import let
 from ..sources import shared
 
 
@@ -169,8 +170,37 @@ def contained_assets(assets: DataFrame, files: DataFrame, folder: str) -> DataFr
     """Each asset (folder, asset) with the best of its folder's files (folder, file).
 
     Best is the file of that name, then a .tif whose name contains the asset's stem, then any that contains it.
-    Exact names meet by equality; only assets without one are compared with their folder's other files, in large folders
-    with those alone that an index of parts of names finds.
+    Rows of a folder meet in its own row, with one shuffle of both sides, if there are few; those of folders with more than
+    FEW_FILES rows are joined (`assets_of_large`), so that no row holds more.
+    """
+    asked, there = assets.select(folder, "asset"), files.select(folder, "file")
+    n = shared.tasks(assets, ROWS) + shared.tasks(files, ROWS)
+    both = asked.select(folder, F.struct("asset").alias("a"), F.lit(None).cast("struct<file:string>").alias("f")).unionByName(there.where("file is not null").select(folder, F.lit(None).cast("struct<asset:string>").alias("a"), F.struct("file").alias("f")))
+    large = both.groupBy(folder).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > FEW_FILES).select(folder).where(F.col(folder).isNotNull())
+    some = bool(large.limit(1).count())
+    dealt = both.where(F.col(folder).isNotNull()).repartition(n, folder)
+    dealt = dealt.join(large, folder, "left_anti") if some else dealt
+    met = dealt.groupBy(folder).agg(F.collect_set("a").alias("a"), F.collect_set("f").alias("f")).where("size(a) > 0")  # FEW_FILES at most
+    rank = lambda file: F.when(F.lower(file).endswith(".tif"), 1).otherwise(2)
+
+    def best(a: Column) -> Column:
+        def among(v: Column) -> Column:
+            ranked = lambda f: F.when(f["file"] == a["asset"], F.struct(F.lit(0).alias("r"), f["file"].alias("file"))).when(F.contains(f["file"], v["stem"]), F.struct(rank(f["file"]).alias("r"), f["file"].alias("file")))
+            return F.struct(a["asset"].alias("asset"), F.array_min(F.transform("f", ranked))["file"].alias("file"))
+
+        return let(among, stem=F.regexp_replace(a["asset"], r"\.[^.]*$", ""))
+
+    out = met.select(folder, F.inline(F.transform("a", best)))
+    # without a folder an asset has no file
+    out = out.unionByName(asked.where(F.col(folder).isNull()).distinct().withColumn("file", F.lit(None).cast("string")))
+    return out.unionByName(assets_of_large(asked.join(large, folder, "left_semi"), there.join(large, folder, "left_semi"), folder)) if some else out
+
+
+def assets_of_large(assets: DataFrame, files: DataFrame, folder: str) -> DataFrame:
+    """contained_assets of folders of any size, by joins.
+
+    Exact names meet by equality; only assets without one are compared with their folder's other files, in folders with
+    many with those alone that an index of parts of names finds.
     """
     asked = assets.select(folder, "asset").distinct()
     exact = asked.join(files.select(folder, F.col("file").alias("asset")).distinct(), [folder, "asset"], "left_semi").withColumn("file", F.col("asset"))

@@ -141,3 +141,19 @@ def test_elements_are_renamed_whatever_their_case(spark):
     page = "<H2 id='x'>a</H2><UL><LI>b</LI></UL><hr/><Em>c</eM><i>d</i><img><link><dl><dd>e</dd></dl><BLOCKQUOTE>f</BLOCKQUOTE>"
     want = '<p content-type="h2">a</p><list list-type="bullet"><list-item><p>b</p></list-item></list><p content-type="hr"/><italic>c</italic><italic>d</italic><img><link><def-list><def-item>e</def-item></def-list><disp-quote>f</disp-quote>'
     assert spark.createDataFrame([(page,), ("plain",), (None,)], "h string").select(M.rename(F.col("h"))).collect() == [(want,), ("plain",), (None,)]
+
+
+def test_assets_meet_their_folders_files_in_one_row(spark, monkeypatch):
+    """Small folders without a join, large ones by joins; both give what the joins give for all."""
+    rng = Random(11)
+    folders = [None, *range(20)]
+    names = ["a.jpg", "b.jpg", ".jpg", "x-a.TIF", "a-1.png", "bb.gif", "ab", None]
+    assets = spark.createDataFrame([(rng.choice(folders), rng.choice(names)) for _ in range(150)], "folder int, asset string")
+    files = spark.createDataFrame([(rng.choice(folders), rng.choice(names)) for _ in range(120)] + [(3, f"f{i}a.tif") for i in range(150)], "folder int, file string")
+    rows = lambda out: sorted(map(repr, out.collect()))
+    want = rows(L.assets_of_large(assets, files, "folder"))
+    assert rows(L.contained_assets(assets, files, "folder")) == want
+    few = files.where("folder <> 3")
+    assert "Join" not in plan(L.contained_assets(assets, few, "folder"))
+    monkeypatch.setattr(L, "FEW_FILES", 5)
+    assert rows(L.contained_assets(assets, files, "folder")) == want
