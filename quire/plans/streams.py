@@ -54,6 +54,5 @@ def bundle_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared.folder(spark, "stream")
     rows = spark.readStream.schema(ORDERS).option("pathGlobFilter", "orders.parquet").parquet(sf_dir)
     rows = rows.select(F.col("o_custkey").alias("bundle"), F.col("o_orderkey").alias("id"), F.date_format("o_orderdate", "yyyyMMdd").alias("position"))
-    run = sorting.sorted_stream(rows).writeStream.outputMode("append").format("parquet").option("path", f"{folder}/rows").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
-    run.awaitTermination()
+    sorting.keep_sorted(rows, f"{folder}/rows", f"{folder}/state")
     return sorting.current(spark.read.parquet(f"{folder}/rows"), F.col("bundle").cast("long") % 2 == 0).select("bundle", "id", "place")
