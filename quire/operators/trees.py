@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import xmltree as T
+from ..functions.binding import let
 from ..sources import shared
 
 COMMENT = "#comment"
@@ -25,18 +26,18 @@ def routed(docs: DataFrame, xml: str) -> tuple[DataFrame, DataFrame]:
     return judged.where("error is null").drop("error"), judged.where("error is not null")
 
 
-def nodes(docs: DataFrame, key: str, xml: str) -> DataFrame:
+def nodes(docs: DataFrame, key: str, xml: str, total: int | None = None) -> DataFrame:
     """Elements and comments of well-formed documents: (key, start, end, depth, parent, position, name, tag).
 
     name is the element's, or #comment; tag its start tag, or the whole comment. The root has depth 1, parent 0 and position
     1. Documents that break are left out (`routed` has them); key names one document. The declaration and DOCTYPE aren't
-    counted: places are those of `xmltree.bare`.
+    counted: places are those of `xmltree.bare`. total: the number of docs or more, if known.
     """
     text = T.bare(F.col(xml))
     rows = docs.where(T.fault(F.col(xml)).isNull()).select(key, F.posexplode(T.tokens(text)).alias("n", "tag"))
     rows = rows.select(key, "n", F.length("tag").alias("size"), T.kind(F.col("tag")).alias("kind"), F.when(F.col("tag").startswith("<"), F.col("tag")).alias("tag"))
     # windows sort what a task has: tokens are dealt over tasks by the number of documents
-    rows = rows.repartition(shared.tasks(docs, DOCUMENTS), key)
+    rows = rows.repartition(shared.tasks(docs, DOCUMENTS, total), key)
     order = Window.partitionBy(key).orderBy("n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     step = F.when(F.col("kind") == T.START, 1).when(F.col("kind") == T.END, -1).otherwise(0)
     rows = rows.select("*", (F.sum("size").over(order) - F.col("size") + 1).cast("int").alias("start"), F.sum(step).over(order).cast("int").alias("open"))
@@ -68,26 +69,43 @@ def with_neighbour(rows: DataFrame, every: DataFrame, key: str, by: int, prefix:
     return rows.join(side, [key, "parent", "position"], "left")
 
 
+def text_in(xml: Column, span: Column) -> Column:
+    """All text inside a span of xml (without a declaration)."""
+    return T.decoded(F.regexp_replace(F.regexp_replace(F.substr(xml, span["start"], span["end"] - span["start"]), "(?s)<!--.*?-->", ""), T.TAG, ""))
+
+
 def with_text(rows: DataFrame, docs: DataFrame, key: str, xml: str, columns: list[str]) -> DataFrame:
     """(key, start, end, columns, text) of these nodes, text being all text inside them; a document's text is read once for all of its nodes."""
     spans = rows.groupBy(key).agg(F.collect_list(F.struct("start", "end", *columns)).alias("spans"))  # one document's
     whole = docs.select(key, T.bare(F.col(xml)).alias("__xml")).join(spans, key)
-    inner = lambda s: T.decoded(F.regexp_replace(F.regexp_replace(F.substr("__xml", s["start"], s["end"] - s["start"]), "(?s)<!--.*?-->", ""), T.TAG, ""))
-    found = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), *[s[c].alias(c) for c in columns], inner(s).alias("text")))
+    found = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), *[s[c].alias(c) for c in columns], text_in(F.col("__xml"), s).alias("text")))
     return whole.select(key, F.inline(found))
 
 
-def without_spans(docs: DataFrame, spans: DataFrame, key: str, xml: str) -> DataFrame:
-    """docs with what lies in their spans (key, start, end) cut out of xml, and n_removed, the number of spans that don't lie in another."""
+def outermost(spans: DataFrame, key: str) -> DataFrame:
+    """(key, __spans): a document's spans (start, end) that don't lie in another, in order."""
     order = Window.partitionBy(key).orderBy("start", F.desc("end"))
     before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     outer = spans.select(key, "start", "end").distinct().withColumn("__before", before).where("__before is null or __before <= start")
-    listed = outer.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__spans"))  # one document's
-    text = T.bare(F.col(xml))
-    gaps = F.transform("__spans", lambda s, i: F.substr(text, F.coalesce(F.get("__spans", i - 1)["end"], F.lit(1)), s["start"] - F.coalesce(F.get("__spans", i - 1)["end"], F.lit(1))))
-    cut = F.concat(F.array_join(gaps, ""), F.substr(text, F.element_at("__spans", -1)["end"]))
-    out = docs.join(listed, key, "left")
-    return out.withColumns({xml: F.when(F.col("__spans").isNull(), F.col(xml)).otherwise(cut), "n_removed": F.coalesce(F.size("__spans"), F.lit(0))}).drop("__spans")
+    return outer.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__spans"))  # one document's
+
+
+def cut(xml: Column, spans: Column) -> Column:
+    """xml (without a declaration) without what lies in spans, which are in order."""
+
+    def rest(v: Column) -> Column:
+        since = lambda i: F.coalesce(F.get(v["spans"], i - 1)["end"], F.lit(1))
+        gaps = F.transform(v["spans"], lambda s, i: F.substr(v["text"], since(i), s["start"] - since(i)))
+        return F.concat(F.array_join(gaps, ""), F.substr(v["text"], F.element_at(v["spans"], -1)["end"]))
+
+    return let(rest, text=T.bare(xml), spans=spans)
+
+
+def without_spans(docs: DataFrame, spans: DataFrame, key: str, xml: str) -> DataFrame:
+    """docs with what lies in their spans (key, start, end) cut out of xml, and n_removed, the number of spans that don't lie in another."""
+    out = docs.join(outermost(spans, key), key, "left")
+    whole = F.col("__spans").isNull()
+    return out.withColumns({xml: F.when(whole, F.col(xml)).otherwise(cut(F.col(xml), F.col("__spans"))), "n_removed": F.coalesce(F.size("__spans"), F.lit(0))}).drop("__spans")
 
 
 def link(tag: Column) -> Column:
@@ -125,7 +143,9 @@ def without_references(docs: DataFrame, key: str, xml: str, references: str, eve
     Such a paragraph or list item is the comment's parent, else its grandparent, else the item right before it. The heading
     right before the first comment `ref` goes with them where its text begins with REF. n_removed counts what went.
     """
-    every = nodes(docs, key, xml) if every is None else every
+    # documents without such a comment, or without references, stay as they are
+    some = docs.where(F.contains(xml, F.lit("end-ref")) & (F.col(references) > 0))
+    every = shared.written(nodes(some, key, xml, docs.count()), "nodes") if every is None else every
     said = every.where(F.col("name") == COMMENT).withColumn("said", F.trim(F.regexp_extract("tag", "(?s)^<!--(.*)-->$", 1)))
     ends = with_parent(said.where("said = 'end-ref'"), every, key, "p_")
     ends = with_parent(ends.withColumnRenamed("parent", "own").withColumn("parent", F.col("p_parent")), every, key, "g_").drop("parent").withColumnRenamed("own", "parent")
@@ -133,8 +153,16 @@ def without_references(docs: DataFrame, key: str, xml: str, references: str, eve
     span = lambda of: F.struct(F.col(f"{of}_start").alias("start"), F.col(f"{of}_end").alias("end"))
     holder = F.when(F.col("p_name").isin("p", "li"), span("p")).when(F.col("g_name").isin("p", "li"), span("g")).when(F.col("b_name") == "li", span("b"))
     marked = ends.select(key, holder.alias("h")).where("h is not null").select(key, "h.start", "h.end").distinct()
-    whole = marked.groupBy(key).agg(F.count(F.lit(1)).alias("n")).join(docs.select(key, F.col(references).alias("__n")), key).where("n = __n").select(key)
+    counted = marked.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
     # of the first ref comment that has something before it
-    headings = with_neighbour(said.where("said = 'ref'"), every, key, -1, "b_").where("b_start is not null").groupBy(key).agg(F.min_by(F.struct(F.col("b_start").alias("start"), F.col("b_end").alias("end"), F.col("b_name").alias("name")), "start").alias("h"))
-    headings = with_text(headings.select(key, "h.*").where(F.col("name") != COMMENT), docs, key, xml, []).where(F.upper(F.ltrim("text")).startswith("REF")).select(key, "start", "end")
-    return without_spans(docs, marked.unionByName(headings).join(whole, key, "left_semi"), key, xml)
+    headings = with_neighbour(said.where("said = 'ref'"), every, key, -1, "b_").where("b_start is not null").groupBy(key).agg(F.min_by(F.struct(F.col("b_start").alias("start"), F.col("b_end").alias("end"), F.col("b_name").alias("name")), "start").alias("__h"))
+    # a document meets its spans once; its heading is read where it is
+    out = docs.join(outermost(marked, key).join(counted, key).join(headings, key, "left"), key, "left")
+    h = F.col("__h")
+    heading = F.when(h["name"] != COMMENT, F.upper(F.ltrim(text_in(T.bare(F.col(xml)), h))).startswith("REF"))
+    around = F.exists("__spans", lambda s: (s["start"] <= h["start"]) & (s["end"] >= h["end"]))
+    beside = F.filter("__spans", lambda s: (s["start"] < h["start"]) | (s["end"] > h["end"]))
+    spans = F.when(heading & ~around, F.array_sort(F.concat(beside, F.array(F.struct(h["start"].alias("start"), h["end"].alias("end")))))).otherwise(F.col("__spans"))
+    out = out.withColumn("__spans", F.when(F.col("__n") == F.col(references), spans))
+    whole = F.col("__spans").isNull()
+    return out.withColumns({xml: F.when(whole, F.col(xml)).otherwise(cut(F.col(xml), F.col("__spans"))), "n_removed": F.coalesce(F.size("__spans"), F.lit(0))}).drop("__spans", "__n", "__h")

@@ -67,5 +67,5 @@ SELECT doc_id, CAST(CASE WHEN gone THEN doc_id % 4 + 1 ELSE 0 END AS INT) AS n_r
 def references_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bodies without their references, where as many are marked as the document has."""
     bodies = bodies_xml(spark, sf_dir)
-    out = trees.without_references(bodies, "doc_id", "xml", "n_refs", shared.written(trees.nodes(bodies, "doc_id", "xml"), "nodes"))
+    out = trees.without_references(bodies, "doc_id", "xml", "n_refs")
     return out.select("doc_id", "n_removed", F.length("xml").alias("n_chars"), F.md5("xml").alias("digest"))

@@ -157,3 +157,23 @@ def test_assets_meet_their_folders_files_in_one_row(spark, monkeypatch):
     assert "Join" not in plan(L.contained_assets(assets, few, "folder"))
     monkeypatch.setattr(L, "FEW_FILES", 5)
     assert rows(L.contained_assets(assets, files, "folder")) == want
+
+
+def test_references_are_looked_for_where_there_are_some(spark, monkeypatch):
+    rows = [
+        (1, "<a><p>References<!-- end-ref --></p><!-- ref --><p>x<!-- end-ref --></p></a>", 2),
+        (2, "<a><sec>Refs<p>x<!-- end-ref --></p></sec><!-- ref --><p>y<!-- end-ref --></p></a>", 2),
+        (3, "<a><p>Other</p><!-- ref --><p>y<!-- end-ref --></p></a>", 1),
+        (4, "<a><p>References</p><!-- ref --></a>", 0),
+        (5, "<a><p>References</p><!-- ref --><p>y<!-- end-ref --></p></a>", 2),
+        (6, "<a><p>x<!-- end-ref --></a>", 1),
+        (7, None, 1),
+    ]
+    docs = spark.createDataFrame(rows, "i int, x string, n int")
+    seen, plain = [], trees.nodes
+    monkeypatch.setattr(trees, "nodes", lambda some, *a: seen.append(sorted(r[0] for r in some.collect())) or plain(some, *a))
+    out = trees.without_references(docs, "i", "x", "n")
+    assert seen == [[1, 2, 3, 5, 6]]
+    assert plan(out).split("Initial Plan")[0].count("ExistingRDD") == 1  # texts are read once beside the nodes
+    want = {1: ("<a><!-- ref --></a>", 2), 2: ("<a><!-- ref --></a>", 2), 3: ("<a><p>Other</p><!-- ref --></a>", 1)}
+    assert {r["i"]: (r["x"], r["n_removed"]) for r in out.collect()} == {i: want.get(i, (x, 0)) for i, x, _ in rows}
