@@ -20,7 +20,7 @@ import hashlib
 import heapq
 import json
 from collections.abc import Callable, Iterator
-from functools import cache
+from functools import cache, cached_property
 from itertools import chain
 
 import numpy as np
@@ -38,8 +38,8 @@ NONE = (1 << 21) - 1
 HELD = 300_000
 #: Ids of a very long word that go on as one row.
 PART = 256
-#: Chunks (a word with the white space before and the punctuation after it) whose words' numbers are kept at once.
-HELD_CHUNKS = 200_000
+#: Chunks (a word with the white space before and the punctuation after it) of several words whose numbers are kept at once.
+HELD_CHUNKS = 100_000
 #: Documents in the sample of frequent words (about so many), and words broadcast (at most): some 15 MB.
 HEAD_DOCUMENTS, HEAD_WORDS = 20_000, 250_000
 #: The fold copies a word's pieces at each merge; a word of more bytes is merged by a heap instead (same result).
@@ -220,9 +220,13 @@ def merge_by_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 def split_chunks(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """(offsets of texts in index, index, distinct chunks): cuts before each white space that a word follows.
 
-    No match of the word pattern spans such a cut, and none beside it changes, so chunks can be matched by themselves.
+    No match of the word pattern spans such a cut, and none beside it changes, so chunks can be matched by themselves. That holds
+    for cuts before the first white space after a word as well.
     """
-    cuts = pc.replace_substring_regex(texts, rf"([\t-\r ])([^{SPACE_RE2}])", "\x00\\1\\2")
+    if pc.any(pc.match_substring_regex(texts, rf"[{SPACE_RE2}][ \n](?:[{SPACE_RE2}]|\z)")).as_py():
+        cuts = pc.replace_substring_regex(texts, rf"([\t-\r ])([^{SPACE_RE2}])", "\x00\\1\\2")
+    else:  # each space and line feed begins its white space or is the last of it; plain replacement is much cheaper
+        cuts = pc.replace_substring(pc.replace_substring(texts, " ", "\x00 "), "\n", "\x00\n")
     lists = pc.split_pattern(cuts, "\x00")
     offsets = np.asarray(lists.offsets).astype(np.int64)
     coded = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
@@ -230,9 +234,17 @@ def split_chunks(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
 
 
 # SPACE as RE2 writes it.
+LETTERS_RE2 = "A-Za-z\\x{c0}-\\x{d6}\\x{d8}-\\x{f6}\\x{f8}-\\x{24f}"
 SPACE_RE2 = "\\t-\\r \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
 
 
+def matches(listed: list[str], pattern: str) -> Iterator[bool]:
+    """Whether each chunk is one match of the word pattern by itself, being Latin letters with a space before or without; only the vocabulary's own pattern is known for it."""
+    if pattern != spark_pattern(word_pattern()):
+        return iter([False] * len(listed))
+    return iter(pc.match_substring_regex(pa.array(listed, pa.string()), f"^ ?[{LETTERS_RE2}]+$").to_numpy(zero_copy_only=False).tolist())
+
+
 def ragged(flat: np.ndarray, bounds: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows `of` of a ragged array in a row, and where each begins (and the last ends)."""
     starts = bounds[of]
@@ -253,8 +265,8 @@ def encoded(rows: DataFrame, path: str) -> DataFrame:
     return rows.withColumn("bytes", F.when(F.col("ids").isNotNull(), bound(tokens, lambda t: decode_word(F.col("ids"), t))))
 
 
-def frequent_words(docs: DataFrame, path: str, pattern: str) -> list[tuple[str, list[int], bytes]]:
-    """(word, ids, bytes) of the most frequent words of about HEAD_DOCUMENTS documents, HEAD_WORDS at most."""
+def frequent_words(docs: DataFrame, path: str, pattern: str) -> pa.Table:
+    """(word, ids, bytes), words as text, of the most frequent words of about HEAD_DOCUMENTS documents, HEAD_WORDS at most."""
     ranks = read_ranks(path)
     share = min(1.0, HEAD_DOCUMENTS / max(docs.count(), 1))
     sample = docs.where(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1_000_000)) < int(share * 1_000_000)).select("text")
@@ -268,8 +280,8 @@ def frequent_words(docs: DataFrame, path: str, pattern: str) -> list[tuple[str,
             for a, b in byte_slices(column, 2 << 20):
                 _, index, listed = chunks_of(column.slice(a, b - a))
                 many: dict[str, int] = {}
-                for chunk, n in zip(listed, np.bincount(index, minlength=len(listed)).tolist(), strict=True):
-                    for word in find(chunk):
+                for chunk, n, one in zip(listed, np.bincount(index, minlength=len(listed)).tolist(), matches(listed, pattern), strict=True):
+                    for word in [chunk] if one else find(chunk):
                         many[word] = many.get(word, 0) + n
                 short = {w: n for w, n in ((w.encode(), n) for w, n in many.items()) if len(w) <= 64}
                 own = [None if rank is None else [rank] for rank in map(ranks.get, short)]
@@ -277,9 +289,8 @@ def frequent_words(docs: DataFrame, path: str, pattern: str) -> list[tuple[str,
 
     counted = sample.mapInArrow(count, "word binary, ready array<int>, n long").groupBy("word").agg(F.sum("n").alias("n"), F.first("ready").alias("ready"))
     top = counted.orderBy(F.desc("n"), "word").limit(HEAD_WORDS)
-    rows = encoded(top.repartition(docs.sparkSession.sparkContext.defaultParallelism), path).select("word", "ids", "bytes").toArrow()
-    words = [w.decode() for w in rows.column(0).to_pylist()]
-    return list(zip(words, rows.column(1).to_pylist(), rows.column(2).to_pylist(), strict=True))
+    rows = encoded(top.repartition(docs.sparkSession.sparkContext.defaultParallelism), path)
+    return rows.select(F.decode("word", "UTF-8").alias("word"), "ids", "bytes").toArrow().combine_chunks()
 
 
 def chunks_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
@@ -303,14 +314,15 @@ def encode_documents(docs: DataFrame, *, path: str | None = None, pattern: str |
     kind = docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select("doc_id", "text")
     frequent = frequent_words(docs, path, pattern)
-    head = docs.sparkSession.sparkContext.broadcast({w: i for i, (w, _, _) in enumerate(frequent)})
-    head_store = docs.sparkSession.sparkContext.broadcast(Held.of([x for _, x, _ in frequent], [x for _, _, x in frequent]))
+    whole_column = lambda name: pa.concat_arrays(frequent[name].chunks or [pa.array([], frequent.schema.field(name).type)])
+    head = docs.sparkSession.sparkContext.broadcast(Numbered(whole_column("word")))
+    head_store = docs.sparkSession.sparkContext.broadcast(Held.of(whole_column("ids"), whole_column("bytes")))
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
         find = regex.compile(pattern).findall
-        common = head.value
+        common = head.value.numbers
         count = len(common)  # numbers given, those of the common words first
         older: dict[str, int] = {}  # number of each further word
         known: dict[str, int] = {}  # and of those that came in the newer half
@@ -330,11 +342,11 @@ def encode_documents(docs: DataFrame, *, path: str | None = None, pattern: str |
                 fresh: list[bytes | None] = []
                 ready: list[list[int] | None] = []
                 mapped = []
-                for chunk in listed:
-                    numbers = chunks.get(chunk)
+                for chunk, one in zip(listed, matches(listed, pattern), strict=True):
+                    numbers = None if one else chunks.get(chunk)  # a word by itself is looked up as one
                     if numbers is None:
                         numbers = []
-                        for word in find(chunk):
+                        for word in [chunk] if one else find(chunk):
                             number = common.get(word)
                             if number is None:
                                 number = known.get(word)
@@ -357,7 +369,7 @@ def encode_documents(docs: DataFrame, *, path: str | None = None, pattern: str |
                                     known[word] = number
                             numbers.append(number)
                         numbers = tuple(numbers)
-                        if len(chunk) <= LONG_WORD:
+                        if not one and len(chunk) <= LONG_WORD:
                             chunks[chunk] = numbers
                     mapped.append(numbers)
                 lengths = np.fromiter(map(len, mapped), np.int64, len(mapped))
@@ -370,6 +382,9 @@ def encode_documents(docs: DataFrame, *, path: str | None = None, pattern: str |
                 rows = [all_numbers[s:e].tobytes() for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
                 n = b - a
                 yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), ids.slice(a, n), pa.array(rows, pa.binary()), pa.nulls(n, pa.binary()), pa.nulls(n, READY)], names)
+                del rows, all_numbers, ends, index, listed, mapped, flat, fresh, ready
+            del whole, ids, column
+            pa.default_memory_pool().release_unused()
 
     told = encoded(docs.mapInArrow(words, f"kind int, doc_id {kind}, numbers binary, word binary, ready array<int>"), path)
     told = told.select("kind", "doc_id", "numbers", "ids", "bytes")
@@ -408,6 +423,20 @@ def encode_documents(docs: DataFrame, *, path: str | None = None, pattern: str |
     return told.mapInArrow(together, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded binary" * with_ids)
 
 
+class Numbered:
+    """Words and their numbers: an Arrow array until a worker asks for the dictionary, so that the driver holds no object a word."""
+
+    def __init__(self, words: pa.Array) -> None:
+        self.words = words
+
+    def __getstate__(self) -> dict:
+        return {"words": self.words}
+
+    @cached_property
+    def numbers(self) -> dict[str, int]:
+        return dict(zip(self.words.to_numpy(zero_copy_only=False).tolist(), range(len(self.words)), strict=True))
+
+
 class Held:
     """Ids and bytes of words by number."""
 
@@ -416,9 +445,9 @@ class Held:
         self.bytes, self.byte_bounds = np.zeros(0, np.uint8), np.zeros(1, np.int64)
 
     @classmethod
-    def of(cls, ids: list[list[int]], text: list[bytes]) -> Held:
+    def of(cls, ids: pa.Array, text: pa.Array) -> Held:
         out = cls()
-        out.add(pa.array(ids, pa.list_(pa.int32())), pa.array(text, pa.binary()))
+        out.add(ids, text)
         return out
 
     def copy(self) -> Held:
@@ -431,7 +460,8 @@ class Held:
             return
         self.ids = np.concatenate([self.ids, np.asarray(ids.flatten())])
         self.id_bounds = np.concatenate([self.id_bounds, self.id_bounds[-1] + np.cumsum(np.asarray(ids.value_lengths()), dtype=np.int64)])
-        self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(text.to_pylist()), np.uint8)])
+        bounds = np.frombuffer(text.buffers()[1], np.int32)[text.offset : text.offset + len(text) + 1]
+        self.bytes = np.concatenate([self.bytes, np.frombuffer(text.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]])
         self.byte_bounds = np.concatenate([self.byte_bounds, self.byte_bounds[-1] + np.cumsum(np.asarray(pc.binary_length(text)), dtype=np.int64)])
 
     def keep(self, head: int, live: np.ndarray) -> None:

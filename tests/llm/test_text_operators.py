@@ -270,3 +270,28 @@ def test_base32_sha1(spark):
 
     rows = spark.createDataFrame([("",), ("é<p>",), ("x" * 9999,)], "p string").select("p", warc.sha1_base32(F.col("p")).alias("d")).collect()
     assert all(r["d"] == base64.b32encode(hashlib.sha1(r["p"].encode()).digest()).decode() for r in rows)
+
+
+def test_byte_bpe_chunks_give_the_words_of_whole_texts():
+    import random
+
+    import pyarrow as pa
+    import regex
+
+    pattern = bpe.spark_pattern(bpe.word_pattern())
+    find, rng, letters = regex.compile(pattern).findall, random.Random(2), "ab c \n\n  \t\r\x85\xa0 é.,'s1Āß×あʰ"
+    for _ in range(2000):
+        texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(9))) for _ in range(2)]
+        offsets, index, listed = bpe.chunks_of(pa.array(texts))
+        words = [[c] if one else find(c) for c, one in zip(listed, bpe.matches(listed, pattern), strict=True)]
+        assert [[w for c in index[a:b] for w in words[c]] for a, b in zip(offsets[:-1], offsets[1:], strict=True)] == [find(t) for t in texts]
+    # where all white space is single, no chunk needs the regular expression of its cuts, and letters none at all
+    assert list(bpe.matches([" aé", "b", " a1", " ×", "a b", "\na", ""], pattern)) == [True, True, False, False, False, False, False]
+
+
+def test_byte_bpe_driver_holds_frequent_words_as_arrays(spark):
+    docs = spark.createDataFrame([(1, "ab ab é"), (2, None)], "doc_id int, text string")
+    found = bpe.frequent_words(docs, bpe.vocabulary_path(), bpe.spark_pattern(bpe.word_pattern()))
+    assert sorted(found["word"].to_pylist()) == [" ab", " é", "ab"]
+    head = bpe.Numbered(found["word"].combine_chunks())
+    assert "numbers" not in head.__getstate__() and {w.encode(): None for w in head.numbers} == {b: None for b in found["bytes"].to_pylist()}
