@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 
 from .subwords import byte_slices
 
-#: Bits of a token's id and of a place in a word; NONE is over any rank.
+#: Bits of a token's number (its rank and 1) and of a place in a word; NONE is over any number, OUTSIDE is no token's.
 ID_BITS, PLACE_BITS = 20, 20
-NONE = (1 << 21) - 1
+NONE, OUTSIDE = 1 << ID_BITS, 0
 #: Words kept by a partition at once; of more, those of the older half that didn't come again are forgotten.
 HELD = 300_000
 #: Ids of a very long word that go on as one row.
@@ -76,8 +76,9 @@ def token_literal(ranks: dict[bytes, int]) -> Column:
 
 
 def packed_pairs(ranks: dict[bytes, int]) -> tuple[list[int], list[int]]:
-    """(shift, entries): the rank of tokens l and r put together is entries[shift[l] + r] % 2^ID_BITS, if that entry's upper bits are l.
+    """(shift, entries): the number of tokens l and r put together is entries[shift[l] + r] xor l * 2^ID_BITS, if that is under NONE.
 
+    Tokens are numbered from 1, so that the plan, whose text has every entry, has a short one (0) where there is no pair.
     The matrix of ranks by left and right token is sparse: its rows are laid over one another, fullest first, each
     shifted (a shift may be negative) to the first place where none of its entries meets another's.
     """
@@ -86,7 +87,7 @@ def packed_pairs(ranks: dict[bytes, int]) -> tuple[list[int], list[int]]:
         for i in range(1, len(token)):
             left, right = ranks.get(token[:i]), ranks.get(token[i:])
             if left is not None and right is not None:
-                rows.setdefault(left, []).append((right, rank))
+                rows.setdefault(left + 1, []).append((right + 1, rank + 1))
     size = max(ranks.values(), default=-1) + 2
     held = np.full(size + 2 * sum(map(len, rows.values())), -1, np.int64)
     shift = np.zeros(size, np.int64)
@@ -109,7 +110,9 @@ def packed_pairs(ranks: dict[bytes, int]) -> tuple[list[int], list[int]]:
         last, among = found, len(row)
         shift[left] = found - rights[0, 0]
         held[found + rights[:, 0] - rights[0, 0]] = (left << ID_BITS) | rights[:, 1]
-    return shift.tolist(), held[: int(np.flatnonzero(held >= 0).max(initial=-1)) + 1].tolist()
+    held = held[: int(np.flatnonzero(held >= 0).max(initial=-1)) + 1]
+    shift[OUTSIDE] = -2 * size  # never in entries
+    return shift.tolist(), np.maximum(held, 0).tolist()
 
 
 @cache
@@ -117,70 +120,78 @@ def read_pairs(path: str) -> tuple[list[int], list[int]]:
     return packed_pairs(read_ranks(path))
 
 
-def pair_literals(ranks: dict[bytes, int], pairs: tuple[list[int], list[int]]) -> Column:
-    """struct of literal arrays: the rank map of pairs (shift, entries) and the single bytes' ranks."""
-    found = {"shift": pairs[0], "entries": pairs[1], "bytes": [ranks.get(bytes([b]), NONE) for b in range(256)]}
-    return F.struct(*[F.from_json(F.lit(json.dumps(x)), "array<bigint>").alias(name) for name, x in found.items()])
+def with_pairs(path: str, use: Callable[[dict[str, Column]], Column]) -> Column:
+    """use(the map of pairs (shift, entries) and the numbers of single bytes), each a literal array that is in the plan once.
+
+    After the 256 bytes come two that are OUTSIDE: what stands before a word and after it.
+    """
+    ranks, (shift, entries) = read_ranks(path), read_pairs(path)
+    single = [*(ranks.get(bytes([b]), NONE - 2) + 1 for b in range(256)), OUTSIDE, OUTSIDE]
+    literal = lambda x: F.from_json(F.lit(json.dumps(x)), "array<bigint>")
+    return bound(literal(shift), lambda s: bound(literal(entries), lambda e: bound(literal(single), lambda b: use({"shift": s, "entries": e, "bytes": b}))))
 
 
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     """use(value) with value worked out once, and in the plan once, however often use refers to it.
 
-    The largest of an array of one is that one, and array_max keeps its type, where taking an item works out the type
-    of the whole expression anew for each row.
+    It is what an aggregate of nothing makes of its start; a transform over an array of one would copy its result.
     """
-    return F.array_max(F.transform(F.array(value), use))
+    return F.aggregate(F.from_json(F.lit("[]"), "array<int>"), value, lambda kept, _: kept, use)
 
 
-def merged_ids(word: Column, pairs: Column, outside: int) -> Column:
+def merged_ids(word: Column, pairs: dict[str, Column]) -> Column:
     """Ids of a word (binary) after all ranked merges of its bytes, as a fold over an array of its pieces.
 
-    A piece is one number: the rank of it and its next piece together (NONE if that is no token), its place in the
-    word, and its id. So the least number is the leftmost pair of the least rank, and it is as many pieces from the
-    start as have a smaller place. A step takes it, puts the merged piece in, looks up its two new pairs and copies the
-    rest as slices; without a pair the state stays as it is. Before the first and after the last piece stands one
-    whose id (outside) is in no pair.
+    A piece is one number: that of it and its next piece together (NONE if that is no token), its place in the word,
+    and its token's. So the least number is the leftmost pair of the least rank, and it is as many pieces from the
+    start as have a smaller place. A step takes it, removes its next piece, and puts the merged piece and the one before
+    in with their new pairs; without a pair the state stays as it is. Before the first and after the last piece stands
+    one that is OUTSIDE, so in no pair.
+
+    Lambdas are interpreted node by node, so a step has few of them; slice and concat go through lazy sequences and take
+    several times as long as a lambda over the few pieces of a word.
     """
-    low = F.lit((1 << ID_BITS) - 1).cast("bigint")
-    below = F.lit((1 << (ID_BITS + PLACE_BITS)) - 1).cast("bigint")
-    places = F.lit(((1 << PLACE_BITS) - 1) << ID_BITS).cast("bigint")
-    none = F.lit(NONE << (ID_BITS + PLACE_BITS)).cast("bigint")
+    number = lambda x: F.lit(x).cast("bigint")
+    low, below, places = number((1 << ID_BITS) - 1), number((1 << (ID_BITS + PLACE_BITS)) - 1), number(((1 << PLACE_BITS) - 1) << ID_BITS)
+    none = number(NONE << (ID_BITS + PLACE_BITS))
 
     def pair_rank(left: Column, right: Column) -> Column:
-        """The rank of the pair, where a piece's number has it."""
+        """The number of the pair, where a piece has it."""
         entry = F.get(pairs["entries"], (F.get(pairs["shift"], left.cast("int")) + right).cast("int"))
-        return F.when(F.shiftright(entry, ID_BITS) == left, F.shiftleft(entry.bitwiseAND(low), ID_BITS + PLACE_BITS)).otherwise(none)
+        return F.shiftleft(F.least(entry.bitwiseXOR(F.shiftleft(left, ID_BITS)), number(NONE)), ID_BITS + PLACE_BITS)
 
     def step(state: Column, _: Column) -> Column:
         def merge(least: Column, k: Column) -> Column:
-            """The state with its pieces k and k + 1 (from 0) as one."""
+            """The state with its pieces k and k + 1 (from 0), of which k is the least, as one."""
+            new = F.shiftright(least, ID_BITS + PLACE_BITS)
 
-            new, before = F.shiftright(least, ID_BITS + PLACE_BITS), F.get(state, k - 1)
-            left = pair_rank(before.bitwiseAND(low), new).bitwiseOR(before.bitwiseAND(below))
-            merged = pair_rank(new, F.get(state, k + 2).bitwiseAND(low)).bitwiseOR(least.bitwiseAND(places)).bitwiseOR(new)
-            return F.concat(F.slice(state, F.lit(1), k - 1), F.array(left, merged), F.slice(state, k + 3, F.size(state)))
+            def joined(before: Column, after: Column) -> Column:
+                left = pair_rank(before.bitwiseAND(low), new).bitwiseOR(before.bitwiseAND(below))
+                merged = pair_rank(new, F.get(state, k + 2).bitwiseAND(low)).bitwiseOR(least.bitwiseAND(places)).bitwiseOR(new)
+                return F.transform(F.array_remove(state, after), lambda y: F.when(y == least, merged).when(y == before, left).otherwise(y))
+
+            return bound(F.get(state, k - 1), lambda before: bound(F.get(state, k + 1), lambda after: joined(before, after)))
 
         def least(x: Column) -> Column:
-            at = x.bitwiseAND(below)
-            k = F.size(F.filter(state, lambda y: y.bitwiseAND(below) < at))
+            k = bound(x.bitwiseAND(below), lambda at: F.size(F.filter(state, lambda y: y.bitwiseAND(below) < at)))
             return F.when(x >= none, state).otherwise(bound(k, lambda k: merge(x, k)))
 
         return bound(F.array_min(state), least)
 
-    def start(ids: Column) -> Column:
-        pieces = F.transform(ids, lambda i, k: pair_rank(i, F.coalesce(F.get(ids, k + 1), F.lit(outside).cast("bigint"))).bitwiseOR(F.shiftleft((k + 1).cast("bigint"), ID_BITS).bitwiseOR(i)))
-        return F.concat(F.array(none.bitwiseOR(F.lit(outside).cast("bigint"))), pieces, F.array(none.bitwiseOR(F.lit((((1 << PLACE_BITS) - 1) << ID_BITS) | outside).cast("bigint"))))
+    def start(tokens: Column) -> Column:
+        pair = lambda t, k: pair_rank(t, F.coalesce(F.get(tokens, k + 1), number(OUTSIDE)))
+        return F.transform(tokens, lambda t, k: pair(t, k).bitwiseOR(F.shiftleft(k.cast("bigint"), ID_BITS).bitwiseOR(t)))
 
     n = F.octet_length(word)
-    ids = bound(F.decode(word, "ISO-8859-1"), lambda t: F.transform(F.sequence(F.lit(1), n), lambda i: F.get(pairs["bytes"], F.ascii(F.substring(t, i, 1)))))
-    folded = F.aggregate(F.sequence(F.lit(2), F.greatest(n, F.lit(2))), bound(ids, start), step)
-    return bound(folded, lambda f: F.transform(F.slice(f, 2, F.size(f) - 2), lambda x: x.bitwiseAND(low).cast("int")))
+    text = F.concat(F.lit(chr(256)), F.decode(word, "ISO-8859-1"), F.lit(chr(257)))
+    tokens = F.transform(F.split(text, ""), lambda c: F.get(pairs["bytes"], F.ascii(c)))
+    folded = F.aggregate(F.sequence(F.lit(2), F.greatest(n, F.lit(2))), bound(tokens, start), step)
+    return F.array_remove(F.transform(folded, lambda x: x.bitwiseAND(low).cast("int") - 1), F.lit(OUTSIDE - 1))
 
 
 def encode_word(word: Column, path: str) -> Column:
     """Ids of a word (binary, not empty) that is no token itself: what the fold of its ranked merges leaves."""
-    ranks = read_ranks(path)
-    return bound(pair_literals(ranks, read_pairs(path)), lambda pairs: merged_ids(word, pairs, max(ranks.values(), default=-1) + 1))
+    return with_pairs(path, lambda pairs: merged_ids(word, pairs))
 
 
 def decode_word(ids: Column, tokens: Column) -> Column:
@@ -233,6 +244,7 @@ def split_chunks(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     return offsets - offsets[0], np.asarray(coded.indices).astype(np.int64), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
 
 
+MARKS = ".,;:!?"  # punctuation that follows words in prose
 # SPACE as RE2 writes it.
 LETTERS_RE2 = "A-Za-z\\x{c0}-\\x{d6}\\x{d8}-\\x{f6}\\x{f8}-\\x{24f}"
 SPACE_RE2 = "\\t-\\r \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
@@ -245,6 +257,22 @@ def matches(listed: list[str], pattern: str) -> Iterator[bool]:
     return iter(pc.match_substring_regex(pa.array(listed, pa.string()), f"^ ?[{LETTERS_RE2}]+$").to_numpy(zero_copy_only=False).tolist())
 
 
+def edged(listed: list[str], pattern: str) -> Iterator[bool]:
+    """Whether each chunk is Latin letters with a space or line feed before and one of MARKS after, or without: cut_edges has its matches."""
+    if pattern != spark_pattern(word_pattern()):
+        return iter([False] * len(listed))
+    return iter(pc.match_substring_regex(pa.array(listed, pa.string()), f"^[ \\n]?[{LETTERS_RE2}]+[{MARKS}]?$").to_numpy(zero_copy_only=False).tolist())
+
+
+def cut_edges(chunk: str) -> list[str]:
+    """The matches of a chunk that is edged: a line feed and a mark are matches by themselves, a space belongs to its word."""
+    words = []
+    if chunk[0] == "\n":
+        words.append("\n")
+        chunk = chunk[1:]
+    return [*words, chunk[:-1], chunk[-1]] if chunk[-1] in MARKS else [*words, chunk]
+
+
 def ragged(flat: np.ndarray, bounds: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows `of` of a ragged array in a row, and where each begins (and the last ends)."""
     starts = bounds[of]
@@ -280,8 +308,8 @@ def frequent_words(docs: DataFrame, path: str, pattern: str) -> pa.Table:
             for a, b in byte_slices(column, 2 << 20):
                 _, index, listed = chunks_of(column.slice(a, b - a))
                 many: dict[str, int] = {}
-                for chunk, n, one in zip(listed, np.bincount(index, minlength=len(listed)).tolist(), matches(listed, pattern), strict=True):
-                    for word in [chunk] if one else find(chunk):
+                for chunk, n, edge in zip(listed, np.bincount(index, minlength=len(listed)).tolist(), edged(listed, pattern), strict=True):
+                    for word in cut_edges(chunk) if edge else find(chunk):
                         many[word] = many.get(word, 0) + n
                 short = {w: n for w, n in ((w.encode(), n) for w, n in many.items()) if len(w) <= 64}
                 own = [None if rank is None else [rank] for rank in map(ranks.get, short)]
@@ -342,11 +370,15 @@ def encode_documents(docs: DataFrame, *, path: str | None = None, pattern: str |
                 fresh: list[bytes | None] = []
                 ready: list[list[int] | None] = []
                 mapped = []
-                for chunk, one in zip(listed, matches(listed, pattern), strict=True):
-                    numbers = None if one else chunks.get(chunk)  # a word by itself is looked up as one
+                ones = list(matches(listed, pattern))
+                edges = edged([chunk for chunk, one in zip(listed, ones, strict=True) if not one], pattern)
+                for chunk, one in zip(listed, ones, strict=True):
+                    edge = not one and next(edges)
+                    number = common.get(chunk) if one else None
+                    numbers = chunks.get(chunk) if not one else None if number is None else (number,)  # a word by itself is looked up as one
                     if numbers is None:
                         numbers = []
-                        for word in [chunk] if one else find(chunk):
+                        for word in (chunk,) if one else cut_edges(chunk) if edge else find(chunk):
                             number = common.get(word)
                             if number is None:
                                 number = known.get(word)

@@ -295,3 +295,25 @@ def test_byte_bpe_driver_holds_frequent_words_as_arrays(spark):
     assert sorted(found["word"].to_pylist()) == [" ab", " é", "ab"]
     head = bpe.Numbered(found["word"].combine_chunks())
     assert "numbers" not in head.__getstate__() and {w.encode(): None for w in head.numbers} == {b: None for b in found["bytes"].to_pylist()}
+
+
+def test_byte_bpe_words_with_edges_need_no_regular_expression():
+    import regex
+
+    pattern = bpe.spark_pattern(bpe.word_pattern())
+    find, rng = regex.compile(pattern).findall, random.Random(4)
+    listed = ["".join(rng.choice(["ab", "é", " ", "\n", ".", ",", "'s", "1", "\t", "ʰ"]) for _ in range(rng.randrange(5))) for _ in range(3000)] + ["\nab,", " é.", "ab\n", "ab.\n"]
+    found = list(bpe.edged(listed, pattern))
+    assert sum(found) > 200 and found[-4:] == [True, True, False, False]
+    assert [bpe.cut_edges(c) for c, edge in zip(listed, found, strict=True) if edge] == [find(c) for c, edge in zip(listed, found, strict=True) if edge]
+    assert not any(bpe.edged(listed, r"\S+"))
+
+
+def test_byte_bpe_fold_builds_no_slices(spark):
+    """A step of the fold was put together from slices, which took a third of its time; its ids are those of the heap."""
+    ranks, rng = bpe.read_ranks(bpe.vocabulary_path()), random.Random(6)
+    words = ["".join(rng.choice(["a", "b", "th", "é", "ÿ", "\x00", "\x7f", "あ", "🙂", " "]) for _ in range(rng.randrange(1, 12))).encode() for _ in range(300)] + [b"aaaaaaaa", bytes(range(256))]
+    docs = spark.createDataFrame([(bytearray(w),) for w in words], "word binary")
+    coded = docs.select("word", bpe.encode_word(F.col("word"), bpe.vocabulary_path()).alias("ids"))
+    assert [r["ids"] for r in coded.collect()] == [bpe.merge_by_heap(w, ranks) for w in words]
+    assert "slice(" not in str(bpe.encode_word(F.col("word"), bpe.vocabulary_path()))
