@@ -45,6 +45,56 @@ def test_overlap_pairs_are_not_shuffled(spark):
     assert "Exchange" not in before and "Aggregate" not in before
 
 
+def shuffled(spark) -> int:
+    """Bytes that the session's stages have written for shuffles so far."""
+    jvm, store = spark._jvm, spark.sparkContext._jsc.sc().statusStore()
+    none = jvm.java.util.ArrayList
+    stages = store.stageList(none(), False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), none())
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
+def test_overlap_ids_are_not_shuffled_for_each_class_they_meet(spark):
+    """Each of 60 classes meets each of 60; ids go by once for each of their two keys."""
+    rows = lambda name, base: spark.range(6000).selectExpr(f"xxhash64(id, {base}) as {name}", f"array(-1L, {base} + id % 60) as k")
+    before = shuffled(spark)
+    out = L.overlap_join(rows("l", 0), rows("r", 100), "l", "k", "r", "k")
+    assert out.count() == 6000 * 6000
+    assert shuffled(spark) - before < 2_000_000
+
+
+def test_overlap_of_hot_keys_by_brute_force(spark, monkeypatch):
+    rng = Random(7)
+    made = lambda n, ids: [(rng.choice([None, *range(ids)]), rng.choice([None, [rng.choice([None, *range(6)]) for _ in range(rng.randrange(4))]])) for _ in range(n)]
+    left, right = made(300, 150), made(200, 120)
+    keys = lambda rows: {i: {k for j, ks in rows if j == i for k in ks or [] if k is not None} for i, _ in rows}
+    want = sorted(repr((i, j)) for i, a in keys(left).items() for j, b in keys(right).items() if a & b)
+    frames = spark.createDataFrame(left, "l int, k array<int>"), spark.createDataFrame(right, "r int, k array<int>")
+    for side, block, squares in ((4000, 125, 1000), (10, 3, 10_000), (10, 3, 4), (1, 1, 10_000)):
+        monkeypatch.setattr(L, "SIDE", side)
+        monkeypatch.setattr(L, "BLOCK", block)
+        monkeypatch.setattr(L, "SQUARES", squares)
+        assert sorted(repr(tuple(r)) for r in L.overlap_join(*frames, "l", "k", "r", "k").collect()) == want
+
+
+def test_pairs_of_a_hot_key_are_many_tasks_work(spark, monkeypatch):
+    monkeypatch.setattr(L, "SIDE", 100)
+    monkeypatch.setattr(L, "BLOCK", 25)
+    rows = lambda name: spark.range(1000).selectExpr(f"id as {name}", "array(1) as k")
+    out = L.overlap_join(rows("l"), rows("r"), "l", "k", "r", "k")
+    assert out.count() == 1_000_000
+    assert largest(out) < 100_000
+    # two blocks are in the join's loop at a time: compiled into it, the explosions would hold the pairs of all blocks that one meets
+    monkeypatch.setattr(L, "SIDE", 4000)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        lines = plan(L.overlap_join(rows("l"), rows("r"), "l", "k", "r", "k")).splitlines()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    join = next(x for x in lines if "Join " in x)
+    assert "Generate explode(__b_ids" in next(x for x in lines if "Generate" in x) and "*(" in next(x for x in lines if "Generate" in x)
+    assert "*(" not in join
+
+
 def by_table(a, b):
     """A longest common subsequence by the plain table of lengths."""
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
